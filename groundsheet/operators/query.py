@@ -165,10 +165,11 @@ def query_data(
     statistics: Sequence[tuple[str, str]] = (),
     group_by: str | None = None,
     order_by_fields: str | None = None,
-    page_size: int = PAGE_DEFAULT,
+    page_size: int | None = PAGE_DEFAULT,
     record_offset: int = 0,
     return_geometry: bool = False,
 ) -> QueryResult:
+    """One structured query; ``page_size=None`` hands out every match for Spark work."""
     guard.check_fields(out_fields, "out_fields")
     found = matches(layer, where, geometry, spatial_rel, buffer_distance, buffer_units)
     total = found.agg(F.count("*").alias("totalMatchingRecords"))
@@ -183,7 +184,8 @@ def query_data(
     names = layer.fields if out_fields.strip() == "*" else [f.strip() for f in out_fields.split(",")]
     keep = [*names, layer.geom] if return_geometry and layer.geom not in (None, *names) else names
     page = (found.orderBy(*order) if order else found).select(*keep)
-    page = page.offset(record_offset).limit(min(page_size, PAGE_LIMIT))
+    if page_size is not None:
+        page = page.offset(record_offset).limit(min(page_size, PAGE_LIMIT))
     if return_geometry and layer.geom:
         # only the rows of the page are turned into text
         page = page.withColumn(layer.geom, G.as_geojson(layer.geom)).withColumnRenamed(

@@ -83,6 +83,7 @@ def bm25_search(
     norm = F.col("tf") + K1 * (1 - B + B * F.col("dl") / avgdl)
     part = F.col("times") * idf * F.col("tf") * (K1 + 1) / norm
     scores = hits.withColumn("part", part).groupBy(query, "doc").agg(F.sum("part").alias("score"))
-    best = W.partitionBy(query).orderBy(F.desc("score"), "doc")
+    # sums differ in their last digits with the order of addition; that must not rank copies
+    best = W.partitionBy(query).orderBy(F.round("score", 9).desc(), "doc")
     ranked = scores.where(F.col("score") > 0).withColumn("rank", F.row_number().over(best))
     return ranked.where(F.col("rank") <= limit)

@@ -6,6 +6,8 @@ degrees (EPSG:4326) unless a column says otherwise.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 from groundsheet.functions import geometry as G
@@ -88,15 +90,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def views(spark: SparkSession, sf_dir: str) -> None:
-    """Temp views over the given tables."""
-    for name in TABLES:
-        table(spark, sf_dir, name).createOrReplaceTempView(name)
+def view(spark: SparkSession, sf_dir: str, name: str) -> None:
+    """Temp view over one given table."""
+    table(spark, sf_dir, name).createOrReplaceTempView(name)
+
+
+def source_table(name: str) -> str:
+    """The one given table a layer is derived from."""
+    return re.search(r"from (\w+)\s*$", SQL[name]).group(1)
 
 
 def layer(spark: SparkSession, sf_dir: str, name: str, geom: bool = False) -> DataFrame:
     """A derived layer; ``geom=True`` adds the geometry column."""
-    views(spark, sf_dir)
+    view(spark, sf_dir, source_table(name))
     df = spark.sql(SQL[name])
     if geom and name in BOXES:
         df = df.withColumn("geom", G.envelope("x0", "y0", "x1", "y1"))

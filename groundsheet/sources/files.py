@@ -74,35 +74,46 @@ def write_layer(layer: Layer, path: str, cells: int = 256) -> None:
     df.repartitionByRange(column, F.col(y0)).sortWithinPartitions(column, F.col(y0)).write.parquet(path)
 
 
-def _features(spark: SparkSession, path: str, body: str, members: T.StructType | None, lines: bool) -> DataFrame:
-    """One row per feature: its attribute struct and its geometry as JSON text."""
+def _features(spark: SparkSession, path: str, body: str, members: T.StructType | None, paged: bool, lines: bool) -> DataFrame:
+    """One row per feature: its attribute struct and its geometry as JSON text.
+
+    ``paged``: a document holds a ``features`` list; else every document is a feature.
+    ``lines``: one document per line, which Spark can split; else one per file.
+    """
     reader = spark.read.option("multiLine", str(not lines).lower())
     if members is None:
         found = reader.json(path).schema
-        if not lines:
+        if paged:
             found = found["features"].dataType.elementType
         members = found[body].dataType
     feature = T.StructType([T.StructField(body, members), T.StructField("geometry", T.StringType())])
-    if lines:
+    if not paged:
         return reader.schema(feature).json(path)
     page = T.StructType([T.StructField("features", T.ArrayType(feature))])
     return reader.schema(page).json(path).select(F.inline("features"))
 
 
-def read_featureset(spark: SparkSession, path: str, attributes: T.StructType | None = None, crs: int = 4326) -> Layer:
-    """Saved feature-service pages (one JSON document each) to rows.
-
-    Give ``attributes`` to skip schema inference.  Pages are read in parallel, one task
-    per file, as a document cannot be split.
-    """
-    rows = _features(spark, path, "attributes", attributes, lines=False)
+def read_featureset(
+    spark: SparkSession,
+    path: str,
+    attributes: T.StructType | None = None,
+    lines: bool = False,
+    crs: int = 4326,
+) -> Layer:
+    """Saved feature-service pages to rows; give ``attributes`` to skip schema inference."""
+    rows = _features(spark, path, "attributes", attributes, paged=True, lines=lines)
     df = rows.select("attributes.*", G.from_wkt(esri.to_wkt("geometry")).alias("geom"))
     return Layer(path, df, "geom", crs)
 
 
-def read_geojson(spark: SparkSession, path: str, properties: T.StructType | None = None, lines: bool = False) -> Layer:
-    """GeoJSON to rows: FeatureCollection documents, or one Feature per line (splittable)."""
-    rows = _features(spark, path, "properties", properties, lines)
+def read_geojson(
+    spark: SparkSession,
+    path: str,
+    properties: T.StructType | None = None,
+    lines: bool = False,
+) -> Layer:
+    """GeoJSON to rows: collections (one per file), or with ``lines`` one Feature per line."""
+    rows = _features(spark, path, "properties", properties, paged=not lines, lines=lines)
     return Layer(path, rows.select("properties.*", G.from_geojson("geometry").alias("geom")), "geom")
 
 
