@@ -5,7 +5,7 @@ Every function takes and returns ``Column``; geometries are WKB ``binary``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from groundsheet.functions import jts
@@ -91,37 +91,47 @@ GEOJSON_KINDS = {
 }
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` mentions it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _member_geojson(wkt: Column) -> Column:
-    kind = F.upper(F.regexp_extract(wkt, r"^\s*([A-Za-z]+)", 1))
-    body = F.regexp_extract(wkt, r"(\(.*\))", 1)
+    """The text form differs from GeoJSON in brackets and in the space inside positions."""
+    kind = F.regexp_extract(wkt, r"^\s*([A-Z]+)", 1)
+    body = F.replace(F.regexp_extract(wkt, r"(\(.*\))", 1), F.lit(", "), F.lit(","))
     # a multipoint writes each position in its own parentheses; GeoJSON does not
     body = F.when(
-        kind == "MULTIPOINT", F.regexp_replace(body, rf"\(\s*({NUMBER} {NUMBER})\s*\)", "$1")
+        kind == "MULTIPOINT", F.concat(F.lit("("), F.translate(body, "()", ""), F.lit(")"))
     ).otherwise(body)
-    pairs = F.regexp_replace(body, rf"({NUMBER}) ({NUMBER})", "[$1, $2]")
-    nested = F.translate(pairs, "()", "[]")
-    coords = (
-        F.when(body == "", F.lit("[]"))
-        .when(kind == "POINT", F.regexp_extract(nested, r"^\[(.*)\]$", 1))
-        .otherwise(nested)
-    )
+    nested = F.translate(F.regexp_replace(body, "([^(),]+)", "[$1]"), "() ", "[],")
     spelled = F.lit(None).cast("string")
     for upper, name in GEOJSON_KINDS.items():
         spelled = F.when(kind == upper, F.lit(name)).otherwise(spelled)
+    coords = _let(
+        nested,
+        lambda n: F.when(n == "", F.lit("[]"))
+        .when(kind == "POINT", F.substring(n, F.lit(2), F.length(n) - 2))
+        .otherwise(n),
+    )
     return F.concat(F.lit('{"type":"'), spelled, F.lit('","coordinates":'), coords, F.lit("}"))
 
 
-def as_geojson(c) -> Column:
-    wkt = as_wkt(c)
+def _geojson(wkt: Column) -> Column:
     body = F.regexp_extract(wkt, r"^GEOMETRYCOLLECTION\s*\((.*)\)$", 1)
-    members = F.split(body, r",\s*(?=[A-Z])")
-    packed = F.array_join(F.transform(members, _member_geojson), ",")
+    members = F.transform(F.split(body, r",\s*(?=[A-Z])"), _member_geojson)
     return F.when(
         wkt.startswith("GEOMETRYCOLLECTION"),
-        F.concat(F.lit('{"type":"GeometryCollection","geometries":['), packed, F.lit("]}")),
+        F.concat(
+            F.lit('{"type":"GeometryCollection","geometries":['), F.array_join(members, ","), F.lit("]}")
+        ),
     ).otherwise(_member_geojson(wkt))
 
 
+def as_geojson(c) -> Column:
+    return _let(as_wkt(c), _geojson)
+
+
 # --- constructors -----------------------------------------------------------------
 
 
@@ -216,6 +226,17 @@ def bounds(c) -> dict[str, Column]:
     }
 
 
+def with_bounds(df: DataFrame, c: str, names=("xmin", "ymin", "xmax", "ymax")) -> DataFrame:
+    """Add the numeric box columns, computed once per row.
+
+    The four numbers come out of one generated struct: filters on them, which Spark would
+    otherwise push below the projection, stay above it and cannot repeat the decoding.
+    """
+    parts = bounds(c)
+    struct = F.struct(*[parts[k].alias(n) for k, n in zip(("xmin", "ymin", "xmax", "ymax"), names)])
+    return df.select("*", F.inline(F.array(struct)))
+
+
 def box(c) -> Column:
     return jts.write(jts.invoke(jts.read(_col(c)), "getEnvelope", jts.GEOM))
 

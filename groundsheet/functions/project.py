@@ -190,30 +190,35 @@ def transform_xy(x: Column, y: Column, source: int, target: int) -> Pair:
 def transform_geometry(c, source: int, target: int) -> Column:
     """Project every vertex of any geometry, keeping its structure.
 
-    The coordinate pairs are picked out of the text form; all other pieces (kind,
-    parentheses, commas) pass through, so nesting of any depth needs no special case.
+    The text form is cut into positions and the punctuation between them; positions are
+    projected and put back between the same punctuation, so nesting of any depth needs
+    no special case.
     """
-    wkt = G.as_wkt(c)
-    pieces = F.split(wkt, r"(?<=[(,)])|(?=[(,)])")
-    number = rf"^\s*{G.NUMBER} {G.NUMBER}\s*$"
+    wkt = F.replace(G.as_wkt(c), F.lit(", "), F.lit(","))
+    # pieces between parentheses and commas: positions, and the names of collection members
+    halves = F.struct(F.split(wkt, r"[^(),]+").alias("marks"), F.split(wkt, r"[(),]+").alias("pieces"))
+    return G.from_wkt(G._let(halves, lambda h: _rebuilt(h, stages(source, target))))
 
+
+def _rebuilt(halves: Column, steps: list[Stage]) -> Column:
     def parse(piece: Column) -> Column:
-        pair = F.split(F.trim(piece), " ")
-        is_pair = piece.rlike(number)
+        # a position starts with a digit, sign or point, which all sort before letters
+        pair = F.when((piece != "") & (piece < "A"), F.split(piece, " "))
         return F.struct(
             piece.alias("t"),
-            F.when(is_pair, F.get(pair, F.lit(0)).cast("double")).alias("p"),
-            F.when(is_pair, F.get(pair, F.lit(1)).cast("double")).alias("q"),
+            F.get(pair, F.lit(0)).cast("double").alias("p"),
+            F.get(pair, F.lit(1)).cast("double").alias("q"),
         )
 
-    arr = F.transform(pieces, parse)
-    for stage in stages(source, target):
-
-        arr = F.transform(arr, _applied(stage))
+    moved = F.transform(halves["pieces"], parse)
+    for stage in steps:
+        moved = F.transform(moved, _applied(stage))
     texts = F.transform(
-        arr,
+        moved,
         lambda v: F.when(
             v["p"].isNotNull(), F.concat(v["p"].cast("string"), F.lit(" "), v["q"].cast("string"))
         ).otherwise(v["t"]),
     )
-    return G.from_wkt(F.array_join(texts, ""))
+    # the text starts with the kind's name, so its first mark is the empty string before it
+    both = F.zip_with(halves["marks"], texts, lambda m, t: F.concat(m, F.coalesce(t, F.lit(""))))
+    return F.array_join(both, "")

@@ -10,15 +10,19 @@ from __future__ import annotations
 
 import re
 import struct
-from collections.abc import Iterator
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 POINT, LINE, POLYGON = 1, 2, 3
 
+# ship these small functions with the query, so workers need no copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _pack(kind: int, parts: list[np.ndarray]) -> bytes:
     head = struct.pack(">bI", 0, kind)
@@ -75,6 +79,18 @@ def _point_segment(p, a, b) -> np.ndarray:
     return np.sqrt(((p - a - t[..., None] * d) ** 2).sum(-1))
 
 
+def _box_gap(g: bytes, h: bytes) -> float:
+    """Distance of the bounding boxes; never more than that of the shapes."""
+    (lo_g, hi_g), (lo_h, hi_h) = (
+        (p[0].min(axis=0), p[0].max(axis=0)) for p in (_unpack(g)[1], _unpack(h)[1])
+    )
+    return float(np.hypot(*np.maximum(np.maximum(lo_g - hi_h, lo_h - hi_g), 0.0)))
+
+
+def _near(g: bytes, h: bytes, d: float) -> bool:
+    return _box_gap(g, h) <= d and _apart(g, h) <= d
+
+
 def _apart(g: bytes, h: bytes) -> float:
     (kg, pg), (kh, ph) = _unpack(g), _unpack(h)
     if (kg == POLYGON and _inside(ph[0][0], pg)) or (kh == POLYGON and _inside(pg[0][0], ph)):
@@ -96,6 +112,8 @@ def _holds(g: bytes, h: bytes) -> bool:
     (kg, pg), (kh, ph) = _unpack(g), _unpack(h)
     if kg == POINT:
         return kh == POINT and bool((pg[0] == ph[0]).all())
+    if _box_gap(g, h) > 0:
+        return False
     a, b = _edges(pg)
 
     def on_edge(p) -> bool:
@@ -203,47 +221,36 @@ def _box(x0: float, y0: float, x1: float, y1: float) -> bytes:
     return _pack(POLYGON, [ring])
 
 
-# name -> (result type, argument count, function over Series)
+# name -> (result type, function over Series)
 NAMES = {
-    "ST_Point": ("binary", 2, _points),
-    "ST_X": ("double", 1, lambda g: _coordinate(g, 0)),
-    "ST_Y": ("double", 1, lambda g: _coordinate(g, 1)),
-    "ST_MakeEnvelope": ("binary", 4, lambda *s: _rows(_box, *s)),
-    "ST_Area": ("double", 1, lambda g: _rows(lambda v: _measure(v, "area"), g)),
-    "ST_Length": ("double", 1, lambda g: _rows(lambda v: _measure(v, "length"), g)),
-    "ST_Perimeter": ("double", 1, lambda g: _rows(lambda v: _measure(v, "perimeter"), g)),
-    "ST_Distance": ("double", 2, lambda g, h: _rows(_apart, g, h)),
-    "ST_DWithin": ("boolean", 3, lambda g, h, d: _rows(lambda a, b, r: _apart(a, b) <= r, g, h, d)),
-    "ST_Intersects": ("boolean", 2, lambda g, h: _rows(lambda a, b: _apart(a, b) == 0.0, g, h)),
-    "ST_Contains": ("boolean", 2, lambda g, h: _rows(_holds, g, h)),
-    "ST_Within": ("boolean", 2, lambda g, h: _rows(_holds, h, g)),
-    "ST_AsText": ("string", 1, lambda g: _rows(_to_text, g)),
-    "ST_GeomFromText": ("binary", 1, lambda s: _rows(_from_text, s)),
+    "ST_Point": ("binary", _points),
+    "ST_X": ("double", lambda g: _coordinate(g, 0)),
+    "ST_Y": ("double", lambda g: _coordinate(g, 1)),
+    "ST_MakeEnvelope": ("binary", lambda *s: _rows(_box, *s)),
+    "ST_Area": ("double", lambda g: _rows(lambda v: _measure(v, "area"), g)),
+    "ST_Length": ("double", lambda g: _rows(lambda v: _measure(v, "length"), g)),
+    "ST_Perimeter": ("double", lambda g: _rows(lambda v: _measure(v, "perimeter"), g)),
+    "ST_Distance": ("double", lambda g, h: _rows(_apart, g, h)),
+    "ST_DWithin": ("boolean", lambda g, h, d: _rows(_near, g, h, d)),
+    "ST_Intersects": ("boolean", lambda g, h: _rows(lambda a, b: _near(a, b, 0.0), g, h)),
+    "ST_Contains": ("boolean", lambda g, h: _rows(_holds, g, h)),
+    "ST_Within": ("boolean", lambda g, h: _rows(_holds, h, g)),
+    "ST_AsText": ("string", lambda g: _rows(_to_text, g)),
+    "ST_GeomFromText": ("binary", lambda s: _rows(_from_text, s)),
 }
 
 
-def _udf(kind: str, width: int, fn):
-    """A pandas UDF of fixed width; the batch iterator form keeps one call per batch."""
-    if width == 1:
-
-        def run1(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            for a in batches:
-                yield fn(a)
-
-        return F.pandas_udf(run1, kind)
+def _udf(kind: str, fn):
+    """A plain (not iterator) pandas UDF, so that Spark evaluates all names of a query,
+    nested ones included, in one pass through one Python worker."""
 
-    def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        for args in batches:
-            yield fn(*args)
+    def run(*args: pd.Series) -> pd.Series:
+        return fn(*args)
 
-    run.__annotations__ = {
-        "batches": Iterator[tuple[(pd.Series,) * width]],
-        "return": Iterator[pd.Series],
-    }
     return F.pandas_udf(run, kind)
 
 
 def register(spark: SparkSession) -> list[str]:
-    for name, (kind, width, fn) in NAMES.items():
-        spark.udf.register(name, _udf(kind, width, fn))
+    for name, (kind, fn) in NAMES.items():
+        spark.udf.register(name, _udf(kind, fn))
     return list(NAMES)

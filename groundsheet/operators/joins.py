@@ -36,7 +36,7 @@ BOX = ("xmin", "ymin", "xmax", "ymax")
 
 def with_bounds(df: DataFrame, geom: str = "geom") -> DataFrame:
     """Add the numeric box columns of a geometry column."""
-    return df.withColumns(G.bounds(geom))
+    return G.with_bounds(df, geom)
 
 
 def _level(width: Column, height: Column) -> Column:
@@ -219,16 +219,14 @@ def spatial_join(
 
 
 def _boxed(a, b, a_geom, b_geom, a_box, b_box):
-    drop = ([], [])
+    """Box columns for the sides that come without, and what to drop again."""
+    names = tuple(f"_{k}" for k in BOX)
+    drop_a, drop_b = [], []
     if a_box is None:
-        a, a_box = a.withColumns({f"_{k}": v for k, v in G.bounds(a_geom).items()}), None
-        a_box = tuple(f"_{k}" for k in BOX)
-        drop = (list(a_box), drop[1])
+        a, a_box, drop_a = G.with_bounds(a, a_geom, names), names, list(names)
     if b_box is None:
-        b = b.withColumns({f"_{k}": v for k, v in G.bounds(b_geom).items()})
-        b_box = tuple(f"_{k}" for k in BOX)
-        drop = (drop[0], list(b_box))
-    return a, b, a_box, b_box, drop
+        b, b_box, drop_b = G.with_bounds(b, b_geom, names), names, list(names)
+    return a, b, a_box, b_box, (drop_a, drop_b)
 
 
 def point_in_polygon(

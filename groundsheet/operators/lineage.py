@@ -44,3 +44,15 @@ def materialize(df: DataFrame, name: str = "step") -> DataFrame:
 def fits(df: DataFrame, max_rows: int) -> bool:
     """True when the frame has at most ``max_rows`` rows; reads at most one row more."""
     return df.limit(max_rows + 1).count() <= max_rows
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal a scan of few files over all cores before work that is heavy per row.
+
+    Small layers often sit in one file with one row group, which Spark reads as one task.
+    A scan that already has a task per core passes unchanged, so large data is never
+    shuffled for this.  Only for plain scans: asking a frame with shuffles for its
+    partitions would run them.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)

@@ -139,7 +139,12 @@ def buffer_and_select(
     back to ``crs``.
     """
     grown = buffer_layer(reproject_layer(a, crs, metric, geom), radius_m, geom)
-    near = joins.spatial_join(grown, reproject_layer(b, crs, metric, geom), a_geom=geom, b_geom=geom, prefix=prefix)
+    # made once: the join reads its sides more than once
+    grown = lineage.materialize(joins.with_bounds(grown, geom), "buffers")
+    flat = lineage.materialize(joins.with_bounds(reproject_layer(b, crs, metric, geom), geom), "flat")
+    near = joins.spatial_join(
+        grown, flat, a_geom=geom, b_geom=geom, a_box=joins.BOX, b_box=joins.BOX, prefix=prefix
+    ).drop(*joins.BOX, *[f"{prefix}{c}" for c in joins.BOX])
     back = project.transform_geometry(geom, metric, crs)
     return near.withColumn("geojson", G.as_geojson(back)).drop(f"{prefix}{geom}")
 
@@ -167,16 +172,10 @@ def merge_groups(
     if fullest <= cap:
         return shapes.groupBy(*keys).agg(combine(F.collect_list(geom)).alias(geom))
 
-    box = G.bounds(geom)
-    shapes = lineage.materialize(
-        shapes.distinct().withColumns(
-            {
-                "mx": F.coalesce((box["xmin"] + box["xmax"]) / 2, F.lit(0.0)),
-                "my": F.coalesce((box["ymin"] + box["ymax"]) / 2, F.lit(0.0)),
-            }
-        ),
-        "shapes",
-    )
+    middle = lambda lo, hi: F.coalesce((F.col(lo) + F.col(hi)) / 2, F.lit(0.0))
+    boxed = G.with_bounds(shapes.distinct(), geom, ("_x0", "_y0", "_x1", "_y1"))
+    boxed = boxed.withColumns({"mx": middle("_x0", "_x1"), "my": middle("_y0", "_y1")})
+    shapes = lineage.materialize(boxed.drop("_x0", "_y0", "_x1", "_y1"), "shapes")
     x0, x1, y0, y1 = shapes.agg(F.min("mx"), F.max("mx"), F.min("my"), F.max("my")).first()
     for steps in range(1, TILE_STEPS + 1):
         tiled = shapes.withColumns(

@@ -23,12 +23,6 @@ class Index:
     terms: DataFrame
     totals: DataFrame
 
-    def write(self, path: str) -> None:
-        # a range layout on term lets a search read only the files of its words
-        self.postings.repartitionByRange("term", "doc").write.parquet(f"{path}/postings")
-        self.terms.write.parquet(f"{path}/terms")
-        self.totals.write.parquet(f"{path}/totals")
-
     @staticmethod
     def read(spark: SparkSession, path: str) -> Index:
         return Index(*[spark.read.parquet(f"{path}/{t}") for t in ("postings", "terms", "totals")])
@@ -39,20 +33,31 @@ def _words(df: DataFrame, key: str, body: str, locale: str | None) -> DataFrame:
     return df.select(F.col(key), words.alias("words")).withColumn("dl", F.size("words"))
 
 
-def bm25_index(docs: DataFrame, doc: str = "doc_id", body: str = "text", locale: str | None = None) -> Index:
+def _exploded(words: DataFrame, *keys: str) -> DataFrame:
+    """One row per word.  The outer form keeps Spark from testing the array's size below
+    the split, which would split every text a second time."""
+    return words.select(*keys, F.explode_outer("words").alias("term")).where(F.col("term").isNotNull())
+
+
+def bm25_index(docs: DataFrame, path: str, doc: str = "doc_id", body: str = "text", locale: str | None = None) -> Index:
+    """Build the index under ``path``: texts are split once, the rest is counted from postings."""
+    spark = docs.sparkSession
     words = _words(docs, doc, body, locale).withColumnRenamed(doc, "doc")
     # the key holds the document, so a frequent word is spread over all reducers
     postings = (
-        words.select("doc", "dl", F.explode("words").alias("term"))
+        _exploded(words, "doc", "dl")
         .groupBy("doc", "term", "dl")
         .agg(F.count("*").alias("tf"))
     )
-    terms = postings.groupBy("term").agg(F.count("*").alias("df"))
-    totals = words.agg(
-        F.count("*").alias("n"),
-        F.coalesce(F.avg(F.coalesce("dl", F.lit(0))), F.lit(0.0)).alias("avgdl"),
-    )
-    return Index(postings, terms, totals)
+    # a range layout on term lets a search read only the files of its words
+    postings.repartitionByRange("term", "doc").write.parquet(f"{path}/postings")
+    stored = spark.read.parquet(f"{path}/postings")
+    stored.groupBy("term").agg(F.count("*").alias("df")).write.parquet(f"{path}/terms")
+    n = docs.count()
+    words_in_all = F.coalesce(F.sum("tf"), F.lit(0)).cast("double")
+    totals = stored.agg(F.lit(n).alias("n"), (words_in_all / max(n, 1)).alias("avgdl"))
+    totals.write.parquet(f"{path}/totals")
+    return Index.read(spark, path)
 
 
 def bm25_search(
@@ -71,7 +76,7 @@ def bm25_search(
     """
     wanted = (
         _words(queries, query, body, locale)
-        .select(F.col(query), F.explode("words").alias("term"))
+        .transform(_exploded, query)
         .groupBy(query, "term")
         .agg(F.count("*").alias("times"))
     )

@@ -11,6 +11,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 
 from groundsheet.functions import geometry as G
+from groundsheet.operators import lineage
 
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -86,13 +87,15 @@ BOXES = {"zones", "parcels", "footprints", "scenes"}
 POINTS = {"sites", "depots", "tracks"}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """A given table; ``spread`` deals a one-file table over all cores."""
+    scan = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return lineage.spread(scan) if spread else scan
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> None:
+def view(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> None:
     """Temp view over one given table."""
-    table(spark, sf_dir, name).createOrReplaceTempView(name)
+    table(spark, sf_dir, name, spread).createOrReplaceTempView(name)
 
 
 def source_table(name: str) -> str:
@@ -100,9 +103,9 @@ def source_table(name: str) -> str:
     return re.search(r"from (\w+)\s*$", SQL[name]).group(1)
 
 
-def layer(spark: SparkSession, sf_dir: str, name: str, geom: bool = False) -> DataFrame:
+def layer(spark: SparkSession, sf_dir: str, name: str, geom: bool = False, spread: bool = False) -> DataFrame:
     """A derived layer; ``geom=True`` adds the geometry column."""
-    view(spark, sf_dir, source_table(name))
+    view(spark, sf_dir, source_table(name), spread or geom)
     df = spark.sql(SQL[name])
     if geom and name in BOXES:
         df = df.withColumn("geom", G.envelope("x0", "y0", "x1", "y1"))

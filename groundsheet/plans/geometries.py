@@ -24,7 +24,7 @@ def _rounded_bounds(c: str = "geom"):
     + f"select id, {BOX_AREA} as area_wkt, {BOX_AREA} as area_geojson, {BOX_AREA} as area_wkb from footprints",
 )
 def decode_geometry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    boxes = layer(spark, sf_dir, "footprints")
+    boxes = layer(spark, sf_dir, "footprints", spread=True)
     wkt = G.envelope_wkt("x0", "y0", "x1", "y1")
     corner = lambda x, y: F.array(F.col(x), F.col(y))
     ring = F.array(corner("x0", "y0"), corner("x1", "y0"), corner("x1", "y1"), corner("x0", "y1"), corner("x0", "y0"))
@@ -59,7 +59,7 @@ def decode_esri(spark: SparkSession, sf_dir: str) -> DataFrame:
           else concat('{"rings":[[[', x0, ',', y0, '],[', x1, ',', y0, '],[', x1, ',', y1, '],[',
                       x0, ',', y0, ']]],"spatialReference":{"wkid":4326}}')
         end"""
-    docs = layer(spark, sf_dir, "footprints").select("id", F.expr(text).alias("doc"))
+    docs = layer(spark, sf_dir, "footprints", spread=True).select("id", F.expr(text).alias("doc"))
     shapes = columns.decode_esri(docs, "doc")
     return shapes.select("id", G.kind("geom").alias("kind"), *_rounded_bounds())
 
@@ -91,7 +91,7 @@ def make_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("b5_make_envelopes", ctes("footprints") + f"select id, {BOX_AREA} as area, {ROUNDED_BOX} from footprints")
 def make_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    boxes = columns.make_envelopes(layer(spark, sf_dir, "footprints"), "x0", "y0", "x1", "y1")
+    boxes = columns.make_envelopes(layer(spark, sf_dir, "footprints", spread=True), "x0", "y0", "x1", "y1")
     return boxes.select("id", F.round(G.area("geom"), 6).alias("area"), *_rounded_bounds())
 
 
@@ -107,7 +107,7 @@ def _corners(pair: str, sep: str) -> str:
     ctes("parcels")
     + f"""select id,
             concat('POLYGON ((', '{_corners("{} {}", ", ")}', '))') as wkt,
-            concat('{{"type":"Polygon","coordinates":[[', '{_corners("[{}, {}]", ", ")}', ']]}}') as geojson,
+            concat('{{"type":"Polygon","coordinates":[[', '{_corners("[{},{}]", ",")}', ']]}}') as geojson,
             93 as wkb_bytes
           from parcels""",
 )
@@ -145,7 +145,7 @@ def geometry_accessors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bounds_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Boxes of diagonal lines, whose envelopes are the footprints."""
     wkt = F.expr("concat('LINESTRING(', x0, ' ', y0, ', ', x1, ' ', y1, ')')")
-    lines = layer(spark, sf_dir, "footprints").select("id", G.from_wkt(wkt).alias("geom"))
+    lines = layer(spark, sf_dir, "footprints", spread=True).select("id", G.from_wkt(wkt).alias("geom"))
     out = columns.bounds_columns(lines)
     box = [F.round(c, 6).alias(c) for c in ("xmin", "ymin", "xmax", "ymax")]
     return out.select("id", *box, F.round(G.area("envelope"), 6).alias("envelope_area"))
@@ -172,6 +172,6 @@ def repair_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
              else concat('POLYGON((', x0, ' ', y0, ', ', x1, ' ', y0, ', ', x1, ' ', y1, ', ',
                          x0, ' ', y1, ', ', x0, ' ', y0, '))') end"""
     )
-    shapes = layer(spark, sf_dir, "footprints").select("id", G.from_wkt(wkt).alias("geom"))
+    shapes = layer(spark, sf_dir, "footprints", spread=True).select("id", G.from_wkt(wkt).alias("geom"))
     fixed = process.repair_layer(shapes)
     return fixed.select("id", "was_fixed", G.is_valid("geom").alias("is_valid"), F.round(G.area("geom"), 6).alias("area"))

@@ -39,7 +39,9 @@ def scene_search(spark: SparkSession, sf_dir: str) -> DataFrame:
          select area, scene, cloud from ranked where rn = 1""",
 )
 def least_cloudy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scenes.least_cloudy(layer(spark, sf_dir, "scenes"), layer(spark, sf_dir, "footprints"))
+    return scenes.least_cloudy(
+        layer(spark, sf_dir, "scenes", spread=True), layer(spark, sf_dir, "footprints")
+    )
 
 
 @query(

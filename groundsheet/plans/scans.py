@@ -31,7 +31,7 @@ def read_geoparquet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("a2_read_featureset", ctes("sites") + "select id, name, acctbal, lon as x, lat as y from sites")
 def read_featureset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sites = layer(spark, sf_dir, "sites")
+    sites = layer(spark, sf_dir, "sites", spread=True)
     feature = F.struct(
         F.struct("id", "name", "acctbal").alias("attributes"),
         F.struct(F.col("lon").alias("x"), F.col("lat").alias("y")).alias("geometry"),

@@ -17,13 +17,17 @@ NAMES = [*derived.TABLES, *derived.SQL]
 
 
 def run(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    """Attach the layers the text names, whole, and run it through the guard."""
+    """Attach the layers the text names, whole, and run it through the guard.
+
+    Texts with geometry names are heavy per row, so their layers use all cores.
+    """
+    heavy = "ST_" in sql
     words = set(re.findall(r"[a-z_]+", sql.lower()))
     items = []
     for name in NAMES:
         if name in words:
             make = derived.table if name in derived.TABLES else derived.layer
-            items.append(guarded.Attach(name, Layer(name, make(spark, sf_dir, name)), max_records=None))
+            items.append(guarded.Attach(name, Layer(name, make(spark, sf_dir, name, spread=heavy)), max_records=None))
     return guarded.spatial_sql(spark, sql, items, max_rows=None).df
 
 
@@ -273,7 +277,6 @@ shape(
        select c_nationkey, c_mktsegment as usual, cast(total as bigint) as n from best where rn = 1""",
 )
 
-ST_BOX = "ST_MakeEnvelope(x0, y0, x1, y1)"
 shape(
     "e2_sql_geometry_names",
     """select id, round(ST_Area(ST_MakeEnvelope(x0, y0, x1, y1)), 6) as area,

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from groundsheet.functions import text
-from groundsheet.operators import search
+from groundsheet.operators import lineage, search
 from groundsheet.plans.catalog import query
 from groundsheet.plans.derived import table
 
@@ -41,7 +41,7 @@ ARABIC = "concat(' مَدْرَسَــة  الأحمدية ', translate(cast(c_
         from (select c_custkey, {ARABIC} as label from customer) c""",
 )
 def normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select(F.lit("doc").alias("source"), F.col("doc_id").alias("id"), "text")
+    docs = table(spark, sf_dir, "documents", spread=True).select(F.lit("doc").alias("source"), F.col("doc_id").alias("id"), "text")
     names = table(spark, sf_dir, "customer").select(F.lit("customer"), "c_custkey", F.expr(ARABIC))
     return docs.union(names).select("source", "id", F.md5(text.normalize("text")).alias("folded"))
 
@@ -63,7 +63,7 @@ def match_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
         from (select doc_id, {sql_tokens(sql_normalize("text"))} as words from documents) d""",
 )
 def tokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", text.tokenize(text.normalize("text")).alias("words"))
+    docs = table(spark, sf_dir, "documents", spread=True).select("doc_id", text.tokenize(text.normalize("text")).alias("words"))
     return docs.select(
         "doc_id", F.size("words").cast("long").alias("n"), F.md5(F.array_join("words", " ")).alias("words")
     )
@@ -84,7 +84,9 @@ WORDS = f"""words as (select doc_id as doc, {sql_tokens(sql_normalize("text"))}
 )
 def bm25_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The index tables, summed up per term for the check."""
-    index = search.bm25_index(table(spark, sf_dir, "documents"))
+    index = search.bm25_index(
+        table(spark, sf_dir, "documents", spread=True), lineage.scratch_path(spark, "index")
+    )
     uses = index.postings.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("uses"))
     total = lambda c: index.totals.select(c).scalar()
     return uses.withColumns({"n": total("n"), "avgdl": F.round(total("avgdl"), 6)})
@@ -109,7 +111,9 @@ QUERY_TEXT = "array_join(slice(split(text, ' '), 1, 6), ' ')"
         select item_id, doc, round(score, 6) as score, rank from ranked where rank <= 10""",
 )
 def bm25_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    index = search.bm25_index(table(spark, sf_dir, "documents"))
+    index = search.bm25_index(
+        table(spark, sf_dir, "documents", spread=True), lineage.scratch_path(spark, "index")
+    )
     asked = table(spark, sf_dir, "benchmark").selectExpr("item_id", f"{QUERY_TEXT} as text")
     hits = search.bm25_search(index, asked, 10, query="item_id")
     return hits.select("item_id", "doc", F.round("score", 6).alias("score"), "rank")
