@@ -91,7 +91,7 @@ GEOJSON_KINDS = {
 }
 
 
-def _let(value: Column, use) -> Column:
+def let(value: Column, use) -> Column:
     """``use(value)`` with the value computed once, however often ``use`` mentions it."""
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
@@ -108,7 +108,7 @@ def _member_geojson(wkt: Column) -> Column:
     spelled = F.lit(None).cast("string")
     for upper, name in GEOJSON_KINDS.items():
         spelled = F.when(kind == upper, F.lit(name)).otherwise(spelled)
-    coords = _let(
+    coords = let(
         nested,
         lambda n: F.when(n == "", F.lit("[]"))
         .when(kind == "POINT", F.substring(n, F.lit(2), F.length(n) - 2))
@@ -129,7 +129,7 @@ def _geojson(wkt: Column) -> Column:
 
 
 def as_geojson(c) -> Column:
-    return _let(as_wkt(c), _geojson)
+    return let(as_wkt(c), _geojson)
 
 
 # --- constructors -----------------------------------------------------------------

@@ -197,7 +197,7 @@ def transform_geometry(c, source: int, target: int) -> Column:
     wkt = F.replace(G.as_wkt(c), F.lit(", "), F.lit(","))
     # pieces between parentheses and commas: positions, and the names of collection members
     halves = F.struct(F.split(wkt, r"[^(),]+").alias("marks"), F.split(wkt, r"[(),]+").alias("pieces"))
-    return G.from_wkt(G._let(halves, lambda h: _rebuilt(h, stages(source, target))))
+    return G.from_wkt(G.let(halves, lambda h: _rebuilt(h, stages(source, target))))
 
 
 def _rebuilt(halves: Column, steps: list[Stage]) -> Column:

@@ -146,10 +146,8 @@ def _holds(g: bytes, h: bytes) -> bool:
                 return False
             met = met or at == 2
     if kh == POLYGON:
-        # a hole of g lying inside h leaves part of h uncovered; a border-only h fills g
-        if any(_inside(ring.mean(0), ph) for ring in pg[1:]):
-            return False
-        return met or not pg[1:]
+        # only a hole of g lying inside h can leave part of h uncovered
+        return not any(_inside(ring.mean(0), ph) for ring in pg[1:])
     return met
 
 

@@ -262,8 +262,9 @@ def legend(df: DataFrame, field: str, classes: Sequence[dict]) -> DataFrame:
         .groupBy("class")
         .agg(F.count("*").alias("n"))
     )
+    number = lambda v: None if v is None else float(v)
     table = df.sparkSession.createDataFrame(
-        [(c["n"], c.get("min"), c.get("max"), c["color"], c.get("label")) for c in numbered],
+        [(c["n"], number(c.get("min")), number(c.get("max")), c["color"], c.get("label")) for c in numbered],
         "class int, lo double, hi double, color string, label string",
     )
     label = F.coalesce(

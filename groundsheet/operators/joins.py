@@ -148,10 +148,12 @@ def box_pairs(
     b_box: tuple = BOX,
     grow: float = 0.0,
     hot_rows: int = HOT_ROWS,
+    sizes: tuple[DataFrame, DataFrame] | None = None,
 ) -> DataFrame:
     """All pairs whose boxes meet (b's box grown by ``grow``), each once.
 
-    Returns columns ``a_row`` and ``b_row`` (structs) and the numeric boxes.
+    Returns columns ``a_row`` and ``b_row`` (structs) and the numeric boxes.  ``sizes``
+    are frames with as many rows as a and b that are cheaper to count.
     """
     left = _side(a, "a", a_box, 0.0)
     right = _side(b, "b", b_box, grow)
@@ -164,7 +166,9 @@ def box_pairs(
         left_levels = right_levels = {FINEST}  # an empty side: the join below finds nothing
     left = _in_cells(left, "a", right_levels)
     right = _in_cells(right, "b", left_levels)
-    hot_a, hot_b = _hot(a, left, hot_rows), _hot(b, right, hot_rows)
+    hot_a, hot_b = (
+        _hot(df, cells, hot_rows) for df, cells in zip(sizes or (a, b), (left, right))
+    )
     left, right = _salted(left, right, hot_a, hot_b)
 
     cell = F.pow(F.lit(BASE), F.col("a.level").cast("double"))
@@ -212,7 +216,7 @@ def spatial_join(
     numeric box columns to skip decoding geometries for the candidate search.
     """
     left, right, a_box, b_box, drop = _boxed(a, b, a_geom, b_geom, a_box, b_box)
-    pairs = box_pairs(left, right, a_box, b_box, hot_rows=hot_rows)
+    pairs = box_pairs(left, right, a_box, b_box, hot_rows=hot_rows, sizes=(a, b))
     exact = G.predicate(predicate, F.col("a_row")[a_geom], F.col("b_row")[b_geom])
     out = _flatten(pairs.where(exact), left, right, prefix)
     return out.drop(*drop[0], *[f"{prefix}{c}" for c in drop[1]])
@@ -246,7 +250,9 @@ def point_in_polygon(
     no geometry is decoded at all.
     """
     _, right, _, b_box, drop = _boxed(points, polygons, None, geom, (x, y, x, y), box)
-    pairs = box_pairs(points, right, (x, y, x, y), b_box, hot_rows=hot_rows)
+    pairs = box_pairs(
+        points, right, (x, y, x, y), b_box, hot_rows=hot_rows, sizes=(points, polygons)
+    )
     if geom is not None:
         spot = G.point(F.col("a_row")[x], F.col("a_row")[y])
         pairs = pairs.where(G.predicate("intersects", F.col("b_row")[geom], spot))
@@ -275,7 +281,9 @@ def distance_join(
     a_box = (*a_xy, *a_xy) if a_xy else None
     b_box = (*b_xy, *b_xy) if b_xy else None
     left, right, a_box, b_box, drop = _boxed(a, b, a_geom, b_geom, a_box, b_box)
-    pairs = box_pairs(left, right, a_box, b_box, grow=float(within), hot_rows=hot_rows)
+    pairs = box_pairs(
+        left, right, a_box, b_box, grow=float(within), hot_rows=hot_rows, sizes=(a, b)
+    )
     if a_xy and b_xy:
         dx = F.col("a_row")[a_xy[0]] - F.col("b_row")[b_xy[0]]
         dy = F.col("a_row")[a_xy[1]] - F.col("b_row")[b_xy[1]]

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+_OWN_FOLDERS: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -16,14 +17,15 @@ def shared_folder(spark: SparkSession) -> str:
     The cluster names it in ``spark.checkpoint.dir``; only a session without that
     setting (local tests) gets a temporary folder of its own.
     """
-    named = spark.conf.get(SETTING, None) or spark.sparkContext.getConf().get(SETTING)
+    named = spark.conf.get(SETTING, None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {SETTING} to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="groundsheet-")
-    spark.conf.set(SETTING, folder)
-    return folder
+    if context.applicationId not in _OWN_FOLDERS:
+        _OWN_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="groundsheet-")
+    return _OWN_FOLDERS[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

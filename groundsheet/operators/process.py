@@ -17,6 +17,7 @@ GROUP_CAP = 2_000
 TILE_FAN = 8
 TILE_STEPS = 7
 LINE_CAP = 100_000
+COPY_RUN = 1_000
 
 
 # --- row-wise jobs ------------------------------------------------------------------
@@ -89,34 +90,55 @@ def overlay_intersect(a: DataFrame, b: DataFrame, *, geom: str = "geom", b_geom:
     return pairs.withColumn(geom, G.intersection(geom, f"{prefix}{b_geom}")).drop(f"{prefix}{b_geom}")
 
 
-def erase(a: DataFrame, b: DataFrame, key: str, *, geom: str = "geom", b_geom: str = "geom", **kw) -> DataFrame:
-    """a minus everything in b; rows that vanish are dropped, unmatched rows pass.
-
-    Each meeting part of b is cut to the a-feature first, then the parts of one feature
-    are merged in bounded steps, so a feature crossed by very many b-rows is no single
-    oversized group.
-    """
-    slim_a = a.select(*dict.fromkeys([key, geom, *(kw.get("a_box") or ())]))
-    slim_b = b.select(*dict.fromkeys([b_geom, *(kw.get("b_box") or ())]))
-    pairs = joins.spatial_join(slim_a, slim_b, a_geom=geom, b_geom=b_geom, prefix="_b_", **kw)
-    parts = pairs.select(key, G.intersection(geom, f"_b_{b_geom}").alias("_cover"))
-    parts = lineage.materialize(parts, "erase")
-    covers = merge_groups(parts, [key], "_cover", G.union_members)
-    rest = a.join(covers, key, "left").withColumn(
+def _pieces(a, b, a_key: str, b_key: str | None, geom: str, b_geom: str, kw: dict) -> DataFrame:
+    """Stored intersections of every meeting pair: ``_ak``, ``_bk``, ``_piece``."""
+    slim_a = a.select(*dict.fromkeys([a_key, geom, *(kw.get("a_box") or ())]))
+    b_columns = [b_geom, *(kw.get("b_box") or ())] + ([b_key] if b_key else [])
+    pairs = joins.spatial_join(
+        slim_a, b.select(*dict.fromkeys(b_columns)), a_geom=geom, b_geom=b_geom, prefix="_b_", **kw
+    )
+    keys = [F.col(a_key).alias("_ak")] + ([F.col(f"_b_{b_key}").alias("_bk")] if b_key else [])
+    cut = G.intersection(geom, f"_b_{b_geom}").alias("_piece")
+    return lineage.materialize(pairs.select(*keys, cut), "pieces")
+
+
+def _rest(a: DataFrame, pieces: DataFrame, key: str, piece_key: str, geom: str) -> DataFrame:
+    """a minus its pieces.  The pieces of one feature are merged in bounded steps, so a
+    feature crossed by very many others is no single oversized group."""
+    covers = merge_groups(pieces.select(piece_key, "_piece"), [piece_key], "_piece", G.union_members)
+    # shapes that also touch leave lines and points in a cover; they take nothing from an
+    # area, and the overlay does not accept them next to polygons
+    mixed = (G.dimension(geom) == 2) & (G.kind("_piece") == "GEOMETRYCOLLECTION")
+    cover = F.when(mixed, G.buffer("_piece", 0.0)).otherwise(F.col("_piece"))
+    left = a.join(covers, a[key] == covers[piece_key], "left").withColumn(
         geom,
-        F.when(F.col("_cover").isNull(), F.col(geom)).otherwise(G.difference(geom, "_cover")),
+        F.when(F.col("_piece").isNull(), F.col(geom)).otherwise(G.difference(geom, cover)),
     )
-    return rest.where(~G.is_empty(geom)).drop("_cover")
+    return left.where(~G.is_empty(geom)).drop("_piece", piece_key)
 
 
-def overlay_union(a: DataFrame, b: DataFrame, a_key: str, b_key: str, *, geom: str = "geom", prefix: str = "b_", a_box=None, b_box=None) -> DataFrame:
+def erase(a: DataFrame, b: DataFrame, key: str, *, geom: str = "geom", b_geom: str = "geom", **kw) -> DataFrame:
+    """a minus everything in b; rows that vanish are dropped, unmatched rows pass."""
+    return _rest(a, _pieces(a, b, key, None, geom, b_geom, kw), key, "_ak", geom)
+
+
+def overlay_union(a: DataFrame, b: DataFrame, a_key: str, b_key: str, *, geom: str = "geom", prefix: str = "b_", **kw) -> DataFrame:
     """All pieces of both layers: common pieces with both attribute sets, the rest with one.
 
     Columns of a keep their names, columns of b get ``prefix``; the missing side is null.
+    One spatial join serves all three parts, because what b takes from a feature of a is
+    the union of that feature's common pieces.
     """
-    common = overlay_intersect(a, b, geom=geom, b_geom=geom, prefix=prefix, a_box=a_box, b_box=b_box)
-    only_a = erase(a, b, a_key, geom=geom, b_geom=geom, a_box=a_box, b_box=b_box)
-    only_b = erase(b, a, b_key, geom=geom, b_geom=geom, a_box=b_box, b_box=a_box)
+    pieces = _pieces(a, b, a_key, b_key, geom, geom, kw)
+    b_named = b.drop(geom).withColumnsRenamed({c: f"{prefix}{c}" for c in b.columns if c != geom})
+    common = (
+        pieces.join(a.drop(geom), F.col("_ak") == a[a_key])
+        .join(b_named, F.col("_bk") == b_named[f"{prefix}{b_key}"])
+        .drop("_ak", "_bk")
+        .withColumnRenamed("_piece", geom)
+    )
+    only_a = _rest(a, pieces, a_key, "_ak", geom)
+    only_b = _rest(b, pieces, b_key, "_bk", geom)
     only_b = only_b.withColumnsRenamed({c: f"{prefix}{c}" for c in b.columns if c != geom})
     return common.unionByName(only_a, allowMissingColumns=True).unionByName(
         only_b, allowMissingColumns=True
@@ -229,13 +251,16 @@ def collect_layer(df: DataFrame, by: Sequence[str], geom: str = "geom", cap: int
     sizes = members.groupBy(*by).agg(F.ceil(F.count("*") / cap).alias("parts"))
     fullest = sizes.agg(F.max("parts")).first()[0]
     if not fullest or fullest <= 1:
-        part = members.withColumn("part", F.lit(0).cast("long"))
+        part = members.withColumns({"part": F.lit(0).cast("long"), "copies": F.lit(1)})
     else:
-        spread = F.pmod(F.xxhash64(geom), F.col("parts"))
-        joined = members.join(sizes, by)
-        part = joined.withColumn("part", spread).drop("parts")
+        # copies of one shape travel as one row per thousand and are dealt over the parts
+        same = members.groupBy(*by, geom).agg(F.count("*").alias("n"))
+        runs = same.withColumn("run", F.explode(F.sequence(F.lit(0), F.ceil(F.col("n") / COPY_RUN) - 1)))
+        runs = runs.withColumn("copies", F.least(F.lit(COPY_RUN), F.col("n") - F.col("run") * COPY_RUN).cast("int"))
+        part = runs.join(sizes, by).withColumn("part", F.pmod(F.xxhash64(geom, "run"), F.col("parts")))
+    shapes = F.flatten(F.collect_list(F.array_repeat(geom, F.col("copies"))))
     return part.groupBy(*by, "part").agg(
-        F.count("*").alias("members"), G.collection(F.collect_list(geom)).alias(geom)
+        F.sum("copies").alias("members"), G.collection(shapes).alias(geom)
     )
 
 
@@ -257,18 +282,21 @@ def make_lines(
     spots = df.select(
         *keys, *order_by, F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")
     ).where(F.col("x").isNotNull() & F.col("y").isNotNull())
-    sizes = spots.groupBy(*keys).count()
-    big = sizes.where(F.col("count") > cap).drop("count")
+    big = spots.groupBy(*keys).count().where(F.col("count") > cap)
+    crowded = big.agg(F.sum("count")).first()[0]
+    big = big.drop("count")
 
     def packed(rows: DataFrame) -> DataFrame:
         vertex = F.struct(*order_by, "x", "y")
         return rows.groupBy(*keys, "part").agg(F.array_sort(F.collect_list(vertex)).alias("v"))
 
-    if big.isEmpty():
+    if not crowded:
         lines = packed(spots.withColumn("part", F.lit(0).cast("long")))
     else:
         small = spots.join(big, keys, "left_anti").withColumn("part", F.lit(0).cast("long"))
-        ranged = spots.join(big, keys, "left_semi").repartitionByRange(*keys, *order_by)
+        ranged = spots.join(big, keys, "left_semi").repartitionByRange(
+            math.ceil(crowded / cap), *keys, *order_by
+        )
         ranged = ranged.withColumn("part", F.spark_partition_id().cast("long"))
         ranged = lineage.materialize(ranged, "lines")  # the part numbers must not change
         pieces = packed(ranged)

@@ -63,12 +63,16 @@ def spectral_index(kind: str, nir="nir", red="red", green="green") -> Column:
     return F.try_divide(a - b, a + b)
 
 
-def index_series(pixels: DataFrame, kind: str = "ndvi", by: tuple = ("dt",)) -> DataFrame:
-    """Mean index per date (and further keys) and its change since the date before."""
+def index_series(pixels: DataFrame, kind: str = "ndvi", by: tuple = ()) -> DataFrame:
+    """Mean index per day (and further keys) and its change since the day before.
+
+    Pixels are averaged map-side first; the window then sees one row per key and day.
+    """
+    day = F.col("dt").cast("date").alias("day")
     means = (
-        pixels.withColumn("index", spectral_index(kind))
-        .groupBy(*by)
+        pixels.select(*by, day, spectral_index(kind).alias("index"))
+        .groupBy(*by, "day")
         .agg(F.avg("index").alias("mean_index"), F.count("index").alias("pixels"))
     )
-    order = W.partitionBy(*[k for k in by if k != "dt"]).orderBy("dt")
+    order = W.partitionBy(*by).orderBy("day")
     return means.withColumn("change", F.col("mean_index") - F.lag("mean_index").over(order))

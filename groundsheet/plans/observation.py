@@ -66,7 +66,7 @@ def spectral_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 def index_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     series = scenes.index_series(layer(spark, sf_dir, "pixels"), "ndvi")
     return series.select(
-        F.col("dt").cast("date").alias("day"),
+        "day",
         F.round("mean_index", 6).alias("mean_index"),
         "pixels",
         (F.round("change", 6) + 0.0).alias("change"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from groundsheet.functions import geometry as G
 from groundsheet.operators import guarded, lineage
@@ -56,7 +57,8 @@ def read_geojson(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = lineage.scratch_path(spark, "features")
     boxes = layer(spark, sf_dir, "footprints", geom=True).select("id", "segment", "geom")
     files.write_geojson(boxes, path)
-    df = files.read_geojson(spark, path, lines=True).df
+    fields = T.StructType().add("id", "long").add("segment", "string")
+    df = files.read_geojson(spark, path, fields, lines=True).df
     box = {k: F.round(v, 6).alias(k) for k, v in G.bounds("geom").items()}
     return df.select("id", "segment", *box.values())
 
