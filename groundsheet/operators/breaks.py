@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 BINS = 4096
 FETCH = 50_000
 JENKS_BINS = 2048
+CLASS_LIMIT = 10_000
 CLASS_SCHEMA = "class int, lo double, hi double"
 
 
@@ -229,6 +230,8 @@ def classify(df: DataFrame, field: str, classes: Sequence[dict], out: str = "col
         [(str(c["value"]), c[want]) for c in classes if c.get("value") is not None],
         "_value string, _want string",
     ).dropDuplicates(["_value"])
+    if len(classes) <= CLASS_LIMIT:
+        table = F.broadcast(table)  # the list's length is known here
     matched = df.join(table, F.col(field).cast("string") == F.col("_value"), "left")
     return matched.withColumn(out, F.coalesce("_want", F.lit(FALLBACK_COLOR))).drop("_value", "_want")
 

@@ -39,6 +39,11 @@ def with_bounds(df: DataFrame, geom: str = "geom") -> DataFrame:
     return G.with_bounds(df, geom)
 
 
+def of(side: str, name: str) -> Column:
+    """Column ``name`` of side ``a`` or ``b`` in a frame of pairs."""
+    return F.col(f"{side}__{name}")
+
+
 def _level(width: Column, height: Column) -> Column:
     side = F.greatest(width, height, F.lit(BASE**FINEST))
     level = F.ceil(F.log(BASE, side)).cast("int")
@@ -46,10 +51,14 @@ def _level(width: Column, height: Column) -> Column:
 
 
 def _side(df: DataFrame, mark: str, box: tuple, grow: float) -> DataFrame:
-    """The side's row as one struct next to its box and level."""
+    """The side's columns under names of their own, next to its box and level.
+
+    Plain columns, not a struct of the row: what a caller does not use is pruned down to
+    the scan.
+    """
     x0, y0, x1, y1 = (F.col(c).cast("double") for c in box)
     out = df.select(
-        F.struct("*").alias(f"{mark}_row"),
+        *[F.col(c).alias(f"{mark}__{c}") for c in df.columns],
         (x0 - grow).alias(f"{mark}_x0"),
         (y0 - grow).alias(f"{mark}_y0"),
         (x1 + grow).alias(f"{mark}_x1"),
@@ -133,7 +142,9 @@ def _salted(a: DataFrame, b: DataFrame, hot_a: dict, hot_b: dict) -> tuple[DataF
 
     def deal(df: DataFrame, mark: str, mine: str, theirs: str) -> DataFrame:
         df = _salt_count(_salt_count(df, hot_a, "na"), hot_b, "nb")
-        spread = F.xxhash64(f"{mark}_row")
+        spread = F.xxhash64(
+            *[c for c, t in df.dtypes if c.startswith(f"{mark}_") and "map<" not in t and t != "variant"]
+        )
         df = df.withColumn(f"s{mine}", F.pmod(spread, F.col(f"n{mine}")).cast("int"))
         repeat = F.sequence(F.lit(0), F.col(f"n{theirs}") - 1)
         return df.withColumn(f"s{theirs}", F.explode(repeat)).drop("na", "nb")
@@ -152,8 +163,9 @@ def box_pairs(
 ) -> DataFrame:
     """All pairs whose boxes meet (b's box grown by ``grow``), each once.
 
-    Returns columns ``a_row`` and ``b_row`` (structs) and the numeric boxes.  ``sizes``
-    are frames with as many rows as a and b that are cheaper to count.
+    The sides' columns are reached by ``of("a", name)`` and ``of("b", name)``; next to them
+    stand the numeric boxes ``a_x0`` … ``b_y1``.  ``sizes`` are frames with as many rows as a
+    and b that are cheaper to count.
     """
     left = _side(a, "a", a_box, 0.0)
     right = _side(b, "b", b_box, grow)
@@ -183,18 +195,20 @@ def box_pairs(
         & (F.col("a.cx") == corner_x) & (F.col("a.cy") == corner_y)
     )
     return left.alias("a").join(right.alias("b"), on).select(
-        "a_row", "b_row", *[f"{m}_{c}" for m in "ab" for c in ("x0", "y0", "x1", "y1")]
+        *[f"a__{c}" for c in a.columns],
+        *[f"b__{c}" for c in b.columns],
+        *[f"{m}_{c}" for m in "ab" for c in ("x0", "y0", "x1", "y1")],
     )
 
 
 def _flatten(pairs: DataFrame, a: DataFrame, b: DataFrame, prefix: str) -> DataFrame:
     taken = set(a.columns)
-    out = [F.col("a_row")[c].alias(c) for c in a.columns]
+    out = [of("a", c).alias(c) for c in a.columns]
     for c in b.columns:
         name = f"{prefix}{c}"
         if name in taken:
             raise ValueError(f"column {name!r} exists on both sides; choose another prefix")
-        out.append(F.col("b_row")[c].alias(name))
+        out.append(of("b", c).alias(name))
     return pairs.select(*out)
 
 
@@ -217,7 +231,7 @@ def spatial_join(
     """
     left, right, a_box, b_box, drop = _boxed(a, b, a_geom, b_geom, a_box, b_box)
     pairs = box_pairs(left, right, a_box, b_box, hot_rows=hot_rows, sizes=(a, b))
-    exact = G.predicate(predicate, F.col("a_row")[a_geom], F.col("b_row")[b_geom])
+    exact = G.predicate(predicate, of("a", a_geom), of("b", b_geom))
     out = _flatten(pairs.where(exact), left, right, prefix)
     return out.drop(*drop[0], *[f"{prefix}{c}" for c in drop[1]])
 
@@ -254,8 +268,8 @@ def point_in_polygon(
         points, right, (x, y, x, y), b_box, hot_rows=hot_rows, sizes=(points, polygons)
     )
     if geom is not None:
-        spot = G.point(F.col("a_row")[x], F.col("a_row")[y])
-        pairs = pairs.where(G.predicate("intersects", F.col("b_row")[geom], spot))
+        spot = G.point(of("a", x), of("a", y))
+        pairs = pairs.where(G.predicate("intersects", of("b", geom), spot))
     out = _flatten(pairs, points, right, prefix)
     return out.drop(*[f"{prefix}{c}" for c in drop[1]])
 
@@ -285,16 +299,16 @@ def distance_join(
         left, right, a_box, b_box, grow=float(within), hot_rows=hot_rows, sizes=(a, b)
     )
     if a_xy and b_xy:
-        dx = F.col("a_row")[a_xy[0]] - F.col("b_row")[b_xy[0]]
-        dy = F.col("a_row")[a_xy[1]] - F.col("b_row")[b_xy[1]]
+        dx = of("a", a_xy[0]) - of("b", b_xy[0])
+        dy = of("a", a_xy[1]) - of("b", b_xy[1])
         apart = F.sqrt(dx * dx + dy * dy)
     else:
-        shape_a = G.point(*[F.col("a_row")[c] for c in a_xy]) if a_xy else F.col("a_row")[a_geom]
-        shape_b = G.point(*[F.col("b_row")[c] for c in b_xy]) if b_xy else F.col("b_row")[b_geom]
+        shape_a = G.point(*[of("a", c) for c in a_xy]) if a_xy else of("a", a_geom)
+        shape_b = G.point(*[of("b", c) for c in b_xy]) if b_xy else of("b", b_geom)
         apart = G.distance(shape_a, shape_b)
     pairs = pairs.withColumn("_apart", apart).where(F.col("_apart") <= float(within))
-    out = [F.col("a_row")[c].alias(c) for c in left.columns if c not in drop[0]]
-    out += [F.col("b_row")[c].alias(f"{prefix}{c}") for c in right.columns if c not in drop[1]]
+    out = [of("a", c).alias(c) for c in left.columns if c not in drop[0]]
+    out += [of("b", c).alias(f"{prefix}{c}") for c in right.columns if c not in drop[1]]
     if distance:
         out.append(F.col("_apart").alias(distance))
     return pairs.select(*out)
@@ -442,8 +456,8 @@ def nearest(
         steps += 1
     levels = _pyramid(leaf, steps)
 
-    cand = rows.withColumns({"cx": F.lit(0).cast("long"), "cy": F.lit(0).cast("long")})
-    for depth in range(1, steps + 1):
+    cand = _first_step(rows, levels[1], k)
+    for depth in range(2, steps + 1):
         cand = _descend(cand, levels[depth], depth, k)
     near = cand.join(leaf, ["cx", "cy"]).withColumn("d2", dx * dx + dy * dy)
     best = W.partitionBy("ak").orderBy("d2", "bk")
@@ -485,6 +499,38 @@ def _pyramid(leaf: DataFrame, steps: int) -> dict[int, DataFrame]:
     return levels
 
 
+def _reach(cell, x: Column, y: Column) -> tuple[Column, Column]:
+    """Squared distance from a position to a cell's nearest and farthest possible row."""
+    gap_x = F.greatest(cell("x0") - x, x - cell("x1"), F.lit(0.0))
+    gap_y = F.greatest(cell("y0") - y, y - cell("y1"), F.lit(0.0))
+    far_x = F.greatest(F.abs(x - cell("x0")), F.abs(x - cell("x1")))
+    far_y = F.greatest(F.abs(y - cell("y0")), F.abs(y - cell("y1")))
+    return gap_x * gap_x + gap_y * gap_y, far_x * far_x + far_y * far_y
+
+
+def _first_step(rows: DataFrame, cells: DataFrame, k: int) -> DataFrame:
+    """The top cells, at most FAN * FAN = 64, are constants; no join and no shuffle."""
+    top = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in r.asDict().items()]) for r in cells.collect()])
+
+    def score(c: Column) -> Column:
+        near, far = _reach(lambda n: c[n], F.col("ax"), F.col("ay"))
+        return F.struct(far.alias("far"), near.alias("near"), c["n"].alias("n"), c["cx"].alias("cx"), c["cy"].alias("cy"))
+
+    def take(so_far: Column, c: Column) -> Column:
+        enough = (so_far["held"] < k) & (so_far["held"] + c["n"] >= k)
+        return F.struct(
+            (so_far["held"] + c["n"]).alias("held"),
+            F.when(enough, c["far"]).otherwise(so_far["bound"]).alias("bound"),
+        )
+
+    start = F.struct(F.lit(0).cast("long").alias("held"), F.lit(None).cast("double").alias("bound"))
+    scored = rows.withColumn("top", F.array_sort(F.transform(top, score)))
+    scored = scored.withColumn("bound", F.aggregate("top", start, take)["bound"])
+    kept = F.filter("top", lambda c: F.col("bound").isNull() | (c["near"] <= F.col("bound")))
+    spread = scored.select("ak", "ax", "ay", F.explode_outer(kept).alias("c"))
+    return spread.select("ak", "ax", "ay", "c.cx", "c.cy")
+
+
 def _descend(cand: DataFrame, cells: DataFrame, depth: int, k: int) -> DataFrame:
     """Replace candidate cells by those of their children that can still matter."""
     children = cells.withColumns(
@@ -493,20 +539,12 @@ def _descend(cand: DataFrame, cells: DataFrame, depth: int, k: int) -> DataFrame
             "py": F.floor(F.col("cy") / FAN),
         }
     ).withColumnsRenamed({"cx": "kx", "cy": "ky"})
-    if depth <= 2:
-        # at most FAN ** (2 * depth) = 4,096 summary rows by construction
+    if depth == 2:
+        # at most FAN ** 4 = 4,096 summary rows by construction
         children = F.broadcast(children)
     grown = cand.join(children, (F.col("cx") == F.col("px")) & (F.col("cy") == F.col("py")))
-    zero = F.lit(0.0)
-    near_x = F.greatest(F.col("x0") - F.col("ax"), F.col("ax") - F.col("x1"), zero)
-    near_y = F.greatest(F.col("y0") - F.col("ay"), F.col("ay") - F.col("y1"), zero)
-    far_x = F.greatest(F.abs(F.col("ax") - F.col("x0")), F.abs(F.col("ax") - F.col("x1")))
-    far_y = F.greatest(F.abs(F.col("ay") - F.col("y0")), F.abs(F.col("ay") - F.col("y1")))
-    grown = grown.select(
-        "ak", "ax", "ay", "kx", "ky", "n",
-        (near_x * near_x + near_y * near_y).alias("near"),
-        (far_x * far_x + far_y * far_y).alias("far"),
-    )
+    near, far = _reach(F.col, F.col("ax"), F.col("ay"))
+    grown = grown.select("ak", "ax", "ay", "kx", "ky", "n", near.alias("near"), far.alias("far"))
     mine = W.partitionBy("ak")
     so_far = mine.orderBy("far", "kx", "ky").rowsBetween(W.unboundedPreceding, W.currentRow)
     grown = grown.withColumn("held", F.sum("n").over(so_far))

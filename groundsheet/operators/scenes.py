@@ -48,8 +48,8 @@ def least_cloudy(items: DataFrame, areas: DataFrame, names: tuple = BOX) -> Data
     pairs = joins.box_pairs(
         items.select("id", "cloud", *names), areas.select("id", *names), names, names
     )
-    best = pairs.groupBy(F.col("b_row.id").alias("area")).agg(
-        F.min(F.struct(F.col("a_row.cloud").alias("cloud"), F.col("a_row.id").alias("scene"))).alias("best")
+    best = pairs.groupBy(joins.of("b", "id").alias("area")).agg(
+        F.min(F.struct(joins.of("a", "cloud").alias("cloud"), joins.of("a", "id").alias("scene"))).alias("best")
     )
     return best.select("area", "best.scene", "best.cloud")
 

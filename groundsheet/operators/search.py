@@ -55,7 +55,7 @@ def bm25_index(docs: DataFrame, path: str, doc: str = "doc_id", body: str = "tex
     stored.groupBy("term").agg(F.count("*").alias("df")).write.parquet(f"{path}/terms")
     n = docs.count()
     words_in_all = F.coalesce(F.sum("tf"), F.lit(0)).cast("double")
-    totals = stored.agg(F.lit(n).alias("n"), (words_in_all / max(n, 1)).alias("avgdl"))
+    totals = stored.agg(F.lit(n).cast("long").alias("n"), (words_in_all / max(n, 1)).alias("avgdl"))
     totals.write.parquet(f"{path}/totals")
     return Index.read(spark, path)
 

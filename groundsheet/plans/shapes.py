@@ -44,7 +44,8 @@ def shape(name: str, sql: str, oracle: str | None = None, layers: tuple[str, ...
 shape(
     "e1_spatial_sql",
     """select z.name as zone, count(*) as sites, round(sum(s.acctbal), 2) as balance
-       from sites s join zones z on s.lon >= z.x0 and s.lon < z.x1 and s.lat >= z.y0 and s.lat < z.y1
+       from sites s join zones z on z.x0 = cast(floor((s.lon + 180) / 72) * 72 - 180 as double)
+         and z.y0 = cast(floor((s.lat + 80) / 32) * 32 - 80 as double)
        where s.segment <> 'BUILDING' group by z.name""",
     layers=("sites", "zones"),
 )

@@ -37,7 +37,7 @@ def nested_loop(a, b, grow=0.0):
 def test_cells_find_what_the_nested_loop_finds(spark, hot_rows, grow):
     a, b = boxes(spark, 220, 1), boxes(spark, 180, 2)
     got = joins.box_pairs(a, b, BOX, BOX, grow=grow, hot_rows=hot_rows)
-    rows = got.select("a_row.id", F.col("b_row.id").alias("o")).collect()
+    rows = got.select(joins.of("a", "id"), joins.of("b", "id").alias("o")).collect()
     assert sorted(tuple(r) for r in rows) == nested_loop(a, b, grow)
 
 
