@@ -71,15 +71,19 @@ def _side(df: DataFrame, mark: str, box: tuple, grow: float) -> DataFrame:
     return out.withColumn(f"{mark}_own", _level(*size))
 
 
-def _levels(left: DataFrame | None, right: DataFrame) -> tuple[set[int], set[int]]:
-    """Levels each side has, in one job; at most 41 values per side reach the driver."""
-    found = right.select(F.lit("b").alias("side"), F.col("b_own").alias("own"))
+def _levels(side: DataFrame, mark: str) -> DataFrame:
+    return side.groupBy(F.lit(mark).alias("side"), F.col(f"{mark}_own").alias("own")).count()
+
+
+def _measure(left: DataFrame | None, right: DataFrame) -> dict[str, dict[int, int]]:
+    """Rows per level of each side, in one job; at most 41 values per side reach the driver."""
+    found = _levels(right, "b")
     if left is not None:
-        found = found.union(left.select(F.lit("a"), "a_own"))
-    rows = found.distinct().collect()
-    return {r["own"] for r in rows if r["side"] == "a"}, {
-        r["own"] for r in rows if r["side"] == "b"
-    }
+        found = found.union(_levels(left, "a"))
+    out: dict[str, dict[int, int]] = {"a": {}, "b": {}}
+    for r in found.collect():
+        out[r["side"]][r["own"]] = r["count"]
+    return out
 
 
 def _in_cells(side: DataFrame, mark: str, other_levels: set[int]) -> DataFrame:
@@ -102,15 +106,14 @@ def _in_cells(side: DataFrame, mark: str, other_levels: set[int]) -> DataFrame:
     )
 
 
-def _hot(df: DataFrame, cells: DataFrame, hot_rows: int) -> dict[tuple, int]:
+def _hot(rows: int, cells: DataFrame, hot_rows: int) -> dict[tuple, int]:
     """Salts per overfull cell; at most HOT_CELLS of the fullest come to the driver.
 
     Rows of cells beyond that list still join, on one reducer per cell or split by
     adaptive execution: the list only spreads work, it never decides membership.
-    A layer with no more rows than the limit cannot have an overfull cell; its plain
-    row count (file footers, for a stored layer) settles that without a pass over data.
+    A layer with no more rows than the limit cannot have an overfull cell.
     """
-    if df.count() <= hot_rows:
+    if rows <= hot_rows:
         return {}
     counts = cells.groupBy("level", "cx", "cy").count().where(F.col("count") > hot_rows)
     rows = counts.orderBy(F.desc("count")).limit(HOT_CELLS).collect()
@@ -159,27 +162,25 @@ def box_pairs(
     b_box: tuple = BOX,
     grow: float = 0.0,
     hot_rows: int = HOT_ROWS,
-    sizes: tuple[DataFrame, DataFrame] | None = None,
 ) -> DataFrame:
     """All pairs whose boxes meet (b's box grown by ``grow``), each once.
 
     The sides' columns are reached by ``of("a", name)`` and ``of("b", name)``; next to them
-    stand the numeric boxes ``a_x0`` … ``b_y1``.  ``sizes`` are frames with as many rows as a
-    and b that are cheaper to count.
+    stand the numeric boxes ``a_x0`` … ``b_y1``.
     """
     left = _side(a, "a", a_box, 0.0)
     right = _side(b, "b", b_box, grow)
     points = a_box[0] == a_box[2] and a_box[1] == a_box[3]
-    # a point layer has one level, the finest, so the other side needs no coarser copies
-    left_levels, right_levels = _levels(None if points else left, right)
+    measured = _measure(None if points else left, right)
     if points:
-        left_levels = {FINEST}
-    if not left_levels or not right_levels:
-        left_levels = right_levels = {FINEST}  # an empty side: the join below finds nothing
+        # a point layer has one level, the finest; a stored one is counted from its footers
+        measured["a"] = {FINEST: a.count()}
+    # an empty side: the join below finds nothing on any level
+    left_levels, right_levels = (set(measured[m]) or {FINEST} for m in "ab")
     left = _in_cells(left, "a", right_levels)
     right = _in_cells(right, "b", left_levels)
     hot_a, hot_b = (
-        _hot(df, cells, hot_rows) for df, cells in zip(sizes or (a, b), (left, right))
+        _hot(sum(measured[m].values()), cells, hot_rows) for m, cells in (("a", left), ("b", right))
     )
     left, right = _salted(left, right, hot_a, hot_b)
 
@@ -230,7 +231,7 @@ def spatial_join(
     numeric box columns to skip decoding geometries for the candidate search.
     """
     left, right, a_box, b_box, drop = _boxed(a, b, a_geom, b_geom, a_box, b_box)
-    pairs = box_pairs(left, right, a_box, b_box, hot_rows=hot_rows, sizes=(a, b))
+    pairs = box_pairs(left, right, a_box, b_box, hot_rows=hot_rows)
     exact = G.predicate(predicate, of("a", a_geom), of("b", b_geom))
     out = _flatten(pairs.where(exact), left, right, prefix)
     return out.drop(*drop[0], *[f"{prefix}{c}" for c in drop[1]])
@@ -264,9 +265,7 @@ def point_in_polygon(
     no geometry is decoded at all.
     """
     _, right, _, b_box, drop = _boxed(points, polygons, None, geom, (x, y, x, y), box)
-    pairs = box_pairs(
-        points, right, (x, y, x, y), b_box, hot_rows=hot_rows, sizes=(points, polygons)
-    )
+    pairs = box_pairs(points, right, (x, y, x, y), b_box, hot_rows=hot_rows)
     if geom is not None:
         spot = G.point(of("a", x), of("a", y))
         pairs = pairs.where(G.predicate("intersects", of("b", geom), spot))
@@ -295,9 +294,7 @@ def distance_join(
     a_box = (*a_xy, *a_xy) if a_xy else None
     b_box = (*b_xy, *b_xy) if b_xy else None
     left, right, a_box, b_box, drop = _boxed(a, b, a_geom, b_geom, a_box, b_box)
-    pairs = box_pairs(
-        left, right, a_box, b_box, grow=float(within), hot_rows=hot_rows, sizes=(a, b)
-    )
+    pairs = box_pairs(left, right, a_box, b_box, grow=float(within), hot_rows=hot_rows)
     if a_xy and b_xy:
         dx = of("a", a_xy[0]) - of("b", b_xy[0])
         dy = of("a", a_xy[1]) - of("b", b_xy[1])

@@ -13,7 +13,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from groundsheet.functions import text
+from groundsheet.operators import lineage
 
+QUERY_WORDS = 200_000
 K1, B = 1.5, 0.75  # usual BM25 parameters (fixed values)
 
 
@@ -70,9 +72,11 @@ def bm25_search(
 ) -> DataFrame:
     """Top ``limit`` documents of every query, scores above zero, ties by document.
 
-    A word repeated in a query counts again.  Postings meet the words of all queries in
-    one equi-join; a word with very many postings is split by adaptive execution, and
-    the top list is cut per task before the final ranking.
+    A word repeated in a query counts again.  The queries' words are counted first: up to
+    a limit they are broadcast, so the postings are filtered where they are read and a word
+    with very many postings stays spread over their files.  Beyond the limit it is an
+    equi-join that adaptive execution splits.  The top list is cut per task before the
+    final ranking.
     """
     wanted = (
         _words(queries, query, body, locale)
@@ -80,7 +84,11 @@ def bm25_search(
         .groupBy(query, "term")
         .agg(F.count("*").alias("times"))
     )
-    weighed = wanted.join(index.terms, "term")
+    if lineage.fits(wanted, QUERY_WORDS):
+        wanted = F.broadcast(wanted)
+        weighed = F.broadcast(wanted.join(index.terms, "term"))
+    else:
+        weighed = wanted.join(index.terms, "term")
     hits = index.postings.join(weighed, "term")
     n = index.totals.select("n").scalar()
     avgdl = F.greatest(index.totals.select("avgdl").scalar(), F.lit(1.0))
