@@ -52,28 +52,39 @@ def looks_like_wkt(c) -> Column:
     )
 
 
-def _geojson_member_wkt(json_text: Column) -> Column:
-    kind = F.upper(F.get_json_object(json_text, "$.type"))
-    raw = F.get_json_object(json_text, "$.coordinates")
-    position = rf"\[\s*({NUMBER})\s*,\s*({NUMBER})\s*(?:,\s*{NUMBER}\s*)?\]"
-    flat = F.regexp_replace(raw, position, "$1 $2")
-    body = F.translate(flat, "[]", "()")
-    return (
-        F.when(kind == "POINT", F.concat(F.lit("POINT("), flat, F.lit(")")))
-        .when(F.regexp_replace(raw, r"\s", "") == "[]", F.concat(kind, F.lit(" EMPTY")))
-        .otherwise(F.concat(kind, body))
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` mentions it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+# The geometry members of GeoJSON; lists stay texts, as their nesting depends on the kind.
+GEOJSON_SCHEMA = "type string, coordinates string, geometries array<string>"
+
+
+def _member_wkt(doc: Column) -> Column:
+    kind = F.upper(doc["type"])
+    bare = F.regexp_replace(doc["coordinates"], r"\s", "")
+    # a position is a bracket without brackets inside; heights are dropped
+    flat = F.regexp_replace(bare, r"\[([^\[\],]+),([^\[\],]+)(?:,[^\[\]]*)?\]", "$1 $2")
+    return let(
+        flat,
+        lambda f: F.when(f == "[]", F.concat(kind, F.lit(" EMPTY")))
+        .when(kind == "POINT", F.concat(F.lit("POINT("), f, F.lit(")")))
+        .otherwise(F.concat(kind, F.translate(f, "[]", "()"))),
     )
 
 
+def _document_wkt(doc: Column) -> Column:
+    members = F.transform(doc["geometries"], lambda m: let(F.from_json(m, GEOJSON_SCHEMA), _member_wkt))
+    return F.when(
+        doc["type"] == "GeometryCollection",
+        F.concat(F.lit("GEOMETRYCOLLECTION("), F.array_join(members, ", "), F.lit(")")),
+    ).otherwise(_member_wkt(doc))
+
+
 def geojson_to_wkt(c) -> Column:
     """GeoJSON geometry text to WKT: the nesting is the same, only brackets change."""
-    text = _col(c)
-    members = F.from_json(F.get_json_object(text, "$.geometries"), "array<string>")
-    inner = F.array_join(F.transform(members, _geojson_member_wkt), ", ")
-    return F.when(
-        F.get_json_object(text, "$.type") == "GeometryCollection",
-        F.concat(F.lit("GEOMETRYCOLLECTION("), inner, F.lit(")")),
-    ).otherwise(_geojson_member_wkt(text))
+    return let(F.from_json(_col(c), GEOJSON_SCHEMA), _document_wkt)
 
 
 def from_geojson(c) -> Column:
@@ -91,11 +102,6 @@ GEOJSON_KINDS = {
 }
 
 
-def let(value: Column, use) -> Column:
-    """``use(value)`` with the value computed once, however often ``use`` mentions it."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def _member_geojson(wkt: Column) -> Column:
     """The text form differs from GeoJSON in brackets and in the space inside positions."""
     kind = F.regexp_extract(wkt, r"^\s*([A-Z]+)", 1)

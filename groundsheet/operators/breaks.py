@@ -29,7 +29,15 @@ def _values(df: DataFrame, field: str) -> DataFrame:
 def order_values(df: DataFrame, field: str, ranks: Sequence[int]) -> dict[int, float]:
     """Values at the given 0-based ranks of the sorted field."""
     values = _values(df, field)
-    n, lo, hi = values.agg(F.count("*"), F.min("v"), F.max("v")).first()
+    return _at_ranks(values, ranks, _span(values))
+
+
+def _span(values: DataFrame) -> tuple[int, float, float]:
+    return tuple(values.agg(F.count("*"), F.min("v"), F.max("v")).first())
+
+
+def _at_ranks(values: DataFrame, ranks: Sequence[int], span: tuple[int, float, float]) -> dict[int, float]:
+    n, lo, hi = span
     # rank -> (smallest value, largest value, rows before it, rows in it)
     open_ranks = {r: (lo, hi, 0, n) for r in set(ranks) if 0 <= r < n}
     found: dict[int, float] = {}
@@ -82,11 +90,15 @@ def _bin_counts(values: DataFrame, spans: list[tuple]) -> dict[int, list[tuple]]
 
 def quantiles(df: DataFrame, field: str, probabilities: Sequence[float]) -> list[float | None]:
     """Exact interpolated quantiles."""
-    n = _values(df, field).count()
-    if n == 0:
+    values = _values(df, field)
+    return _quantiles(values, probabilities, _span(values))
+
+
+def _quantiles(values: DataFrame, probabilities: Sequence[float], span: tuple) -> list[float | None]:
+    if span[0] == 0:
         return [None for _ in probabilities]
-    spots = [p * (n - 1) for p in probabilities]
-    at = order_values(df, field, [r for s in spots for r in (math.floor(s), math.ceil(s))])
+    spots = [p * (span[0] - 1) for p in probabilities]
+    at = _at_ranks(values, [r for s in spots for r in (math.floor(s), math.ceil(s))], span)
     return [
         at[math.floor(s)] + (at[math.ceil(s)] - at[math.floor(s)]) * (s - math.floor(s)) for s in spots
     ]
@@ -108,8 +120,9 @@ def distribution(df: DataFrame, field: str, probabilities: Sequence[float] = (0.
         F.avg("v").alias("avg"),
         F.stddev("v").alias("stddev"),
     ).first()
+    marks = _quantiles(values, probabilities, (int(stats["count"]), stats["min"], stats["max"]))
     rows = [("stat", k, stats[k]) for k in ("count", "min", "max", "avg", "stddev")]
-    rows += [("percentile", f"p{p * 100:g}", q) for p, q in zip(probabilities, quantiles(df, field, probabilities))]
+    rows += [("percentile", f"p{p * 100:g}", q) for p, q in zip(probabilities, marks)]
     counts = histogram(df, field, bins, stats["min"], stats["max"]).collect() if stats["count"] else []
     rows += [("bin", f"{r['bin']}", float(r["count"])) for r in counts]
     return df.sparkSession.createDataFrame(rows, "part string, item string, value double")

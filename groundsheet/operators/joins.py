@@ -411,23 +411,16 @@ def nearest(
 
     Result: ``a_key``, ``{prefix}{b_key}``, ``distance``, ``rank``.
     """
+    spots = b.select(
+        F.col(b_key).alias("bk"),
+        F.col(b_xy[0]).cast("double").alias("bx"),
+        F.col(b_xy[1]).cast("double").alias("by"),
+    ).where(F.col("bx").isNotNull() & F.col("by").isNotNull())
     first = W.partitionBy("bx", "by").orderBy("bk")
-    places = (
-        b.select(
-            F.col(b_key).alias("bk"),
-            F.col(b_xy[0]).cast("double").alias("bx"),
-            F.col(b_xy[1]).cast("double").alias("by"),
-        )
-        .where(F.col("bx").isNotNull() & F.col("by").isNotNull())
-        .withColumn("at", F.row_number().over(first))
-        .where(F.col("at") <= k)
-        .drop("at")
-    )
-    places = lineage.materialize(places, "places")
-    edge = places.agg(
-        F.count("*").alias("n"), F.min("bx"), F.max("bx"), F.min("by"), F.max("by")
+    places = spots.withColumn("at", F.row_number().over(first)).where(F.col("at") <= k).drop("at")
+    n, x0, x1, y0, y1 = spots.agg(
+        F.count("*"), F.min("bx"), F.max("bx"), F.min("by"), F.max("by")
     ).first()
-    n, x0, x1, y0, y1 = edge
     rows = a.select(
         F.col(a_key).alias("ak"),
         F.col(a_xy[0]).cast("double").alias("ax"),
@@ -441,12 +434,17 @@ def nearest(
         "rank",
     ]
     if n == 0:
-        empty = rows.where(F.lit(False)).crossJoin(places.where(F.lit(False)))
-        return empty.withColumns({"d2": dx * dx + dy * dy, "rank": F.lit(1)}).select(*out)
+        key = b.schema[b_key].dataType
+        nothing = {"bk": F.lit(None).cast(key), "d2": F.lit(0.0), "rank": F.lit(1)}
+        return rows.where(F.lit(False)).withColumns(nothing).select(*out)
 
     steps = max(1, math.ceil(math.log(max(1.0, n / LEAF_ROWS), FAN * FAN)))
+    if n > LEAF_LIMIT:
+        places = lineage.materialize(places, "places")  # read again by every step below
     while True:
         leaf = _cell_index(places, steps, x0, x1, y0, y1)
+        if n <= LEAF_LIMIT:
+            break
         fullest = leaf.groupBy("cx", "cy").count().agg(F.max("count")).first()[0]
         if fullest <= LEAF_LIMIT or steps >= MAX_STEPS:
             break

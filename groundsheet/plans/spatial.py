@@ -149,7 +149,7 @@ def distance_join_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
          select id, depot, round(sqrt(d2), 6) as distance, rank from ranked where rank <= 3""",
 )
 def nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = joins.nearest(layer(spark, sf_dir, "sites"), layer(spark, sf_dir, "depots"), 3)
+    found = joins.nearest(layer(spark, sf_dir, "sites", spread=True), layer(spark, sf_dir, "depots"), 3)
     return found.select("id", F.col("b_id").alias("depot"), F.round("distance", 6).alias("distance"), "rank")
 
 
