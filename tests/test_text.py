@@ -1,3 +1,5 @@
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -58,8 +60,10 @@ def test_ranking(spark, docs, asked, first):
     assert hits[0]["doc"] == first and {h["query_id"] for h in hits} == {1}
 
 
-def test_scores_against_the_formula(spark):
-    import math
+@pytest.mark.parametrize("limit", [search.QUERY_WORDS, 1])
+def test_scores_against_the_formula(spark, monkeypatch, limit):
+    """Also beyond the limit up to which query words are broadcast."""
+    monkeypatch.setattr(search, "QUERY_WORDS", limit)
 
     docs = ["a b a c", "b b", "", "a d e f g"]
     index = search.bm25_index(
