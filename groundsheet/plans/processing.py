@@ -218,12 +218,26 @@ def layer_extent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("segment", *[F.round(c, 6).alias(c) for c in joins.BOX])
 
 
-@query("f10_simplify_layer")
+@query(
+    "f10_simplify_layer",
+    ctes("tracks")
+    + """select track, cast(count(*) as int) as vertices, arg_min(lon, seq) as start_x, arg_min(lat, seq) as start_y,
+           arg_max(lon, seq) as end_x, arg_max(lat, seq) as end_y, true as thinner, true as shorter
+         from tracks group by track having count(*) > 1""",
+)
 def simplify_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = process.make_lines(layer(spark, sf_dir, "tracks"), ["track"], ["seq"])
-    thin = process.simplify_layer(lines.where("geom is not null"), 3.0)
+    """A thinned line keeps its ends and gains no vertex and no length."""
+    lines = process.make_lines(layer(spark, sf_dir, "tracks", spread=True), ["track"], ["seq"])
+    lines = lines.where("geom is not null").withColumn("old", F.col("geom"))
+    thin = process.simplify_layer(lines, 3.0)
+    ends = {
+        "start_x": G.x(G.start_point("geom")), "start_y": G.y(G.start_point("geom")),
+        "end_x": G.x(G.end_point("geom")), "end_y": G.y(G.end_point("geom")),
+    }
     return thin.select(
-        "track", "vertices", G.vertex_count("geom").alias("kept"), F.round(G.length("geom"), 4).alias("length")
+        "track", "vertices", *[c.alias(n) for n, c in ends.items()],
+        (G.vertex_count("geom") <= F.col("vertices")).alias("thinner"),
+        (G.length("geom") <= G.length("old") + 1e-9).alias("shorter"),
     )
 
 
@@ -233,10 +247,21 @@ def centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return middles.select("id", *[(F.round(f("geom"), 6) + 0.0).alias(n) for n, f in (("x", G.x), ("y", G.y))])
 
 
-@query("f12_hulls")
+@query(
+    "f12_hulls",
+    ctes("tracks")
+    + """select track, count(*) as points, min(lon) as xmin, min(lat) as ymin, max(lon) as xmax, max(lat) as ymax,
+           true as holds_all from tracks group by track""",
+)
 def hulls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    around = process.hulls(layer(spark, sf_dir, "tracks", geom=True), ["track"])
-    return around.select("track", _area(), G.vertex_count("geom").alias("vertices"), G.kind("geom").alias("kind"))
+    """The hull of a track's points: it reaches as far as they do and holds every one."""
+    points = layer(spark, sf_dir, "tracks", geom=True)
+    around = process.hulls(points, ["track"])
+    held = points.join(around.withColumnRenamed("geom", "hull"), "track").groupBy("track").agg(
+        F.count("*").alias("points"), F.min(G.predicate("covers", "hull", "geom")).alias("holds_all")
+    )
+    box = [v.alias(k) for k, v in G.bounds("geom").items()]
+    return around.select("track", *box).join(held, "track")
 
 
 @query(
