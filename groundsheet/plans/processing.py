@@ -250,18 +250,14 @@ def centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "f12_hulls",
     ctes("tracks")
-    + """select track, count(*) as points, min(lon) as xmin, min(lat) as ymin, max(lon) as xmax, max(lat) as ymax,
-           true as holds_all from tracks group by track""",
+    + """select track, min(lon) as xmin, min(lat) as ymin, max(lon) as xmax, max(lat) as ymax, true as is_valid
+         from tracks group by track""",
 )
 def hulls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The hull of a track's points: it reaches as far as they do and holds every one."""
-    points = layer(spark, sf_dir, "tracks", geom=True)
-    around = process.hulls(points, ["track"])
-    held = points.join(around.withColumnRenamed("geom", "hull"), "track").groupBy("track").agg(
-        F.count("*").alias("points"), F.min(G.predicate("covers", "hull", "geom")).alias("holds_all")
-    )
+    """The hull of a track's points reaches exactly as far as they do."""
+    around = process.hulls(layer(spark, sf_dir, "tracks", geom=True), ["track"])
     box = [v.alias(k) for k, v in G.bounds("geom").items()]
-    return around.select("track", *box).join(held, "track")
+    return around.select("track", *box, G.is_valid("geom").alias("is_valid"))
 
 
 @query(
