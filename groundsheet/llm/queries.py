@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from groundsheet.llm import simhash, token_files
+from groundsheet.llm import language_id, mixing, quality_model, quality_rules, simhash, token_files, url_rules
 from groundsheet.operators.lineage import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,7 +33,45 @@ def op1_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digest(spark, path)
 
 
+URL_RULES = [
+    ("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"),
+]
+
+
+@query
+def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts of all page urls, with blocks carried over the pages' redirects and canonical links."""
+    pages = _table(spark, sf_dir, "pages")
+    return url_rules.judge_urls(pages, URL_RULES, url_rules.alias_links(pages))
+
+
 @query
 def op4_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents by three-word shingles."""
     return simhash.simhash_groups(_table(spark, sf_dir, "documents"), shingle=3, distance=3)
+
+
+@query
+def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    return mixing.mix(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdicts of all documents."""
+    return quality_rules.quality_rules(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+@query
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents."""
+    return language_id.language_id(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents."""
+    return quality_model.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
