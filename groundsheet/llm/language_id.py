@@ -27,7 +27,7 @@ def fold(texts: pa.Array) -> pa.Array:
 
 
 def learn_dictionaries(documents: DataFrame, usable: Column) -> dict[str, bytes]:
-    """Raw dictionary content per language, from rows where ``usable`` and neither text nor lang is null.
+    """Raw dictionary content per language, most common first, from rows where ``usable`` with text and lang.
 
     Counts cover all rows; DOCS documents per language are then drawn by a hash of their texts, so
     copies count once, and one piece of each is taken at a place given by the hash.
@@ -48,7 +48,8 @@ def learn_dictionaries(documents: DataFrame, usable: Column) -> dict[str, bytes]
     for lang, listed in sorted(found.items()):
         folded = fold(pa.array([p for _, p in sorted(listed)[:DOCS]], pa.string()))
         learned[lang] = " ".join(folded.to_pylist()).encode()[:DICTIONARY_BYTES]
-    return {lang: body for lang, body in learned.items() if body.strip()}
+    common = sorted(learned, key=lambda lang: (-counts[lang], lang))
+    return {lang: learned[lang] for lang in common if learned[lang].strip()}
 
 
 class Classifier:
@@ -57,7 +58,7 @@ class Classifier:
     def __init__(self, dictionaries: dict[str, bytes]):
         import zstandard
 
-        self.languages = sorted(dictionaries)
+        self.languages = list(dictionaries)
         self._press = []
         for lang in self.languages:
             content = zstandard.ZstdCompressionDict(dictionaries[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
@@ -110,8 +111,8 @@ def language_id(documents: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score and rejected of every row of ``documents``.
 
     Learned from text and non-null lang of rows that are not held out; a prediction reads the text
-    alone.  ``lang_pred`` is the language whose dictionary gives the smallest output, the first by
-    name on a tie; ``rejected`` says that the second-best is too close, or nothing could be told.
+    alone.  ``lang_pred`` is the language whose dictionary gives the smallest output, the most
+    common one on a tie; ``rejected`` says that the second-best is too close, or nothing could be told.
     Null texts and texts without a letter, and all texts if no language was learned, are ``und``
     with score 0 and rejected.  A null doc_id keeps its row; repeated rows are judged alike; an
     empty table gives no rows.  Other columns are not read.

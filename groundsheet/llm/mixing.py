@@ -10,6 +10,8 @@ block numbers, one after the other, and are joined to its blocks by number.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,7 +24,7 @@ LIMIT = 3
 BLOCK_WORDS, SHARD_SLOTS, ROUNDS = 64, 4096, 12
 PRIME = 2**31 - 1
 #: Rows a window over one chunk of a source should hold, and slots made from one row.
-CHUNK_ROWS, RUN_SLOTS = 50_000, 65_536
+CHUNK_ROWS, RUN_SLOTS = 50_000, 16_384
 
 
 def permutation_keys(seed: Column) -> Column:
@@ -136,7 +138,9 @@ def slots(sources: DataFrame, seed: int = 0, block_words: int = BLOCK_WORDS, sha
     )
     runs = epochs.withColumn("first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(RUN_SLOTS).cast("long"))))
     last = F.least(F.col("first") + RUN_SLOTS, F.col("n")) - 1
-    made = runs.repartition("base", "first").withColumn("j", F.explode(F.sequence("first", last)))
+    total = sources.agg(F.sum("target")).first()[0] or 0
+    tasks = max(sources.sparkSession.sparkContext.defaultParallelism, math.ceil(total / block_words / (8 * RUN_SLOTS)))
+    made = runs.repartition(tasks, "base", "first").withColumn("j", F.explode(F.sequence("first", last)))
     place = permuted(F.col("base") + F.col("j"), F.col("total"), F.col("all_keys"))
     return made.select(
         F.floor(place / shard_slots).alias("shard"), (place % shard_slots).alias("place"), "seq",
@@ -161,11 +165,12 @@ def mix(
     documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, limit: int = LIMIT, seed: int = 0,
     block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
-    """doc_id, size, source_size, target and taken of every row of ``documents`` (doc_id, source, text).
+    """doc_id, size, source_size, target, taken and first_shard of every row of ``documents`` (doc_id, source, text).
 
     ``taken`` counts the words of the document in the mix, repeats included: those of its pieces
     times how often their block was drawn.  A source's blocks are drawn equally often but for one,
-    so no document is taken more than ``limit`` times its size.  The same rows give the same mix.
+    so no document is taken more than ``limit`` times its size.  ``first_shard`` is the first output
+    shard that holds some of it.  The same rows give the same mix.
 
     Null texts and texts without a word have size 0 and are never taken; a null source is a source
     of its own, last in order; a null doc_id keeps its row; repeated rows are documents of their
@@ -174,9 +179,14 @@ def mix(
     docs = materialize(sized(documents), "sized")
     sources = materialize(source_targets(docs.select("source", "size"), weights, limit), "sources")
     pieces = block_rows(docs, sources, block_words)
-    drawn = slots(sources, seed, block_words).groupBy("seq", "block").agg(F.count("*").alias("times"))
-    taken = pieces.join(drawn, ["seq", "block"]).groupBy("row").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
+    drawn = slots(sources, seed, block_words).groupBy("seq", "block").agg(
+        F.count("*").alias("times"), F.min("shard").alias("shard")
+    )
+    # Spark takes exploded slots for as small as the sources they came from, and would broadcast them.
+    taken = pieces.join(drawn.hint("merge"), ["seq", "block"]).groupBy("row").agg(
+        F.sum(F.col("words") * F.col("times")).alias("taken"), F.min("shard").alias("first_shard")
+    )
     named = docs.join(sources.select("source", "source_size", "target"), docs.source.eqNullSafe(sources.source)).drop("source")
     return named.join(taken, "row", "left").select(
-        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken")
+        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"), "first_shard"
     )

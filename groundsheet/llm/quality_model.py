@@ -16,7 +16,7 @@ from groundsheet.llm.texts import filled, slices, split_words
 #: Training is bounded to so many labelled documents, drawn by a hash of their ids.
 TRAIN_DOCS = 6000
 WORD_BUCKETS, RANK = 4096, 8
-EPOCHS, BATCH, RATE, DECAY, DRAW_SEED = 12, 256, 0.02, 1e-4, 11
+EPOCHS, LEAST_STEPS, BATCH, RATE, DECAY, DRAW_SEED = 12, 500, 256, 0.02, 1e-4, 11
 THRESHOLD = 0.3
 
 #: Structure and length of a text, each about 0 to 1.
@@ -71,7 +71,7 @@ def fit(x: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
         "v": draw.normal(0, 0.05, (x.shape[1], RANK)),
     }
     first, second, step = {k: np.zeros_like(p) for k, p in model.items()}, {k: np.zeros_like(p) for k, p in model.items()}, 0
-    for _ in range(EPOCHS if len(y) else 0):
+    for _ in range(max(EPOCHS, LEAST_STEPS // -(-len(y) // BATCH)) if len(y) else 0):
         order = draw.permutation(len(y))
         for start in range(0, len(y), BATCH):
             part = order[start : start + BATCH]
