@@ -165,7 +165,7 @@ def mix(
     documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, limit: int = LIMIT, seed: int = 0,
     block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
-    """doc_id, size, source_size, target, taken and first_shard of every row of ``documents`` (doc_id, source, text).
+    """doc_id, source, size, source_size, target, taken and first_shard of every row of ``documents`` (doc_id, source, text).
 
     ``taken`` counts the words of the document in the mix, repeats included: those of its pieces
     times how often their block was drawn.  A source's blocks are drawn equally often but for one,
@@ -186,7 +186,8 @@ def mix(
     taken = pieces.join(drawn.hint("merge"), ["seq", "block"]).groupBy("row").agg(
         F.sum(F.col("words") * F.col("times")).alias("taken"), F.min("shard").alias("first_shard")
     )
-    named = docs.join(sources.select("source", "source_size", "target"), docs.source.eqNullSafe(sources.source)).drop("source")
+    told = sources.select(F.col("source").alias("s"), "source_size", "target")
+    named = docs.join(told, docs.source.eqNullSafe(F.col("s")))
     return named.join(taken, "row", "left").select(
-        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"), "first_shard"
+        "doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"), "first_shard"
     )
