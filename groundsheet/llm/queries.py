@@ -55,7 +55,7 @@ def op3_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents by three-word shingles."""
-    return simhash.simhash_groups(_table(spark, sf_dir, "documents"), shingle=3, distance=3)
+    return simhash.simhash_groups(_table(spark, sf_dir, "documents"), shingle=3, words=1, sure=3, distance=3)
 
 
 @query

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from groundsheet.llm.components import components
@@ -14,64 +14,85 @@ from groundsheet.llm.texts import filled, slices
 from groundsheet.operators.lineage import materialize
 
 BITS, SEED = 64, 42
-#: Numbers of partitions that are weighed against each other.
-PARTITIONS = (2, 3, 4)
+#: Words of a long fingerprint, the distance its partitions are sure to find, and the distance that links.
+#: Shingle sets of similarity 0.8 differ in about 15 % of the bits: 78 of 512, give or take 8.
+LONG_WORDS, LONG_SURE, LONG_DISTANCE = 8, 31, 80
+#: Bits of the partitions that are weighed against each other, by words of the fingerprint.
+WIDTHS = {1: (32, 22, 16), LONG_WORDS: (16, 22)}
 #: Counters of one pair-count sketch; its standard error is 6 %.
 COUNTERS = 512
+#: Members of a bucket meet its representative on so many salts.
+SALTS = 8
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def fingerprint(text: bytes, shingle: int) -> int:
-    """Majority of the XXH64 bits of all word shingles; 0 without a word."""
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(32))
+
+
+def fingerprint(text: bytes, shingle: int, words: int = 1) -> np.ndarray:
+    """Majority of the XXH64 bits of all word shingles; zeros without a word.
+
+    Words after the first take the same hashes, mixed anew.
+    """
     import xxhash
 
-    words = text.lower().split()  # of bytes: A-Z and ASCII white space only
-    if not words:
-        return 0
-    if len(words) < shingle:
-        parts = [b" ".join(words)]
+    split = text.lower().split()  # of bytes: A-Z and ASCII white space only
+    if not split:
+        return np.zeros(words, np.uint64)
+    if len(split) < shingle:
+        parts = [b" ".join(split)]
     else:
-        parts = map(b" ".join, zip(*(words[k:] for k in range(shingle)), strict=False))
+        parts = map(b" ".join, zip(*(split[k:] for k in range(shingle)), strict=False))
     digest = xxhash.xxh64_intdigest
     hashes = np.fromiter((digest(s, SEED) for s in parts), np.uint64)
-    ones = np.zeros(BITS, np.int64)
-    for start in range(0, len(hashes), 1 << 16):
-        some = hashes[start : start + (1 << 16)]
-        ones += np.unpackbits(some.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
+    ones = np.zeros(BITS * words, np.int64)
+    for start in range(0, len(hashes), 255 * 32):
+        some = hashes[start : start + 255 * 32]
+        if words > 1:
+            some = np.stack([some, *(_mixed((some + np.uint64(k)) * _ODD) for k in range(1, words))], axis=1)
+        bits = np.unpackbits(some.view(np.uint8).reshape(len(some), -1), axis=1, bitorder="little")
+        whole = len(bits) // 255 * 255  # sums of 255 bits stay within a byte
+        ones += bits[:whole].reshape(-1, 255, bits.shape[1]).sum(1, dtype=np.uint8).sum(0, dtype=np.int64)
+        ones += bits[whole:].sum(0, dtype=np.uint8)
+    return np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8").astype(np.uint64)
 
 
-def fingerprints(documents: DataFrame, shingle: int) -> DataFrame:
-    """doc_id and fp, the fingerprint's 64 bits as a long, of every whole text (null: empty)."""
+def fingerprints(documents: DataFrame, shingle: int, words: int = 1) -> DataFrame:
+    """doc_id and fp, the fingerprint's words as longs, of every whole text (null: empty)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            prints = np.array([fingerprint(t.encode(), shingle) for t in filled(batch).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(prints.view(np.int64))], ["doc_id", "fp"])
+            prints = [fingerprint(t.encode(), shingle, words) for t in filled(batch).to_pylist()]
+            flat = pa.array(np.concatenate(prints).view(np.int64))
+            offsets = pa.array(np.arange(len(prints) + 1, dtype=np.int32) * words)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(offsets, flat)], ["doc_id", "fp"])
 
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return docs.mapInArrow(run, "doc_id long, fp long")
-
+    return docs.mapInArrow(run, "doc_id long, fp array<long>")
 
-def correlated_bits(prints: DataFrame, parts: int) -> list[list[int]]:
-    """Bits dealt to partitions of equal width, each grown around the bits that go together most.
-
-    Counts of single bits and of pairs of bits over all fingerprints: one 64 x 64 table per task.
-    """
-    return _grow(_correlation(prints), parts)
 
+def _correlations(prints: DataFrame, words: int) -> list[np.ndarray]:
+    """How strongly the bits of each word go together, from counts of pairs of bits over all fingerprints."""
 
-def _correlation(prints: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both, rows = np.zeros((BITS, BITS), np.int64), 0
+        both, rows = np.zeros((words, BITS, BITS), np.int64), 0
         for batch in batches:
-            for start in range(0, batch.num_rows, 1 << 15):
-                bits = _bits(batch.slice(start, 1 << 15)).astype(np.float32)
-                both += (bits.T @ bits).astype(np.int64)
-                rows += len(bits)
-        yield pa.RecordBatch.from_pydict({"k": [0], "counts": [[rows, *both.ravel().tolist()]]}, schema=_COUNTS)
+            for start in range(0, batch.num_rows, 1 << 14):
+                found = _words(batch.slice(start, 1 << 14), words)
+                for k in range(words):
+                    bits = np.unpackbits(found[:, k : k + 1].copy().view(np.uint8), axis=1, bitorder="little").astype(np.float32)
+                    both[k] += (bits.T @ bits).astype(np.int64)
+                rows += len(found)
+        counts = [[rows, *both[k].ravel().tolist()] for k in range(words)]
+        yield pa.RecordBatch.from_pydict({"k": list(range(words)), "counts": counts}, schema=_COUNTS)
+
+    summed = _summed(prints.mapInArrow(count, "k int, counts array<long>"))
+    return [_correlation(summed.get(k)) for k in range(words)]
 
-    counts = _summed(prints.mapInArrow(count, "k int, counts array<long>")).get(0)
+
+def _correlation(counts: np.ndarray | None) -> np.ndarray:
     if counts is None or counts[0] < 2:
         return np.zeros((BITS, BITS))
     share = counts[1:].reshape(BITS, BITS) / counts[0]
@@ -83,6 +104,7 @@ def _correlation(prints: DataFrame) -> np.ndarray:
 
 
 def _grow(correlation: np.ndarray, parts: int) -> list[list[int]]:
+    """Bits of a word dealt to partitions, each grown around the bits that go together most."""
     free, groups = set(range(BITS)), []
     for k in range(parts):
         size = -(-len(free) // (parts - k))
@@ -98,9 +120,9 @@ def _grow(correlation: np.ndarray, parts: int) -> list[list[int]]:
 _COUNTS = pa.schema([("k", pa.int32()), ("counts", pa.list_(pa.int64()))])
 
 
-def _bits(batch: pa.RecordBatch) -> np.ndarray:
-    prints = batch.column("fp").to_numpy(zero_copy_only=False)
-    return np.unpackbits(np.ascontiguousarray(prints).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+def _words(batch: pa.RecordBatch, words: int) -> np.ndarray:
+    flat = batch.column("fp").flatten().to_numpy(zero_copy_only=False)
+    return flat.view(np.uint64).reshape(-1, words)
 
 
 def _summed(tables: DataFrame) -> dict[int, np.ndarray]:
@@ -118,17 +140,15 @@ def _mask(bits: list[int]) -> int:
     return sum(1 << b for b in bits)
 
 
-def _pair_counts(prints: DataFrame, masks: list[int]) -> list[float]:
-    """Estimated pairs of fingerprints that agree under each mask, from second-moment sketches of all of them."""
+def _pair_counts(prints: DataFrame, masks: list[tuple[int, int]], words: int) -> list[float]:
+    """Estimated pairs of fingerprints that agree under each (word, mask), from second-moment sketches of all."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((len(masks), COUNTERS), np.int64)
         for batch in batches:
-            values = batch.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)
-            for k, mask in enumerate(masks):
-                mixed = (values & np.uint64(mask)) * _ODD
-                mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-                mixed ^= mixed >> np.uint64(32)
+            values = _words(batch, words)
+            for k, (word, mask) in enumerate(masks):
+                mixed = _mixed((values[:, word] & np.uint64(mask)) * _ODD)
                 sign = (mixed & np.uint64(1)).astype(np.int64) * 2 - 1
                 slot = (mixed >> np.uint64(1)) % np.uint64(COUNTERS)
                 sums[k] += np.bincount(slot.astype(np.int64), weights=sign, minlength=COUNTERS).astype(np.int64)
@@ -153,81 +173,122 @@ def allocate(costs: list[dict[int, float]], total: int) -> tuple[float, list[int
     return best.get(total, (float("inf"), []))
 
 
-def plan(prints: DataFrame, distance: int) -> list[tuple[list[int], int]]:
-    """Partitions of correlated bits and the threshold of each (-1: not probed, 0 or 1).
+def plan(prints: DataFrame, sure: int, words: int) -> list[tuple[int, list[int], int]]:
+    """Partitions as (word, bits, threshold): correlated bits, and -1 (not probed), 0 or 1.
 
-    With thresholds that add up to ``distance - partitions + 1``, two fingerprints within
-    ``distance`` are within the threshold of some partition.  The cost of a threshold is the
-    estimated number of candidate pairs plus the rows that index and probe it.
+    With thresholds that add up to ``sure - partitions + 1``, two fingerprints within ``sure`` bits
+    are within the threshold of some partition.  The cost of a threshold is the estimated number
+    of candidate pairs plus the rows that index and probe it; thresholds are dealt by dynamic
+    programming, for each width of partitions, and the cheapest width is taken.
     """
-    correlation = _correlation(prints)
-    choices = [_grow(correlation, n) for n in PARTITIONS if n <= distance + 1 <= 2 * n]
-    if not choices:
-        raise ValueError("distance must be from 1 to 7")
+    correlations = _correlations(prints, words)
+    choices = []
+    for width in WIDTHS[words]:
+        per_word = -(-BITS // width)
+        if -per_word * words <= sure - per_word * words + 1 <= per_word * words:
+            choices.append([(w, group) for w in range(words) for group in _grow(correlations[w], per_word)])
     masks = []
     for groups in choices:
-        for group in groups:
-            masks += [_mask(group), *(_mask([b for b in group if b != out]) for out in group)]
-    rows, pairs = prints.count(), iter(_pair_counts(prints, masks))
-    best = (float("inf"), [])
+        for word, group in groups:
+            masks += [(word, _mask(group)), *((word, _mask([b for b in group if b != out])) for out in group)]
+    rows, pairs = prints.count(), iter(_pair_counts(prints, masks, words))
+    best: tuple[float, list] = (float("inf"), [])
     for groups in choices:
         costs = []
-        for group in groups:
+        for _, group in groups:
             same = next(pairs)
             near = same + sum(max(0.0, next(pairs) - same) for _ in group)
             costs.append({-1: 0.0, 0: same + 2.0 * rows, 1: near + (2 + len(group) / 2) * rows})
-        cost, thresholds = allocate(costs, distance - len(groups) + 1)
-        best = min(best, (cost, list(zip(groups, thresholds, strict=True))), key=lambda x: x[0])
+        cost, thresholds = allocate(costs, sure - len(groups) + 1)
+        if thresholds and cost < best[0]:
+            best = cost, [(w, group, t) for (w, group), t in zip(groups, thresholds, strict=True)]
+    if not best[1]:
+        raise ValueError(f"no partitions are sure to find {sure} bits")
     return best[1]
 
 
-def linked_prints(prints: DataFrame, distance: int, partitions: list[tuple[list[int], int]]) -> DataFrame:
-    """Pairs (a, b) of different fingerprints within ``distance``; a pair may come up in several partitions.
+def _signed(x: int) -> Column:
+    return F.lit(x - (1 << 64) if x >> 63 else x).cast("long")
+
 
-    A fingerprint is indexed by its bits in a partition.  It probes them and, at threshold 1, each
-    value with one of its set bits cleared: of two values one bit apart, one has the bit set.
+def _entries(prints: DataFrame, partitions: list[tuple[int, list[int], int]]) -> DataFrame:
+    """part, key and near of every print, with its own columns.
+
+    A print is indexed by its bits in a partition (near false).  At threshold 1 it also stands under
+    each value with one of its set bits cleared (near true): of two values one bit apart, one has
+    the bit set, so every pair meets.
     """
-    signed = lambda x: F.lit(x - (1 << 64) if x >> 63 else x)
-    stored, asked = [], []
-    for k, (group, threshold) in enumerate(partitions):
+    found = []
+    for k, (word, group, threshold) in enumerate(partitions):
         if threshold < 0:
             continue
-        key = F.col("fp").bitwiseAND(signed(_mask(group)))
-        stored.append(F.struct(F.lit(k).alias("part"), key.alias("key")))
-        asked.append(F.array(F.struct(F.lit(k).alias("part"), key.alias("key"), F.lit(False).alias("near"))))
+        key = F.col("fp")[word].bitwiseAND(_signed(_mask(group)))
+        found.append(F.array(F.struct(F.lit(k).alias("part"), key.alias("key"), F.lit(False).alias("near"))))
         if threshold:
-            cleared = [
-                F.when(key.bitwiseAND(signed(1 << b)) != 0, key.bitwiseXOR(signed(1 << b))) for b in group
-            ]
-            asked.append(F.transform(
+            cleared = [F.when(key.bitwiseAND(_signed(1 << b)) != 0, key.bitwiseXOR(_signed(1 << b))) for b in group]
+            found.append(F.transform(
                 F.array_compact(F.array(*cleared)),
                 lambda v, k=k: F.struct(F.lit(k).alias("part"), v.alias("key"), F.lit(True).alias("near")),
             ))
-    left = prints.select(F.col("fp").alias("a"), F.inline(F.array(*stored)))
-    right = prints.select(F.col("fp").alias("b"), F.inline(F.flatten(F.array(*asked))))
-    met = left.join(right, ["part", "key"]).where("a <> b and (near or a < b)")
-    return met.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance).select("a", "b")
+    return prints.select("*", F.inline(F.flatten(F.array(*found))))
+
+
+def _apart(a: str, b: str, words: int) -> Column:
+    return sum((F.bit_count(F.col(a)[k].bitwiseXOR(F.col(b)[k])) for k in range(words)), F.lit(0))
 
 
-def simhash_groups(documents: DataFrame, shingle: int = 5, distance: int = 3) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits) and component_id of every row of ``documents``.
+def print_groups(prints: DataFrame, words: int, sure: int, distance: int) -> DataFrame:
+    """node and root of every print (node, fp) that is linked to another.
+
+    Candidates meet in buckets, one per partition and key.  First every member of a bucket is held
+    against one representative, which joins large groups at a cost in proportion to their size.
+    Then only buckets that still hold several components are searched for links between these, so
+    no link is lost and no group is compared pair by pair.
+    """
+    partitions = plan(prints.select("fp"), sure, words)
+    entries = _entries(prints, partitions)
+    heads = entries.where("not near").groupBy("part", "key").agg(F.min_by(F.struct("node", "fp"), "node").alias("head"))
+    shared = entries.groupBy("part", "key").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    heads = heads.join(shared, ["part", "key"]).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    heads = heads.select("part", "key", "salt", F.col("head.node").alias("other"), F.col("head.fp").alias("other_fp"))
+    salted = entries.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
+    met = salted.join(heads, ["part", "key", "salt"]).where((F.col("node") != F.col("other")) & (_apart("fp", "other_fp", words) <= distance))
+    first = materialize(components(met.select("node", "other"), "node", "other"), "first-groups")
+    rooted = prints.join(first, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rooted = _entries(materialize(rooted, "rooted"), partitions)
+    mixed = rooted.groupBy("part", "key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    open_ = materialize(rooted.join(mixed.select("part", "key"), ["part", "key"]), "open-buckets")
+    left = open_.where("not near").select("part", "key", F.col("node").alias("a"), F.col("fp").alias("a_fp"), F.col("root").alias("a_root"))
+    right = open_.select("part", "key", "near", F.col("node").alias("b"), F.col("fp").alias("b_fp"), F.col("root").alias("b_root"))
+    across = left.join(right, ["part", "key"]).where(
+        (F.col("a_root") != F.col("b_root")) & (F.col("near") | (F.col("a") < F.col("b"))) & (_apart("a_fp", "b_fp", words) <= distance)
+    )
+    bridges = across.select(F.col("a_root").alias("node"), F.col("b_root").alias("root"))
+    return components(first.select("node", "root").union(bridges), "node", "root")
+
+
+def simhash_groups(documents: DataFrame, shingle: int = 5, words: int = LONG_WORDS, sure: int = LONG_SURE, distance: int = LONG_DISTANCE) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits a word) and component_id of every row of ``documents``.
 
     A-Z are lower-cased; shingles of ``shingle`` words, repeats included, are hashed by XXH64; a
-    bit is set if it is set in over half the hashes.  Documents link when their fingerprints differ
-    in at most ``distance`` bits; component_id is the smallest doc_id reachable, itself included.
+    bit is set if it is set in over half the hashes.  Documents link when their fingerprints of
+    ``words`` times 64 bits differ in at most ``distance`` bits; component_id is the smallest
+    doc_id reachable, itself included.  All links up to ``sure`` bits are found.  Beyond, up to
+    ``distance``, a link is found if any partition stays within its threshold: by default at a
+    similarity of 0.8 in nine of ten cases, at 0.9 in all but two of a thousand.
 
     Null and empty texts have fingerprint zero and link like any other.  Copies and repeated rows
     share a fingerprint and are one node of the search, however many they are.  Rows with a null
     doc_id keep their row; a group of such rows alone has a null component.  Only ``doc_id`` and
     ``text`` are read, so other columns cannot clash.  An empty table gives no rows.
     """
-    docs = materialize(fingerprints(documents, shingle), "fingerprints")
-    prints = materialize(docs.groupBy("fp").agg(F.min("doc_id").alias("least")), "prints")
-    links = linked_prints(prints.select("fp"), distance, plan(prints.select("fp"), distance))
-    roots = components(links, "a", "b").withColumnRenamed("node", "fp")
-    rooted = prints.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    node = F.col("fp")[0] if words == 1 else F.concat(*[F.hex(F.xxhash64(F.lit(k), "fp")) for k in (1, 2)])
+    docs = materialize(fingerprints(documents, shingle, words).withColumn("node", node), "fingerprints")
+    prints = docs.groupBy("node").agg(F.min("fp").alias("fp"), F.min("doc_id").alias("least"))
+    prints = materialize(prints, "prints")
+    roots = print_groups(prints.select("node", "fp"), words, sure, distance)
+    rooted = materialize(prints.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root")), "roots")
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = materialize(rooted.join(smallest, "root").select("fp", "component_id"), "named")
-    return docs.join(named, "fp").select(
-        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
-    )
+    named = materialize(rooted.join(smallest, "root").select("node", "component_id"), "named")
+    digits = F.array_join(F.transform("fp", lambda w: F.lpad(F.lower(F.hex(w)), 16, "0")), "")
+    return docs.join(named, "node").select("doc_id", digits.alias("fingerprint"), "component_id")
