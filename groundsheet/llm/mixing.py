@@ -23,8 +23,8 @@ WEIGHTS = (5, 2, 1)
 LIMIT = 3
 BLOCK_WORDS, SHARD_SLOTS, ROUNDS = 64, 4096, 12
 PRIME = 2**31 - 1
-#: Rows a window over one chunk of a source should hold, and slots made from one row.
-CHUNK_ROWS, RUN_SLOTS = 50_000, 16_384
+#: Rows that one chunk of a source should hold, and slots made from one row.
+CHUNK_ROWS, RUN_SLOTS = 2_000, 16_384
 
 
 def permutation_keys(seed: Column) -> Column:
@@ -64,14 +64,14 @@ def word_count(text: Column) -> Column:
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, limit: int = LIMIT) -> DataFrame:
-    """source, source_size, target, seq and weight of every source of ``sizes`` (source, size).
+    """source, source_size, docs, target, seq and weight of every source of ``sizes`` (source, size).
 
     Sources stand in code point order, null last.  Targets share the sum of all sizes by weight and
     stop at ``limit`` times a source's size, the excess reshared by weight: all targets are
     ``min(limit * size, level * weight)``, with the level found by going through the sources in
     the order in which they reach their limit.  Windows run over one row per source.
     """
-    all_ = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
+    all_ = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("docs"))
     seq = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last()))
     named = all_.withColumn("seq", seq.cast("long")).withColumn(
         "weight", F.element_at(F.array(*[F.lit(w) for w in weights]), ((F.col("seq") - 1) % len(weights) + 1).cast("int"))
@@ -86,7 +86,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, limit:
     )
     water = F.min_by("open", F.when(F.col("open").isNotNull(), F.col("cap") / F.col("weight"))).over(Window.partitionBy(F.lit(1)))
     return found.withColumn("water", water).select(
-        "source", "source_size", "seq", "weight",
+        "source", "source_size", "docs", "seq", "weight",
         F.least(F.col("cap").cast("double"), F.coalesce("water", F.lit(float("inf"))) * F.col("weight")).alias("target"),
     )
 
@@ -97,9 +97,8 @@ def block_rows(documents: DataFrame, sources: DataFrame, block_words: int = BLOC
     Where a document starts in its source is a sum in two steps, over chunks of documents by a hash
     of their ids and within a chunk, so that no window holds a whole source.
     """
-    chunks = max(1, -(-documents.count() // CHUNK_ROWS))
-    docs = documents.join(sources.select("source", "seq"), documents.source.eqNullSafe(sources.source)).select(
-        "row", "size", "seq", F.pmod(F.xxhash64("row"), F.lit(chunks)).alias("chunk")
+    docs = documents.join(sources.select("source", "seq", "docs"), documents.source.eqNullSafe(sources.source)).select(
+        "row", "size", "seq", F.pmod(F.xxhash64("row"), F.ceil(F.col("docs") / CHUNK_ROWS)).alias("chunk")
     )
     totals = docs.groupBy("seq", "chunk").agg(F.sum("size").alias("words"))
     earlier = Window.partitionBy("seq").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)

@@ -211,6 +211,10 @@ def _signed(x: int) -> Column:
     return F.lit(x - (1 << 64) if x >> 63 else x).cast("long")
 
 
+def _near_entries(part: int, keys: Column) -> Column:
+    return F.transform(keys, lambda v: F.struct(F.lit(part).alias("part"), v.alias("key"), F.lit(True).alias("near")))
+
+
 def _entries(prints: DataFrame, partitions: list[tuple[int, list[int], int]]) -> DataFrame:
     """part, key and near of every print, with its own columns.
 
@@ -226,10 +230,7 @@ def _entries(prints: DataFrame, partitions: list[tuple[int, list[int], int]]) ->
         found.append(F.array(F.struct(F.lit(k).alias("part"), key.alias("key"), F.lit(False).alias("near"))))
         if threshold:
             cleared = [F.when(key.bitwiseAND(_signed(1 << b)) != 0, key.bitwiseXOR(_signed(1 << b))) for b in group]
-            found.append(F.transform(
-                F.array_compact(F.array(*cleared)),
-                lambda v, k=k: F.struct(F.lit(k).alias("part"), v.alias("key"), F.lit(True).alias("near")),
-            ))
+            found.append(_near_entries(k, F.array_compact(F.array(*cleared))))
     return prints.select("*", F.inline(F.flatten(F.array(*found))))
 
 
