@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,13 +21,27 @@ HOMES = 2
 DIGITS = 12
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once per row, not once per element of the lambda around it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def _direction(v: Column) -> Column:
-    """Unit vector rounded to DIGITS digits; null for vectors that link with nothing."""
+    """Unit vector in whole steps of 10^-DIGITS; null for vectors that link with nothing."""
     fine = v.isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    scale = F.array_max(F.transform(v, lambda x: F.abs(x)))
-    scaled = F.transform(v, lambda x: x / scale)
-    norm = F.sqrt(F.aggregate(scaled, F.lit(0.0), lambda s, x: s + x * x))
-    return F.when(fine & (scale > 0), F.transform(scaled, lambda x: F.round(x / norm, DIGITS) + 0.0))
+    largest = F.array_max(F.transform(v, lambda x: F.abs(x)))
+
+    def unit(scaled: Column) -> Column:
+        norm = F.sqrt(F.aggregate(scaled, F.lit(0.0), lambda s, x: s + x * x))
+        return _bound(norm, lambda n: F.transform(scaled, lambda x: F.floor(x / n * 10.0**DIGITS + 0.5)))
+
+    scaled = _bound(largest, lambda m: F.transform(v, lambda x: x / m))
+    return F.when(fine & (largest > 0), _bound(scaled, unit))
+
+
+def _unit(x: np.ndarray) -> np.ndarray:
+    x = x / np.abs(x).max(1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1)[:, None]
 
 
 def _split(placed: DataFrame, round_: int, homes: float) -> tuple[DataFrame, bool]:
@@ -39,18 +53,18 @@ def _split(placed: DataFrame, round_: int, homes: float) -> tuple[DataFrame, boo
     wanted = F.least(F.lit(PIVOTS), 2 * F.ceil(F.col("n") / REGION_ROWS))
     ranked = placed.join(big, "region").withColumn("h", F.xxhash64("rep", F.lit(round_)))
     drawn = ranked.where(F.pmod("h", F.lit(1_000_003)) * F.col("n") < 4 * wanted * 1_000_003)
-    chosen = drawn.groupBy("region", "n").agg(F.array_sort(F.collect_list(F.struct("h", "key"))).alias("p"))
-    pivots = materialize(chosen.select("region", F.slice("p", 1, wanted.cast("int"))["key"].alias("pivots")), "pivots")
+    chosen = drawn.groupBy("region", "n").agg(F.array_sort(F.collect_list(F.struct("h", "v"))).alias("p"))
+    pivots = materialize(chosen.select("region", F.slice("p", 1, wanted.cast("int"))["v"].alias("pivots")), "pivots")
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, parts = [], []
-            for k, (key, around) in enumerate(zip(batch.column("key").to_pylist(), batch.column("pivots").to_pylist(), strict=True)):
+            for k, (v, around) in enumerate(zip(batch.column("v").to_pylist(), batch.column("pivots").to_pylist(), strict=True)):
                 if around is None:
                     rows.append(k)
                     parts.append("")
                     continue
-                angles = np.arccos(np.clip(np.array(around) @ np.array(key), -1, 1))
+                angles = np.arccos(np.clip(_unit(np.array(around)) @ _unit(np.array([v]))[0], -1, 1))
                 order = np.argsort(angles, kind="stable")[:HOMES]
                 for p in order[angles[order] <= angles[order[0]] + homes]:
                     rows.append(k)
@@ -84,14 +98,17 @@ def link_vectors(vectors: DataFrame, threshold: float) -> DataFrame:
         F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("string").alias("label"),
         F.col("embedding").cast("array<double>").alias("v"),
     )
-    rows = rows.withColumn("key", F.when(F.col("label").isNotNull() & F.col("vec_id").isNotNull(), _direction(F.col("v"))))
+    rows = rows.withColumn("way", F.when(F.col("label").isNotNull() & F.col("vec_id").isNotNull(), _direction(F.col("v"))))
+    # 128 bits of a direction's hash name it.
+    named = F.when(F.col("way").isNotNull(), F.concat(*[F.hex(F.xxhash64(F.lit(k), "way")) for k in (1, 2)]))
+    rows = materialize(rows.select("vec_id", "label", named.alias("key"), F.when(named.isNotNull(), F.col("v")).alias("v")), "vectors")
     classes = materialize(
         rows.where("key is not null").groupBy("label", "key").agg(
             F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.min("v").alias("v")
         ),
         "directions",
     )
-    placed = classes.select("rep", "key", "v", "copies", F.concat_ws("/", F.size("key"), F.col("label")).alias("region"))
+    placed = classes.select("rep", "key", "v", "copies", F.concat_ws("/", F.size("v"), F.col("label")).alias("region"))
     reach = float(np.arccos(threshold))
     for round_ in range(ROUNDS):
         placed, again = _split(placed, round_, reach)
@@ -130,8 +147,7 @@ def _link_region(table: pa.Table, threshold: float) -> pa.Table:
     n = table.num_rows
     ids, copies = table.column("rep").to_numpy(), table.column("copies").to_numpy()
     raw = np.array(table.column("v").to_pylist(), np.float64).reshape(n, -1)
-    norm = np.linalg.norm(raw / np.abs(raw).max(1, keepdims=True), axis=1) * np.abs(raw).max(1)
-    x = raw / norm[:, None]
+    x = _unit(raw)
     region = table.column("region")[0].as_py()
     homes = [frozenset(h) for h in table.column("homes").to_pylist()]
     shared = np.array([len(h) > 1 for h in homes])

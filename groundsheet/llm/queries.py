@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundsheet.llm import chat, language_id, mixing, neighbours, pieces, quality_model, quality_rules, simhash, token_files, url_rules
+from groundsheet.llm import chat, checks, language_id, mixing, neighbours, pieces, quality_model, quality_rules, simhash, token_files, url_rules
 from groundsheet.operators.lineage import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,3 +104,11 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality scores of all documents."""
     return quality_model.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+ORACLE |= {
+    "op2_url_rules": checks.url_rules(URL_RULES),
+    "op3_embedding_links": checks.EMBEDDING_LINKS,
+    "op5_quality_rules": checks.quality(),
+    "op9_chat_format": checks.CHAT,
+}
