@@ -8,14 +8,14 @@ that holds each wanted rank.  Only bin counts reach the driver.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BINS = 4096
-FETCH = 50_000
+FETCH = 50_000  # distinct values fetched in one pass, over all open ranks together
 JENKS_BINS = 2048
 CLASS_LIMIT = 10_000
 CLASS_SCHEMA = "class int, lo double, hi double"
@@ -32,15 +32,28 @@ def order_values(df: DataFrame, field: str, ranks: Sequence[int]) -> dict[int, f
     return _at_ranks(values, ranks, _span(values))
 
 
-def _span(values: DataFrame) -> tuple[int, float, float]:
-    return tuple(values.agg(F.count("*"), F.min("v"), F.max("v")).first())
+def _finite(v: Column) -> Column:
+    return F.abs(v) < float("inf")
 
 
-def _at_ranks(values: DataFrame, ranks: Sequence[int], span: tuple[int, float, float]) -> dict[int, float]:
-    n, lo, hi = span
+def _span(values: DataFrame) -> tuple[int, float, float, int, int]:
+    """Rows, smallest and largest finite value, and the numbers of negative and positive infinities."""
+    v = F.col("v")
+    inside = F.when(_finite(v), v)
+    return tuple(values.agg(
+        F.count("*"), F.min(inside), F.max(inside), F.count_if(v == float("-inf")), F.count_if(v == float("inf"))
+    ).first())
+
+
+def _at_ranks(values: DataFrame, ranks: Sequence[int], span: tuple[int, float, float, int, int]) -> dict[int, float]:
+    """Values at ranks; infinities are counted off at the ends and take no part in the narrowing."""
+    n, lo, hi, low_ends, high_ends = span
+    wanted = {r for r in ranks if 0 <= r < n}
+    found: dict[int, float] = {r: float("-inf") for r in wanted if r < low_ends}
+    found |= {r: float("inf") for r in wanted if r >= n - high_ends}
+    values = values.where(_finite(F.col("v")))
     # rank -> (smallest value, largest value, rows before it, rows in it)
-    open_ranks = {r: (lo, hi, 0, n) for r in set(ranks) if 0 <= r < n}
-    found: dict[int, float] = {}
+    open_ranks = {r: (lo, hi, low_ends, n - low_ends - high_ends) for r in wanted - set(found)}
     while open_ranks:
         found |= {r: s[0] for r, s in open_ranks.items() if s[0] == s[1]}
         open_ranks = {r: s for r, s in open_ranks.items() if r not in found}
@@ -48,10 +61,12 @@ def _at_ranks(values: DataFrame, ranks: Sequence[int], span: tuple[int, float, f
         if not spans:
             break
         bins = _bin_counts(values, spans)
-        for r, span in list(open_ranks.items()):
-            before = span[2]
-            for b_lo, b_hi, count in bins[spans.index(span)]:
+        for r, span_ in list(open_ranks.items()):
+            before = span_[2]
+            for b_lo, b_hi, count in bins[spans.index(span_)]:
                 if r < before + count:
+                    if (b_lo, b_hi) == span_[:2]:
+                        raise ArithmeticError(f"values between {b_lo} and {b_hi} cannot be told apart")
                     open_ranks[r] = (b_lo, b_hi, before, count)
                     break
                 before += count
@@ -61,7 +76,9 @@ def _at_ranks(values: DataFrame, ranks: Sequence[int], span: tuple[int, float, f
 def _bin_counts(values: DataFrame, spans: list[tuple]) -> dict[int, list[tuple]]:
     """Per span the bins (smallest, largest, rows) in order, at most BINS each.
 
-    Small spans get one bin per distinct value, which settles them.
+    Spans with few rows get one bin per distinct value, which settles them.  Others are cut evenly:
+    by order of magnitude where both ends have one sign and lie far apart, by value elsewhere, so
+    that values of many magnitudes narrow as fast as even ones.
     """
     which = F.lit(None).cast("int")
     spot = F.lit(None).cast("double")
@@ -69,11 +86,10 @@ def _bin_counts(values: DataFrame, spans: list[tuple]) -> dict[int, list[tuple]]
     for i, (lo, hi, _, rows) in enumerate(spans):
         inside = (v >= lo) & (v <= hi)
         which = F.when(inside, F.lit(i)).otherwise(which)
-        if rows <= FETCH:
+        if rows <= FETCH // len(spans):
             here = v
         else:
-            step = (hi - lo) / BINS
-            here = F.least(F.lit(BINS - 1.0), F.floor((v - lo) / step).cast("double"))
+            here = _bin(v, lo, hi, max(2, BINS // max(1, len(spans) // 8)))
         spot = F.when(inside, here).otherwise(spot)
     rows = (
         values.select(which.alias("span"), spot.alias("spot"), "v")
@@ -88,6 +104,25 @@ def _bin_counts(values: DataFrame, spans: list[tuple]) -> dict[int, list[tuple]]
     return out
 
 
+def _bin(v: Column, lo: float, hi: float, bins: int) -> Column:
+    """Number of the bin of a value in [lo, hi]: rising with the value, and never one bin for both ends."""
+    small, large = sorted((abs(lo), abs(hi)))
+    if lo * hi > 0 and large > 8 * small:
+        sign = 1.0 if lo > 0 else -1.0
+        low, step = math.log(small), (math.log(large) - math.log(small)) / bins
+        spot = F.floor((F.log(F.abs(v)) - low) / step) * sign
+    elif lo < 0 < hi:  # the two signs apart, each by magnitude in the next pass
+        spot = F.signum(v)
+    elif lo * hi == 0 and large > 0:
+        top = math.log(large)
+        near = F.greatest(F.lit(-bins), F.floor((F.log(F.abs(v)) - top) * 8))
+        spot = F.when(v == 0, F.lit(-bins - 1)).otherwise(near) * (1.0 if hi > 0 else -1.0)
+    else:
+        spot = F.floor((v / 2 - lo / 2) / ((hi / 2 - lo / 2) / bins))
+    # the ends have bins of their own, so every pass shrinks a span
+    return F.when(v == lo, -1e9).when(v == hi, 1e9).otherwise(spot.cast("double"))
+
+
 def quantiles(df: DataFrame, field: str, probabilities: Sequence[float]) -> list[float | None]:
     """Exact interpolated quantiles."""
     values = _values(df, field)
@@ -99,9 +134,12 @@ def _quantiles(values: DataFrame, probabilities: Sequence[float], span: tuple) -
         return [None for _ in probabilities]
     spots = [p * (span[0] - 1) for p in probabilities]
     at = _at_ranks(values, [r for s in spots for r in (math.floor(s), math.ceil(s))], span)
-    return [
-        at[math.floor(s)] + (at[math.ceil(s)] - at[math.floor(s)]) * (s - math.floor(s)) for s in spots
-    ]
+
+    def between(s: float) -> float:
+        a, b = at[math.floor(s)], at[math.ceil(s)]
+        return a if a == b else a + (b - a) * (s - math.floor(s))
+
+    return [between(s) for s in spots]
 
 
 def approx_quantiles(df: DataFrame, field: str, probabilities: Sequence[float], accuracy: int = 10_000) -> list[float]:
@@ -120,7 +158,7 @@ def distribution(df: DataFrame, field: str, probabilities: Sequence[float] = (0.
         F.avg("v").alias("avg"),
         F.stddev("v").alias("stddev"),
     ).first()
-    marks = _quantiles(values, probabilities, (int(stats["count"]), stats["min"], stats["max"]))
+    marks = _quantiles(values, probabilities, _span(values))
     rows = [("stat", k, stats[k]) for k in ("count", "min", "max", "avg", "stddev")]
     rows += [("percentile", f"p{p * 100:g}", q) for p, q in zip(probabilities, marks)]
     counts = histogram(df, field, bins, stats["min"], stats["max"]).collect() if stats["count"] else []
@@ -158,46 +196,80 @@ def breaks_stddev(df: DataFrame, field: str, k: int) -> DataFrame:
     return _classes(df, [lo, *[min(hi, max(lo, v)) for v in inner], hi])
 
 
-def breaks_jenks(df: DataFrame, field: str, k: int, bins: int = JENKS_BINS) -> DataFrame:
-    """Natural breaks: k classes with the least within-class variance.
+def breaks_jenks(df: DataFrame, field: str, k: int) -> DataFrame:
+    """Natural breaks: the k classes with the least within-class variance, exact at any size.
 
-    Spark reduces the field to weighted values; the optimum over those is found exactly.
-    With at most ``bins`` distinct values that is the exact answer, otherwise values are
-    first averaged in ``bins`` equal-width bins, which the result's edges then follow.
+    Spark sums values in bins.  The best cuts between bins bound the optimum from above.  From
+    below it is bounded by letting each cut fall inside a bin and leaving that bin's values out.
+    Bins inside which the optimum may still be cut are split further, until none is left.
     """
-    values = _values(df, field)
-    by_value = values.groupBy("v").count().limit(bins + 1).collect()
-    if len(by_value) <= bins:
-        table = [(r["v"], r["v"], r["v"] * r["count"], r["v"] ** 2 * r["count"], r["count"]) for r in by_value]
-    else:
-        lo, hi = values.agg(F.min("v"), F.max("v")).first()
-        spot = F.least(F.lit(bins - 1), F.floor((F.col("v") - lo) / F.lit((hi - lo) / bins)))
-        binned = values.groupBy(spot.alias("bin")).agg(
-            F.min("v"), F.max("v"), F.sum("v"), F.sum(F.col("v") * F.col("v")), F.count("*")
-        )
-        table = [tuple(r)[1:] for r in binned.collect()]
-    table.sort()
-    cuts = _best_cuts(np.array(table, dtype=float), min(k, len(table)))
+    values = _values(df, field).where(_finite(F.col("v")))
+    n, lo, hi = values.agg(F.count("*"), F.min("v"), F.max("v")).first()
+    if not n:
+        return _classes(df, [])
+    spans = [(lo, hi)]
+    table = np.empty((0, 5))
+    while True:
+        table = np.vstack([table, _bin_sums(values, (lo, hi), spans, max(2, JENKS_BINS // len(spans)))])
+        table = table[np.argsort(table[:, 0])]
+        classes = min(k, len(table))
+        total, cuts = _best_cuts(table, classes)
+        divided = table[:, 0] < table[:, 1]
+        open_ = divided & (_cut_inside(table, classes) < total) if len(table) >= k else divided
+        if not open_.any():
+            break
+        spans = [tuple(row) for row in table[open_][:, :2]]
+        table = table[~open_]
     edges = [table[0][0], *[table[c - 1][1] for c in cuts], table[-1][1]]
     return _classes(df, edges)
 
 
-def _best_cuts(table: np.ndarray, k: int) -> list[int]:
-    """Start positions of classes 2..k that minimize the summed squared deviations."""
+def _bin_sums(values: DataFrame, whole: tuple, spans: list[tuple], bins: int) -> np.ndarray:
+    """Smallest and largest value, sum, sum of squares and rows of each bin of each span.
+
+    Spans are parts of the even bins that the first pass cut ``whole`` into, and are found by these.
+    """
+    v, (lo, hi) = F.col("v"), whole
+    span = hi - lo or 1.0
+    x = (v - lo) / span  # sums of squares are taken on [0, 1]
+
+    def coarse(value: Column) -> Column:
+        return F.when(value == lo, -1).when(value == hi, JENKS_BINS).otherwise(F.floor((value - lo) / span * JENKS_BINS))
+
+    table = values.sparkSession.createDataFrame([(float(a), float(b)) for a, b in spans], "a double, b double")
+    table = F.broadcast(table.withColumn("bin", coarse(F.col("a"))))  # as many rows as the driver holds bins
+    met = values.withColumn("bin", coarse(v)).join(table, "bin").where((v >= F.col("a")) & (v <= F.col("b")))
+    if spans == [whole]:
+        met = values.withColumns({"a": F.lit(lo), "b": F.lit(hi)})
+        spot = coarse(v)
+    else:
+        spot = F.floor((v - F.col("a")) / (F.col("b") - F.col("a")) * bins)
+        spot = F.when(v == F.col("a"), -1).when(v == F.col("b"), bins).otherwise(spot)
+    rows = met.groupBy("a", spot).agg(F.min("v"), F.max("v"), F.sum(x), F.sum(x * x), F.count("*")).collect()
+    return np.array([tuple(r)[2:] for r in rows], dtype=float)
+
+
+def _spread(table: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """Summed squared deviations of the rows from bin ``start`` up to bin ``end``."""
     total = np.vstack([np.zeros(3), np.cumsum(table[:, 2:], axis=0)])
-    n = len(table)
 
-    def cost(start: np.ndarray, end: int) -> np.ndarray:
+    def cost(start: np.ndarray, end: np.ndarray) -> np.ndarray:
         s, q, w = (total[end] - total[start]).T
-        return q - s * s / w
+        return np.maximum(q - s * s / np.maximum(w, 1), 0)
 
-    best = np.array([0.0, *[cost(np.array([0]), j)[0] for j in range(1, n + 1)]])
+    return cost
+
+
+def _best_cuts(table: np.ndarray, k: int) -> tuple[float, list[int]]:
+    """The least summed squared deviations with cuts between bins, and the first bins of classes 2..k."""
+    cost, n = _spread(table), len(table)
+    best = np.concatenate([[0.0], cost(np.zeros(n, int), np.arange(1, n + 1))])
     came = []
     for c in range(2, k + 1):
         now, back = np.full(n + 1, np.inf), np.zeros(n + 1, dtype=int)
         for j in range(c, n + 1):
             starts = np.arange(c - 1, j)
-            options = best[starts] + cost(starts, j)
+            options = best[starts] + cost(starts, np.full(len(starts), j))
             at = int(options.argmin())
             now[j], back[j] = options[at], starts[at]
         best = now
@@ -206,7 +278,35 @@ def _best_cuts(table: np.ndarray, k: int) -> list[int]:
     for back in reversed(came):
         j = back[j]
         cuts.append(int(j))
-    return cuts[::-1]
+    return float(best[n]), cuts[::-1]
+
+
+def _cut_inside(table: np.ndarray, k: int) -> np.ndarray:
+    """Per bin a lower bound of the total of any k classes that cut it.
+
+    A cut bin's values are left out, which never raises a total.
+    """
+
+    def relaxed(rows: np.ndarray) -> list[np.ndarray]:
+        """By number of classes, least totals of the first j bins, cut bins left out."""
+        cost, n = _spread(rows), len(rows)
+        first = np.concatenate([[0.0], cost(np.zeros(n, int), np.arange(1, n + 1))])
+        out = [first]
+        for _ in range(k - 2):
+            last, now = out[-1], np.full(n + 1, np.inf)
+            reach = np.minimum(last, np.concatenate([[np.inf], last[:-1]]))  # start at j, or after the cut bin j - 1
+            for j in range(n + 1):
+                starts = np.arange(j + 1)
+                now[j] = (reach[: j + 1] + cost(starts, np.full(j + 1, j))).min()
+            out.append(now)
+        return out
+
+    n = len(table)
+    if k < 2:
+        return np.full(n, np.inf)
+    left, right = relaxed(table), relaxed(table[::-1])
+    options = [left[c - 1][:n] + right[k - c - 1][::-1][1:] for c in range(1, k)]
+    return np.minimum.reduce(options)
 
 
 def categories(df: DataFrame, field: str) -> DataFrame:

@@ -12,21 +12,18 @@ from groundsheet.functions import sqlnames
 from groundsheet.layer import Layer
 from groundsheet.operators import guard
 
-ATTACH_ROWS = 2000
-RESULT_ROWS = 1000
-
 
 @dataclass
 class Attach:
     """A layer exposed to SQL as ``table``.
 
-    ``max_records`` is the feature the caller asks for; ``None`` attaches every row.
+    The whole layer is attached; a caller may ask for at most ``max_records`` of its rows.
     """
 
     table: str
     layer: Layer
     where: str = "1=1"
-    max_records: int | None = ATTACH_ROWS
+    max_records: int | None = None
 
 
 @dataclass
@@ -77,11 +74,11 @@ def spatial_sql(
     spark: SparkSession,
     sql: str,
     attach_layers: Iterable[Attach] = (),
-    max_rows: int | None = RESULT_ROWS,
+    max_rows: int | None = None,
 ) -> SqlResult:
     """Run one SELECT or WITH over the attached layers.
 
-    ``max_rows`` caps ``df``; ``None`` hands out the whole result for further Spark work.
+    The result is whole; a caller may ask for at most ``max_rows`` of its rows, and then ``fetch`` them.
     """
     items = list(attach_layers)
     guard.check_query(spark, sql, {i.table for i in items})

@@ -16,8 +16,6 @@ from groundsheet.operators import joins, lineage
 GROUP_CAP = 2_000
 TILE_FAN = 8
 TILE_STEPS = 7
-LINE_CAP = 100_000
-COPY_RUN = 1_000
 
 
 # --- row-wise jobs ------------------------------------------------------------------
@@ -240,27 +238,16 @@ def hulls(df: DataFrame, by: Sequence[str] | None = None, geom: str = "geom", ca
     return merge_groups(df, by, geom, lambda members: G.convex_hull(G.collection(members)), cap)
 
 
-def collect_layer(df: DataFrame, by: Sequence[str], geom: str = "geom", cap: int = LINE_CAP) -> DataFrame:
-    """Gather groups into geometry collections of at most about ``cap`` members.
+def collect_layer(df: DataFrame, by: Sequence[str], geom: str = "geom", part_by: Column | None = None) -> DataFrame:
+    """Gather each group into one geometry collection, with the number of its ``members``.
 
-    A group within the cap is one row (part 0).  A larger group becomes several rows,
-    numbered by ``part``: every member is kept and no task packs the whole group.
+    A collection is one value in one row.  For groups that no row can hold, ``part_by`` names parts
+    (a tile, a bucket of ids, …) and each part of a group is a row of its own, numbered by ``part``.
     """
-    by = list(by)
-    members = df.select(*by, geom).where(F.col(geom).isNotNull())
-    sizes = members.groupBy(*by).agg(F.ceil(F.count("*") / cap).alias("parts"))
-    fullest = sizes.agg(F.max("parts")).first()[0]
-    if not fullest or fullest <= 1:
-        part = members.withColumns({"part": F.lit(0).cast("long"), "copies": F.lit(1)})
-    else:
-        # copies of one shape travel as one row per thousand and are dealt over the parts
-        same = members.groupBy(*by, geom).agg(F.count("*").alias("n"))
-        runs = same.withColumn("run", F.explode(F.sequence(F.lit(0), F.ceil(F.col("n") / COPY_RUN) - 1)))
-        runs = runs.withColumn("copies", F.least(F.lit(COPY_RUN), F.col("n") - F.col("run") * COPY_RUN).cast("int"))
-        part = runs.join(sizes, by).withColumn("part", F.pmod(F.xxhash64(geom, "run"), F.col("parts")))
-    shapes = F.flatten(F.collect_list(F.array_repeat(geom, F.col("copies"))))
-    return part.groupBy(*by, "part").agg(
-        F.sum("copies").alias("members"), G.collection(shapes).alias(geom)
+    members = df.select(*by, geom, *([part_by.alias("part")] if part_by is not None else [])).where(F.col(geom).isNotNull())
+    keys = [*by, "part"] if part_by is not None else list(by)
+    return members.groupBy(*keys).agg(
+        F.count("*").alias("members"), G.collection(F.collect_list(geom)).alias(geom)
     )
 
 
@@ -270,42 +257,26 @@ def make_lines(
     order_by: Sequence[str],
     x: str = "lon",
     y: str = "lat",
-    cap: int = LINE_CAP,
+    part_by: Column | None = None,
 ) -> DataFrame:
     """Ordered points to lines, one per key.
 
-    Keys with more than ``cap`` points are cut along the order into consecutive lines
-    (column ``part``) that share their end points, by a range partitioning on key and
-    order, so a key with a third of all rows is spread over many tasks.
+    A line is one value in one row.  For keys that no row can hold, ``part_by`` cuts lines at the
+    same places whatever their size: a value that rises with the order, such as a day.  Each part
+    is a row (column ``part``) and begins where the part before it ends.
     """
     keys, order_by = list(keys), list(order_by)
     spots = df.select(
-        *keys, *order_by, F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")
-    ).where(F.col("x").isNotNull() & F.col("y").isNotNull())
-    big = spots.groupBy(*keys).count().where(F.col("count") > cap)
-    crowded = big.agg(F.sum("count")).first()[0]
-    big = big.drop("count")
-
-    def packed(rows: DataFrame) -> DataFrame:
-        vertex = F.struct(*order_by, "x", "y")
-        return rows.groupBy(*keys, "part").agg(F.array_sort(F.collect_list(vertex)).alias("v"))
-
-    if not crowded:
-        lines = packed(spots.withColumn("part", F.lit(0).cast("long")))
-    else:
-        small = spots.join(big, keys, "left_anti").withColumn("part", F.lit(0).cast("long"))
-        ranged = spots.join(big, keys, "left_semi").repartitionByRange(
-            math.ceil(crowded / cap), *keys, *order_by
-        )
-        ranged = ranged.withColumn("part", F.spark_partition_id().cast("long"))
-        ranged = lineage.materialize(ranged, "lines")  # the part numbers must not change
-        pieces = packed(ranged)
-        following = F.lead(F.get("v", F.lit(0))).over(W.partitionBy(*keys).orderBy("part"))
-        joined = F.when(following.isNull(), F.col("v")).otherwise(F.array_append("v", following))
-        lines = packed(small).unionByName(pieces.withColumn("v", joined))
-    return lines.select(
-        *keys, "part", F.size("v").alias("vertices"), G.line_from_vertices(F.col("v")).alias("geom")
-    )
+        *keys, *order_by, F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"),
+        *([part_by.alias("part")] if part_by is not None else []),
+    ).where(F.col("x").isNotNull() & F.col("y").isNotNull())
+    whole = [*keys, "part"] if part_by is not None else keys
+    lines = spots.groupBy(*whole).agg(F.array_sort(F.collect_list(F.struct(*order_by, "x", "y"))).alias("v"))
+    if part_by is not None:
+        before = F.lag(F.element_at("v", -1)).over(W.partitionBy(*keys).orderBy("part"))
+        lines = lines.withColumn("before", before)
+        lines = lines.withColumn("v", F.when(F.col("before").isNull(), F.col("v")).otherwise(F.array_prepend("v", F.col("before"))))
+    return lines.select(*whole, F.size("v").alias("vertices"), G.line_from_vertices(F.col("v")).alias("geom"))
 
 
 def layer_extent(df: DataFrame, by: Sequence[str] | None = None, geom: str = "geom", box: tuple | None = None) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import warnings
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -14,7 +15,7 @@ from groundsheet.functions import geometry as G
 from groundsheet.layer import Layer
 from groundsheet.operators import guard
 
-PAGE_DEFAULT, PAGE_LIMIT = 100, 1000
+PAGE_DEFAULT = 100
 
 # Service names of spatial relations (fixed values).
 RELATIONS = {
@@ -84,11 +85,11 @@ def filter_shape(
     With units and a layer in degrees the buffer is made in the UTM zone of the
     geometry's centre; otherwise the distance is in layer units.
     """
-    wkt = esri.literal(geometry)
+    one = spark.range(1)
+    wkt = one.select(esri.to_wkt(F.lit(json.dumps(geometry)))).first()[0]
     if wkt is None:
         raise ValueError("filter geometry not recognized")
     shape = G.from_wkt(F.lit(wkt))
-    one = spark.range(1)
     if buffer_distance:
         if buffer_units and buffer_units not in METRES:
             raise ValueError(f"unknown unit {buffer_units!r}")
@@ -184,8 +185,10 @@ def query_data(
     names = layer.fields if out_fields.strip() == "*" else [f.strip() for f in out_fields.split(",")]
     keep = [*names, layer.geom] if return_geometry and layer.geom not in (None, *names) else names
     page = (found.orderBy(*order) if order else found).select(*keep)
+    if record_offset:
+        page = page.offset(record_offset)
     if page_size is not None:
-        page = page.offset(record_offset).limit(min(page_size, PAGE_LIMIT))
+        page = page.limit(page_size)
     if return_geometry and layer.geom:
         # only the rows of the page are turned into text
         page = page.withColumn(layer.geom, G.as_geojson(layer.geom)).withColumnRenamed(

@@ -81,12 +81,7 @@ def make_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def make_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = process.make_lines(layer(spark, sf_dir, "tracks"), ["track"], ["seq"])
-    measured = lines.withColumn("length", F.coalesce(G.length("geom"), F.lit(0.0)))
-    # a track beyond the vertex cap comes in parts that share end points
-    return measured.groupBy("track").agg(
-        (F.sum("vertices") - F.count("*") + 1).alias("vertices"),
-        F.round(F.sum("length"), 4).alias("length"),
-    )
+    return lines.select("track", "vertices", F.round(F.coalesce(G.length("geom"), F.lit(0.0)), 4).alias("length"))
 
 
 @query("b5_make_envelopes", ctes("footprints") + f"select id, {BOX_AREA} as area, {ROUNDED_BOX} from footprints")

@@ -202,9 +202,7 @@ def dissolve_perimeter(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def collect_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = process.collect_layer(layer(spark, sf_dir, "footprints", geom=True), ["segment"])
-    return packed.groupBy("segment").agg(
-        F.sum("members").alias("members"), F.round(F.sum(G.area("geom")), 4).alias("area")
-    )
+    return packed.select("segment", "members", F.round(G.area("geom"), 4).alias("area"))
 
 
 @query(

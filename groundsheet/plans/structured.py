@@ -144,7 +144,7 @@ def ordered_page(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "c9_paging",
-    "select o_orderkey, o_totalprice from orders where o_orderstatus = 'F' order by o_orderkey limit 1000 offset 2000",
+    "select o_orderkey, o_totalprice from orders where o_orderstatus = 'F' order by o_orderkey limit 5000 offset 2000",
 )
 def paging(spark: SparkSession, sf_dir: str) -> DataFrame:
     return query_data(

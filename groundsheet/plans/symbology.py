@@ -70,9 +70,40 @@ def breaks_equal_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(breaks.breaks_equal_interval(table(spark, sf_dir, "customer"), "c_acctbal", 6))
 
 
-@query("s4_breaks_jenks")
+def _natural(rows: str, k: int) -> str:
+    """The optimum over all distinct values of ``rows`` (v), by dynamic programming."""
+    cost = "greatest(e.q - b.q - (e.s - b.s) * (e.s - b.s) / (e.w - b.w), 0)"
+    best = "c1 as (select e.i as j, e.q - e.s * e.s / e.w as cost, 0::bigint as cut from p e where e.i > 0)"
+    for c in range(2, k + 1):
+        best += f""", c{c} as (select e.i as j, min(l.cost + {cost}) as cost, arg_min(b.i, l.cost + {cost}) as cut
+            from p e join p b on b.i < e.i join c{c - 1} l on l.j = b.i group by e.i)"""
+    cuts = f"k{k} as (select max(i) as j from p)"
+    for c in range(k, 1, -1):
+        cuts += f", k{c - 1} as (select cut as j from c{c} join k{c} using (j))"
+    ends = " union all ".join(f"select {c} as class, j from k{c}" for c in range(1, k + 1))
+    return f"""with raw as ({rows}),
+        d as (select v, count(*) as n, (v - (select min(v) from raw)) / (select max(v) - min(v) from raw) as x from raw group by v),
+        p as (select row_number() over (order by v) as i, v, sum(n * x) over o as s, sum(n * x * x) over o as q, sum(n) over o as w
+              from d window o as (order by v) union all select 0, null, 0, 0, 0),
+        {best}, {cuts}, ends as ({ends})
+        select class::int as class, round(coalesce(lag(v) over (order by class), (select min(v) from raw)), 6) as lo, round(v, 6) as hi
+        from ends join p on p.i = ends.j"""
+
+
+FAR = "case when o_orderkey = 1 then 1e9::double else round(o_totalprice / 100) end"
+
+
+@query("s4_breaks_jenks", _natural(f"select {FAR} as v from orders", 5))
 def breaks_jenks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(breaks.breaks_jenks(table(spark, sf_dir, "orders"), "o_totalprice", 5))
+    """Thousands of distinct values and one far off."""
+    far = F.when(F.col("o_orderkey") == 1, 1e9).otherwise(F.round(F.col("o_totalprice") / 100))
+    return _rounded(breaks.breaks_jenks(table(spark, sf_dir, "orders").select(far.alias("v")), "v", 5))
+
+
+@query("s4_breaks_jenks_few", _natural("select o_custkey % 7 * (o_custkey % 7) + 0.5e0 as v from orders", 3))
+def breaks_jenks_few(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rest = F.col("o_custkey") % 7
+    return _rounded(breaks.breaks_jenks(table(spark, sf_dir, "orders").select((rest * rest + 0.5).alias("v")), "v", 3))
 
 
 @query(

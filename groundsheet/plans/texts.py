@@ -92,15 +92,12 @@ def bm25_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return uses.withColumns({"n": total("n"), "avgdl": F.round(total("avgdl"), 6)})
 
 
-# The first six words of each benchmark item are its query.
-QUERY_TEXT = "array_join(slice(split(text, ' '), 1, 6), ' ')"
-
 
 @query(
     "t5_bm25_search",
     rf"""with {WORDS},
         q as (select item_id, term, count(*) as times from (
-                select item_id, unnest({sql_tokens(sql_normalize("array_to_string(string_split(text, ' ')[1:6], ' ')"))}) as term
+                select item_id, unnest({sql_tokens(sql_normalize("text"))}) as term
                 from benchmark) b group by item_id, term),
         scored as (select q.item_id as item_id, p.doc as doc,
             sum(q.times * ln((s.n - t.df + 0.5) / (t.df + 0.5) + 1.0) * p.tf * 2.5
@@ -114,14 +111,14 @@ def bm25_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = search.bm25_index(
         table(spark, sf_dir, "documents", spread=True), lineage.scratch_path(spark, "index")
     )
-    asked = table(spark, sf_dir, "benchmark").selectExpr("item_id", f"{QUERY_TEXT} as text")
+    asked = table(spark, sf_dir, "benchmark").select("item_id", "text")
     hits = search.bm25_search(index, asked, 10, query="item_id")
     return hits.select("item_id", "doc", F.round("score", 6).alias("score"), "rank")
 
 
 @query(
     "t6_translate_fallback",
-    """with labels as (select source as key, lang as locale, min(substr(text, 1, 24)) as label from documents group by source, lang),
+    """with labels as (select source as key, lang as locale, min(text) as label from documents group by source, lang),
          keys as (select distinct source as key from documents)
        select k.key as key, coalesce(f.label, e.label) as label, f.label is null as is_fallback
        from keys k left join labels f on f.key = k.key and f.locale = 'es'
@@ -130,7 +127,7 @@ def bm25_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 def translate_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     labels = docs.groupBy(F.col("source").alias("key"), F.col("lang").alias("locale")).agg(
-        F.min(F.substring("text", 1, 24)).alias("label")
+        F.min("text").alias("label")
     )
     keys = docs.select(F.col("source").alias("key")).distinct()
     out = text.translate_fallback(keys, labels, "es")

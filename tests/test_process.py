@@ -53,7 +53,7 @@ def test_collections_keep_every_member(spark):
     crowd = df.union(df.where("id = 1").withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(2500)))).drop("n"))
     whole = process.collect_layer(crowd, ["k"])
     assert whole.count() == 2 and whole.agg(F.sum("members")).first()[0] == 2560
-    parts = process.collect_layer(crowd, ["k"], cap=500)
+    parts = process.collect_layer(crowd, ["k"], part_by=F.pmod(F.monotonically_increasing_id(), F.lit(4)))
     assert parts.agg(F.sum("members")).first()[0] == 2560 and parts.count() > 2
     assert total(parts) == pytest.approx(total(crowd))
 
@@ -63,9 +63,9 @@ def test_long_lines_come_in_connected_parts(spark):
     rows = [("a" if i % 3 else "b", i, rng.random(), rng.random()) for i in range(400)]
     df = spark.createDataFrame(rows, "track string, seq int, lon double, lat double")
     whole = process.make_lines(df, ["track"], ["seq"])
-    cut = process.make_lines(df, ["track"], ["seq"], cap=50)
+    cut = process.make_lines(df, ["track"], ["seq"], part_by=F.floor(F.col("seq") / 60))
     lengths = lambda d: {r.track: r.l for r in d.groupBy("track").agg(F.sum(G.length("geom")).alias("l")).collect()}
-    assert whole.count() == 2 and cut.count() > 2
+    assert whole.count() == 2 and cut.count() == 14 and {r.vertices for r in whole.collect()} == {266, 134}
     assert lengths(cut) == {k: pytest.approx(v) for k, v in lengths(whole).items()}
 
 
