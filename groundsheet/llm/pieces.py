@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 
 from groundsheet.llm.texts import filled, slices, split_parts
 
+#: Text bytes worked on at a time: a lattice takes some hundred bytes for each distinct one of them.
+BATCH_BYTES = 2 << 20
 #: Exponent of the weights; larger values draw the likeliest segmentation more often.
 ALPHA = 1.2
 SPACE = "▁"
@@ -259,7 +261,7 @@ def encode_documents(documents: DataFrame, model: str, seed: int = 0, alpha: flo
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = lattice(model, alpha)
-        for batch in slices(batches):
+        for batch in slices(batches, limit=BATCH_BYTES):
             texts = filled(batch)
             ids, counts = pieces.encode(texts, seeds(batch.column("doc_id"), seed))
             ends = np.cumsum(counts)

@@ -23,6 +23,11 @@ WIDTHS = {1: (32, 22, 16), LONG_WORDS: (16, 22)}
 COUNTERS = 512
 #: Members of a bucket meet its representative on so many salts.
 SALTS = 8
+#: Long fingerprints that meet are first held against each other in one other word: unlike ones
+#: differ in 32 of its 64 bits, give or take 4, those within LONG_DISTANCE in 10, give or take 3.
+FIRST_LOOK = 20
+#: Members from which a component's buckets are looked at before they are searched.
+CROWD = 1000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -211,31 +216,46 @@ def _signed(x: int) -> Column:
     return F.lit(x - (1 << 64) if x >> 63 else x).cast("long")
 
 
-def _near_entries(part: int, keys: Column) -> Column:
-    return F.transform(keys, lambda v: F.struct(F.lit(part).alias("part"), v.alias("key"), F.lit(True).alias("near")))
+def _near_entries(part: int, keys: Column, check: Column) -> Column:
+    return F.transform(keys, lambda v: _entry(part, v, True, check))
 
 
-def _entries(prints: DataFrame, partitions: list[tuple[int, list[int], int]]) -> DataFrame:
-    """part, key and near of every print, with its own columns.
+def _entry(part: int, key: Column, near: bool, check: Column) -> Column:
+    return F.struct(F.lit(part).cast("tinyint").alias("part"), key.alias("key"), F.lit(near).alias("near"), check.alias("check"))
+
+
+def _entries(prints: DataFrame, partitions: list[tuple[int, list[int], int]], words: int) -> DataFrame:
+    """part, key, near and check of every print, with its own columns but the fingerprint.
 
     A print is indexed by its bits in a partition (near false).  At threshold 1 it also stands under
     each value with one of its set bits cleared (near true): of two values one bit apart, one has
-    the bit set, so every pair meets.
+    the bit set, so every pair meets.  ``check`` is a word of which the key is no part, if there is one.
     """
     found = []
     for k, (word, group, threshold) in enumerate(partitions):
         if threshold < 0:
             continue
-        key = F.col("fp")[word].bitwiseAND(_signed(_mask(group)))
-        found.append(F.array(F.struct(F.lit(k).alias("part"), key.alias("key"), F.lit(False).alias("near"))))
+        key, check = F.col("fp")[word].bitwiseAND(_signed(_mask(group))), F.col("fp")[(word + 1) % words]
+        found.append(F.array(_entry(k, key, False, check)))
         if threshold:
             cleared = [F.when(key.bitwiseAND(_signed(1 << b)) != 0, key.bitwiseXOR(_signed(1 << b))) for b in group]
-            found.append(_near_entries(k, F.array_compact(F.array(*cleared))))
-    return prints.select("*", F.inline(F.flatten(F.array(*found))))
+            found.append(_near_entries(k, F.array_compact(F.array(*cleared)), check))
+    return prints.select(*[c for c in prints.columns if c != "fp"], F.inline(F.flatten(F.array(*found))))
+
+
+def _apart(a: Column, b: Column) -> Column:
+    return F.bit_count(a.bitwiseXOR(b))
 
 
-def _apart(a: str, b: str, words: int) -> Column:
-    return sum((F.bit_count(F.col(a)[k].bitwiseXOR(F.col(b)[k])) for k in range(words)), F.lit(0))
+def _verified(pairs: DataFrame, prints: DataFrame, words: int, distance: int) -> DataFrame:
+    """Those pairs (a, b) whose whole fingerprints are within ``distance``; one word is already checked whole."""
+    if words == 1:
+        return pairs
+    known = prints.select("node", "fp")
+    pairs = materialize(pairs.distinct(), "candidates")
+    both = pairs.join(known.toDF("a", "a_fp"), "a").join(known.toDF("b", "b_fp"), "b")
+    apart = sum((_apart(F.col("a_fp")[k], F.col("b_fp")[k]) for k in range(words)), F.lit(0))
+    return both.where(apart <= distance).select("a", "b")
 
 
 def print_groups(prints: DataFrame, words: int, sure: int, distance: int) -> DataFrame:
@@ -243,28 +263,41 @@ def print_groups(prints: DataFrame, words: int, sure: int, distance: int) -> Dat
 
     Candidates meet in buckets, one per partition and key.  First every member of a bucket is held
     against one representative, which joins large groups at a cost in proportion to their size.
-    Then only buckets that still hold several components are searched for links between these, so
-    no link is lost and no group is compared pair by pair.
+    Then buckets are searched for links between what are still different components, and large
+    buckets of a single component are left out: no link is lost, and no group is compared pair by
+    pair.
     """
     partitions = plan(prints.select("fp"), sure, words)
-    entries = _entries(prints, partitions)
-    heads = entries.where("not near").groupBy("part", "key").agg(F.min_by(F.struct("node", "fp"), "node").alias("head"))
-    shared = entries.groupBy("part", "key").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    heads = heads.join(shared, ["part", "key"]).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    heads = heads.select("part", "key", "salt", F.col("head.node").alias("other"), F.col("head.fp").alias("other_fp"))
-    salted = entries.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
-    met = salted.join(heads, ["part", "key", "salt"]).where((F.col("node") != F.col("other")) & (_apart("fp", "other_fp", words) <= distance))
-    first = materialize(components(met.select("node", "other"), "node", "other"), "first-groups")
-    rooted = prints.join(first, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    rooted = _entries(materialize(rooted, "rooted"), partitions)
-    mixed = rooted.groupBy("part", "key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-    open_ = materialize(rooted.join(mixed.select("part", "key"), ["part", "key"]), "open-buckets")
-    left = open_.where("not near").select("part", "key", F.col("node").alias("a"), F.col("fp").alias("a_fp"), F.col("root").alias("a_root"))
-    right = open_.select("part", "key", "near", F.col("node").alias("b"), F.col("fp").alias("b_fp"), F.col("root").alias("b_root"))
-    across = left.join(right, ["part", "key"]).where(
-        (F.col("a_root") != F.col("b_root")) & (F.col("near") | (F.col("a") < F.col("b"))) & (_apart("a_fp", "b_fp", words) <= distance)
+    look = distance if words == 1 else FIRST_LOOK
+    entries = _entries(prints, partitions, words)
+    heads = entries.groupBy("part", "key").agg(
+        F.min_by(F.struct("node", "check"), F.when(~F.col("near"), F.col("node"))).alias("head"), F.count("*").alias("n")
     )
-    bridges = across.select(F.col("a_root").alias("node"), F.col("b_root").alias("root"))
+    heads = heads.where("n > 1 and head is not null").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    heads = heads.select("part", "key", "salt", F.col("head.node").alias("b"), F.col("head.check").alias("b_check"))
+    salted = entries.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
+    met = salted.join(heads, ["part", "key", "salt"]).where((F.col("node") != F.col("b")) & (_apart(F.col("check"), F.col("b_check")) <= look))
+    star = _verified(met.select(F.col("node").alias("a"), "b"), prints, words, distance)
+    first = materialize(components(star, "a", "b"), "first-groups")
+    rooted = materialize(prints.join(first, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")
+    open_ = _entries(rooted, partitions, words)
+    crowds = materialize(first.groupBy("root").agg(F.count("*").alias("n")).where(F.col("n") >= CROWD).select("root"), "crowds")
+    if not crowds.isEmpty():
+        crowded = open_.join(crowds, "root").groupBy("part", "key", "root").agg(F.count("*").alias("n")).where(F.col("n") >= CROWD)
+        crowded = materialize(crowded.select("part", "key").distinct(), "crowded")
+        held = open_.join(crowded, ["part", "key"]).groupBy("part", "key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+        open_ = open_.join(held.where("low = high").select("part", "key"), ["part", "key"], "left_anti")
+    # Both sides are one frame under two sets of names, so Spark shuffles it once.
+    sides = [open_.select("part", "key", *(F.col(c).alias(f"{side}_{c}") for c in ("node", "root", "near", "check"))) for side in "ab"]
+    across = sides[0].join(sides[1], ["part", "key"]).where(
+        (F.col("a_root") != F.col("b_root")) & ~F.col("a_near") & (F.col("b_near") | (F.col("a_node") < F.col("b_node")))
+        & (_apart(F.col("a_check"), F.col("b_check")) <= look)
+    )
+    if words == 1:
+        bridges = across.select(F.col("a_root").alias("node"), F.col("b_root").alias("root"))
+    else:
+        pairs = _verified(across.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")), prints, words, distance)
+        bridges = pairs.toDF("node", "root")
     return components(first.select("node", "root").union(bridges), "node", "root")
 
 
@@ -276,14 +309,15 @@ def simhash_groups(documents: DataFrame, shingle: int = 5, words: int = LONG_WOR
     ``words`` times 64 bits differ in at most ``distance`` bits; component_id is the smallest
     doc_id reachable, itself included.  All links up to ``sure`` bits are found.  Beyond, up to
     ``distance``, a link is found if any partition stays within its threshold: by default at a
-    similarity of 0.8 in nine of ten cases, at 0.9 in all but two of a thousand.
+    similarity of 0.8 in nine of ten cases, at 0.9 in all but two of a thousand.  Long fingerprints
+    go by a 64-bit hash; among 10^9 of them two share one with a chance of 3 %.
 
     Null and empty texts have fingerprint zero and link like any other.  Copies and repeated rows
     share a fingerprint and are one node of the search, however many they are.  Rows with a null
     doc_id keep their row; a group of such rows alone has a null component.  Only ``doc_id`` and
     ``text`` are read, so other columns cannot clash.  An empty table gives no rows.
     """
-    node = F.col("fp")[0] if words == 1 else F.concat(*[F.hex(F.xxhash64(F.lit(k), "fp")) for k in (1, 2)])
+    node = F.col("fp")[0] if words == 1 else F.xxhash64("fp")
     docs = materialize(fingerprints(documents, shingle, words).withColumn("node", node), "fingerprints")
     prints = docs.groupBy("node").agg(F.min("fp").alias("fp"), F.min("doc_id").alias("least"))
     prints = materialize(prints, "prints")
