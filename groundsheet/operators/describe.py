@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from groundsheet.functions import geometry as G
@@ -28,24 +28,14 @@ def field_value_type(name: str, kind: str) -> str:
     return "countOrAmount" if any(w in kind for w in NUMBER_TYPES) else "text"
 
 
-def field_value_type_column(name: Column, kind: Column) -> Column:
-    """The same hint over a table of field names and types."""
+def describe_layer(layer: Layer, order_by: str | None = None) -> DataFrame:
+    """One row per field; geometry is never sampled.
 
-    def has(c: Column, words: tuple[str, ...]) -> Column:
-        return F.lower(c).rlike("|".join(words))
-
-    return (
-        F.when(has(kind, TIME_TYPES), "dateAndTime")
-        .when(has(name, TITLE_NAMES), "nameOrTitle")
-        .when(has(kind, NUMBER_TYPES), "countOrAmount")
-        .otherwise("text")
-    )
-
-
-def describe_layer(layer: Layer) -> DataFrame:
-    """One row per field; geometry is never sampled, at most five rows are read."""
+    Samples come from the first five rows, by ``order_by`` where a caller wants the same ones each time.
+    """
     spark = layer.df.sparkSession
-    shown = layer.df.select(*layer.fields).limit(SAMPLE_ROWS)
+    source = layer.df.orderBy(order_by) if order_by else layer.df
+    shown = source.select(*layer.fields).limit(SAMPLE_ROWS)
     samples = [json.loads(r[0]) for r in shown.select(F.to_json(F.struct("*"))).collect()] if layer.fields else []
     rows = []
     for name, kind in layer.df.dtypes:

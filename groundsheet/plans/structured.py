@@ -24,9 +24,23 @@ def _footprints(spark: SparkSession, sf_dir: str) -> Layer:
     return Layer("footprints", layer(spark, sf_dir, "footprints", geom=True), "geom", box=("x0", "y0", "x1", "y1"))
 
 
-@query("c1_describe_layer")
+def _field(name: str, kind: str, hint: str) -> str:
+    samples = f"(select string_agg(cast({name} as varchar), '|' order by id) from (select * from sites order by id limit 3))"
+    return f"select '{name}' as name, '{kind}' as type, '{name}' as alias, '{hint}' as \"fieldValueType\", {samples} as samples, false as \"isGeometry\""
+
+
+@query(
+    "c1_describe_layer",
+    ctes("sites")
+    + " union all ".join([
+        _field("id", "bigint", "countOrAmount"), _field("name", "string", "nameOrTitle"), _field("segment", "string", "text"),
+        _field("acctbal", "double", "countOrAmount"), _field("lon", "double", "countOrAmount"), _field("lat", "double", "countOrAmount"),
+        "select 'geom', 'binary', 'geom', 'text', '', true",
+    ]),
+)
 def describe_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return describe.describe_layer(_sites(spark, sf_dir))
+    rows = describe.describe_layer(_sites(spark, sf_dir), order_by="id")
+    return rows.withColumn("samples", F.array_join("sampleValues", "|")).drop("sampleValues")
 
 
 @query(
