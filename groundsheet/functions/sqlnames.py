@@ -1,254 +1,134 @@
-"""``ST_*`` names inside SQL texts.
+"""``ST_*`` names in SQL texts, as the same Catalyst expressions the operators use.
 
-Catalyst call expressions cannot be reached from SQL text, so the fourteen most used
-names are registered as Arrow UDFs over WKB for points, lines and polygons.  A batch of
-points is decoded with one numpy view; other kinds take a short loop.  Heavier work
-(overlays, dissolve, big spatial joins) belongs to the DataFrame operators.
+Spark parses a text; the tree is walked and each call of a geometry name becomes the column
+function of that name, before Spark analyses the plan.  So geometry in SQL runs in generated
+code like everywhere else, for every kind of geometry, with no Python worker.
 """
 
 from __future__ import annotations
 
-import re
-import struct
-import sys
+from collections.abc import Callable
 
-import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
-from pyspark.sql import SparkSession
+from py4j.java_gateway import JavaObject, is_instance_of
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-POINT, LINE, POLYGON = 1, 2, 3
-
-# ship these small functions with the query, so workers need no copy of the package
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-
-def _pack(kind: int, parts: list[np.ndarray]) -> bytes:
-    head = struct.pack(">bI", 0, kind)
-    if kind == POINT:
-        return head + parts[0].astype(">f8").tobytes()
-    body = b"".join(struct.pack(">I", len(p)) + p.astype(">f8").tobytes() for p in parts)
-    return head + (struct.pack(">I", len(parts)) + body if kind == POLYGON else body)
-
-
-def _unpack(wkb: bytes) -> tuple[int, list[np.ndarray]]:
-    order = ">" if wkb[0] == 0 else "<"
-    kind = struct.unpack_from(order + "I", wkb, 1)[0]
-    at, parts = 5, []
-    if kind == POINT:
-        return kind, [np.frombuffer(wkb, order + "f8", 2, at).reshape(1, 2)]
-    if kind not in (LINE, POLYGON):
-        raise ValueError("ST_ names in SQL take points, lines and polygons")
-    count = 1
-    if kind == POLYGON:
-        count, at = struct.unpack_from(order + "I", wkb, at)[0], at + 4
-    for _ in range(count):
-        n = struct.unpack_from(order + "I", wkb, at)[0]
-        parts.append(np.frombuffer(wkb, order + "f8", 2 * n, at + 4).reshape(n, 2))
-        at += 4 + 16 * n
-    return kind, parts
-
-
-def _edges(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of all segments; a lone point is a zero-length segment."""
-    starts = [p[:-1] if len(p) > 1 else p for p in parts]
-    ends = [p[1:] if len(p) > 1 else p for p in parts]
-    return np.concatenate(starts), np.concatenate(ends)
-
-
-def _cross(o, a, b):
-    return (a[..., 0] - o[..., 0]) * (b[..., 1] - o[..., 1]) - (a[..., 1] - o[..., 1]) * (
-        b[..., 0] - o[..., 0]
-    )
-
-
-def _inside(p: np.ndarray, parts: list[np.ndarray]) -> bool:
-    """Even-odd test of one position against all rings."""
-    a, b = _edges(parts)
-    spans = (a[:, 1] > p[1]) != (b[:, 1] > p[1])
-    rise = np.where(spans, b[:, 1] - a[:, 1], 1.0)
-    meet = a[:, 0] + (p[1] - a[:, 1]) * (b[:, 0] - a[:, 0]) / rise
-    return bool(np.count_nonzero(spans & (p[0] < meet)) % 2)
-
-
-def _point_segment(p, a, b) -> np.ndarray:
-    d = b - a
-    size = np.maximum((d * d).sum(-1), 1e-300)
-    t = np.clip(((p - a) * d).sum(-1) / size, 0, 1)
-    return np.sqrt(((p - a - t[..., None] * d) ** 2).sum(-1))
-
-
-def _box_gap(g: bytes, h: bytes) -> float:
-    """Distance of the bounding boxes; never more than that of the shapes."""
-    (lo_g, hi_g), (lo_h, hi_h) = (
-        (p[0].min(axis=0), p[0].max(axis=0)) for p in (_unpack(g)[1], _unpack(h)[1])
-    )
-    return float(np.hypot(*np.maximum(np.maximum(lo_g - hi_h, lo_h - hi_g), 0.0)))
-
-
-def _near(g: bytes, h: bytes, d: float) -> bool:
-    return _box_gap(g, h) <= d and _apart(g, h) <= d
-
-
-def _apart(g: bytes, h: bytes) -> float:
-    (kg, pg), (kh, ph) = _unpack(g), _unpack(h)
-    if (kg == POLYGON and _inside(ph[0][0], pg)) or (kh == POLYGON and _inside(pg[0][0], ph)):
-        return 0.0
-    (a, b), (c, d) = _edges(pg), _edges(ph)
-    a, b, c, d = a[:, None], b[:, None], c[None], d[None]
-    crossing = (_cross(a, b, c) * _cross(a, b, d) < 0) & (_cross(c, d, a) * _cross(c, d, b) < 0)
-    if crossing.any():
-        return 0.0
-    near = [_point_segment(a, c, d), _point_segment(b, c, d), _point_segment(c, a, b), _point_segment(d, a, b)]
-    return float(min(v.min() for v in near))
-
-
-def _holds(g: bytes, h: bytes) -> bool:
-    """g contains h: nothing of h outside g, and interiors meet.
-
-    h is cut at every place it meets g's edges; each piece's middle must lie in g.
-    """
-    (kg, pg), (kh, ph) = _unpack(g), _unpack(h)
-    if kg == POINT:
-        return kh == POINT and bool((pg[0] == ph[0]).all())
-    if _box_gap(g, h) > 0:
-        return False
-    a, b = _edges(pg)
-
-    def on_edge(p) -> bool:
-        return bool((_point_segment(p[None], a, b) <= 1e-12 * (1 + np.abs(p).max())).any())
-
-    def state(p) -> int:  # 0 outside, 1 on the border (or line), 2 inside
-        return 1 if on_edge(p) else 2 if kg == POLYGON and _inside(p, pg) else 0
-
-    if kh == POINT:
-        at = state(ph[0][0])
-        if kg == LINE and at:
-            closed = bool((pg[0][0] == pg[0][-1]).all())
-            return closed or not any((ph[0][0] == pg[0][i]).all() for i in (0, -1))
-        return at == 2
-    if kg == LINE and kh == POLYGON:
-        return False
-    met = kg == LINE
-    for c, d in zip(*_edges(ph)):
-        step = d - c
-        u = _cross(a, b, np.broadcast_to(c, a.shape))
-        v = _cross(a, b, np.broadcast_to(d, a.shape))
-        with np.errstate(divide="ignore", invalid="ignore"):
-            cuts = u / (u - v)
-        along = ((np.concatenate([a, b]) - c) * step).sum(1) / max((step * step).sum(), 1e-300)
-        t = np.concatenate([[0.0, 1.0], cuts, along])
-        t = np.unique(t[np.isfinite(t) & (t >= 0) & (t <= 1)])
-        for lo, hi in zip(t, t[1:]):
-            at = state(c + (lo + hi) / 2 * step)
-            if at == 0:
-                return False
-            met = met or at == 2
-    if kh == POLYGON:
-        # only a hole of g lying inside h can leave part of h uncovered
-        return not any(_inside(ring.mean(0), ph) for ring in pg[1:])
-    return met
-
-
-def _measure(g: bytes, what: str) -> float:
-    kind, parts = _unpack(g)
-    if what == "area":
-        if kind != POLYGON:
-            return 0.0
-        ring = [abs(0.5 * float(_cross(p[:1], p[:-1], p[1:]).sum())) for p in parts]
-        return ring[0] - sum(ring[1:])
-    if (what == "length") != (kind == LINE) or kind == POINT:
-        return 0.0
-    a, b = _edges(parts)
-    return float(np.hypot(*(b - a).T).sum())
-
-
-def _number_text(v: float) -> str:
-    return str(int(v)) if v == int(v) and abs(v) < 1e15 else repr(float(v))
-
-
-def _to_text(g: bytes) -> str:
-    kind, parts = _unpack(g)
-    lists = ["(" + ", ".join(f"{_number_text(x)} {_number_text(y)}" for x, y in p) + ")" for p in parts]
-    name = {POINT: "POINT", LINE: "LINESTRING", POLYGON: "POLYGON"}[kind]
-    return f"{name} ({', '.join(lists)})" if kind == POLYGON else f"{name} {lists[0]}"
-
-
-def _from_text(text: str) -> bytes:
-    m = re.fullmatch(r"\s*(POINT|LINESTRING|POLYGON)\s*(\(.*\))\s*", text, re.I | re.S)
-    if not m:
-        raise ValueError(f"cannot read geometry text {text[:60]!r}")
-    lists = re.findall(r"\(([^()]+)\)", m[2])
-    parts = [np.array([p.split()[:2] for p in s.split(",")], dtype=float) for s in lists]
-    return _pack({"POINT": POINT, "LINESTRING": LINE, "POLYGON": POLYGON}[m[1].upper()], parts)
-
-
-def _rows(fn, *series: pd.Series) -> pd.Series:
-    """Apply to each row; any null argument gives null."""
-    return pd.Series(
-        [None if any(v is None or v is pd.NA for v in row) else fn(*row) for row in zip(*series)],
-        dtype="object",
-    )
-
-
-def _coordinate(series: pd.Series, axis: int) -> pd.Series:
-    out = np.full(len(series), np.nan)
-    good = series.notna().to_numpy()
-    if good.any():
-        blob = b"".join(series[good])
-        if len(blob) == 21 * int(good.sum()) and set(blob[::21]) == {0}:
-            table = np.frombuffer(blob, np.dtype([("h", "V5"), ("xy", ">f8", 2)]))
-            out[good] = table["xy"][:, axis]
-        else:
-            out[good] = [_unpack(g)[1][0][0, axis] for g in series[good]]
-    return pd.Series(out).where(good, None)
-
-
-def _points(x: pd.Series, y: pd.Series) -> pd.Series:
-    xy = np.column_stack([x.to_numpy(float), y.to_numpy(float)])
-    table = np.zeros(len(xy), np.dtype([("o", "u1"), ("k", ">u4"), ("xy", ">f8", 2)]))
-    table["k"], table["xy"] = POINT, xy
-    good = ~np.isnan(xy).any(axis=1)
-    blob = table.tobytes()
-    return pd.Series([blob[21 * i : 21 * i + 21] if good[i] else None for i in range(len(xy))], dtype="object")
-
-
-def _box(x0: float, y0: float, x1: float, y1: float) -> bytes:
-    ring = np.array([[x0, y0], [x1, y0], [x1, y1], [x0, y1], [x0, y0]], dtype=float)
-    return _pack(POLYGON, [ring])
-
-
-# name -> (result type, function over Series)
-NAMES = {
-    "ST_Point": ("binary", _points),
-    "ST_X": ("double", lambda g: _coordinate(g, 0)),
-    "ST_Y": ("double", lambda g: _coordinate(g, 1)),
-    "ST_MakeEnvelope": ("binary", lambda *s: _rows(_box, *s)),
-    "ST_Area": ("double", lambda g: _rows(lambda v: _measure(v, "area"), g)),
-    "ST_Length": ("double", lambda g: _rows(lambda v: _measure(v, "length"), g)),
-    "ST_Perimeter": ("double", lambda g: _rows(lambda v: _measure(v, "perimeter"), g)),
-    "ST_Distance": ("double", lambda g, h: _rows(_apart, g, h)),
-    "ST_DWithin": ("boolean", lambda g, h, d: _rows(_near, g, h, d)),
-    "ST_Intersects": ("boolean", lambda g, h: _rows(lambda a, b: _near(a, b, 0.0), g, h)),
-    "ST_Contains": ("boolean", lambda g, h: _rows(_holds, g, h)),
-    "ST_Within": ("boolean", lambda g, h: _rows(_holds, h, g)),
-    "ST_AsText": ("string", lambda g: _rows(_to_text, g)),
-    "ST_GeomFromText": ("binary", lambda s: _rows(_from_text, s)),
-}
-
-
-def _udf(kind: str, fn):
-    """A plain (not iterator) pandas UDF, so that Spark evaluates all names of a query,
-    nested ones included, in one pass through one Python worker."""
-
-    def run(*args: pd.Series) -> pd.Series:
-        return fn(*args)
-
-    return F.pandas_udf(run, kind)
-
-
-def register(spark: SparkSession) -> list[str]:
-    for name, (kind, fn) in NAMES.items():
-        spark.udf.register(name, _udf(kind, fn))
-    return list(NAMES)
+from groundsheet.functions import geometry as G
+from groundsheet.functions import jts, project
+
+
+def _code(text: Column) -> int:
+    """Number of a coordinate system given as a literal ``EPSG:n`` or ``n``."""
+    said = jts.expr(text)
+    if said.getClass().getSimpleName() != "Literal":
+        raise ValueError("a coordinate system must be a literal")
+    return int(str(said.value()).upper().removeprefix("EPSG:"))
+
+
+def _bound(side: str) -> Callable[[Column], Column]:
+    return lambda g: G.bounds(g)[side]
+
+
+def _predicate(name: str) -> Callable[[Column, Column], Column]:
+    return lambda a, b: G.predicate(name, a, b)
+
+
+NAMES: dict[str, Callable[..., Column]] = {
+    "ST_Point": lambda x, y: G.point(x.cast("double"), y.cast("double")),
+    "ST_MakeEnvelope": lambda *corners: G.envelope(*(c.cast("double") for c in corners)),
+    "ST_GeomFromText": G.from_wkt,
+    "ST_GeomFromGeoJSON": G.from_geojson,
+    "ST_AsText": G.as_wkt,
+    "ST_AsGeoJSON": G.as_geojson,
+    "ST_X": lambda g: G.x(F.when(G.kind(g) == "POINT", g)),
+    "ST_Y": lambda g: G.y(F.when(G.kind(g) == "POINT", g)),
+    "ST_XMin": _bound("xmin"),
+    "ST_YMin": _bound("ymin"),
+    "ST_XMax": _bound("xmax"),
+    "ST_YMax": _bound("ymax"),
+    "ST_NPoints": G.vertex_count,
+    "ST_StartPoint": G.start_point,
+    "ST_EndPoint": G.end_point,
+    "ST_IsValid": G.is_valid,
+    "ST_IsEmpty": G.is_empty,
+    "ST_Area": G.area,
+    "ST_Length": G.length,
+    "ST_Perimeter": G.perimeter,
+    "ST_Distance": G.distance,
+    "ST_DWithin": G.within_distance,
+    **{f"ST_{n}": _predicate(n.lower()) for n in ("Intersects", "Contains", "Within", "Covers", "Touches", "Crosses", "Overlaps", "Equals")},
+    "ST_CoveredBy": _predicate("covered_by"),
+    "ST_Disjoint": lambda a, b: ~G.predicate("intersects", a, b),
+    "ST_Envelope": G.box,
+    "ST_Centroid": G.centroid,
+    "ST_ConvexHull": G.convex_hull,
+    "ST_Buffer": G.buffer,
+    "ST_Simplify": G.simplify,
+    "ST_MakeValid": G.make_valid,
+    "ST_FlipCoordinates": G.flip,
+    "ST_Intersection": G.intersection,
+    "ST_Union": G.union,
+    "ST_Difference": G.difference,
+    "ST_Union_Agg": lambda g: G.union_members(F.collect_list(g)),
+    "ST_Transform": lambda g, source, target: project.transform_geometry(g, _code(source), _code(target)),
+}
+_BY_NAME = {name.lower(): use for name, use in NAMES.items()}
+_TREE = "org.apache.spark.sql.catalyst.trees.TreeNode"
+
+
+def _resolved(spark: SparkSession, node: JavaObject) -> JavaObject:
+    """The tree with every geometry name resolved."""
+    parts = [node.productElement(k) for k in range(node.productArity())]
+    mapped = [_mapped(spark, p) for p in parts]
+    if any(new is not old for new, old in zip(mapped, parts, strict=True)):
+        array = spark._sc._gateway.new_array(spark._jvm.java.lang.Object, len(mapped))
+        for k, part in enumerate(mapped):
+            array[k] = part
+        node = node.makeCopy(array)
+    if node.getClass().getSimpleName() == "UnresolvedFunction":
+        use = _BY_NAME.get(node.nameParts().last().lower())
+        if use is not None:
+            given = node.arguments()
+            columns = [jts.column(given.apply(k)) for k in range(given.size())]
+            try:
+                return spark._jsparkSession.expression(use(*columns)._jc)
+            except TypeError as e:
+                raise ValueError(f"{node.nameParts().last()}: wrong number of arguments") from e
+    return node
+
+
+def _mapped(spark: SparkSession, part):
+    """A part of a node: trees are resolved; sequences, options and tuples are searched for trees."""
+    if not isinstance(part, JavaObject):
+        return part
+    gateway, is_a = spark._sc._gateway, is_instance_of
+    if is_a(gateway, part, _TREE):
+        return _resolved(spark, part)
+    if is_a(gateway, part, "scala.collection.immutable.Seq"):
+        items = [part.apply(k) for k in range(part.size())]
+        new = [_mapped(spark, i) for i in items]
+        return jts._seq(new).toList() if any(a is not b for a, b in zip(new, items, strict=True)) else part
+    if is_a(gateway, part, "scala.Some"):
+        new = _mapped(spark, inner := part.get())
+        return part if new is inner else spark._jvm.scala.Some(new)
+    if is_a(gateway, part, "scala.Tuple2") or is_a(gateway, part, "scala.Tuple3"):
+        items = [part.productElement(k) for k in range(part.productArity())]
+        new = [_mapped(spark, i) for i in items]
+        make = spark._jvm.scala.Tuple2 if len(items) == 2 else spark._jvm.scala.Tuple3
+        return make(*new) if any(a is not b for a, b in zip(new, items, strict=True)) else part
+    return part
+
+
+def _parser(spark: SparkSession):
+    return spark._jsparkSession.sessionState().sqlParser()
+
+
+def query(spark: SparkSession, sql: str) -> DataFrame:
+    """The result of one query whose text may use geometry names."""
+    plan = _resolved(spark, _parser(spark).parsePlan(sql))
+    return DataFrame(spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(spark._jsparkSession, plan), spark)
+
+
+def expression(spark: SparkSession, text: str) -> Column:
+    """A filter or value whose text may use geometry names."""
+    return jts.column(_resolved(spark, _parser(spark).parseExpression(text)))

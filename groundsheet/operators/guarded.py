@@ -64,7 +64,7 @@ def attach(spark: SparkSession, item: Attach) -> Attached:
     if not guard.is_name(item.table):
         raise guard.Refused(f"{item.table!r} is not a valid table name")
     guard.check_fragment(spark, item.where)
-    whole = item.layer.df.where(F.expr(item.where))
+    whole = item.layer.df.where(sqlnames.expression(spark, item.where))
     df = whole if item.max_records is None else whole.limit(item.max_records)
     df.createOrReplaceTempView(item.table)
     return Attached(item.table, df, whole, item.max_records)
@@ -83,6 +83,5 @@ def spatial_sql(
     items = list(attach_layers)
     guard.check_query(spark, sql, {i.table for i in items})
     attached = [attach(spark, i) for i in items]
-    sqlnames.register(spark)
-    whole = spark.sql(sql)
+    whole = sqlnames.query(spark, sql)
     return SqlResult(whole if max_rows is None else whole.limit(max_rows), whole, attached, max_rows)

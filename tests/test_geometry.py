@@ -129,35 +129,53 @@ def test_unknown_codes_are_refused():
     assert project.utm_code(46.7, 24.6) == 32638 and project.utm_code(-70, -33) == 32719
 
 
-def test_sql_names_agree_with_columns(spark):
-    sqlnames.register(spark)
-    shapes = [
-        "POINT (1 1)", "POINT (4 4)", "POINT (9 9)", "LINESTRING (0 0, 4 4)", "LINESTRING (5 0, 5 9)",
-        "LINESTRING (0 0, 4 0)", "POLYGON ((0 0, 4 0, 4 4, 0 4, 0 0))", "POLYGON ((1 1, 2 1, 2 2, 1 2, 1 1))",
-        "POLYGON ((4 0, 8 0, 8 4, 4 4, 4 0))", "POLYGON ((-5 -5, 9 -5, 9 9, -5 9, -5 -5), (0.5 0.5, 3 0.5, 3 3, 0.5 3, 0.5 0.5))",
-    ]
-    df = spark.createDataFrame([(w,) for w in shapes], "w string").withColumn("g", G.from_wkt("w"))
-    pairs = df.alias("a").crossJoin(df.alias("b"))
-    a, b = F.col("a.g"), F.col("b.g")
-    call = lambda name, *c: F.call_function(name, *c)
-    out = pairs.select(
-        F.col("a.w").alias("a"), F.col("b.w").alias("b"),
-        call("ST_Distance", a, b).alias("d"), G.distance(a, b).alias("d0"),
-        call("ST_Intersects", a, b).alias("i"), G.predicate("intersects", a, b).alias("i0"),
-        call("ST_Contains", a, b).alias("c"), G.predicate("contains", a, b).alias("c0"),
-        call("ST_Within", a, b).alias("w"), G.predicate("within", a, b).alias("w0"),
-        call("ST_DWithin", a, b, F.lit(1.5)).alias("n"), G.within_distance(a, b, 1.5).alias("n0"),
+SHAPES = [
+    "POINT (2 3)", "POINT (6 6)", "LINESTRING (2 3, 6 6, 6 1)", "LINESTRING (0 3, 9 3)", "MULTIPOINT ((2 3), (7 7))",
+    "POLYGON ((0 0, 6 0, 6 6, 0 6, 0 0))", "POLYGON ((6 0, 9 0, 9 6, 6 6, 6 0))", "MULTILINESTRING ((0 0, 1 1), (5 5, 8 5))",
+    "POLYGON ((-4 -4, 10 -4, 10 10, -4 10, -4 -4), (1 1, 3 1, 3 2, 1 2, 1 1))",
+    "MULTIPOLYGON (((0 0, 2 0, 2 2, 0 2, 0 0)), ((5 5, 8 5, 8 8, 5 8, 5 5)))",
+]
+
+
+def test_sql_names_are_the_columns(spark):
+    """Every kind of geometry, in select lists, conditions, subqueries and groups, without a Python worker."""
+    df = spark.createDataFrame([(w,) for w in SHAPES], "w string").select("w", G.from_wkt("w").alias("g"))
+    df.createOrReplaceTempView("shapes")
+    pairs = sqlnames.query(
+        spark,
+        """select a.w as a, b.w as b, ST_Distance(a.g, b.g) as d, ST_DWithin(a.g, b.g, 1.5) as n, ST_Intersects(a.g, b.g) as i,
+             st_contains(a.g, b.g) as c, ST_Covers(a.g, b.g) as v, ST_Area(ST_Intersection(a.g, b.g)) as o
+           from shapes a cross join shapes b where not ST_Disjoint(ST_Envelope(a.g), ST_Buffer(b.g, 100))""",
     )
-    for r in out.collect():
-        assert r.d == pytest.approx(r.d0), r
-        assert (r.i, r.c, r.w, r.n) == (r.i0, r.c0, r.w0, r.n0), r
-    single = df.select(
-        "w", call("ST_Area", "g").alias("a"), G.area("g").alias("a0"), call("ST_Length", "g").alias("l"), G.length("g").alias("l0"),
-        call("ST_Perimeter", "g").alias("p"), G.perimeter("g").alias("p0"), call("ST_AsText", "g").alias("t"),
-        call("ST_AsText", call("ST_GeomFromText", "w")).alias("t2"),
+    a, b = F.col("a.g"), F.col("b.g")
+    plain = df.alias("a").crossJoin(df.alias("b")).select(
+        F.col("a.w").alias("a"), F.col("b.w").alias("b"), G.distance(a, b).alias("d"), G.within_distance(a, b, 1.5).alias("n"),
+        G.predicate("intersects", a, b).alias("i"), G.predicate("contains", a, b).alias("c"), G.predicate("covers", a, b).alias("v"),
+        G.area(G.intersection(a, b)).alias("o"),
     )
-    for r in single.collect():
-        assert r.a == pytest.approx(r.a0) and r.l == pytest.approx(r.l0) and r.p == pytest.approx(r.p0)
-        assert r.t == r.t2 == r.w
-    null = spark.sql("select ST_X(ST_Point(cast(null as double), 1.0D)) x, ST_X(ST_Point(3, 1)) y").first()
-    assert null.x is None and null.y == 3.0
+    assert sorted(map(tuple, pairs.collect())) == sorted(map(tuple, plain.collect()))
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+@pytest.mark.parametrize(
+    "sql, want",
+    [
+        ("select ST_X(ST_Point(cast(null as double), 1)) as x, ST_Y(ST_Point(3, 1)) as y, ST_X(g) as z from shapes where w like 'LINE%(2%'", [(None, 1.0, None)]),
+        ("with b as (select ST_Buffer(ST_Point(id, 0), 1) g from range(3)) select ST_AsText(ST_Envelope(ST_Union_Agg(g))) as u from b", [("POLYGON ((-1 -1, -1 1, 3 1, 3 -1, -1 -1))",)]),
+        ("select count(*) as n from shapes s where exists (select 1 from shapes t where t.w <> s.w and ST_Touches(s.g, t.g))", None),
+        ("select ST_AsText(ST_Transform(ST_Point(10, 50), 'EPSG:4326', 'EPSG:3857')) as t", [("POINT (1113194.9079327357 6446275.841017158)",)]),
+        ("select ST_NPoints(g) as n, sum(ST_Area(g)) as a from shapes where w like 'MULTIPOLY%' group by ST_NPoints(g)", [(10, 13.0)]),
+    ],
+)
+def test_sql_names_anywhere(spark, sql, want):
+    df = spark.createDataFrame([(w,) for w in SHAPES], "w string").select("w", G.from_wkt("w").alias("g"))
+    df.createOrReplaceTempView("shapes")
+    rows = [tuple(r) for r in sqlnames.query(spark, sql).collect()]
+    assert rows == want if want is not None else rows[0][0] > 0
+
+
+@pytest.mark.parametrize("sql", ["select ST_X()", "select ST_Transform(ST_Point(0, 0), concat('EPSG:', id), 'EPSG:3857') from range(2)"])
+def test_sql_names_used_wrongly(spark, sql):
+    with pytest.raises(ValueError):
+        sqlnames.query(spark, sql)
