@@ -11,7 +11,11 @@ Needs a classic (not Connect) session, because expressions are built over py4j.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, SparkSession
+import functools
+from collections.abc import Callable
+
+from pyspark import SparkContext
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 GEOM = "org.locationtech.jts.geom.Geometry"
@@ -24,71 +28,96 @@ INTERSECTION, UNION, DIFFERENCE = 1, 2, 3
 
 
 def _jvm():
-    spark = SparkSession.getActiveSession()
-    if spark is None:
+    context = SparkContext._active_spark_context
+    if context is None:
         raise RuntimeError("geometry columns need an active SparkSession")
-    return spark._jvm
+    return context._jvm
+
+
+def _once(make: Callable) -> Callable:
+    """Remember what ``make`` gives for its arguments, per Java gateway: finding classes takes many calls."""
+    known: dict[tuple, object] = {}
+
+    @functools.wraps(make)
+    def get(*args: str):
+        key = (id(_jvm()), *args)
+        if key not in known:
+            known[key] = make(*args)
+        return known[key]
 
+    return get
 
+
+@_once
 def _class(name: str):
     jvm = _jvm()
     loader = jvm.java.lang.Thread.currentThread().getContextClassLoader()
     return jvm.java.lang.Class.forName(name, True, loader)
 
 
+@_once
+def _java(path: str):
+    """A Java or Scala class by its dotted path."""
+    found = _jvm()
+    for name in path.split("."):
+        found = getattr(found, name)
+    return found
+
+
 def _seq(items):
-    jvm = _jvm()
-    out = jvm.java.util.ArrayList()
+    out = _java("java.util.ArrayList")()
     for item in items:
         out.add(item)
-    return jvm.scala.jdk.javaapi.CollectionConverters.asScala(out).toSeq()
+    return _java("scala.jdk.javaapi.CollectionConverters").asScala(out).toSeq()
 
 
+@_once
 def _object(name: str):
-    return _jvm().org.apache.spark.sql.types.ObjectType(_class(name))
+    return _java("org.apache.spark.sql.types.ObjectType")(_class(name))
 
 
+@_once
 def _sql_type(name: str):
-    types = _jvm().org.apache.spark.sql.types
-    return getattr(getattr(types, name + "Type$"), "MODULE$")
+    return getattr(_java(f"org.apache.spark.sql.types.{name}Type$"), "MODULE$")
 
 
 def _type(name: str):
     return _object(name) if "." in name else _sql_type(name)
 
 
+@_once
 def _none():
-    return getattr(getattr(_jvm().scala, "None$"), "MODULE$")
+    return getattr(_java("scala.None$"), "MODULE$")
 
 
-def _objects():
-    return _jvm().org.apache.spark.sql.catalyst.expressions.objects
+def _call(kind: str):
+    return _java(f"org.apache.spark.sql.catalyst.expressions.objects.{kind}")
 
 
 def expr(col: Column):
     """Catalyst expression behind a column."""
-    return _jvm().org.apache.spark.sql.classic.ExpressionUtils.expression(col._jc)
+    return _java("org.apache.spark.sql.classic.ExpressionUtils").expression(col._jc)
 
 
 def column(expression) -> Column:
     """Column around a Catalyst expression."""
-    jc = _jvm().org.apache.spark.sql.classic.ExpressionUtils.column(expression)
+    jc = _java("org.apache.spark.sql.classic.ExpressionUtils").column(expression)
     return type(F.lit(None))(jc)
 
 
 def invoke(target, method: str, returns: str, *args):
     """Call ``target.method(*args)``; any null gives null."""
-    return _objects().Invoke(target, method, _type(returns), _seq(args), _seq([]), True, True, True)
+    return _call("Invoke")(target, method, _type(returns), _seq(args), _seq([]), True, True, True)
 
 
 def static(owner: str, method: str, returns: str, *args):
-    return _objects().StaticInvoke(
+    return _call("StaticInvoke")(
         _class(owner), _type(returns), method, _seq(args), _seq([]), True, True, True, _none()
     )
 
 
 def new(name: str, *args):
-    return _objects().NewInstance(_class(name), _seq(args), _seq([]), False, _object(name), _none())
+    return _call("NewInstance")(_class(name), _seq(args), _seq([]), False, _object(name), _none())
 
 
 def number(value):

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from py4j.java_gateway import JavaObject, is_instance_of
+from py4j.java_gateway import JavaObject
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -76,6 +76,10 @@ _BY_NAME = {name.lower(): use for name, use in NAMES.items()}
 _TREE = "org.apache.spark.sql.catalyst.trees.TreeNode"
 
 
+def _is_a(value: JavaObject, name: str) -> bool:
+    return jts._class(name).isInstance(value)
+
+
 def _resolved(spark: SparkSession, node: JavaObject) -> JavaObject:
     """The tree with every geometry name resolved."""
     parts = [node.productElement(k) for k in range(node.productArity())]
@@ -101,17 +105,16 @@ def _mapped(spark: SparkSession, part):
     """A part of a node: trees are resolved; sequences, options and tuples are searched for trees."""
     if not isinstance(part, JavaObject):
         return part
-    gateway, is_a = spark._sc._gateway, is_instance_of
-    if is_a(gateway, part, _TREE):
+    if _is_a(part, _TREE):
         return _resolved(spark, part)
-    if is_a(gateway, part, "scala.collection.immutable.Seq"):
+    if _is_a(part, "scala.collection.immutable.Seq"):
         items = [part.apply(k) for k in range(part.size())]
         new = [_mapped(spark, i) for i in items]
         return jts._seq(new).toList() if any(a is not b for a, b in zip(new, items, strict=True)) else part
-    if is_a(gateway, part, "scala.Some"):
+    if _is_a(part, "scala.Some"):
         new = _mapped(spark, inner := part.get())
         return part if new is inner else spark._jvm.scala.Some(new)
-    if is_a(gateway, part, "scala.Tuple2") or is_a(gateway, part, "scala.Tuple3"):
+    if _is_a(part, "scala.Tuple2") or _is_a(part, "scala.Tuple3"):
         items = [part.productElement(k) for k in range(part.productArity())]
         new = [_mapped(spark, i) for i in items]
         make = spark._jvm.scala.Tuple2 if len(items) == 2 else spark._jvm.scala.Tuple3
