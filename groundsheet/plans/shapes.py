@@ -5,11 +5,10 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from groundsheet.layer import Layer
-from groundsheet.operators import guarded
+from groundsheet.operators import guarded, intervals
 from groundsheet.plans import derived
 from groundsheet.plans.catalog import query
 
@@ -311,19 +310,14 @@ shape(
          on e.value * 1000 between o.o_totalprice - 20 and o.o_totalprice + 20""",
 )
 def range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A band condition as an equi-join: events fall in one bucket, bands in the few they span."""
-    width = 200.0
+    """Bands around prices, and the events whose value lies in them."""
     orders = derived.table(spark, sf_dir, "orders").select(
         "o_orderkey",
         (F.col("o_totalprice") - 20).alias("lo"),
         (F.col("o_totalprice") + 20).alias("hi"),
     )
     events = derived.table(spark, sf_dir, "events").select("event_id", (F.col("value") * 1000).alias("v"))
-    spans = F.sequence(F.floor(F.col("lo") / width), F.floor(F.col("hi") / width))
-    bands = orders.withColumn("bucket", F.explode(spans))
-    spots = events.withColumn("bucket", F.floor(F.col("v") / width))
-    hits = bands.join(spots, "bucket").where(F.col("v").between(F.col("lo"), F.col("hi")))
-    return hits.select("o_orderkey", "event_id")
+    return intervals.range_join(orders, events, "lo", "hi", "v").select("o_orderkey", "event_id")
 
 
 @query(
@@ -334,30 +328,11 @@ def range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
          on p.user_id = c.user_id and p.ts >= c.ts""",
 )
 def asof_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The latest click at or before every other event of the user.
-
-    Both sides are one frame ordered by time, so the join is a running last value: one
-    shuffle on the key, no pairing of events.  Rows of a user are cut into time slices
-    first; the last click of all earlier slices is carried over from slice summaries, so
-    a user with a third of all events is spread over many tasks.
-    """
+    """The latest click at or before every other event of the user."""
     events = derived.table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type", "value")
-    click = F.when(F.col("event_type") == "click", F.struct("ts", "event_id", "value"))
-    events = events.withColumn("click", click).withColumn("slice", F.date_trunc("hour", "ts"))
-    slices = events.groupBy("user_id", "slice").agg(F.max("click").alias("last"))
-    earlier = W.partitionBy("user_id").orderBy("slice").rowsBetween(W.unboundedPreceding, -1)
-    carried = slices.withColumn("carried", F.max("last").over(earlier)).drop("last")
-    # at equal times a click comes first, as "at or before" includes it
-    inside = (
-        W.partitionBy("user_id", "slice")
-        .orderBy("ts", F.col("click").isNull(), "event_id")
-        .rowsBetween(W.unboundedPreceding, W.currentRow)
-    )
-    joined = events.join(carried, ["user_id", "slice"]).withColumn(
-        "hit", F.coalesce(F.max("click").over(inside), "carried")
-    )
-    rest = joined.where(F.col("event_type") != "click")
-    return rest.select(
+    clicks, others = events.where("event_type = 'click'"), events.where("event_type <> 'click'")
+    found = intervals.asof_join(others, clicks, ["user_id"], "ts", "ts", "event_id")
+    return found.select(
         "event_id", "user_id",
-        F.col("hit.event_id").alias("click_id"), F.round("hit.value", 3).alias("click_value"),
+        F.col("match.event_id").alias("click_id"), F.round("match.value", 3).alias("click_value"),
     )
