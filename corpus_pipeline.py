@@ -14,11 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from groundsheet.llm import language_id, mixing, pieces, quality_rules, simhash
+from groundsheet.llm.texts import small_batches
 from groundsheet.operators.lineage import materialize
 
 
 def _packed(docs: DataFrame, *also: str) -> DataFrame:
     """Each row as the struct ``doc``, beside the columns that an operator reads."""
+    small_batches(docs.sparkSession)
     kinds = {"doc_id": "long"}
     return docs.select(F.struct("*").alias("doc"), *(F.col(c).cast(kinds.get(c, "string")).alias(c) for c in also))
 
@@ -44,6 +46,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Of rows that share this doc_id the first by order stays.  Rows with a null doc_id have no
     place in that order and stay.
     """
+    small_batches(spark)
     groups = materialize(simhash.simhash_groups(docs), "groups")
     kept = groups.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("rows"))
     kept = materialize(kept.withColumnRenamed("doc_id", "kept_id"), "kept")
@@ -71,6 +74,7 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sampled piece ids of every document."""
+    small_batches(spark)
     return pieces.encode_documents(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 

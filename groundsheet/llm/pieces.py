@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from groundsheet.llm.texts import filled, slices, split_parts
 
-#: Text bytes worked on at a time: a lattice takes some hundred bytes for each distinct one of them.
-BATCH_BYTES = 2 << 20
+#: Text bytes worked on at a time: a lattice takes a few hundred bytes for each byte of distinct units.
+BATCH_BYTES = 768 << 10
 #: Exponent of the weights; larger values draw the likeliest segmentation more often.
 ALPHA = 1.2
 SPACE = "▁"
@@ -126,11 +126,12 @@ class PieceLattice:
             for k in range(length):  # equal hashes are not yet equal pieces
                 same &= codes[start + k] == spelled[at, k]
             start, at = start[same], at[same]
-            found.append((start, start + length, logs[at], ids[at]))
+            found.append((start.astype(np.int32), (start + length).astype(np.int32), logs[at], ids[at].astype(np.int32)))
             if length == 1:
                 single[start] = True
         bare = np.flatnonzero(~single)
-        found.append((bare, bare + 1, np.full(len(bare), self.unseen), np.full(len(bare), -1)))
+        bare = bare.astype(np.int32)
+        found.append((bare, bare + np.int32(1), np.full(len(bare), self.unseen), np.full(len(bare), -1, np.int32)))
         return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
     def sample(self, units: pa.StringArray, occurrence: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -140,20 +141,21 @@ class PieceLattice:
         """
         codes, bounds = _codes(units)
         sizes = np.diff(bounds)
-        unit = np.repeat(np.arange(len(units)), sizes)
+        unit = np.repeat(np.arange(len(units), dtype=np.int32), sizes)
         start, end, logs, ids = self.edges(codes, unit, bounds[1:])
         # A node is a place within a unit; nodes are numbered by distance from the unit's start, so all
         # edges into nodes of one distance stand together.
         owner = unit[start]
-        start, end = start - bounds[owner], end - bounds[owner]
-        order = np.argsort(end * len(units) + owner, kind="stable")  # edges come by length, so starts follow
+        begin = bounds.astype(np.int32)
+        start, end = start - begin[owner], end - begin[owner]
+        order = np.argsort(end * np.int64(len(units)) + owner, kind="stable")  # edges come by length, so starts follow
         start, end, logs, ids, owner = start[order], end[order], logs[order], ids[order], owner[order]
         fresh = np.ones(len(end), bool)
         fresh[1:] = (end[1:] != end[:-1]) | (owner[1:] != owner[:-1])
-        node = np.cumsum(fresh) - 1  # of each edge's end; every place but the start is some edge's end
-        number = np.full(int(bounds[-1]) + len(units), -1, np.int64)
-        number[bounds[owner] + owner + end] = node
-        previous = number[bounds[owner] + owner + start]
+        node = np.cumsum(fresh, dtype=np.int32) - np.int32(1)  # of each edge's end; every place but the start is some edge's end
+        number = np.full(int(bounds[-1]) + len(units), -1, np.int32)
+        number[begin[owner] + owner + end] = node
+        previous = number[begin[owner] + owner + start]
         heads = np.flatnonzero(fresh)
         forward = np.zeros(len(heads) + 1)  # the last one, reached by -1, is every unit's start
         chance = np.empty(len(end))
@@ -189,7 +191,7 @@ class PieceLattice:
         chosen = np.empty(int(stop[-1]) if len(stop) else 0, np.int64)
         for k, (who, edge) in enumerate(drawn):
             chosen[stop[who] - 1 - k] = edge
-        found, per_edge = ids[chosen], np.ones(len(chosen), np.int64)
+        found, per_edge = ids[chosen].astype(np.int64), np.ones(len(chosen), np.int64)
         if (bare := found < 0).any():
             found, per_edge = self._bytes(found, bare, codes[bounds[owner[chosen]] + start[chosen]])
             counts = np.bincount(np.repeat(np.arange(len(counts)), counts), weights=per_edge, minlength=len(counts)).astype(np.int64)

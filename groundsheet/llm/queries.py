@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from groundsheet.llm import chat, checks, language_id, mixing, neighbours, pieces, quality_model, quality_rules, simhash, token_files, url_rules
+from groundsheet.llm.texts import small_batches
 from groundsheet.operators.lineage import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,6 +22,7 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

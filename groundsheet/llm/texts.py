@@ -2,14 +2,31 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 #: Text bytes worked on at a time in one task; a single longer text is a slice of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
+#: Bytes that Spark hands to a Python worker at a time.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let the session hand texts to workers in batches of bounded bytes, not of 10,000 rows."""
+    spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+
+def give_back() -> None:
+    """Return freed memory to the system, so that idle workers hold little."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -23,6 +40,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             stop = max(start + 1, int(np.searchsorted(ends, before + limit, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+    give_back()
 
 
 def filled(batch: pa.RecordBatch, column: str = "text") -> pa.Array:

@@ -76,3 +76,21 @@ def test_long_prints_find_similar_texts(spark):
     rows = [(1, " ".join(words)), (2, " ".join(words[:395] + ["x"] * 5)), (3, " ".join(reversed(words))), (4, " ".join(words[::2]))]
     got = simhash.simhash_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r.doc_id: r.component_id for r in got} == {1: 1, 2: 1, 3: 3, 4: 4}
+
+
+def test_crowded_buckets(spark, monkeypatch):
+    """Large groups are joined by representatives, and what still links to them is found."""
+    monkeypatch.setattr(simhash, "CROWD", 5)
+    import random
+
+    draw = random.Random(9)
+    values = {draw.getrandbits(64) for _ in range(100)}
+    for centre in list(values)[:3]:
+        values |= {centre ^ (1 << a) ^ (1 << b) for a in range(0, 12) for b in range(20, 26)}
+        values |= {centre ^ (7 << a) for a in range(30, 40)}
+    values = sorted(values)
+    signed = [v - (1 << 64) if v >> 63 else v for v in values]
+    frame = spark.createDataFrame([(s, [s]) for s in signed], "node long, fp array<long>")
+    got = {r.node: r.root for r in simhash.print_groups(frame, 1, 3, 3).collect()}
+    pairs = [(signed[a], signed[b]) for a in range(len(values)) for b in range(a) if (values[a] ^ values[b]).bit_count() <= 3]
+    assert {n: got.get(n, n) for n in signed} == plain_components(pairs, signed)
