@@ -19,6 +19,8 @@ BITS, SEED = 64, 42
 LONG_WORDS, LONG_SURE, LONG_DISTANCE = 8, 31, 80
 #: Bits of the partitions that are weighed against each other, by words of the fingerprint.
 WIDTHS = {1: (32, 22, 16), LONG_WORDS: (16, 22)}
+#: Comparisons of two fingerprints in a bucket that cost as much as one row shuffled into it.
+ROW_COST = 20
 #: Counters of one pair-count sketch; its standard error is 6 %.
 COUNTERS = 512
 #: Members of a bucket meet its representative on so many salts.
@@ -183,7 +185,7 @@ def plan(prints: DataFrame, sure: int, words: int) -> list[tuple[int, list[int],
 
     With thresholds that add up to ``sure - partitions + 1``, two fingerprints within ``sure`` bits
     are within the threshold of some partition.  The cost of a threshold is the estimated number
-    of candidate pairs plus the rows that index and probe it; thresholds are dealt by dynamic
+    of candidate pairs plus ROW_COST for each row that indexes or probes it; thresholds are dealt by dynamic
     programming, for each width of partitions, and the cheapest width is taken.
     """
     correlations = _correlations(prints, words)
@@ -203,7 +205,7 @@ def plan(prints: DataFrame, sure: int, words: int) -> list[tuple[int, list[int],
         for _, group in groups:
             same = next(pairs)
             near = same + sum(max(0.0, next(pairs) - same) for _ in group)
-            costs.append({-1: 0.0, 0: same + 2.0 * rows, 1: near + (2 + len(group) / 2) * rows})
+            costs.append({-1: 0.0, 0: same + ROW_COST * 2.0 * rows, 1: near + ROW_COST * (2 + len(group) / 2) * rows})
         cost, thresholds = allocate(costs, sure - len(groups) + 1)
         if thresholds and cost < best[0]:
             best = cost, [(w, group, t) for (w, group), t in zip(groups, thresholds, strict=True)]
