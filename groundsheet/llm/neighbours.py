@@ -1,4 +1,4 @@
-"""Near-duplicate embeddings by graph search within regions."""
+"""Near-duplicate embeddings by graph search within blocks and comparison across them."""
 
 from __future__ import annotations
 
@@ -13,10 +13,12 @@ from groundsheet.llm.components import components
 from groundsheet.llm.flat_graph import near_pairs
 from groundsheet.operators.lineage import materialize
 
-#: Vectors a region holds at most before it is split, pivots it is split around, and rounds of splitting.
-REGION_ROWS, PIVOTS, ROUNDS = 20_000, 16, 12
-#: Vectors join the regions of their nearest pivots, so many at most.
-HOMES = 2
+#: Vectors that one block of a region holds, give or take chance; a task compares two blocks at most.
+REGION_ROWS = 20_000
+#: Vectors of one block that are held against the other block at a time.
+ROWS_AT_ONCE = 256
+#: Pairs that are verified at a time.
+PAIRS_AT_ONCE = 1 << 18
 #: Directions equal to so many digits are copies of each other.
 DIGITS = 12
 
@@ -44,37 +46,24 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1)[:, None]
 
 
-def _split(placed: DataFrame, round_: int, homes: float) -> tuple[DataFrame, bool]:
-    """Regions over REGION_ROWS split around pivots drawn from them by a hash."""
+def _dealt(placed: DataFrame) -> DataFrame:
+    """Rows with the pairs (a, b) of blocks they meet in; ``block`` is the row's own.
+
+    A region of up to REGION_ROWS is one block and one pair.  A larger one is dealt by a hash over
+    blocks of about that size, and a row goes to every pair of blocks with its own in it, so any two
+    rows of a region meet: two of one block in the pair (a, a), two of different blocks in (a, b).
+    """
     sizes = placed.groupBy("region").agg(F.count("*").alias("n"))
     big = materialize(sizes.where(F.col("n") > REGION_ROWS), "big-regions")
+    zero = F.lit(0)
     if big.isEmpty():
-        return placed, False
-    wanted = F.least(F.lit(PIVOTS), 2 * F.ceil(F.col("n") / REGION_ROWS))
-    ranked = placed.join(big, "region").withColumn("h", F.xxhash64("rep", F.lit(round_)))
-    drawn = ranked.where(F.pmod("h", F.lit(1_000_003)) * F.col("n") < 4 * wanted * 1_000_003)
-    chosen = drawn.groupBy("region", "n").agg(F.array_sort(F.collect_list(F.struct("h", "v"))).alias("p"))
-    pivots = materialize(chosen.select("region", F.slice("p", 1, wanted.cast("int"))["v"].alias("pivots")), "pivots")
-
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows, parts = [], []
-            for k, (v, around) in enumerate(zip(batch.column("v").to_pylist(), batch.column("pivots").to_pylist(), strict=True)):
-                if around is None:
-                    rows.append(k)
-                    parts.append("")
-                    continue
-                angles = np.arccos(np.clip(_unit(np.array(around)) @ _unit(np.array([v]))[0], -1, 1))
-                order = np.argsort(angles, kind="stable")[:HOMES]
-                for p in order[angles[order] <= angles[order[0]] + homes]:
-                    rows.append(k)
-                    parts.append(f".{p}")
-            kept = batch.drop_columns(["pivots"]).take(pa.array(rows, pa.int64()))
-            regions = [r + p for r, p in zip(kept.column("region").to_pylist(), parts, strict=True)]
-            yield kept.set_column(kept.schema.get_field_index("region"), "region", pa.array(regions, pa.string()))
-
-    joined = placed.join(pivots, "region", "left").select(*placed.columns, "pivots")
-    return materialize(joined.mapInArrow(deal, placed.schema), "regions"), True
+        return placed.withColumns({"block": zero, "a": zero, "b": zero})
+    blocks = F.coalesce(F.ceil(F.col("n") / REGION_ROWS), F.lit(1)).cast("int")
+    joined = placed.join(big, "region", "left").withColumn("blocks", blocks)
+    joined = joined.withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    met = joined.withColumn("other", F.explode(F.sequence(zero, F.col("blocks") - 1)))
+    met = met.withColumns({"a": F.least("block", "other"), "b": F.greatest("block", "other")})
+    return met.select(*placed.columns, "block", "a", "b")
 
 
 def link_vectors(vectors: DataFrame, threshold: float) -> DataFrame:
@@ -84,10 +73,10 @@ def link_vectors(vectors: DataFrame, threshold: float) -> DataFrame:
     ``threshold`` or more.  ``n_links`` counts the other rows linked directly, ``component_id`` is
     the smallest vec_id reachable, ``kept`` says that this is the row's own.
 
-    Rows of one direction are one node with a count, however many they are.  Labels are split into
-    overlapping regions of bounded size, every region's vectors are linked in one task through a
-    graph, and a pair that meets in several regions counts in the first.  Only counts and one edge
-    per vector leave a task.
+    Rows of one direction are one node with a count, however many they are.  Labels over REGION_ROWS
+    are dealt over blocks of about that size.  The vectors of one block are linked in one task through
+    a graph, those of two blocks in another by comparing all pairs, so no two vectors of a label are
+    left unmet.  Only counts and one edge per vector leave a task.
 
     Vectors that are null, empty, zero or hold null or non-finite numbers, and rows with a null
     label or vec_id, link with nothing: no links, their own component.  An id that repeats with
@@ -109,22 +98,12 @@ def link_vectors(vectors: DataFrame, threshold: float) -> DataFrame:
         "directions",
     )
     placed = classes.select("rep", "key", "v", "copies", F.concat_ws("/", F.size("v"), F.col("label")).alias("region"))
-    reach = float(np.arccos(threshold))
-    for round_ in range(ROUNDS):
-        placed, again = _split(placed, round_, reach)
-        if not again:
-            break
-    if round_:
-        homes = placed.groupBy("rep", "key").agg(F.collect_set("region").alias("homes"))
-        placed = placed.join(homes, ["rep", "key"])
-    else:
-        placed = placed.withColumn("homes", F.array("region"))
 
     def link(table: pa.Table) -> pa.Table:
         return _link_region(table, threshold)
 
     found = materialize(
-        placed.select("region", "rep", "v", "copies", "homes").groupBy("region").applyInArrow(
+        _dealt(placed).select("region", "a", "b", "block", "rep", "v", "copies").groupBy("region", "a", "b").applyInArrow(
             link, "rep long, links long, root long"
         ),
         "region-links",
@@ -141,16 +120,28 @@ def link_vectors(vectors: DataFrame, threshold: float) -> DataFrame:
     )
 
 
+def _pairs_across(x: np.ndarray, block: np.ndarray, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of rows of two blocks that may be within ``threshold``, in both orders."""
+    sides = [np.flatnonzero(block == k) for k in np.unique(block)]
+    if len(sides) < 2:  # the other block happens to be empty; its own rows meet in the pair (a, a)
+        return
+    other = np.ascontiguousarray(x[sides[1]].T)
+    for low in range(0, len(sides[0]), ROWS_AT_ONCE):
+        who = sides[0][low : low + ROWS_AT_ONCE]
+        row, col = np.nonzero(x[who] @ other >= threshold - 1e-9)
+        a, b = who[row], sides[1][col]
+        yield np.concatenate([a, b]), np.concatenate([b, a])
+
+
 def _link_region(table: pa.Table, threshold: float) -> pa.Table:
-    """Links and the smallest linked id of every vector of one region, as far as the region owns the pairs."""
+    """Links and the smallest linked id of every vector, from the pairs within one block or across two."""
     table = table.combine_chunks()
     n = table.num_rows
     ids, copies = table.column("rep").to_numpy(), table.column("copies").to_numpy()
-    raw = np.array(table.column("v").to_pylist(), np.float64).reshape(n, -1)
-    x = _unit(raw)
-    region = table.column("region")[0].as_py()
-    homes = [frozenset(h) for h in table.column("homes").to_pylist()]
-    shared = np.array([len(h) > 1 for h in homes])
+    flat = table.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    x = _unit(flat.reshape(n, -1))
+    block = table.column("block").to_numpy()
+    across = table.column("a")[0].as_py() != table.column("b")[0].as_py()
     links, parent = np.zeros(n, np.int64), np.arange(n)
 
     def top(k: int) -> int:
@@ -159,22 +150,20 @@ def _link_region(table: pa.Table, threshold: float) -> pa.Table:
             k = parent[k]
         return k
 
-    for a, b in near_pairs(x, ids, threshold):
-        verified = (a != b) & (np.einsum("pd,pd->p", x[a], x[b]) >= threshold)
-        a, b = a[verified], b[verified]
-        double = np.flatnonzero(shared[a] & shared[b])
-        if len(double):
-            own = [min(homes[i] & homes[j]) == region for i, j in zip(a[double].tolist(), b[double].tolist(), strict=True)]
-            keep = np.ones(len(a), bool)
-            keep[double] = own
-            a, b = a[keep], b[keep]
-        links += np.bincount(a, weights=copies[b], minlength=n).astype(np.int64)
-        tops = np.array([top(k) for k in range(n)]) if len(a) else parent
-        pairs = np.unique(np.stack([tops[a], tops[b]], 1), axis=0) if len(a) else ()
-        for i, j in pairs:
-            i, j = top(int(i)), top(int(j))
-            if i != j:
-                parent[max(i, j)] = min(i, j)
+    for a, b in _pairs_across(x, block, threshold) if across else near_pairs(x, ids, threshold):
+        for low in range(0, len(a), PAIRS_AT_ONCE):
+            some_a, some_b = a[low : low + PAIRS_AT_ONCE], b[low : low + PAIRS_AT_ONCE]
+            verified = (some_a != some_b) & (np.einsum("pd,pd->p", x[some_a], x[some_b]) >= threshold)
+            some_a, some_b = some_a[verified], some_b[verified]
+            if not len(some_a):
+                continue
+            links += np.bincount(some_a, weights=copies[some_b], minlength=n).astype(np.int64)
+            tops = np.array([top(k) for k in range(n)])
+            differ = tops[some_a] != tops[some_b]
+            for i, j in np.unique(np.stack([tops[some_a[differ]], tops[some_b[differ]]], 1), axis=0):
+                i, j = top(int(i)), top(int(j))
+                if i != j:
+                    parent[max(i, j)] = min(i, j)
     group = np.array([top(k) for k in range(n)], np.int64)
     least = np.full(n, np.iinfo(np.int64).max)
     np.minimum.at(least, group, ids)

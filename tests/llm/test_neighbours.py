@@ -54,6 +54,18 @@ def test_regions_that_split(spark, monkeypatch):
     assert all(got[i] <= links[i] for i in got) and sum(got.values()) >= 0.9 * sum(links.values())
 
 
+def test_group_larger_than_a_block_is_whole(spark, monkeypatch):
+    """One dense group of near, but unequal, copies several times larger than a block: every link counts."""
+    monkeypatch.setattr(neighbours, "REGION_ROWS", 120)
+    draw = np.random.default_rng(4)
+    x = draw.normal(size=(1000, 64))
+    x[:700] = draw.normal(size=64) + draw.normal(scale=0.22, size=(700, 64))
+    rows = [(k, v.astype(np.float32).tolist(), 1 if k % 40 else 2, "x", 1) for k, v in enumerate(x)]
+    links, _ = plain(rows)
+    assert sum(n > 500 for n in links.values()) > 500
+    assert found(spark, rows) == wanted(rows)
+
+
 def test_odd_vectors(spark):
     rows = [
         (1, [1.0, 0.0], 1, "x", 1), (2, [1.0, 0.1], 1, "x", 1), (3, [0.0, 0.0], 1, "x", 1), (4, None, 1, "x", 1),
