@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,9 +14,13 @@ from groundsheet.llm.texts import filled, slices
 from groundsheet.operators.lineage import materialize
 
 BITS, SEED = 64, 42
-#: Words of a long fingerprint, the distance its partitions are sure to find, and the distance that links.
-#: Shingle sets of similarity 0.8 differ in about 15 % of the bits: 78 of 512, give or take 8.
-LONG_WORDS, LONG_SURE, LONG_DISTANCE = 8, 31, 80
+#: Words of a long fingerprint, the distance its partitions are sure to find, and the distance up to which
+#: texts are compared.  Shingle sets of similarity 0.8 differ in about 15 % of the bits: 78 of 512, give or take 8.
+LONG_WORDS, LONG_SURE, LONG_DISTANCE = 8, 31, 105
+#: Similarity of shingle sets that links, and the chance with which every plan must probe a pair of just this one.
+SIMILARITY, RECALL = 0.8, 0.99
+#: Pairs of fingerprints drawn to work out that chance; its standard error at RECALL is 0.0007.
+TRIALS = 20_000
 #: Bits of the partitions that are weighed against each other, by words of the fingerprint.
 WIDTHS = {1: (32, 22, 16), LONG_WORDS: (16, 22)}
 #: Comparisons of two fingerprints in a bucket that cost as much as one row shuffled into it.
@@ -38,22 +42,29 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def fingerprint(text: bytes, shingle: int, words: int = 1) -> np.ndarray:
-    """Majority of the XXH64 bits of all word shingles; zeros without a word.
-
-    Words after the first take the same hashes, mixed anew.
-    """
+def _shingles(text: bytes, shingle: int) -> np.ndarray:
+    """XXH64 of all word shingles, repeats included."""
     import xxhash
 
     split = text.lower().split()  # of bytes: A-Z and ASCII white space only
     if not split:
-        return np.zeros(words, np.uint64)
+        return np.zeros(0, np.uint64)
     if len(split) < shingle:
         parts = [b" ".join(split)]
     else:
         parts = map(b" ".join, zip(*(split[k:] for k in range(shingle)), strict=False))
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(s, SEED) for s in parts), np.uint64)
+    return np.fromiter((digest(s, SEED) for s in parts), np.uint64)
+
+
+def fingerprint(text: bytes, shingle: int, words: int = 1) -> np.ndarray:
+    """Majority of the bits of all word shingles' hashes; zeros without a word.
+
+    Words after the first take the same hashes, mixed anew.
+    """
+    hashes = _shingles(text, shingle)
+    if not len(hashes):
+        return np.zeros(words, np.uint64)
     ones = np.zeros(BITS * words, np.int64)
     for start in range(0, len(hashes), 255 * 32):
         some = hashes[start : start + 255 * 32]
@@ -67,17 +78,45 @@ def fingerprint(text: bytes, shingle: int, words: int = 1) -> np.ndarray:
 
 
 def fingerprints(documents: DataFrame, shingle: int, words: int = 1) -> DataFrame:
-    """doc_id and fp, the fingerprint's words as longs, of every whole text (null: empty)."""
+    """doc_id, text_key (a hash of the text) and fp, the fingerprint's words as longs, of every whole text (null: empty)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             prints = [fingerprint(t.encode(), shingle, words) for t in filled(batch).to_pylist()]
             flat = pa.array(np.concatenate(prints).view(np.int64))
             offsets = pa.array(np.arange(len(prints) + 1, dtype=np.int32) * words)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(offsets, flat)], ["doc_id", "fp"])
+            columns = [batch.column("doc_id"), batch.column("text_key"), pa.ListArray.from_arrays(offsets, flat)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", "fp"])
+
+    docs = _keyed(documents).select(F.col("doc_id").cast("long").alias("doc_id"), "text_key", "text")
+    return docs.mapInArrow(run, "doc_id long, text_key long, fp array<long>")
+
+
+def _keyed(documents: DataFrame) -> DataFrame:
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return documents.select("doc_id", F.xxhash64(text).alias("text_key"), text.alias("text"))
+
 
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return docs.mapInArrow(run, "doc_id long, fp array<long>")
+def _similar(pairs: DataFrame, documents: DataFrame, prints: DataFrame, shingle: int) -> DataFrame:
+    """Those pairs (a, b) of nodes whose texts' sets of shingles are alike by SIMILARITY or more.
+
+    A node stands for the texts of one fingerprint; the one with the smallest hash is compared.
+    """
+    pairs = materialize(pairs, "near-pairs")
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    texts = _keyed(documents).groupBy("text_key").agg(F.min("text").alias("text"))  # copies go before the shuffle
+    wanted = prints.select("node", "text_key").join(nodes, "node", "left_semi")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            sets = [np.unique(_shingles(t.encode(), shingle)).view(np.int64) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_pydict({"node": batch.column("node"), "set": pa.array(sets, pa.list_(pa.int64()))})
+
+    sets = texts.join(wanted, "text_key").select("node", "text").mapInArrow(run, "node long, set array<long>")
+    sets = materialize(sets, "shingles")
+    both = pairs.join(sets.toDF("a", "a_set"), "a").join(sets.toDF("b", "b_set"), "b")
+    both = both.select("a", "b", F.size(F.array_intersect("a_set", "b_set")).alias("shared"), (F.size("a_set") + F.size("b_set")).alias("all"))
+    return both.where(F.col("shared") >= SIMILARITY * (F.col("all") - F.col("shared")) - 1e-9).select("a", "b")
 
 
 def _correlations(prints: DataFrame, words: int) -> list[np.ndarray]:
@@ -180,6 +219,31 @@ def allocate(costs: list[dict[int, float]], total: int) -> tuple[float, list[int
     return best.get(total, (float("inf"), []))
 
 
+def _differing(words: int) -> np.ndarray:
+    """Bits that differ in TRIALS pairs of fingerprints of texts alike by SIMILARITY, if bits are independent."""
+    share = np.arccos(2 * SIMILARITY / (1 + SIMILARITY)) / np.pi
+    return np.random.default_rng(SEED).random((TRIALS, words * BITS)) < share
+
+
+def _met(differ: np.ndarray, word: int, bits: list[int], threshold: int) -> np.ndarray:
+    """Which of the drawn pairs a partition brings together and the first look lets pass."""
+    words = differ.shape[1] // BITS
+    check = differ[:, (word + 1) % words * BITS :][:, :BITS].sum(1) <= FIRST_LOOK
+    return check & (differ[:, [word * BITS + b for b in bits]].sum(1) <= threshold)
+
+
+def _more_partitions(words: int, per_word: int, differ: np.ndarray) -> list[tuple[int, list[int]]]:
+    """Partitions by chance, as many as reach RECALL without any other."""
+    draw = np.random.default_rng(per_word)
+    near, met, found = differ.sum(1) <= LONG_DISTANCE, np.zeros(len(differ), bool), []
+    while (met & near).mean() < RECALL:
+        for word in range(words):
+            for group in np.array_split(draw.permutation(BITS), per_word):
+                found.append((word, sorted(group.tolist())))
+                met |= _met(differ, *found[-1], 0)
+    return found
+
+
 def plan(prints: DataFrame, sure: int, words: int) -> list[tuple[int, list[int], int]]:
     """Partitions as (word, bits, threshold): correlated bits, and -1 (not probed), 0 or 1.
 
@@ -187,28 +251,45 @@ def plan(prints: DataFrame, sure: int, words: int) -> list[tuple[int, list[int],
     are within the threshold of some partition.  The cost of a threshold is the estimated number
     of candidate pairs plus ROW_COST for each row that indexes or probes it; thresholds are dealt by dynamic
     programming, for each width of partitions, and the cheapest width is taken.
+
+    To plans of long fingerprints partitions drawn by chance are added at threshold 0, until the chance to
+    probe a pair of similarity SIMILARITY is RECALL: the recall is the same whatever the width and the cost.
     """
+    differ = _differing(words) if words > 1 else None
     correlations = _correlations(prints, words)
     choices = []
     for width in WIDTHS[words]:
         per_word = -(-BITS // width)
         if -per_word * words <= sure - per_word * words + 1 <= per_word * words:
-            choices.append([(w, group) for w in range(words) for group in _grow(correlations[w], per_word)])
+            groups = [(w, group) for w in range(words) for group in _grow(correlations[w], per_word)]
+            choices.append((groups, _more_partitions(words, per_word, differ) if words > 1 else []))
     masks = []
-    for groups in choices:
+    for groups, more in choices:
         for word, group in groups:
             masks += [(word, _mask(group)), *((word, _mask([b for b in group if b != out])) for out in group)]
+        masks += [(word, _mask(group)) for word, group in more]
     rows, pairs = prints.count(), iter(_pair_counts(prints, masks, words))
     best: tuple[float, list] = (float("inf"), [])
-    for groups in choices:
+    for groups, more in choices:
         costs = []
         for _, group in groups:
             same = next(pairs)
             near = same + sum(max(0.0, next(pairs) - same) for _ in group)
             costs.append({-1: 0.0, 0: same + ROW_COST * 2.0 * rows, 1: near + ROW_COST * (2 + len(group) / 2) * rows})
         cost, thresholds = allocate(costs, sure - len(groups) + 1)
+        chosen = [(w, group, t) for (w, group), t in zip(groups, thresholds, strict=False)]
+        extra = [(w, group, next(pairs)) for w, group in more]
+        if words > 1 and thresholds:
+            near = differ.sum(1) <= LONG_DISTANCE
+            met = np.any([_met(differ, *p) for p in chosen], axis=0)
+            for w, group, same in extra:
+                if (met & near).mean() >= RECALL:
+                    break
+                met |= _met(differ, w, group, 0)
+                chosen.append((w, group, 0))
+                cost += same + ROW_COST * 2.0 * rows
         if thresholds and cost < best[0]:
-            best = cost, [(w, group, t) for (w, group), t in zip(groups, thresholds, strict=True)]
+            best = cost, chosen
     if not best[1]:
         raise ValueError(f"no partitions are sure to find {sure} bits")
     return best[1]
@@ -223,7 +304,7 @@ def _near_entries(part: int, keys: Column, check: Column) -> Column:
 
 
 def _entry(part: int, key: Column, near: bool, check: Column) -> Column:
-    return F.struct(F.lit(part).cast("tinyint").alias("part"), key.alias("key"), F.lit(near).alias("near"), check.alias("check"))
+    return F.struct(F.lit(part).cast("smallint").alias("part"), key.alias("key"), F.lit(near).alias("near"), check.alias("check"))
 
 
 def _entries(prints: DataFrame, partitions: list[tuple[int, list[int], int]], words: int) -> DataFrame:
@@ -249,19 +330,20 @@ def _apart(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b))
 
 
-def _verified(pairs: DataFrame, prints: DataFrame, words: int, distance: int) -> DataFrame:
-    """Those pairs (a, b) whose whole fingerprints are within ``distance``; one word is already checked whole."""
+def _verified(pairs: DataFrame, prints: DataFrame, words: int, distance: int, alike: Callable | None = None) -> DataFrame:
+    """Those pairs (a, b) whose whole fingerprints are within ``distance`` and that pass ``alike``; one word is already checked whole."""
     if words == 1:
         return pairs
     known = prints.select("node", "fp")
     pairs = materialize(pairs.distinct(), "candidates")
     both = pairs.join(known.toDF("a", "a_fp"), "a").join(known.toDF("b", "b_fp"), "b")
     apart = sum((_apart(F.col("a_fp")[k], F.col("b_fp")[k]) for k in range(words)), F.lit(0))
-    return both.where(apart <= distance).select("a", "b")
+    near = both.where(apart <= distance).select("a", "b")
+    return alike(near) if alike else near
 
 
-def print_groups(prints: DataFrame, words: int, sure: int, distance: int) -> DataFrame:
-    """node and root of every print (node, fp) that is linked to another.
+def print_groups(prints: DataFrame, words: int, sure: int, distance: int, alike: Callable | None = None) -> DataFrame:
+    """node and root of every print (node, fp) that is linked to another; ``alike`` keeps those near pairs (a, b) that link.
 
     Candidates meet in buckets, one per partition and key.  First every member of a bucket is held
     against one representative, which joins large groups at a cost in proportion to their size.
@@ -279,7 +361,7 @@ def print_groups(prints: DataFrame, words: int, sure: int, distance: int) -> Dat
     heads = heads.select("part", "key", "salt", F.col("head.node").alias("b"), F.col("head.check").alias("b_check"))
     salted = entries.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
     met = salted.join(heads, ["part", "key", "salt"]).where((F.col("node") != F.col("b")) & (_apart(F.col("check"), F.col("b_check")) <= look))
-    star = _verified(met.select(F.col("node").alias("a"), "b"), prints, words, distance)
+    star = _verified(met.select(F.col("node").alias("a"), "b"), prints, words, distance, alike)
     first = materialize(components(star, "a", "b"), "first-groups")
     rooted = materialize(prints.join(first, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")
     open_ = _entries(rooted, partitions, words)
@@ -298,7 +380,7 @@ def print_groups(prints: DataFrame, words: int, sure: int, distance: int) -> Dat
     if words == 1:
         bridges = across.select(F.col("a_root").alias("node"), F.col("b_root").alias("root"))
     else:
-        pairs = _verified(across.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")), prints, words, distance)
+        pairs = _verified(across.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")), prints, words, distance, alike)
         bridges = pairs.toDF("node", "root")
     return components(first.select("node", "root").union(bridges), "node", "root")
 
@@ -307,11 +389,12 @@ def simhash_groups(documents: DataFrame, shingle: int = 5, words: int = LONG_WOR
     """doc_id, fingerprint (16 hex digits a word) and component_id of every row of ``documents``.
 
     A-Z are lower-cased; shingles of ``shingle`` words, repeats included, are hashed by XXH64; a
-    bit is set if it is set in over half the hashes.  Documents link when their fingerprints of
-    ``words`` times 64 bits differ in at most ``distance`` bits; component_id is the smallest
-    doc_id reachable, itself included.  All links up to ``sure`` bits are found.  Beyond, up to
-    ``distance``, a link is found if any partition stays within its threshold: by default at a
-    similarity of 0.8 in nine of ten cases, at 0.9 in all but two of a thousand.  Long fingerprints
+    bit is set if it is set in over half the hashes.  Documents of one word of 64 bits link when
+    their fingerprints differ in at most ``distance`` bits, and all links up to ``sure`` bits are
+    found.  Longer fingerprints only find candidates: pairs within ``distance`` bits link when their
+    sets of shingles share SIMILARITY of their union or more, counted exactly.  A pair of just this
+    similarity is found with chance RECALL (of independent bits), a more similar one with a higher
+    chance.  component_id is the smallest doc_id reachable, itself included.  Long fingerprints
     go by a 64-bit hash; among 10^9 of them two share one with a chance of 3 %.
 
     Null and empty texts have fingerprint zero and link like any other.  Copies and repeated rows
@@ -321,9 +404,13 @@ def simhash_groups(documents: DataFrame, shingle: int = 5, words: int = LONG_WOR
     """
     node = F.col("fp")[0] if words == 1 else F.xxhash64("fp")
     docs = materialize(fingerprints(documents, shingle, words).withColumn("node", node), "fingerprints")
-    prints = docs.groupBy("node").agg(F.min("fp").alias("fp"), F.min("doc_id").alias("least"))
+    prints = docs.groupBy("node").agg(F.min("fp").alias("fp"), F.min("doc_id").alias("least"), F.min("text_key").alias("text_key"))
     prints = materialize(prints, "prints")
-    roots = print_groups(prints.select("node", "fp"), words, sure, distance)
+
+    def alike(pairs: DataFrame) -> DataFrame:
+        return _similar(pairs, documents, prints, shingle)
+
+    roots = print_groups(prints.select("node", "fp"), words, sure, distance, alike)
     rooted = materialize(prints.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root")), "roots")
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = materialize(rooted.join(smallest, "root").select("node", "component_id"), "named")

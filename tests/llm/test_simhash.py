@@ -78,6 +78,35 @@ def test_long_prints_find_similar_texts(spark):
     assert {r.doc_id: r.component_id for r in got} == {1: 1, 2: 1, 3: 3, 4: 4}
 
 
+def similar(a, b):
+    a, b = ({tuple(t[k : k + 5]) for k in range(len(t) - 4)} for t in (a, b))
+    return len(a & b) / len(a | b)
+
+
+@pytest.mark.parametrize("width", [16, 22])
+def test_recall_at_the_threshold(spark, monkeypatch, width):
+    """Pairs at 0.80-0.85 are found at the stated recall by either width; pairs under 0.80 never link."""
+    import random
+
+    monkeypatch.setitem(simhash.WIDTHS, simhash.LONG_WORDS, (width,))
+    draw = random.Random(width)
+    rows, over, under = [], [], []
+    while len(over) < 400 or len(under) < 200:
+        text = [f"w{draw.randrange(10**6)}" for _ in range(300)]
+        other = list(text)
+        for at in draw.sample(range(300), draw.randrange(6, 12)):
+            other[at] = f"x{draw.randrange(10**6)}"
+        share = similar(text, other)
+        chosen = over if 0.8 <= share <= 0.85 and len(over) < 400 else under if 0.7 <= share < 0.8 and len(under) < 200 else None
+        if chosen is not None:
+            chosen.append(len(rows))
+            rows += [(len(rows), " ".join(text)), (len(rows) + 1, " ".join(other))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.component_id for r in simhash.simhash_groups(frame).collect()}
+    assert sum(got[k + 1] == k for k in over) >= 0.98 * len(over)
+    assert not any(got[k + 1] == k for k in under)
+
+
 def test_crowded_buckets(spark, monkeypatch):
     """Large groups are joined by representatives, and what still links to them is found."""
     monkeypatch.setattr(simhash, "CROWD", 5)
