@@ -28,8 +28,9 @@ def _packed(docs: DataFrame, *also: str) -> DataFrame:
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told with some margin; null texts and texts without a letter go."""
     rows = _packed(docs, "doc_id", "lang", "text")
-    dictionaries = language_id.learn_dictionaries(rows, ~language_id.held_out(F.col("doc_id")))
-    told = language_id.identify(rows, dictionaries, ["doc"])
+    usable = ~language_id.held_out(F.col("doc_id"))
+    dictionaries = language_id.learn_dictionaries(rows, usable)
+    told = language_id.identify(rows, dictionaries, ["doc"], language_id.learn_margin(rows, usable, dictionaries))
     return told.where(~F.col("rejected")).select("doc.*")
 
 

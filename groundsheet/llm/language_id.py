@@ -17,8 +17,11 @@ UNKNOWN = "und"
 DOCS, PIECE = 400, 240
 #: A dictionary's bytes at most, the compression level, and the bytes compressed at a time.
 DICTIONARY_BYTES, LEVEL, BLOCK = 64 << 10, 6, 2000
-#: A text is rejected when the second-best language needs less than so much more, or under MIN_BYTES more.
-MARGIN, MIN_BYTES = 0.001, 1
+#: A text is rejected when the second-best language needs less than a learned share more, or under MIN_BYTES more.
+#: The share is this quantile of what texts to learn from have, MARGIN at least.
+QUANTILE, MARGIN, MIN_BYTES = 0.005, 0.001, 1
+#: Accuracy of that quantile's sketch.
+ACCURACY = 10_000
 
 
 def fold(texts: pa.Array) -> pa.Array:
@@ -55,10 +58,10 @@ def learn_dictionaries(documents: DataFrame, usable: Column) -> dict[str, bytes]
 class Classifier:
     """Compressed sizes of a text under each language's dictionary."""
 
-    def __init__(self, dictionaries: dict[str, bytes]):
+    def __init__(self, dictionaries: dict[str, bytes], margin: float = MARGIN):
         import zstandard
 
-        self.languages = list(dictionaries)
+        self.languages, self.margin = list(dictionaries), margin
         self._press = []
         for lang in self.languages:
             content = zstandard.ZstdCompressionDict(dictionaries[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
@@ -68,28 +71,49 @@ class Classifier:
             ).compress)
 
     def judge(self, folded: bytes) -> tuple[str, float, bool]:
-        """Language, score and rejection of a folded text.
+        """Language, score and rejection of a folded text."""
+        lang, score, gap, best = self.weigh(folded)
+        return lang, score, gap < max(MIN_BYTES, self.margin * best)
+
+    def weigh(self, folded: bytes) -> tuple[str, float, int, int]:
+        """Language, score, bytes that the second-best needs more, and bytes of the best.
 
         The whole text counts, block by block, so that a long text keeps drawing on the dictionary
         instead of on itself.  The score is the share of the best language when every byte more
         halves a language's weight twice, on texts of 100 bytes as on long ones.
         """
         if not folded.strip() or not self.languages:
-            return UNKNOWN, 0.0, True
+            return UNKNOWN, 0.0, 0, 0
         blocks = [folded[k : k + BLOCK] for k in range(0, len(folded), BLOCK)]
         sizes = [sum(len(press(block)) for block in blocks) for press in self._press]
         order = sorted(range(len(sizes)), key=lambda k: (sizes[k], k))
         best = sizes[order[0]]
         score = 1 / sum(math.exp((best - size) / (0.5 + 0.005 * best)) for size in sizes)
         gap = sizes[order[1]] - best if len(order) > 1 else best
-        return self.languages[order[0]], score, gap < max(MIN_BYTES, MARGIN * best)
+        return self.languages[order[0]], score, gap, best
 
 
-def identify(documents: DataFrame, dictionaries: dict[str, bytes], keys: list[str]) -> DataFrame:
-    """``keys``, lang_pred, score and rejected of every whole text."""
+def learn_margin(documents: DataFrame, usable: Column, dictionaries: dict[str, bytes]) -> float:
+    """QUANTILE of the share that the second-best language needs more, over all ``usable`` texts told rightly."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classifier = Classifier(dictionaries)
+        for batch in slices(batches):
+            found = [classifier.weigh(t.encode()) for t in fold(filled(batch)).to_pylist()]
+            right = [lang == told[0] for lang, told in zip(batch.column("lang").to_pylist(), found, strict=True)]
+            yield pa.RecordBatch.from_pydict({"share": pa.array([gap / best for ok, (_, _, gap, best) in zip(right, found, strict=True) if ok], pa.float64())})
+
+    rows = documents.where(usable & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    shares = rows.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).mapInArrow(run, "share double")
+    found = shares.agg(F.percentile_approx("share", F.lit(QUANTILE), F.lit(ACCURACY))).first()[0]
+    return MARGIN if found is None else max(MARGIN, found)
+
+
+def identify(documents: DataFrame, dictionaries: dict[str, bytes], keys: list[str], margin: float = MARGIN) -> DataFrame:
+    """``keys``, lang_pred, score and rejected of every whole text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classifier = Classifier(dictionaries, margin)
         for batch in slices(batches):
             found = [classifier.judge(t.encode()) for t in fold(filled(batch)).to_pylist()]
             langs, scores, rejected = zip(*found, strict=True)
@@ -112,7 +136,8 @@ def language_id(documents: DataFrame) -> DataFrame:
 
     Learned from text and non-null lang of rows that are not held out; a prediction reads the text
     alone.  ``lang_pred`` is the language whose dictionary gives the smallest output, the most
-    common one on a tie; ``rejected`` says that the second-best is too close, or nothing could be told.
+    common one on a tie; ``rejected`` says that the second-best is too close, or nothing could be told: closer than all but
+    QUANTILE of the texts to learn from have it.
     Null texts and texts without a letter, and all texts if no language was learned, are ``und``
     with score 0 and rejected.  A null doc_id keeps its row; repeated rows are judged alike; an
     empty table gives no rows.  Other columns are not read.
@@ -122,5 +147,6 @@ def language_id(documents: DataFrame) -> DataFrame:
         F.col("text").cast("string").alias("text"),
     )
     dictionaries = learn_dictionaries(docs, ~held_out(F.col("doc_id")))
-    told = identify(docs, dictionaries, ["doc_id"])
+    margin = learn_margin(docs, ~held_out(F.col("doc_id")), dictionaries)
+    told = identify(docs, dictionaries, ["doc_id"], margin)
     return told.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")

@@ -53,3 +53,20 @@ def test_held_out_accuracy(spark):
     held = [r.lang_pred == truth[r.doc_id] for r in rows if r.held_out]
     assert len(held) > 200 and sum(held) / len(held) > 0.96
     assert sum(r.rejected for r in rows) < 0.02 * len(rows)
+
+
+def test_unlearned_languages_and_noise_are_rejected(spark):
+    """Most texts of a language that was left out and of random letters go; texts of learned ones stay."""
+    import random
+
+    draw = random.Random(5)
+    docs = spark.read.parquet(f"{SF.replace('0.001', '0.01')}/documents.parquet").select("doc_id", "lang", "text")
+    left_out = docs.groupBy("lang").count().orderBy("count").first().lang
+    noise = [(-k - 1, None, " ".join("".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=draw.randrange(2, 10))) for _ in range(300))) for k in range(100)]
+    rows = docs.selectExpr("doc_id", f"nullif(lang, '{left_out}') as lang", "text").union(spark.createDataFrame(noise, docs.schema))
+    truth = {r.doc_id: r.lang for r in docs.collect()}
+    rejected = {r.doc_id: r.rejected for r in language_id.language_id(rows).collect()}
+    share = lambda some: sum(rejected[k] for k in some) / len(some)
+    assert share([k for k, lang in truth.items() if lang == left_out]) > 0.9
+    assert share([k for k in rejected if k < 0]) > 0.9
+    assert share([k for k, lang in truth.items() if lang not in (None, left_out)]) < 0.02
