@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundsheet.llm import chat, checks, language_id, mixing, neighbours, pieces, quality_model, quality_rules, simhash, token_files, url_rules
+from groundsheet.llm import chat, checks, chunk_recipes, language_id, mixing, neighbours, pieces, quality_model, quality_rules, simhash, token_files, url_rules
 from groundsheet.llm.texts import small_batches
 from groundsheet.operators.lineage import scratch_path
 
@@ -108,9 +108,16 @@ def op10_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+@query
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of equal texts of all documents."""
+    return chunk_recipes.exact_groups(_table(spark, sf_dir, "documents"))
+
+
 ORACLE |= {
     "op2_url_rules": checks.url_rules(URL_RULES),
     "op3_embedding_links": checks.EMBEDDING_LINKS,
     "op5_quality_rules": checks.quality(),
     "op9_chat_format": checks.CHAT,
+    "op11_exact_dedup": checks.EXACT_GROUPS,
 }
