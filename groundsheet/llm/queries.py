@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundsheet.llm import chat, checks, chunk_recipes, language_id, mixing, neighbours, pieces, quality_model, quality_rules, simhash, token_files, url_rules
+from groundsheet.llm import chat, checks, chunk_recipes, hard_negatives, language_id, mixing, neighbours, pieces, quality_model, quality_rules, simhash, token_files, url_rules
 from groundsheet.llm.texts import small_batches
 from groundsheet.operators.lineage import scratch_path
 
@@ -114,10 +114,17 @@ def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_recipes.exact_groups(_table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives for every hundredth vector against all vectors."""
+    return hard_negatives.hard_negatives(_table(spark, sf_dir, "embeddings"))
+
+
 ORACLE |= {
     "op2_url_rules": checks.url_rules(URL_RULES),
     "op3_embedding_links": checks.EMBEDDING_LINKS,
     "op5_quality_rules": checks.quality(),
     "op9_chat_format": checks.CHAT,
     "op11_exact_dedup": checks.EXACT_GROUPS,
+    "op12_hard_negatives": checks.HARD_NEGATIVES,
 }
