@@ -154,3 +154,31 @@ FROM near JOIN scored USING (anchor_id)
 WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
 QUALIFY rank <= 10
 """
+
+
+PREFIX_TRIE = r"""
+WITH named AS (
+  SELECT conv_id, turn, left(sha256(length(r) || ':' || r || t), 32) AS id, len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) AS words
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t FROM conversations WHERE conv_id IS NOT NULL)),
+own AS (
+  SELECT conv_id, list({'id': id, 'words': words} ORDER BY turn NULLS FIRST, id) AS turns, conv_id - conv_id % 20 AS family,
+    xor(list_reduce(
+      list_concat([4294967295::BIGINT], list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+      lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], range(8)), lambda c, k:
+        CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END)), 4294967295::BIGINT) % 4 AS h
+  FROM named GROUP BY conv_id),
+rebuilt AS (
+  SELECT o.conv_id, list_concat(coalesce(f.turns[1:o.h], []), o.turns[o.h + 1:]) AS turns FROM own o LEFT JOIN own f ON f.conv_id = o.family),
+steps AS (SELECT conv_id, unnest(range(0, len(turns) + 1)) AS d, turns FROM rebuilt),
+nodes AS (
+  SELECT list_transform(turns[1:d], lambda x: x.id) AS p, d AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         any_value(CASE WHEN d > 0 THEN turns[d].words ELSE 0 END) AS words,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE d = len(turns)), '')) AS ends_sha256
+  FROM steps GROUP BY ALL),
+kids AS (SELECT p[1:depth - 1] AS p, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+told AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN kids USING (p)),
+above AS (SELECT p[1:k] AS p, n_children, n_convs, words FROM (SELECT *, unnest(range(0, depth + 1)) AS k FROM told)),
+sums AS (SELECT p, sum((n_children = 0)::INTEGER)::BIGINT AS n_leaves, sum((n_convs - 1) * words)::BIGINT AS saved_tokens FROM above GROUP BY 1)
+SELECT t.conv_id, t.depth::BIGINT AS depth, u.conv_id AS parent_conv_id, t.n_convs, t.n_children, n_leaves, saved_tokens, t.ends_sha256
+FROM told t JOIN sums USING (p) LEFT JOIN nodes u ON t.depth > 0 AND u.p = t.p[1:t.depth - 1]
+"""

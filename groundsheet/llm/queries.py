@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundsheet.llm import chat, checks, chunk_recipes, hard_negatives, language_id, mixing, neighbours, pieces, quality_model, quality_rules, simhash, token_files, url_rules
+from groundsheet.llm import burst_trie, chat, checks, chunk_recipes, hard_negatives, language_id, mixing, neighbours, pieces, quality_model, quality_rules, simhash, token_files, url_rules
 from groundsheet.llm.texts import small_batches
 from groundsheet.operators.lineage import scratch_path
 
@@ -120,6 +120,12 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negatives(_table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the trie of all rebuilt conversations."""
+    return burst_trie.prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
 ORACLE |= {
     "op2_url_rules": checks.url_rules(URL_RULES),
     "op3_embedding_links": checks.EMBEDDING_LINKS,
@@ -127,4 +133,5 @@ ORACLE |= {
     "op9_chat_format": checks.CHAT,
     "op11_exact_dedup": checks.EXACT_GROUPS,
     "op12_hard_negatives": checks.HARD_NEGATIVES,
+    "op13_prefix_trie": checks.PREFIX_TRIE,
 }
