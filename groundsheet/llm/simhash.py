@@ -27,8 +27,6 @@ WIDTHS = {1: (32, 22, 16), LONG_WORDS: (16, 22)}
 ROW_COST = 20
 #: Counters of one pair-count sketch; its standard error is 6 %.
 COUNTERS = 512
-#: Members of a bucket meet its representative on so many salts.
-SALTS = 8
 #: Long fingerprints that meet are first held against each other in one other word: unlike ones
 #: differ in 32 of its 64 bits, give or take 4, those within LONG_DISTANCE in 10, give or take 3.
 FIRST_LOOK = 20
@@ -357,10 +355,9 @@ def print_groups(prints: DataFrame, words: int, sure: int, distance: int, alike:
     heads = entries.groupBy("part", "key").agg(
         F.min_by(F.struct("node", "check"), F.when(~F.col("near"), F.col("node"))).alias("head"), F.count("*").alias("n")
     )
-    heads = heads.where("n > 1 and head is not null").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    heads = heads.select("part", "key", "salt", F.col("head.node").alias("b"), F.col("head.check").alias("b_check"))
-    salted = entries.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
-    met = salted.join(heads, ["part", "key", "salt"]).where((F.col("node") != F.col("b")) & (_apart(F.col("check"), F.col("b_check")) <= look))
+    heads = heads.where("n > 1 and head is not null").select("part", "key", F.col("head.node").alias("b"), F.col("head.check").alias("b_check"))
+    # One row a bucket on this side; a crowded bucket's members are split by adaptive execution.
+    met = entries.join(heads, ["part", "key"]).where((F.col("node") != F.col("b")) & (_apart(F.col("check"), F.col("b_check")) <= look))
     star = _verified(met.select(F.col("node").alias("a"), "b"), prints, words, distance, alike)
     first = materialize(components(star, "a", "b"), "first-groups")
     rooted = materialize(prints.join(first, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")
