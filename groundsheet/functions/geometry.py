@@ -170,6 +170,12 @@ def line_from_vertices(vertices: Column) -> Column:
     return from_wkt(F.when(F.size(vertices) >= 2, text))
 
 
+def line_through(*points) -> Column:
+    """Line through two or more points in their order; null points are left out."""
+    spots = F.filter(F.array(*(_col(p) for p in points)), lambda g: g.isNotNull())
+    return line_from_vertices(F.transform(spots, lambda g: F.struct(x(g).alias("x"), y(g).alias("y"))))
+
+
 def collection(members: Column) -> Column:
     """GEOMETRYCOLLECTION from ``array<binary>`` by joining the encoded members."""
     count = F.lpad(F.hex(F.size(members)), 8, "0")

@@ -71,6 +71,15 @@ def _seq(items):
     return _java("scala.jdk.javaapi.CollectionConverters").asScala(out).toSeq()
 
 
+def _jvm_array(parts: list):
+    """Java array of objects."""
+    context = SparkContext._active_spark_context
+    array = context._gateway.new_array(_jvm().java.lang.Object, len(parts))
+    for k, part in enumerate(parts):
+        array[k] = part
+    return array
+
+
 @_once
 def _object(name: str):
     return _java("org.apache.spark.sql.types.ObjectType")(_class(name))
@@ -105,6 +114,13 @@ def column(expression) -> Column:
     return type(F.lit(None))(jc)
 
 
+def alias(expression, name: str, qualifier) -> Column:
+    """The expression under a name and the qualifiers (a sequence) by which a query may call it."""
+    owner = _java("org.apache.spark.sql.catalyst.expressions")
+    number = getattr(_java("org.apache.spark.sql.catalyst.expressions.NamedExpression$"), "MODULE$").newExprId()
+    return column(owner.Alias(expression, name, number, qualifier, _none(), _seq([])))
+
+
 def invoke(target, method: str, returns: str, *args):
     """Call ``target.method(*args)``; any null gives null."""
     return _call("Invoke")(target, method, _type(returns), _seq(args), _seq([]), True, True, True)

@@ -38,6 +38,9 @@ NAMES: dict[str, Callable[..., Column]] = {
     "ST_MakeEnvelope": lambda *corners: G.envelope(*(c.cast("double") for c in corners)),
     "ST_GeomFromText": G.from_wkt,
     "ST_GeomFromGeoJSON": G.from_geojson,
+    "ST_GeomFromWKB": lambda wkb: wkb.cast("binary"),
+    "ST_AsWKB": lambda g: g.cast("binary"),
+    "ST_GeometryType": G.kind,
     "ST_AsText": G.as_wkt,
     "ST_AsGeoJSON": G.as_geojson,
     "ST_X": lambda g: G.x(F.when(G.kind(g) == "POINT", g)),
@@ -70,27 +73,30 @@ NAMES: dict[str, Callable[..., Column]] = {
     "ST_Union": G.union,
     "ST_Difference": G.difference,
     "ST_Union_Agg": lambda g: G.union_members(F.collect_list(g)),
+    "ST_MakeLine": G.line_through,
+    "ST_Collect": lambda g: G.collection(F.collect_list(g)),
+    "ST_Extent": lambda g: G.envelope(*(f(G.bounds(g)[k]) for f, k in ((F.min, "xmin"), (F.min, "ymin"), (F.max, "xmax"), (F.max, "ymax")))),
     "ST_Transform": lambda g, source, target: project.transform_geometry(g, _code(source), _code(target)),
 }
-_BY_NAME = {name.lower(): use for name, use in NAMES.items()}
+BY_NAME = {name.lower(): use for name, use in NAMES.items()}
 _TREE = "org.apache.spark.sql.catalyst.trees.TreeNode"
+_PLAN = "org.apache.spark.sql.catalyst.plans.logical.LogicalPlan"
 
 
 def _is_a(value: JavaObject, name: str) -> bool:
     return jts._class(name).isInstance(value)
 
 
-def _resolved(spark: SparkSession, node: JavaObject) -> JavaObject:
-    """The tree with every geometry name resolved."""
+def resolved(spark: SparkSession, node: JavaObject) -> JavaObject:
+    """The tree with every geometry name resolved; plans that Spark has already analysed pass as they are."""
+    if _is_a(node, _PLAN) and node.analyzed():
+        return node
     parts = [node.productElement(k) for k in range(node.productArity())]
-    mapped = [_mapped(spark, p) for p in parts]
-    if any(new is not old for new, old in zip(mapped, parts, strict=True)):
-        array = spark._sc._gateway.new_array(spark._jvm.java.lang.Object, len(mapped))
-        for k, part in enumerate(mapped):
-            array[k] = part
-        node = node.makeCopy(array)
+    new = [mapped(spark, p, resolved) for p in parts]
+    if any(a is not b for a, b in zip(new, parts, strict=True)):
+        node = node.makeCopy(jts._jvm_array(new))
     if node.getClass().getSimpleName() == "UnresolvedFunction":
-        use = _BY_NAME.get(node.nameParts().last().lower())
+        use = BY_NAME.get(node.nameParts().last().lower())
         if use is not None:
             given = node.arguments()
             columns = [jts.column(given.apply(k)) for k in range(given.size())]
@@ -101,22 +107,22 @@ def _resolved(spark: SparkSession, node: JavaObject) -> JavaObject:
     return node
 
 
-def _mapped(spark: SparkSession, part):
-    """A part of a node: trees are resolved; sequences, options and tuples are searched for trees."""
+def mapped(spark: SparkSession, part, change: Callable[[SparkSession, JavaObject], JavaObject]):
+    """A part of a node: trees are changed; sequences, options and tuples are searched for trees."""
     if not isinstance(part, JavaObject):
         return part
     if _is_a(part, _TREE):
-        return _resolved(spark, part)
+        return change(spark, part)
     if _is_a(part, "scala.collection.immutable.Seq"):
         items = [part.apply(k) for k in range(part.size())]
-        new = [_mapped(spark, i) for i in items]
+        new = [mapped(spark, i, change) for i in items]
         return jts._seq(new).toList() if any(a is not b for a, b in zip(new, items, strict=True)) else part
     if _is_a(part, "scala.Some"):
-        new = _mapped(spark, inner := part.get())
+        new = mapped(spark, inner := part.get(), change)
         return part if new is inner else spark._jvm.scala.Some(new)
     if _is_a(part, "scala.Tuple2") or _is_a(part, "scala.Tuple3"):
         items = [part.productElement(k) for k in range(part.productArity())]
-        new = [_mapped(spark, i) for i in items]
+        new = [mapped(spark, i, change) for i in items]
         make = spark._jvm.scala.Tuple2 if len(items) == 2 else spark._jvm.scala.Tuple3
         return make(*new) if any(a is not b for a, b in zip(new, items, strict=True)) else part
     return part
@@ -126,12 +132,20 @@ def _parser(spark: SparkSession):
     return spark._jsparkSession.sessionState().sqlParser()
 
 
-def query(spark: SparkSession, sql: str) -> DataFrame:
-    """The result of one query whose text may use geometry names."""
-    plan = _resolved(spark, _parser(spark).parsePlan(sql))
+def parsed(spark: SparkSession, sql: str) -> JavaObject:
+    """Spark's plan of a text, before analysis."""
+    return _parser(spark).parsePlan(sql)
+
+
+def frame(spark: SparkSession, plan: JavaObject) -> DataFrame:
     return DataFrame(spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(spark._jsparkSession, plan), spark)
 
 
+def query(spark: SparkSession, sql: str) -> DataFrame:
+    """The result of one query whose text may use geometry names; joins stay as Spark plans them."""
+    return frame(spark, resolved(spark, parsed(spark, sql)))
+
+
 def expression(spark: SparkSession, text: str) -> Column:
     """A filter or value whose text may use geometry names."""
-    return jts.column(_resolved(spark, _parser(spark).parseExpression(text)))
+    return jts.column(resolved(spark, _parser(spark).parseExpression(text)))

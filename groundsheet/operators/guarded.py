@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from groundsheet.functions import sqlnames
 from groundsheet.layer import Layer
-from groundsheet.operators import guard
+from groundsheet.operators import guard, sqljoins
 
 
 @dataclass
@@ -83,5 +83,5 @@ def spatial_sql(
     items = list(attach_layers)
     guard.check_query(spark, sql, {i.table for i in items})
     attached = [attach(spark, i) for i in items]
-    whole = sqlnames.query(spark, sql)
+    whole = sqljoins.query(spark, sql)
     return SqlResult(whole if max_rows is None else whole.limit(max_rows), whole, attached, max_rows)

@@ -26,7 +26,7 @@ from groundsheet.functions import geometry as G
 from groundsheet.operators import lineage
 
 BASE = 4.0
-FINEST, COARSEST = -20, 20
+FINEST = -20
 HOT_ROWS = 2_000_000
 SALT_LIMIT = 4096
 HOT_CELLS = 20_000
@@ -44,10 +44,10 @@ def of(side: str, name: str) -> Column:
     return F.col(f"{side}__{name}")
 
 
-def _level(width: Column, height: Column) -> Column:
+def level(width: Column, height: Column) -> Column:
     side = F.greatest(width, height, F.lit(BASE**FINEST))
-    level = F.ceil(F.log(BASE, side)).cast("int")
-    return F.greatest(F.lit(FINEST), F.least(F.lit(COARSEST), level))
+    found = F.ceil(F.log(BASE, side)).cast("int")
+    return F.greatest(F.lit(FINEST), found)
 
 
 def _side(df: DataFrame, mark: str, box: tuple, grow: float) -> DataFrame:
@@ -68,18 +68,18 @@ def _side(df: DataFrame, mark: str, box: tuple, grow: float) -> DataFrame:
         F.col(f"{mark}_x1") - F.col(f"{mark}_x0"),
         F.col(f"{mark}_y1") - F.col(f"{mark}_y0"),
     )
-    return out.withColumn(f"{mark}_own", _level(*size))
+    return out.withColumn(f"{mark}_own", level(*size))
 
 
-def _levels(side: DataFrame, mark: str) -> DataFrame:
-    return side.groupBy(F.lit(mark).alias("side"), F.col(f"{mark}_own").alias("own")).count()
+def _levels(side: DataFrame, name: str, mark: str) -> DataFrame:
+    return side.groupBy(F.lit(name).alias("side"), F.col(f"{mark}_own").alias("own")).count()
 
 
-def _measure(left: DataFrame | None, right: DataFrame) -> dict[str, dict[int, int]]:
-    """Rows per level of each side, in one job; at most 41 values per side reach the driver."""
-    found = _levels(right, "b")
+def measured(left: DataFrame | None, right: DataFrame, a: str = "a", b: str = "b") -> dict[str, dict[int, int]]:
+    """Rows per level of each side, in one job; as many values reach the driver as sizes differ by factors of four."""
+    found = _levels(right, "b", b)
     if left is not None:
-        found = found.union(_levels(left, "a"))
+        found = found.union(_levels(left, "a", a))
     out: dict[str, dict[int, int]] = {"a": {}, "b": {}}
     for r in found.collect():
         out[r["side"]][r["own"]] = r["count"]
@@ -94,19 +94,22 @@ def _in_cells(side: DataFrame, mark: str, other_levels: set[int]) -> DataFrame:
     levels = F.when(own >= F.lit(known[0]), F.array(own)).otherwise(F.array().cast("array<int>"))
     coarser = F.filter(F.array(*[F.lit(v) for v in known]), lambda v: v > own)
     levels = F.concat(levels, coarser)
-    out = side.withColumn("level", F.explode(levels))
-    cell = F.pow(F.lit(BASE), F.col("level").cast("double"))
+    out = side.withColumn(f"{mark}_level", F.explode(levels))
+    cell = F.pow(F.lit(BASE), F.col(f"{mark}_level").cast("double"))
 
     def span(lo: str, hi: str) -> Column:
         first = F.floor(F.col(f"{mark}_{lo}") / cell)
         return F.sequence(first, F.greatest(first, F.floor(F.col(f"{mark}_{hi}") / cell)))
 
-    return out.withColumn("cx", F.explode(span("x0", "x1"))).withColumn(
-        "cy", F.explode(span("y0", "y1"))
-    )
+    out = out.withColumn(f"{mark}_cx", F.explode(span("x0", "x1")))
+    return out.withColumn(f"{mark}_cy", F.explode(span("y0", "y1")))
+
 
+def _cell_names(mark: str) -> list[str]:
+    return [f"{mark}_{k}" for k in ("level", "cx", "cy")]
 
-def _hot(rows: int, cells: DataFrame, hot_rows: int) -> dict[tuple, int]:
+
+def _hot(rows: int, cells: DataFrame, mark: str, hot_rows: int) -> dict[tuple, int]:
     """Salts per overfull cell; at most HOT_CELLS of the fullest come to the driver.
 
     Rows of cells beyond that list still join, on one reducer per cell or split by
@@ -115,44 +118,58 @@ def _hot(rows: int, cells: DataFrame, hot_rows: int) -> dict[tuple, int]:
     """
     if rows <= hot_rows:
         return {}
-    counts = cells.groupBy("level", "cx", "cy").count().where(F.col("count") > hot_rows)
+    counts = cells.groupBy(*_cell_names(mark)).count().where(F.col("count") > hot_rows)
     rows = counts.orderBy(F.desc("count")).limit(HOT_CELLS).collect()
-    return {
-        (r["level"], r["cx"], r["cy"]): min(SALT_LIMIT, math.ceil(r["count"] / hot_rows))
-        for r in rows
-    }
+    return {tuple(r[:3]): min(SALT_LIMIT, math.ceil(r["count"] / hot_rows)) for r in rows}
 
 
-def _salt_count(df: DataFrame, hot: dict[tuple, int], name: str) -> DataFrame:
+def _salt_count(df: DataFrame, mark: str, hot: dict[tuple, int], name: str) -> DataFrame:
     """Number of salts of the row's cell, from the bounded list."""
     if not hot:
         return df.withColumn(name, F.lit(1))
-    spark = df.sparkSession
-    table = spark.createDataFrame(
-        [(*k, v) for k, v in hot.items()], f"level int, cx long, cy long, {name} int"
-    )
+    level, cx, cy = _cell_names(mark)
+    table = df.sparkSession.createDataFrame([(*k, v) for k, v in hot.items()], f"{level} int, {cx} long, {cy} long, {name} int")
     # at most HOT_CELLS rows of four numbers
-    joined = df.join(F.broadcast(table), ["level", "cx", "cy"], "left")
+    joined = df.join(F.broadcast(table), [level, cx, cy], "left")
     return joined.withColumn(name, F.coalesce(name, F.lit(1)))
 
 
-def _salted(a: DataFrame, b: DataFrame, hot_a: dict, hot_b: dict) -> tuple[DataFrame, DataFrame]:
-    """Deal the rows of hot cells over (a salt, b salt) combinations."""
-    if not hot_a and not hot_b:
-        return a.withColumns({"sa": F.lit(0), "sb": F.lit(0)}), b.withColumns(
-            {"sa": F.lit(0), "sb": F.lit(0)}
-        )
+def _deal(df: DataFrame, mark: str, mine: str, theirs: str, hot: tuple[dict, dict]) -> DataFrame:
+    """Deal the rows of hot cells over salts of their own and repeat them for those of the other side."""
+    if not any(hot):
+        return df.withColumns({f"{mark}_s0": F.lit(0), f"{mark}_s1": F.lit(0)})
+    names = df.columns
+    spread = F.xxhash64(*[F.col(f"`{c}`") for c, t in df.dtypes if names.count(c) == 1 and "map<" not in t and t != "variant"])
+    df = _salt_count(_salt_count(df, mark, hot[0], f"{mark}_n0"), mark, hot[1], f"{mark}_n1")
+    df = df.withColumn(f"{mark}_s{mine}", F.pmod(spread, F.col(f"{mark}_n{mine}")).cast("int"))
+    repeat = F.sequence(F.lit(0), F.col(f"{mark}_n{theirs}") - 1)
+    return df.withColumn(f"{mark}_s{theirs}", F.explode(repeat)).drop(f"{mark}_n0", f"{mark}_n1")
 
-    def deal(df: DataFrame, mark: str, mine: str, theirs: str) -> DataFrame:
-        df = _salt_count(_salt_count(df, hot_a, "na"), hot_b, "nb")
-        spread = F.xxhash64(
-            *[c for c, t in df.dtypes if c.startswith(f"{mark}_") and "map<" not in t and t != "variant"]
-        )
-        df = df.withColumn(f"s{mine}", F.pmod(spread, F.col(f"n{mine}")).cast("int"))
-        repeat = F.sequence(F.lit(0), F.col(f"n{theirs}") - 1)
-        return df.withColumn(f"s{theirs}", F.explode(repeat)).drop("na", "nb")
 
-    return deal(a, "a", "a", "b"), deal(b, "b", "b", "a")
+def cell_join(left: DataFrame, right: DataFrame, a: str, b: str, levels: dict[str, dict[int, int]], hot_rows: int) -> DataFrame:
+    """Pairs of rows whose boxes meet, each once, with all columns of both sides.
+
+    ``a`` and ``b`` are the marks of the sides' box columns (``{mark}_x0`` to ``{mark}_y1``) and level
+    (``{mark}_own``); columns are found by these names alone, so others may clash.
+    """
+    # an empty side: the join below finds nothing on any level
+    left_levels, right_levels = (set(levels[m]) or {FINEST} for m in "ab")
+    left, right = _in_cells(left, a, right_levels), _in_cells(right, b, left_levels)
+    hot = tuple(_hot(sum(levels[m].values()), cells, mark, hot_rows) for m, cells, mark in (("a", left, a), ("b", right, b)))
+    left, right = _deal(left, a, "0", "1", hot), _deal(right, b, "1", "0", hot)
+
+    def both(name: str) -> tuple[Column, Column]:
+        return F.col(f"{a}_{name}"), F.col(f"{b}_{name}")
+
+    cell = F.pow(F.lit(BASE), F.col(f"{a}_level").cast("double"))
+    on = F.col(f"{a}_level") == F.greatest(*both("own"))
+    for name in ("level", "cx", "cy", "s0", "s1"):
+        mine, other = both(name)
+        on = on & (mine == other)
+    for axis in "xy":
+        on = on & (F.col(f"{a}_{axis}0") <= F.col(f"{b}_{axis}1")) & (F.col(f"{a}_{axis}1") >= F.col(f"{b}_{axis}0"))
+        on = on & (F.col(f"{a}_c{axis}") == F.floor(F.greatest(*both(f"{axis}0")) / cell))
+    return left.join(right, on)
 
 
 def box_pairs(
@@ -171,31 +188,11 @@ def box_pairs(
     left = _side(a, "a", a_box, 0.0)
     right = _side(b, "b", b_box, grow)
     points = a_box[0] == a_box[2] and a_box[1] == a_box[3]
-    measured = _measure(None if points else left, right)
+    levels = measured(None if points else left, right)
     if points:
         # a point layer has one level, the finest; a stored one is counted from its footers
-        measured["a"] = {FINEST: a.count()}
-    # an empty side: the join below finds nothing on any level
-    left_levels, right_levels = (set(measured[m]) or {FINEST} for m in "ab")
-    left = _in_cells(left, "a", right_levels)
-    right = _in_cells(right, "b", left_levels)
-    hot_a, hot_b = (
-        _hot(sum(measured[m].values()), cells, hot_rows) for m, cells in (("a", left), ("b", right))
-    )
-    left, right = _salted(left, right, hot_a, hot_b)
-
-    cell = F.pow(F.lit(BASE), F.col("a.level").cast("double"))
-    corner_x = F.floor(F.greatest("a_x0", "b_x0") / cell)
-    corner_y = F.floor(F.greatest("a_y0", "b_y0") / cell)
-    same_cell = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in ("level", "cx", "cy", "sa", "sb")]
-    on = (
-        same_cell[0] & same_cell[1] & same_cell[2] & same_cell[3] & same_cell[4]
-        & (F.col("a.level") == F.greatest("a_own", "b_own"))
-        & (F.col("a_x0") <= F.col("b_x1")) & (F.col("a_x1") >= F.col("b_x0"))
-        & (F.col("a_y0") <= F.col("b_y1")) & (F.col("a_y1") >= F.col("b_y0"))
-        & (F.col("a.cx") == corner_x) & (F.col("a.cy") == corner_y)
-    )
-    return left.alias("a").join(right.alias("b"), on).select(
+        levels["a"] = {FINEST: a.count()}
+    return cell_join(left, right, "a", "b", levels, hot_rows).select(
         *[f"a__{c}" for c in a.columns],
         *[f"b__{c}" for c in b.columns],
         *[f"{m}_{c}" for m in "ab" for c in ("x0", "y0", "x1", "y1")],

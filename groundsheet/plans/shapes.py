@@ -41,7 +41,7 @@ def shape(name: str, sql: str, oracle: str | None = None, layers: tuple[str, ...
 
 
 shape(
-    "e1_spatial_sql",
+    "e1_guarded_sql",
     """select z.name as zone, count(*) as sites, round(sum(s.acctbal), 2) as balance
        from sites s join zones z on z.x0 = cast(floor((s.lon + 180) / 72) * 72 - 180 as double)
          and z.y0 = cast(floor((s.lat + 80) / 32) * 32 - 80 as double)
@@ -49,6 +49,58 @@ shape(
     layers=("sites", "zones"),
 )
 
+# Web Mercator written out, for the check
+_METRES = "6378137 * radians({p}.lon) as mx, 6378137 * ln(tan(pi() / 4 + radians({p}.lat) / 2)) as my"
+
+shape(
+    "e1_spatial_sql",
+    """select s.id as id, d.id as depot, s.name as name from sites s join depots d
+         on ST_DWithin(ST_Transform(ST_Point(s.lon, s.lat), 'EPSG:4326', 'EPSG:3857'),
+                       ST_Transform(ST_Point(d.lon, d.lat), 'EPSG:4326', 'EPSG:3857'), 400000)
+       where s.acctbal > d.acctbal""",
+    f"""select s.id as id, d.id as depot, s.name as name
+        from (select *, {_METRES.format(p="sites")} from sites) s
+        join (select *, {_METRES.format(p="depots")} from depots) d
+          on sqrt((s.mx - d.mx) * (s.mx - d.mx) + (s.my - d.my) * (s.my - d.my)) <= 400000
+        where s.acctbal > d.acctbal""",
+    layers=("sites", "depots"),
+)
+
+shape(
+    "e1_buffer_join",
+    """with b as (select id, ST_Buffer(ST_Point(lon, lat), 2.995) as buf from depots)
+       select b.id as id, z.id as zone, z.name as name
+       from b join zones z on ST_Intersects(b.buf, ST_MakeEnvelope(z.x0, z.y0, z.x1, z.y1))""",
+    """with b as (select * from depots),
+       far as (select b.id as id, z.id as zone, z.name as name,
+                      greatest(z.x0 - lon, lon - z.x1, 0) as dx, greatest(z.y0 - lat, lat - z.y1, 0) as dy from b, zones z)
+       select id, zone, name from far where sqrt(dx * dx + dy * dy) <= 2.995""",
+    layers=("depots", "zones"),
+)
+
+shape(
+    "e1_outer_join",
+    """select d.id as id, f.id as footprint, f.segment as segment
+       from depots d left join footprints f
+         on ST_Intersects(ST_MakeEnvelope(f.x0, f.y0, f.x1, f.y1), ST_Point(d.lon, d.lat)) and f.segment <> 'BUILDING'""",
+    """select d.id as id, f.id as footprint, f.segment as segment
+       from depots d left join footprints f on d.lon between f.x0 and f.x1 and d.lat between f.y0 and f.y1 and f.segment <> 'BUILDING'""",
+    layers=("depots", "footprints"),
+)
+
+shape(
+    "e2_sql_collecting_names",
+    """select segment, ST_GeometryType(ST_Collect(ST_Point(x0, y0))) as kind, ST_NPoints(ST_Collect(ST_Point(x0, y0))) as points,
+         ST_XMin(ST_Extent(ST_MakeEnvelope(x0, y0, x1, y1))) as west, ST_YMax(ST_Extent(ST_MakeEnvelope(x0, y0, x1, y1))) as north,
+         round(sum(ST_Length(ST_MakeLine(ST_Point(x0, y0), ST_Point(x1, y1)))), 4) as diagonals,
+         round(sum(ST_Area(ST_GeomFromWKB(ST_AsWKB(ST_MakeEnvelope(x0, y0, x1, y1))))), 4) as area
+       from footprints group by segment""",
+    """select segment, 'GEOMETRYCOLLECTION' as kind, cast(count(*) as int) as points, min(x0) as west, max(y1) as north,
+         round(sum(sqrt((x1-x0)*(x1-x0)+(y1-y0)*(y1-y0))), 4) as diagonals, round(sum((x1-x0)*(y1-y0)), 4) as area
+       from footprints group by segment""",
+    layers=("footprints",),
+)
+
 shape(
     "p1_projection",
     """select distinct l_returnflag as flag, upper(l_linestatus) as status,
