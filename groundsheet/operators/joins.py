@@ -17,6 +17,8 @@ salts, the other side's rows are repeated for each salt.
 from __future__ import annotations
 
 import math
+from functools import partial
+from operator import gt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -358,32 +360,48 @@ def distance_pairs(
     *,
     a_key: str,
     b_key: str,
-    a_xy: tuple[str, str],
-    b_xy: tuple[str, str],
+    a_xy: tuple[str, str] | None = None,
+    b_xy: tuple[str, str] | None = None,
+    a_geom: str = "geom",
+    b_geom: str = "geom",
 ) -> DataFrame:
     """Distance between the named features of each row of ``pairs``.
 
     ``pairs`` holds the columns ``a_key`` and ``b_key``; both lookups are equi-joins.
-    Adds ``distance`` (coordinate units) and ``metres`` (great circle, for degrees).
+    Adds ``distance`` (coordinate units) and, between point layers, ``metres`` (great
+    circle, for degrees).  A side without coordinate columns is a layer of shapes.
     """
-    left = a.select(F.col(a_key), F.col(a_xy[0]).alias("ax"), F.col(a_xy[1]).alias("ay"))
-    right = b.select(F.col(b_key), F.col(b_xy[0]).alias("bx"), F.col(b_xy[1]).alias("by"))
+    left = a.select(F.col(a_key), *_placed(a_xy, a_geom, "a"))
+    right = b.select(F.col(b_key), *_placed(b_xy, b_geom, "b"))
     both = pairs.join(left, a_key).join(right, b_key)
-    dx, dy = F.col("ax") - F.col("bx"), F.col("ay") - F.col("by")
-    return both.withColumns(
-        {
-            "distance": F.sqrt(dx * dx + dy * dy),
-            "metres": G.haversine("ax", "ay", "bx", "by"),
-        }
-    ).drop("ax", "ay", "bx", "by")
+    added = {"distance": _apart(a_xy, b_xy)}
+    if a_xy and b_xy:
+        added["metres"] = G.haversine("ax", "ay", "bx", "by")
+    return both.withColumns(added).drop("ax", "ay", "bx", "by", "ag", "bg")
+
+
+def _placed(xy: tuple[str, str] | None, geom: str, mark: str) -> list[Column]:
+    """What a side's distances are worked out from: two numbers of a point, or the shape."""
+    if xy:
+        return [F.col(c).cast("double").alias(f"{mark}{axis}") for c, axis in zip(xy, "xy", strict=True)]
+    return [F.col(geom).alias(f"{mark}g")]
+
+
+def _apart(a_xy: tuple[str, str] | None, b_xy: tuple[str, str] | None) -> Column:
+    if a_xy and b_xy:
+        dx, dy = F.col("ax") - F.col("bx"), F.col("ay") - F.col("by")
+        return F.sqrt(dx * dx + dy * dy)
+    one, other = (G.point(F.col(f"{m}x"), F.col(f"{m}y")) if xy else F.col(f"{m}g") for m, xy in (("a", a_xy), ("b", b_xy)))
+    return G.distance(one, other)
 
 
 # --- nearest neighbours ---------------------------------------------------------------
 
-FAN = 8  # children per axis and step of the cell pyramid
+FAN = 4  # children of a cell, split at quantiles of its longer axis
 LEAF_ROWS = 16
-LEAF_LIMIT = 4096
-MAX_STEPS = 8
+BROADCAST_DEPTH = 6  # at most FAN ** 6 = 4,096 summary rows by construction
+SAMPLE = 1 << 15  # places, give or take the draw's noise, on which the upper levels are cut
+SLACK = 1 + 1e-9  # of bounds, against rounding in the exact distance of shapes
 
 
 def nearest(
@@ -393,155 +411,166 @@ def nearest(
     *,
     a_key: str = "id",
     b_key: str = "id",
-    a_xy: tuple[str, str] = ("lon", "lat"),
-    b_xy: tuple[str, str] = ("lon", "lat"),
+    a_xy: tuple[str, str] | None = ("lon", "lat"),
+    b_xy: tuple[str, str] | None = ("lon", "lat"),
+    a_geom: str = "geom",
+    b_geom: str = "geom",
     prefix: str = "b_",
 ) -> DataFrame:
     """The ``k`` nearest rows of b for each row of a, exact, ties by ``b_key``.
 
-    b is summarized as a pyramid of cells holding a row count and a tight box.  Each row
-    of a walks down the pyramid keeping only cells that can still hold one of its k
-    nearest: the k-th smallest *farthest* distance (weighted by counts) bounds the
-    answer, and cells whose *nearest* distance exceeds it are dropped.  A crowded city
-    far from a row is therefore one summary entry, not millions of candidates, and rows
-    of b at one location are cut to the k first keys, which is all a result can need.
+    A side without coordinate columns (``a_xy=None``) is a layer of points, lines or
+    polygons.  Keys identify rows; rows without a place are left out.
 
     Result: ``a_key``, ``{prefix}{b_key}``, ``distance``, ``rank``.
     """
-    spots = b.select(
-        F.col(b_key).alias("bk"),
-        F.col(b_xy[0]).cast("double").alias("bx"),
-        F.col(b_xy[1]).cast("double").alias("by"),
-    ).where(F.col("bx").isNotNull() & F.col("by").isNotNull())
-    first = W.partitionBy("bx", "by").orderBy("bk")
-    places = spots.withColumn("at", F.row_number().over(first)).where(F.col("at") <= k).drop("at")
-    n, x0, x1, y0, y1 = spots.agg(
-        F.count("*"), F.min("bx"), F.max("bx"), F.min("by"), F.max("by")
-    ).first()
-    rows = a.select(
-        F.col(a_key).alias("ak"),
-        F.col(a_xy[0]).cast("double").alias("ax"),
-        F.col(a_xy[1]).cast("double").alias("ay"),
-    ).where(F.col("ax").isNotNull() & F.col("ay").isNotNull())
-    dx, dy = F.col("ax") - F.col("bx"), F.col("ay") - F.col("by")
-    out = [
-        F.col("ak").alias(a_key),
-        F.col("bk").alias(f"{prefix}{b_key}"),
-        F.sqrt("d2").alias("distance"),
-        "rank",
-    ]
-    if n == 0:
-        key = b.schema[b_key].dataType
-        nothing = {"bk": F.lit(None).cast(key), "d2": F.lit(0.0), "rank": F.lit(1)}
-        return rows.where(F.lit(False)).withColumns(nothing).select(*out)
-
-    steps = max(1, math.ceil(math.log(max(1.0, n / LEAF_ROWS), FAN * FAN)))
-    if n > LEAF_LIMIT:
-        places = lineage.materialize(places, "places")  # read again by every step below
-    while True:
-        leaf = _cell_index(places, steps, x0, x1, y0, y1)
-        if n <= LEAF_LIMIT:
-            break
-        fullest = leaf.groupBy("cx", "cy").count().agg(F.max("count")).first()[0]
-        if fullest <= LEAF_LIMIT or steps >= MAX_STEPS:
-            break
-        steps += 1
-    levels = _pyramid(leaf, steps)
-
-    cand = _first_step(rows, levels[1], k)
-    for depth in range(2, steps + 1):
-        cand = _descend(cand, levels[depth], depth, k)
-    near = cand.join(leaf, ["cx", "cy"]).withColumn("d2", dx * dx + dy * dy)
-    best = W.partitionBy("ak").orderBy("d2", "bk")
-    return near.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select(*out)
-
-
-def _cell_index(places: DataFrame, steps: int, x0, x1, y0, y1) -> DataFrame:
-    per_axis = FAN**steps
-
-    def index(c: str, lo: float, hi: float) -> Column:
-        span = (hi - lo) or 1.0
-        spot = F.floor((F.col(c) - lo) / span * per_axis)
-        return F.least(F.lit(per_axis - 1), F.greatest(F.lit(0), spot)).cast("long")
-
-    return places.withColumns({"cx": index("bx", x0, x1), "cy": index("by", y0, y1)})
-
-
-def _pyramid(leaf: DataFrame, steps: int) -> dict[int, DataFrame]:
-    """Cell summaries per depth; each depth is aggregated from the one below it."""
-    finest = leaf.groupBy("cx", "cy").agg(
-        F.count("*").alias("n"),
-        F.min("bx").alias("x0"),
-        F.max("bx").alias("x1"),
-        F.min("by").alias("y0"),
-        F.max("by").alias("y1"),
+    met = _met(a, b, k, a_key, b_key, a_xy, b_xy, a_geom, b_geom)
+    if a_xy and b_xy:  # a point is its box
+        both = met.select("ak", "bk", F.sqrt(_gaps()[0]).alias("distance"))
+    else:
+        left = a.select(F.col(a_key).alias("ak"), *_placed(a_xy, a_geom, "a"))
+        right = b.select(F.col(b_key).alias("bk"), *_placed(b_xy, b_geom, "b"))
+        cand = _within_reach(met, ["ak"], "bk", k).select("ak", "bk")
+        both = cand.join(right, "bk").join(left, "ak").select("ak", "bk", _apart(a_xy, b_xy).alias("distance"))
+    best = W.partitionBy("ak").orderBy("distance", "bk")
+    return both.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select(
+        F.col("ak").alias(a_key), F.col("bk").alias(f"{prefix}{b_key}"), "distance", "rank"
     )
-    levels = {steps: lineage.materialize(finest, "cells") if steps > 1 else finest}
-    for depth in range(steps - 1, 0, -1):
-        up = levels[depth + 1]
-        levels[depth] = up.groupBy(
-            F.floor(F.col("cx") / FAN).alias("cx"), F.floor(F.col("cy") / FAN).alias("cy")
-        ).agg(
-            F.sum("n").alias("n"),
-            F.min("x0").alias("x0"),
-            F.max("x1").alias("x1"),
-            F.min("y0").alias("y0"),
-            F.max("y1").alias("y1"),
-        )
-    return levels
 
 
-def _reach(cell, x: Column, y: Column) -> tuple[Column, Column]:
-    """Squared distance from a position to a cell's nearest and farthest possible row."""
-    gap_x = F.greatest(cell("x0") - x, x - cell("x1"), F.lit(0.0))
-    gap_y = F.greatest(cell("y0") - y, y - cell("y1"), F.lit(0.0))
-    far_x = F.greatest(F.abs(x - cell("x0")), F.abs(x - cell("x1")))
-    far_y = F.greatest(F.abs(y - cell("y0")), F.abs(y - cell("y1")))
-    return gap_x * gap_x + gap_y * gap_y, far_x * far_x + far_y * far_y
+def _met(a: DataFrame, b: DataFrame, k: int, a_key: str, b_key: str, a_xy, b_xy, a_geom: str, b_geom: str) -> DataFrame:
+    """Keys (ak, bk) and boxes of pairs among which the ``k`` nearest of every row of a are.
 
+    b is cut at quantiles into a tree of cells, so one stray coordinate or one crowded
+    city costs a level and not the whole index.  A cell keeps a row count and a tight
+    box.  Rows of a are dealt to the same cells, and cell by cell they walk down the
+    tree: the k-th smallest *farthest* distance to a box (weighted by counts) bounds the
+    answer, and boxes whose *nearest* distance exceeds it are dropped.  The rows of a
+    then repeat the step for the leaves left, and for the rows of b in them.  Copies of
+    one shape are cut to the k first keys, which is all a result can need.
+    """
+    places = _boxes(b, b_key, b_xy, b_geom, "b")
+    same = W.partitionBy(*(["x0", "y0"] if b_xy else ["shape"])).orderBy("key")
+    places = places.withColumn("at", F.row_number().over(same)).where(F.col("at") <= k).drop("at", "shape")
+    places = lineage.materialize(places, "places")
+    rows = _boxes(a, a_key, a_xy, a_geom, "a").drop("shape")
+    n = places.count()
+    depth = max(1, math.ceil(math.log(max(1.0, n / LEAF_ROWS), FAN)))
+    places, rows = _dealt(places, rows, depth)
+    levels = _tree(places, depth)
+    groups = _tight(rows.groupBy("cell")).withColumnsRenamed({"cell": "group", **{c: f"a_{c}" for c in BOUNDS}}).drop("n")
+    cand = groups.withColumn("cell", F.lit(0).cast("long"))
+    for d in range(1, depth + 1):
+        cells = levels[d].withColumn("parent", F.floor(F.col("cell") / FAN)).withColumnRenamed("cell", "child")
+        if d <= BROADCAST_DEPTH:
+            cells = F.broadcast(cells)
+        grown = cand.join(cells, F.col("cell") == F.col("parent"))
+        cand = _within_reach(grown, ["group"], "child", k).select("group", *(f"a_{c}" for c in BOUNDS), F.col("child").alias("cell"))
+    leaves = cand.select("group", "cell").join(levels[depth], "cell").withColumnRenamed("cell", "leaf")
+    mine = rows.withColumnRenamed("cell", "group").withColumnsRenamed({c: f"a_{c}" for c in BOUNDS}).withColumnRenamed("key", "ak")
+    near = _within_reach(mine.join(leaves, "group"), ["ak"], "leaf", k).select("ak", *(f"a_{c}" for c in BOUNDS), F.col("leaf").alias("cell"))
+    return near.join(places.withColumn("n", F.lit(1)).withColumnRenamed("key", "bk"), "cell")
+
+
+BOUNDS = ("x0", "y0", "x1", "y1")
+
+
+def _boxes(df: DataFrame, key: str, xy: tuple[str, str] | None, geom: str, mark: str) -> DataFrame:
+    """key, box and middle (mx, my) of every row with a place; ``shape`` names equal places."""
+    if xy:
+        x, y = (F.col(c).cast("double") for c in xy)
+        out = df.select(F.col(key).alias("key"), x.alias("x0"), y.alias("y0"), x.alias("x1"), y.alias("y1"), F.lit(None).cast("binary").alias("shape"))
+    else:
+        named = df.select(F.col(key).alias("key"), F.col(geom).alias("shape"))
+        out = G.with_bounds(named, "shape", BOUNDS)
+    out = out.where(F.col("key").isNotNull() & F.col("x0").isNotNull() & F.col("y0").isNotNull())
+    return out.withColumns({"mx": F.col("x0") / 2 + F.col("x1") / 2, "my": F.col("y0") / 2 + F.col("y1") / 2})
 
-def _first_step(rows: DataFrame, cells: DataFrame, k: int) -> DataFrame:
-    """The top cells, at most FAN * FAN = 64, are constants; no join and no shuffle."""
-    top = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in r.asDict().items()]) for r in cells.collect()])
 
-    def score(c: Column) -> Column:
-        near, far = _reach(lambda n: c[n], F.col("ax"), F.col("ay"))
-        return F.struct(far.alias("far"), near.alias("near"), c["n"].alias("n"), c["cx"].alias("cx"), c["cy"].alias("cy"))
+def _dealt(places: DataFrame, rows: DataFrame, depth: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with their cell, a number of ``depth`` digits to the base FAN.
 
-    def take(so_far: Column, c: Column) -> Column:
-        enough = (so_far["held"] < k) & (so_far["held"] + c["n"] >= k)
-        return F.struct(
-            (so_far["held"] + c["n"]).alias("held"),
-            F.when(enough, c["far"]).otherwise(so_far["bound"]).alias("bound"),
+    A level cuts every cell at quantiles of its places along the axis on which they lie
+    farther apart.  The quantiles may be rough: they decide how rows are dealt, never
+    which are found.  The upper levels are cut on a bounded sample, those below it by
+    aggregates over all places, a level at a time.
+    """
+    zero = F.lit(0).cast("long")
+    n, spark = places.count(), places.sparkSession
+    drawn = places.select("mx", "my").sample(min(1.0, SAMPLE / max(1, n)), seed=1).limit(2 * SAMPLE).collect()
+    places, rows = places.withColumn("cell", zero), rows.withColumn("cell", zero)
+    known = _sampled_marks([(r.mx, r.my) for r in drawn], min(depth, BROADCAST_DEPTH))
+    shares = F.array(*[F.lit(i / FAN) for i in range(1, FAN)])
+    wide = F.max("mx") - F.min("mx") >= F.max("my") - F.min("my")
+    for d in range(depth):
+        if d < BROADCAST_DEPTH:
+            marks = F.broadcast(spark.createDataFrame(known[d], "cell long, wide boolean, marks array<double>"))
+        else:
+            marks = lineage.materialize(places.groupBy("cell").agg(
+                wide.alias("wide"), F.when(wide, F.percentile_approx("mx", shares, 1000)).otherwise(F.percentile_approx("my", shares, 1000)).alias("marks")
+            ), "marks")
+        middle = F.when(F.col("wide"), F.col("mx")).otherwise(F.col("my"))
+        # in a cell without marks all rows go to the first child
+        own = F.size(F.filter(F.coalesce("marks", F.array().cast("array<double>")), partial(gt, middle)))
+        number = (F.col("cell") * FAN + own).cast("long")
+        places = places.join(marks, "cell", "left").withColumn("cell", number).drop("marks", "wide")
+        rows = rows.join(marks, "cell", "left").withColumn("cell", number).drop("marks", "wide")
+        if d >= BROADCAST_DEPTH - 1:
+            places = lineage.materialize(places, "places")
+    return (places if depth >= BROADCAST_DEPTH else lineage.materialize(places, "places")), lineage.materialize(rows, "rows")
+
+
+def _sampled_marks(spots: list[tuple[float, float]], depth: int) -> list[list[tuple]]:
+    """For each level, (cell, wide, marks) of the cells of a bounded sample."""
+    found, held = [], {0: spots}
+    for _ in range(depth):
+        level, below = [], {}
+        for cell, mine in held.items():
+            xs, ys = zip(*mine, strict=True) if mine else ((0.0,), (0.0,))
+            axis = 0 if max(xs) - min(xs) >= max(ys) - min(ys) else 1
+            values = sorted(p[axis] for p in mine)
+            marks = [values[len(values) * i // FAN] for i in range(1, FAN)] if values else []
+            level.append((cell, axis == 0, marks))
+            for p in mine:
+                below.setdefault(cell * FAN + sum(m < p[axis] for m in marks), []).append(p)
+        found.append(level)
+        held = below
+    return found
+
+
+def _tight(grouped) -> DataFrame:
+    return grouped.agg(
+        F.count("*").alias("n"), F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1")
+    )
+
+
+def _tree(places: DataFrame, depth: int) -> dict[int, DataFrame]:
+    """Cell summaries per depth; each depth is aggregated from the one below it."""
+    levels = {depth: lineage.materialize(_tight(places.groupBy("cell")), "cells")}
+    for d in range(depth - 1, 0, -1):
+        up = levels[d + 1].withColumn("cell", F.floor(F.col("cell") / FAN))
+        levels[d] = up.groupBy("cell").agg(
+            F.sum("n").alias("n"), F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1")
         )
+    return levels
 
-    start = F.struct(F.lit(0).cast("long").alias("held"), F.lit(None).cast("double").alias("bound"))
-    scored = rows.withColumn("top", F.array_sort(F.transform(top, score)))
-    scored = scored.withColumn("bound", F.aggregate("top", start, take)["bound"])
-    kept = F.filter("top", lambda c: F.col("bound").isNull() | (c["near"] <= F.col("bound")))
-    spread = scored.select("ak", "ax", "ay", F.explode_outer(kept).alias("c"))
-    return spread.select("ak", "ax", "ay", "c.cx", "c.cy")
-
-
-def _descend(cand: DataFrame, cells: DataFrame, depth: int, k: int) -> DataFrame:
-    """Replace candidate cells by those of their children that can still matter."""
-    children = cells.withColumns(
-        {
-            "px": F.floor(F.col("cx") / FAN),
-            "py": F.floor(F.col("cy") / FAN),
-        }
-    ).withColumnsRenamed({"cx": "kx", "cy": "ky"})
-    if depth == 2:
-        # at most FAN ** 4 = 4,096 summary rows by construction
-        children = F.broadcast(children)
-    grown = cand.join(children, (F.col("cx") == F.col("px")) & (F.col("cy") == F.col("py")))
-    near, far = _reach(F.col, F.col("ax"), F.col("ay"))
-    grown = grown.select("ak", "ax", "ay", "kx", "ky", "n", near.alias("near"), far.alias("far"))
-    mine = W.partitionBy("ak")
-    so_far = mine.orderBy("far", "kx", "ky").rowsBetween(W.unboundedPreceding, W.currentRow)
-    grown = grown.withColumn("held", F.sum("n").over(so_far))
-    bound = F.min(F.when(F.col("held") >= k, F.col("far"))).over(mine)
-    kept = grown.withColumn("bound", bound).where(
-        F.col("bound").isNull() | (F.col("near") <= F.col("bound"))
-    )
-    return kept.select("ak", "ax", "ay", F.col("kx").alias("cx"), F.col("ky").alias("cy"))
+
+def _gaps() -> tuple[Column, Column]:
+    """Squared distance from box a_x0 … to the nearest and the farthest possible place in box x0 …"""
+    near, far = F.lit(0.0), F.lit(0.0)
+    for lo, hi in (("x0", "x1"), ("y0", "y1")):
+        gap = F.greatest(F.col(lo) - F.col(f"a_{hi}"), F.col(f"a_{lo}") - F.col(hi), F.lit(0.0))
+        reach = F.greatest(F.abs(F.col(f"a_{hi}") - F.col(lo)), F.abs(F.col(hi) - F.col(f"a_{lo}")))
+        near, far = near + gap * gap, far + reach * reach
+    return near, far
+
+
+def _within_reach(pairs: DataFrame, mine: list[str], order: str, k: int) -> DataFrame:
+    """Pairs of a box (a_x0 …) and a box of n rows (x0 …) that can still hold one of the k nearest."""
+    near, far = _gaps()
+    scored = pairs.withColumns({"near": near, "far": far})
+    so_far = W.partitionBy(*mine).orderBy("far", order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    scored = scored.withColumn("held", F.sum("n").over(so_far))
+    bound = F.min(F.when(F.col("held") >= k, F.col("far"))).over(W.partitionBy(*mine))
+    kept = scored.withColumn("bound", bound).where(F.col("bound").isNull() | (F.col("near") <= F.col("bound") * SLACK))
+    return kept.drop("near", "far", "held", "bound")

@@ -153,6 +153,23 @@ def nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("id", F.col("b_id").alias("depot"), F.round("distance", 6).alias("distance"), "rank")
 
 
+@query(
+    "d4_nearest_shapes",
+    ctes("depots", "footprints")
+    + """, far as (
+           select d.id as id, greatest(f.x0 - d.lon, d.lon - f.x1, 0) as dx, greatest(f.y0 - d.lat, d.lat - f.y1, 0) as dy
+           from depots d, footprints f),
+         ranked as (select id, sqrt(dx*dx + dy*dy) as distance,
+                      row_number() over (partition by id order by dx*dx + dy*dy) as rank from far)
+         select id, round(distance, 6) as distance, rank from ranked where rank <= 3""",
+)
+def nearest_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances to the three nearest footprints; which of equally near ones is named is left to tests."""
+    footprints = layer(spark, sf_dir, "footprints", geom=True).select("id", "geom")
+    found = joins.nearest(layer(spark, sf_dir, "depots"), footprints, 3, b_xy=None)
+    return found.select("id", F.round("distance", 6).alias("distance"), "rank")
+
+
 NEAR_DEPOT = f"""exists (select 1 from depots d where d.lon between f.x0 and f.x1 and d.lat between f.y0 and f.y1)"""
 
 
@@ -200,6 +217,26 @@ def distance_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "d6_distance_pairs_shapes",
+    ctes("footprints", "depots")
+    + """select o.o_orderkey as o_orderkey, l.l_linenumber as l_linenumber,
+           round(sqrt(pow(greatest(f.x0 - d.lon, d.lon - f.x1, 0), 2) + pow(greatest(f.y0 - d.lat, d.lat - f.y1, 0), 2)), 6) as distance
+         from lineitem l join orders o on l.l_orderkey = o.o_orderkey
+         join footprints f on f.id = o.o_custkey join depots d on d.id = l.l_suppkey""",
+)
+def distance_pairs_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From each order line's customer footprint to its supplier's depot."""
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", F.col("l_suppkey").alias("depot"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("footprint"))
+    footprints = layer(spark, sf_dir, "footprints", geom=True).withColumnRenamed("id", "footprint")
+    depots = layer(spark, sf_dir, "depots").withColumnRenamed("id", "depot")
+    out = joins.distance_pairs(
+        footprints, depots, lines.join(orders, "o_orderkey"), a_key="footprint", b_key="depot", b_xy=("lon", "lat")
+    )
+    return out.select("o_orderkey", "l_linenumber", F.round("distance", 6).alias("distance"))
+
+
 @query(
     "d7_aggregate_in_polygons",
     ctes("sites", "zones")

@@ -86,8 +86,7 @@ def brute_nearest(a, b, k):
 @pytest.mark.parametrize("leaf", [16, 2])
 def test_nearest_is_exact(spark, monkeypatch, k, leaf):
     monkeypatch.setattr(joins, "LEAF_ROWS", leaf)
-    monkeypatch.setattr(joins, "LEAF_LIMIT", 4 * leaf)
-    monkeypatch.setattr(joins, "MAX_STEPS", 4)
+    monkeypatch.setattr(joins, "FAN", 4)
     a, b = places(spark, 60, 4), places(spark, 300, 5)
     got = joins.nearest(a, b, k).select("id", "b_id", "rank").collect()
     want = brute_nearest([tuple(r) for r in a.collect()], [tuple(r) for r in b.collect()], k)
@@ -100,6 +99,66 @@ def test_nearest_with_few_or_no_rows(spark):
     assert joins.nearest(a, b.where("false"), 3).count() == 0
 
 
+def shapes(spark, n, seed):
+    """Points, lines and polygons of all sizes, some of them copies, some without a place."""
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        x, y, size = rng.uniform(-50, 50), rng.uniform(-50, 50), 10 ** rng.uniform(-2, 1.5)
+        kind = rng.randrange(5)
+        if kind == 0:
+            text = f"POINT ({x} {y})"
+        elif kind == 1:
+            text = f"LINESTRING ({x} {y}, {x + size} {y - size / 2}, {x} {y + size})"
+        elif kind == 2:
+            text = f"POLYGON (({x} {y}, {x + size} {y}, {x} {y + size}, {x} {y}))"
+        elif kind == 3:
+            text = "LINESTRING (1 1, 2 3)"
+        else:
+            text = None if i % 2 else "POLYGON EMPTY"
+        rows.append((i, text))
+    return spark.createDataFrame(rows, "id long, w string").select("id", G.from_wkt("w").alias("geom"))
+
+
+@pytest.mark.parametrize("k", [1, 3])
+def test_nearest_shapes_against_all_pairs(spark, monkeypatch, k):
+    monkeypatch.setattr(joins, "FAN", 4)
+    monkeypatch.setattr(joins, "LEAF_ROWS", 4)
+    a, b = shapes(spark, 60, 1), shapes(spark, 150, 2)
+    got = joins.nearest(a, b, k, a_xy=None, b_xy=None).select("id", "b_id", "distance", "rank").collect()
+    placed = b.where(~G.is_empty("geom")).toDF("b_id", "b_geom")  # an empty shape is nowhere, its distance would read 0
+    pairs = a.crossJoin(placed).select("id", "b_id", G.distance("geom", "b_geom").alias("distance"))
+    pairs = pairs.where("distance is not null").collect()
+    want = []
+    for i in {p.id for p in pairs}:
+        ranked = sorted((p.distance, p.b_id) for p in pairs if p.id == i)[:k]
+        want += [(i, j, d, r + 1) for r, (d, j) in enumerate(ranked)]
+    want = [w for w in want if w[0] in {r.id for r in a.where(~G.is_empty("geom")).collect()}]
+    got = [tuple(r) for r in got]
+    assert sorted(got) == sorted(want) and len(got) >= 40 * k
+
+
+def test_nearest_of_points_to_lines(spark):
+    lines = shapes(spark, 80, 3)
+    spots = places(spark, 40, 4)
+    got = joins.nearest(spots, lines, 2, b_xy=None).collect()
+    plain = spots.crossJoin(lines.toDF("b_id", "b_geom")).select("id", "b_id", G.distance(G.point("lon", "lat"), F.col("b_geom")).alias("d"))
+    best = {}
+    for r in plain.where("d is not null").orderBy("d", "b_id").collect():
+        best.setdefault(r.id, []).append(r.b_id)
+    known = {r.id for r in lines.where(~G.is_empty("geom")).collect()}
+    assert {(r.id, r.b_id) for r in got} == {(i, j) for i, found in best.items() for j in [j for j in found if j in known][:2]}
+
+
+def test_a_stray_coordinate_costs_no_candidates(spark):
+    """One place at 1e12 used to put all others into one cell; so many pairs would then be compared."""
+    crowd = spark.range(20_000).select("id", (F.col("id") % 200 / 10).alias("lon"), F.floor(F.col("id") / 200).cast("double").alias("lat"))
+    b = crowd.union(spark.createDataFrame([(99_999, 1e12, -1e12)], "id long, lon double, lat double"))
+    a = crowd.where("id % 40 = 0")
+    pairs = joins._met(a, b, 2, "id", "id", ("lon", "lat"), ("lon", "lat"), "", "")
+    assert a.count() == 500 and pairs.count() < 500 * 40
+
+
 def test_distance_join_of_lines(spark):
     lines = spark.createDataFrame([(1, "LINESTRING (0 0, 10 0)"), (2, "LINESTRING (0 9, 10 9)")], "id int, w string")
     spots = spark.createDataFrame([(1, 5.0, 3.0), (2, 20.0, 20.0)], "id int, lon double, lat double")
