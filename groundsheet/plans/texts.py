@@ -31,7 +31,7 @@ def sql_tokens(c: str) -> str:
 
 
 # Every customer gets an Arabic place name with marks, long strokes and Arabic digits.
-ARABIC = "concat(' مَدْرَسَــة  الأحمدية ', translate(cast(c_custkey as varchar(20)), '0123456789', '٠١٢٣٤٥٦٧٨٩'), ' ', c_name)"
+ARABIC = "concat(' وَاحَــةُ  الأندلسية ', translate(cast(c_custkey as varchar(20)), '0123456789', '٠١٢٣٤٥٦٧٨٩'), ' ', c_name)"
 
 
 @query(
@@ -49,11 +49,11 @@ def normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "t2_match_normalized",
     f"""select c_custkey, {sql_normalize("label")} as folded from (select c_custkey, {ARABIC} as label from customer) c
-        where {sql_normalize("label")} like concat('%', {sql_normalize("'الاحمديه ١'")}, '%')""",
+        where {sql_normalize("label")} like concat('%', {sql_normalize("'الاندلسيه ١'")}, '%')""",
 )
 def match_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = table(spark, sf_dir, "customer").select("c_custkey", F.expr(ARABIC).alias("label"))
-    hits = text.match_normalized(names, "label", "الاحمديه ١", like=True)
+    hits = text.match_normalized(names, "label", "الاندلسيه ١", like=True)
     return hits.select("c_custkey", text.normalize("label").alias("folded"))
 
 
