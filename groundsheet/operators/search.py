@@ -161,13 +161,16 @@ def _parts(index: Index, words: DataFrame, limit: int) -> DataFrame:
     """
     each = index.postings.count() / max(1, index.totals.first().n)
     hits = F.coalesce(F.sum("df"), F.lit(0))
-    if _seed(words, limit).agg(hits).first()[0] * each >= words.agg(hits).first()[0]:
+    asked, all_ = words.agg(F.countDistinct("query"), hits).first()
+    if 2 * (_seed(words, limit).agg(hits).first()[0] + asked * limit * each) >= all_:
         return _sums(index, words)
     judged = judged_words(index, words, limit)
-    found = {r.idle: r.hits for r in judged.groupBy("idle").agg(hits.alias("hits")).collect()}
-    if found.get(False, 0) * each >= found.get(True, 0):
+    saved = judged.where("idle").agg(hits).first()[0]
+    if 2 * saved < all_:
         return _sums(index, words)
     near = lineage.materialize(contenders(index, judged), "contenders")
+    if near.count() * each >= saved:
+        return _sums(index, words)
     rest = _scored(index, near, judged.where("idle")).withColumnRenamed("part", "more")
     return near.join(rest, ["query", "doc"], "left").select("query", "doc", (F.col("part") + F.coalesce("more", F.lit(0.0))).alias("part"))
 
