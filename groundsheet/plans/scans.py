@@ -11,7 +11,7 @@ from groundsheet.operators import guarded, lineage
 from groundsheet.layer import Layer
 from groundsheet.plans.catalog import query
 from groundsheet.plans.derived import ctes, layer, table
-from groundsheet.sources import files
+from groundsheet.sources import documents, files
 
 
 def _places(sf_dir: str) -> files.Places:
@@ -63,6 +63,25 @@ def read_geojson(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("id", "segment", *box.values())
 
 
+@query(
+    "a3_read_geojson_document",
+    ctes("footprints")
+    + """select id, segment, round(x0, 6) as xmin, round(y0, 6) as ymin,
+         round(x1, 6) as xmax, round(y1, 6) as ymax from footprints""",
+)
+def read_geojson_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One collection over many lines in one file, as another program would have saved it."""
+    boxes = layer(spark, sf_dir, "footprints", geom=True).select("id", "segment", "geom")
+    members = files.geojson_features(boxes).select(F.monotonically_increasing_id().alias("n"), F.concat(F.lit(",\n"), "value").alias("value"))
+    ends = spark.createDataFrame([(-2, '{"type": "FeatureCollection", "features": ['), (-1, '{"type": "note"}'), (1 << 62, "]}")], "n long, value string")
+    path = lineage.scratch_path(spark, "collection")
+    members.union(ends).repartition(1).sortWithinPartitions("n").select("value").write.text(path)
+    fields = T.StructType().add("id", "long").add("segment", "string")
+    df = documents.read_geojson_documents(spark, path, fields).df
+    box = {k: F.round(v, 6).alias(k) for k, v in G.bounds("geom").items()}
+    return df.select("id", "segment", *box.values())
+
+
 @query(
     "a4_attach",
     """select o_orderpriority as priority, count(*) as n, round(sum(o_totalprice), 2) as total
