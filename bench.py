@@ -14,12 +14,12 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = [
-    "a1_read_geoparquet", "a2_read_featureset", "a3_read_geojson", "a5_write_geojson",
+    "a1_read_geoparquet", "a2_read_featureset", "a3_read_geojson", "a3_read_geojson_document", "a5_write_geojson",
     "b1_decode_geometry", "b4_make_lines", "b6_encode_geometry",
     "c2_layer_summary", "c4_attribute_filter", "c5_spatial_filter", "c7_statistics", "c8_ordered_page",
-    "d1_spatial_join", "d1_crosses", "d2_point_in_polygon", "d3_distance_join", "d4_nearest",
+    "d1_spatial_join", "d1_crosses", "d2_point_in_polygon", "d3_distance_join", "d4_nearest", "d4_nearest_shapes",
     "d5_spatial_semi", "d6_distance_pairs", "d7_aggregate_in_polygons",
-    "e1_spatial_sql", "e2_sql_geometry_names", "p4_left_join", "p7_asof_join", "p8_grouping",
+    "e1_spatial_sql", "e1_buffer_join", "e1_outer_join", "e2_sql_geometry_names", "p4_left_join", "p7_asof_join", "p8_grouping",
     "p10_ranking", "p11_analytic", "p14_subqueries", "p20_quantiles",
     "f1_reproject_layer", "f2_buffer_layer", "f3_clip_layer", "f5_erase", "f6_overlay_union",
     "f7_dissolve", "f12_hulls", "f14_grid_bin", "f16_buffer_and_select",
