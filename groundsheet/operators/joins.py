@@ -148,9 +148,12 @@ def _deal(df: DataFrame, mark: str, mine: str, theirs: str, hot: tuple[dict, dic
     return df.withColumn(f"{mark}_s{theirs}", F.explode(repeat)).drop(f"{mark}_n0", f"{mark}_n1")
 
 
-def cell_join(left: DataFrame, right: DataFrame, a: str, b: str, levels: dict[str, dict[int, int]], hot_rows: int) -> DataFrame:
+def cell_join(left: DataFrame, right: DataFrame, a: str, b: str, levels: dict[str, dict[int, int]], hot_rows: int, first: Column | None = None) -> DataFrame:
     """Pairs of rows whose boxes meet, each once, with all columns of both sides.
 
+    With ``first``, a test of a pair, rows of the left side instead, once for each cell in which
+    the test holds with some row of the right side: the search of a cell ends at the first.
+
     ``a`` and ``b`` are the marks of the sides' box columns (``{mark}_x0`` to ``{mark}_y1``) and level
     (``{mark}_own``); columns are found by these names alone, so others may clash.
     """
@@ -170,8 +173,9 @@ def cell_join(left: DataFrame, right: DataFrame, a: str, b: str, levels: dict[st
         on = on & (mine == other)
     for axis in "xy":
         on = on & (F.col(f"{a}_{axis}0") <= F.col(f"{b}_{axis}1")) & (F.col(f"{a}_{axis}1") >= F.col(f"{b}_{axis}0"))
-        on = on & (F.col(f"{a}_c{axis}") == F.floor(F.greatest(*both(f"{axis}0")) / cell))
-    return left.join(right, on)
+        if first is None:
+            on = on & (F.col(f"{a}_c{axis}") == F.floor(F.greatest(*both(f"{axis}0")) / cell))
+    return left.join(right, on) if first is None else left.join(right, on & first, "left_semi")
 
 
 def box_pairs(
@@ -325,12 +329,15 @@ def _met_keys(a: DataFrame, b: DataFrame, key: str, predicate: str, kw: dict) ->
         flat = [n for n in dict.fromkeys(names) if n and n in df.columns]
         return df.select(*flat)
 
-    a_box, b_box = kw.get("a_box"), kw.get("b_box")
-    left = needed(a, [key, kw.get("a_geom", "geom"), *(a_box or ())])
-    right = needed(b, [kw.get("b_geom", "geom"), *(b_box or ())])
-    pairs = spatial_join(left, right, predicate, **kw)
+    a_geom, b_geom = kw.get("a_geom", "geom"), kw.get("b_geom", "geom")
+    left = needed(a, [key, a_geom, *(kw.get("a_box") or ())])
+    right = needed(b, [b_geom, *(kw.get("b_box") or ())])
+    left, right, a_box, b_box, _ = _boxed(left, right, a_geom, b_geom, kw.get("a_box"), kw.get("b_box"))
+    left, right = _side(left, "a", a_box, 0.0), _side(right, "b", b_box, 0.0)
+    test = G.predicate(predicate, of("a", a_geom), of("b", b_geom))
+    met = cell_join(left, right, "a", "b", measured(left, right), kw.get("hot_rows", HOT_ROWS), test)
     # distinct shrinks hot keys map-side before the semi join's shuffle
-    return pairs.select(key).distinct()
+    return met.select(of("a", key).alias(key)).distinct()
 
 
 def aggregate_in_polygons(
