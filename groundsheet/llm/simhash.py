@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from groundsheet.llm.components import components
@@ -32,6 +32,8 @@ COUNTERS = 512
 FIRST_LOOK = 20
 #: Members from which a component's buckets are looked at before they are searched.
 CROWD = 1000
+#: Pairs of different components per row of a bucket above which it is searched by deviations from a pivot.
+APART = 8
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -95,26 +97,78 @@ def _keyed(documents: DataFrame) -> DataFrame:
     return documents.select("doc_id", F.xxhash64(text).alias("text_key"), text.alias("text"))
 
 
-def _similar(pairs: DataFrame, documents: DataFrame, prints: DataFrame, shingle: int) -> DataFrame:
-    """Those pairs (a, b) of nodes whose texts' sets of shingles are alike by SIMILARITY or more.
+class ShingleSets:
+    """Sets of shingles of nodes, each worked out and written once.
 
-    A node stands for the texts of one fingerprint; the one with the smallest hash is compared.
+    A node stands for the texts of one fingerprint; the one with the smallest hash is taken.
     """
-    pairs = materialize(pairs, "near-pairs")
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    texts = _keyed(documents).groupBy("text_key").agg(F.min("text").alias("text"))  # copies go before the shuffle
-    wanted = prints.select("node", "text_key").join(nodes, "node", "left_semi")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            sets = [np.unique(_shingles(t.encode(), shingle)).view(np.int64) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_pydict({"node": batch.column("node"), "set": pa.array(sets, pa.list_(pa.int64()))})
-
-    sets = texts.join(wanted, "text_key").select("node", "text").mapInArrow(run, "node long, set array<long>")
-    sets = materialize(sets, "shingles")
-    both = pairs.join(sets.toDF("a", "a_set"), "a").join(sets.toDF("b", "b_set"), "b")
-    both = both.select("a", "b", F.size(F.array_intersect("a_set", "b_set")).alias("shared"), (F.size("a_set") + F.size("b_set")).alias("all"))
-    return both.where(F.col("shared") >= SIMILARITY * (F.col("all") - F.col("shared")) - 1e-9).select("a", "b")
+    def __init__(self, documents: DataFrame, prints: DataFrame, shingle: int):
+        self._documents, self._prints, self._shingle, self._written = documents, prints, shingle, None
+
+    def of(self, nodes: DataFrame) -> DataFrame:
+        """``node, set`` of at least the ``node``s of a frame."""
+        shingle = self._shingle
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in slices(batches):
+                sets = [np.unique(_shingles(t.encode(), shingle)).view(np.int64) for t in batch.column("text").to_pylist()]
+                yield pa.RecordBatch.from_pydict({"node": batch.column("node"), "set": pa.array(sets, pa.list_(pa.int64()))})
+
+        if self._written is not None:
+            nodes = nodes.join(self._written.select("node"), "node", "left_anti")
+        texts = _keyed(self._documents).groupBy("text_key").agg(F.min("text").alias("text"))  # copies go before the shuffle
+        wanted = self._prints.select("node", "text_key").join(nodes.select("node").distinct(), "node", "left_semi")
+        found = texts.join(wanted, "text_key").select("node", "text").mapInArrow(run, "node long, set array<long>")
+        found = materialize(found, "shingles")
+        self._written = found if self._written is None else self._written.union(found)
+        return self._written
+
+    def alike(self, pairs: DataFrame) -> DataFrame:
+        """Those pairs (a, b) of nodes whose sets are alike by SIMILARITY or more."""
+        pairs = materialize(pairs, "near-pairs")
+        sets = self.of(pairs.select(F.col("a").alias("node")).union(pairs.select("b")))
+        both = pairs.join(sets.toDF("a", "a_set"), "a").join(sets.toDF("b", "b_set"), "b")
+        both = both.select("a", "b", F.size(F.array_intersect("a_set", "b_set")).alias("shared"), (F.size("a_set") + F.size("b_set")).alias("all"))
+        return both.where(F.col("shared") >= SIMILARITY * (F.col("all") - F.col("shared")) - 1e-9).select("a", "b")
+
+    def crowd_links(self, members: DataFrame) -> DataFrame:
+        """Links (a, b) among the ``node``s of each ``pivot`` that join different ``root``s; all of them, but for those by way of the pivot.
+
+        A member is held as its deviation from the pivot: shingles that only one of them has.  Two
+        members link when their deviations differ in at most (1 - s) / (1 + s) of their summed
+        sizes.  Then they share one of the rarest elements of their deviations, or both link to
+        the pivot.  What a crowd has in common is in no deviation, so members that only have
+        that in common do not meet.  Exact: prefix and position filters leave out no link.
+        """
+        ratio = (1 - SIMILARITY) / (1 + SIMILARITY)
+        members = materialize(members.where("node <> pivot").distinct(), "crowds")
+        pivots = members.select(F.col("pivot").alias("node")).distinct()
+        sets = self.of(members.select("node").union(pivots))
+        centre = sets.join(pivots, "node", "left_semi").toDF("pivot", "centre")
+        apart = F.concat(F.array_except("set", "centre"), F.array_except("centre", "set"))
+        seen = members.join(sets, "node").join(centre, "pivot").select(
+            "pivot", "node", "root", F.size("set").alias("n"), F.size("centre").alias("m"), apart.alias("apart")
+        )
+        seen = seen.withColumn("d", F.size("apart")).withColumn("linked", F.col("d") <= ratio * (F.col("n") + F.col("m")) + 1e-9)
+        seen = materialize(seen, "deviations")
+        single = seen.select("pivot", "node", "root", "n", "d", "linked", F.explode("apart").alias("e"))
+        often = single.groupBy("pivot", "e").agg(F.count("*").alias("often")).where("often > 1")
+        order = Window.partitionBy("pivot", "node").orderBy(F.coalesce("often", F.lit(1)), "e")
+        placed = single.join(often, ["pivot", "e"], "left").withColumn("at", F.row_number().over(order) - 1)
+        # A partner has at most n / s shingles, so at most this many elements of both deviations are not shared.
+        most = ratio * F.col("n") * (1 + 1 / SIMILARITY) + 1e-9
+        first = materialize(placed.withColumn("short", F.col("at") <= most / 2).where((F.col("at") <= most) & F.col("often").isNotNull()), "rarest")
+        x = first.select("pivot", "e", *(F.col(c).alias(f"x_{c}") for c in ("node", "root", "n", "d", "linked", "at")))
+        y = first.where("short").select("pivot", "e", *(F.col(c).alias(f"y_{c}") for c in ("node", "root", "n", "d", "linked", "at")))
+        longer = (F.col("x_d") > F.col("y_d")) | ((F.col("x_d") == F.col("y_d")) & (F.col("x_node") > F.col("y_node")))
+        needed = (F.col("x_d") + F.col("y_d") - ratio * (F.col("x_n") + F.col("y_n"))) / 2 - 1e-9
+        left = F.least(F.col("x_d") - F.col("x_at"), F.col("y_d") - F.col("y_at"))
+        met = x.join(y, ["pivot", "e"]).where(
+            longer & (F.col("x_root") != F.col("y_root")) & ~(F.col("x_linked") & F.col("y_linked")) & (left >= needed)
+        )
+        found = self.alike(met.select(F.col("x_node").alias("a"), F.col("y_node").alias("b")).distinct())
+        return found.union(seen.where("linked and root <> pivot").select("node", "pivot"))
 
 
 def _correlations(prints: DataFrame, words: int) -> list[np.ndarray]:
@@ -328,8 +382,8 @@ def _apart(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b))
 
 
-def _verified(pairs: DataFrame, prints: DataFrame, words: int, distance: int, alike: Callable | None = None) -> DataFrame:
-    """Those pairs (a, b) whose whole fingerprints are within ``distance`` and that pass ``alike``; one word is already checked whole."""
+def _verified(pairs: DataFrame, prints: DataFrame, words: int, distance: int, sets: ShingleSets | None = None) -> DataFrame:
+    """Those pairs (a, b) whose whole fingerprints are within ``distance`` and whose ``sets`` are alike; one word is already checked whole."""
     if words == 1:
         return pairs
     known = prints.select("node", "fp")
@@ -337,17 +391,30 @@ def _verified(pairs: DataFrame, prints: DataFrame, words: int, distance: int, al
     both = pairs.join(known.toDF("a", "a_fp"), "a").join(known.toDF("b", "b_fp"), "b")
     apart = sum((_apart(F.col("a_fp")[k], F.col("b_fp")[k]) for k in range(words)), F.lit(0))
     near = both.where(apart <= distance).select("a", "b")
-    return alike(near) if alike else near
+    return sets.alike(near) if sets else near
+
+
+def _judged_buckets(entries: DataFrame, heads: DataFrame) -> DataFrame:
+    """part, key and pivot of buckets that need no search pair by pair: of one root (pivot null), or of over APART pairs of roots a row."""
+    large = heads.where(F.col("n") > 2 * APART).select("part", "key")
+    by_root = entries.join(large, ["part", "key"]).groupBy("part", "key", "root").agg(F.count("*").alias("rows"))
+    shared = by_root.groupBy("part", "key").agg(
+        F.sum("rows").alias("n"), F.sum(F.col("rows") * F.col("rows")).alias("inside"), F.max(F.struct("rows", "root")).alias("top")
+    )
+    pairs = (F.col("n") * F.col("n") - F.col("inside")) / 2
+    pivot = F.when(pairs > 0, F.col("top.root")).alias("pivot")
+    return materialize(shared.where((pairs == 0) | (pairs > APART * F.col("n"))).select("part", "key", pivot), "judged-buckets")
 
 
-def print_groups(prints: DataFrame, words: int, sure: int, distance: int, alike: Callable | None = None) -> DataFrame:
-    """node and root of every print (node, fp) that is linked to another; ``alike`` keeps those near pairs (a, b) that link.
+def print_groups(prints: DataFrame, words: int, sure: int, distance: int, sets: ShingleSets | None = None) -> DataFrame:
+    """node and root of every print (node, fp) that is linked to another; with ``sets`` near pairs link when their sets are alike.
 
     Candidates meet in buckets, one per partition and key.  First every member of a bucket is held
     against one representative, which joins large groups at a cost in proportion to their size.
     Then buckets are searched for links between what are still different components, and large
     buckets of a single component are left out: no link is lost, and no group is compared pair by
-    pair.
+    pair.  Buckets in which many members stay apart are searched by what sets them apart from a
+    pivot, the first node of the bucket's largest component, if there are ``sets``.
     """
     partitions = plan(prints.select("fp"), sure, words)
     look = distance if words == 1 else FIRST_LOOK
@@ -355,19 +422,29 @@ def print_groups(prints: DataFrame, words: int, sure: int, distance: int, alike:
     heads = entries.groupBy("part", "key").agg(
         F.min_by(F.struct("node", "check"), F.when(~F.col("near"), F.col("node"))).alias("head"), F.count("*").alias("n")
     )
-    heads = heads.where("n > 1 and head is not null").select("part", "key", F.col("head.node").alias("b"), F.col("head.check").alias("b_check"))
+    heads = heads.where("n > 1 and head is not null").select("part", "key", F.col("head.node").alias("b"), F.col("head.check").alias("b_check"), "n")
+    if sets:
+        heads = materialize(heads, "heads")
     # One row a bucket on this side; a crowded bucket's members are split by adaptive execution.
     met = entries.join(heads, ["part", "key"]).where((F.col("node") != F.col("b")) & (_apart(F.col("check"), F.col("b_check")) <= look))
-    star = _verified(met.select(F.col("node").alias("a"), "b"), prints, words, distance, alike)
+    star = _verified(met.select(F.col("node").alias("a"), "b"), prints, words, distance, sets)
     first = materialize(components(star, "a", "b"), "first-groups")
     rooted = materialize(prints.join(first, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")
     open_ = _entries(rooted, partitions, words)
-    crowds = materialize(first.groupBy("root").agg(F.count("*").alias("n")).where(F.col("n") >= CROWD).select("root"), "crowds")
-    if not crowds.isEmpty():
-        crowded = open_.join(crowds, "root").groupBy("part", "key", "root").agg(F.count("*").alias("n")).where(F.col("n") >= CROWD)
-        crowded = materialize(crowded.select("part", "key").distinct(), "crowded")
-        held = open_.join(crowded, ["part", "key"]).groupBy("part", "key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-        open_ = open_.join(held.where("low = high").select("part", "key"), ["part", "key"], "left_anti")
+    bridges = first.select("node", "root")
+    if sets:
+        judged = _judged_buckets(open_, heads)
+        if not judged.isEmpty():
+            crowded = judged.where("pivot is not null")
+            bridges = bridges.union(sets.crowd_links(open_.join(crowded, ["part", "key"]).select("pivot", "node", "root")))
+            open_ = open_.join(judged, ["part", "key"], "left_anti")
+    else:
+        crowds = materialize(first.groupBy("root").agg(F.count("*").alias("n")).where(F.col("n") >= CROWD).select("root"), "crowds")
+        if not crowds.isEmpty():
+            crowded = open_.join(crowds, "root").groupBy("part", "key", "root").agg(F.count("*").alias("n")).where(F.col("n") >= CROWD)
+            crowded = materialize(crowded.select("part", "key").distinct(), "crowded")
+            held = open_.join(crowded, ["part", "key"]).groupBy("part", "key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+            open_ = open_.join(held.where("low = high").select("part", "key"), ["part", "key"], "left_anti")
     # Both sides are one frame under two sets of names, so Spark shuffles it once.
     sides = [open_.select("part", "key", *(F.col(c).alias(f"{side}_{c}") for c in ("node", "root", "near", "check"))) for side in "ab"]
     across = sides[0].join(sides[1], ["part", "key"]).where(
@@ -375,11 +452,10 @@ def print_groups(prints: DataFrame, words: int, sure: int, distance: int, alike:
         & (_apart(F.col("a_check"), F.col("b_check")) <= look)
     )
     if words == 1:
-        bridges = across.select(F.col("a_root").alias("node"), F.col("b_root").alias("root"))
+        bridges = bridges.union(across.select("a_root", "b_root"))
     else:
-        pairs = _verified(across.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")), prints, words, distance, alike)
-        bridges = pairs.toDF("node", "root")
-    return components(first.select("node", "root").union(bridges), "node", "root")
+        bridges = bridges.union(_verified(across.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")), prints, words, distance, sets))
+    return components(bridges, "node", "root")
 
 
 def simhash_groups(documents: DataFrame, shingle: int = 5, words: int = LONG_WORDS, sure: int = LONG_SURE, distance: int = LONG_DISTANCE) -> DataFrame:
@@ -404,10 +480,8 @@ def simhash_groups(documents: DataFrame, shingle: int = 5, words: int = LONG_WOR
     prints = docs.groupBy("node").agg(F.min("fp").alias("fp"), F.min("doc_id").alias("least"), F.min("text_key").alias("text_key"))
     prints = materialize(prints, "prints")
 
-    def alike(pairs: DataFrame) -> DataFrame:
-        return _similar(pairs, documents, prints, shingle)
-
-    roots = print_groups(prints.select("node", "fp"), words, sure, distance, alike)
+    sets = ShingleSets(documents, prints, shingle) if words > 1 else None
+    roots = print_groups(prints.select("node", "fp"), words, sure, distance, sets)
     rooted = materialize(prints.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root")), "roots")
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = materialize(rooted.join(smallest, "root").select("node", "component_id"), "named")

@@ -123,3 +123,34 @@ def test_crowded_buckets(spark, monkeypatch):
     got = {r.node: r.root for r in simhash.print_groups(frame, 1, 3, 3).collect()}
     pairs = [(signed[a], signed[b]) for a in range(len(values)) for b in range(a) if (values[a] ^ values[b]).bit_count() <= 3]
     assert {n: got.get(n, n) for n in signed} == plain_components(pairs, signed)
+
+
+def test_crowd_of_unlike_members(spark, monkeypatch):
+    """Many edits of one text: links as by brute force, candidates in proportion to the group."""
+    import random
+
+    draw, counted = random.Random(3), []
+    base = [f"w{k}" for k in range(150)]
+    texts = []
+    for size in range(1200):
+        text = list(base)
+        for at in draw.sample(range(150), 1 + size % 9):
+            text[at] = f"x{draw.randrange(10**6)}"
+        texts.append(text)
+        if size % 40 == 0:  # a near copy of a member that stands apart
+            texts.append([*text[:-1], f"y{size}"])
+    alike = simhash.ShingleSets.alike
+
+    def counting(self, pairs):
+        counted.append(pairs.count())
+        return alike(self, pairs)
+
+    monkeypatch.setattr(simhash.ShingleSets, "alike", counting)
+    frame = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.component_id for r in simhash.simhash_groups(frame).collect()}
+    sets = [{tuple(t[k : k + 5]) for k in range(len(t) - 4)} for t in texts]
+    pairs = [(a, b) for a in range(len(sets)) for b in range(a) if 9 * (shared := len(sets[a] & sets[b])) >= 4 * (len(sets[a]) + len(sets[b]))]
+    want = plain_components(pairs, range(len(sets)))
+    assert sum(got[k] != want[k] for k in want) <= 0.01 * len(want)
+    assert not any(want[got[k]] != want[k] for k in want)  # nothing links that should not
+    assert sum(counted) < 60 * len(texts), counted
