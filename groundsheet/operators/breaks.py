@@ -260,6 +260,31 @@ def _spread(table: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]
     return cost
 
 
+def _least_starts(before: np.ndarray, cost: Callable, ends: np.ndarray, low: int, gap: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each of the rising ``ends`` j the least before[i] + cost(i, j) over low <= i <= j - gap, and the first such i.
+
+    Summed squares of sorted values make the best i rise with j, so every other end is searched only
+    between its neighbours' starts: about len(ends) sums a level, and a logarithm of levels.
+    """
+    n = len(ends)
+    value, start = np.full(n, np.inf), np.full(n, low)
+    step = 1 << max(0, n - 1).bit_length()
+    while step:
+        at = np.arange(step - 1, n, 2 * step)
+        if len(at):
+            first = np.where(at >= step, start[at - step], low)
+            last = np.where(at + step < n, start[np.minimum(at + step, n - 1)], ends[at] - gap)
+            sizes = np.minimum(last, ends[at] - gap) - first + 1
+            offsets = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+            starts = np.arange(sizes.sum()) + np.repeat(first - offsets, sizes)
+            options = before[starts] + cost(starts, np.repeat(ends[at], sizes))
+            value[at] = np.minimum.reduceat(options, offsets)
+            hits = np.flatnonzero(options == np.repeat(value[at], sizes))
+            start[at] = starts[hits[np.searchsorted(hits, offsets)]]
+        step >>= 1
+    return value, start
+
+
 def _best_cuts(table: np.ndarray, k: int) -> tuple[float, list[int]]:
     """The least summed squared deviations with cuts between bins, and the first bins of classes 2..k."""
     cost, n = _spread(table), len(table)
@@ -267,11 +292,7 @@ def _best_cuts(table: np.ndarray, k: int) -> tuple[float, list[int]]:
     came = []
     for c in range(2, k + 1):
         now, back = np.full(n + 1, np.inf), np.zeros(n + 1, dtype=int)
-        for j in range(c, n + 1):
-            starts = np.arange(c - 1, j)
-            options = best[starts] + cost(starts, np.full(len(starts), j))
-            at = int(options.argmin())
-            now[j], back[j] = options[at], starts[at]
+        now[c:], back[c:] = _least_starts(best, cost, np.arange(c, n + 1), c - 1, 1)
         best = now
         came.append(back)
     cuts, j = [], n
@@ -293,12 +314,9 @@ def _cut_inside(table: np.ndarray, k: int) -> np.ndarray:
         first = np.concatenate([[0.0], cost(np.zeros(n, int), np.arange(1, n + 1))])
         out = [first]
         for _ in range(k - 2):
-            last, now = out[-1], np.full(n + 1, np.inf)
+            last = out[-1]
             reach = np.minimum(last, np.concatenate([[np.inf], last[:-1]]))  # start at j, or after the cut bin j - 1
-            for j in range(n + 1):
-                starts = np.arange(j + 1)
-                now[j] = (reach[: j + 1] + cost(starts, np.full(j + 1, j))).min()
-            out.append(now)
+            out.append(_least_starts(reach, cost, np.arange(n + 1), 0, 0)[0])
         return out
 
     n = len(table)
