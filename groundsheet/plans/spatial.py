@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundsheet.operators import joins
+from groundsheet.operators import joins, sphere
 from groundsheet.plans.catalog import query
 from groundsheet.plans.derived import ctes, layer, table
 
@@ -138,6 +138,22 @@ def distance_join_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.select("id", F.col("b_id").alias("zone"), F.round("distance", 6).alias("distance"))
 
 
+@query(
+    "d3_distance_join_metres",
+    ctes("sites", "depots")
+    + """, halves as (
+           select s.id as id, d.id as depot,
+                  power(sin(radians(s.lat - d.lat) / 2), 2)
+                  + cos(radians(s.lat)) * cos(radians(d.lat)) * power(sin(radians(s.lon - d.lon) / 2), 2) as h
+           from sites s, depots d)
+         select id, depot, round(2 * 6371008.8 * asin(sqrt(h)), 2) as metres from halves
+         where 2 * 6371008.8 * asin(sqrt(least(h, 1))) <= 750000""",
+)
+def distance_join_metres(spark: SparkSession, sf_dir: str) -> DataFrame:
+    near = sphere.distance_join_metres(layer(spark, sf_dir, "sites"), layer(spark, sf_dir, "depots"), 750_000)
+    return near.select("id", F.col("b_id").alias("depot"), F.round("metres", 2).alias("metres"))
+
+
 @query(
     "d4_nearest",
     ctes("sites", "depots")
