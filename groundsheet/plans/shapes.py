@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from groundsheet.layer import Layer
-from groundsheet.operators import guarded, intervals
+from groundsheet.operators import guarded, intervals, quantiles
 from groundsheet.plans import derived
 from groundsheet.plans.catalog import query
 
@@ -388,3 +388,15 @@ def asof_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id", "user_id",
         F.col("match.event_id").alias("click_id"), F.round("match.value", 3).alias("click_value"),
     )
+
+
+@query(
+    "p20_group_quantiles",
+    """select l_suppkey, p, round(case p when 0.1 then a[1] when 0.5 then a[2] else a[3] end, 4) as price from (
+         select l_suppkey, quantile_cont(cast(l_extendedprice as double), [0.1, 0.5, 0.99]) as a from lineitem group by l_suppkey) t,
+         (select unnest([0.1e0, 0.5e0, 0.99e0]) as p) ps""",
+)
+def group_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    found = quantiles.group_quantiles(lines, ["l_suppkey"], "l_extendedprice", [0.1, 0.5, 0.99])
+    return found.select("l_suppkey", "p", F.round("value", 4).alias("price"))
