@@ -146,5 +146,22 @@ def present_layers(folded: DataFrame) -> DataFrame:
     )
 
 
-def apply_layer_changes(changes: DataFrame) -> DataFrame:
-    return present_layers(fold_changes(changes))
+#: Versions of a start state's layers lie around this number, below those of all changes.
+START = -(1 << 62)
+
+
+def fold_state(layers: DataFrame) -> DataFrame:
+    """A stored document (``id, name, value, style, position``) as folded rows of the lowest version.
+
+    Positions are taken from 0 on; of layers with one id the last in the document stands.
+    """
+    seq = F.lit(START) + 2 * F.col("position").cast("long")
+    added = F.struct(seq.alias("seq"), F.col("name"), F.col("value").cast("double").alias("value"))
+    styled = F.when(F.col("style").isNotNull(), F.struct((seq + 1).alias("seq"), F.col("style")))
+    return layers.select("id", F.lit(None).cast("long").alias("removed"), added.alias("added"), styled.alias("styled"))
+
+
+def apply_layer_changes(changes: DataFrame, state: DataFrame | None = None) -> DataFrame:
+    """The document after all changes, begun empty or with the layers of ``state`` (see ``fold_state``)."""
+    folded = fold_changes(changes)
+    return present_layers(folded if state is None else merge_folded(folded.unionByName(fold_state(state))))

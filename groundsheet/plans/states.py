@@ -120,6 +120,34 @@ def apply_layer_changes_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layer_state.current_state(spark, state)
 
 
+DOCUMENT = """select id, name, cast(substr(id, 7) as double) as value, case when token is null then type end as style,
+    cast(substr(id, 7) as int) as position from layers"""
+FROM_DOCUMENT = f""", document as ({DOCUMENT}), begun as (
+        select id, seq, op, name, value from layer_changes
+        union all select id, -4611686018427387904 + 2 * position, 'upsert', name, value from document
+        union all select id, -4611686018427387903 + 2 * position, 'style', style, null from document where style is not null)
+        """
+
+
+@query("l5_apply_layer_changes_document", ctes("layer_changes", "layers") + FROM_DOCUMENT + state_sql("begun"))
+def apply_changes_to_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The changes applied to a stored document."""
+    layer(spark, sf_dir, "layers").createOrReplaceTempView("layers")
+    return registry.apply_layer_changes(layer(spark, sf_dir, "layer_changes"), spark.sql(DOCUMENT))
+
+
+@query("l5_apply_layer_changes_document_stream", ctes("layer_changes", "layers") + FROM_DOCUMENT + state_sql("begun"))
+def stream_changes_to_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from a stream of files."""
+    layer(spark, sf_dir, "layers").createOrReplaceTempView("layers")
+    document = spark.sql(DOCUMENT)
+    source, state, marks = (lineage.scratch_path(spark, name) for name in ("changes", "state", "marks"))
+    layer(spark, sf_dir, "layer_changes").repartition(4, "seq").write.parquet(source)
+    layer_state.begin(document, state)
+    layer_state.start(layer_state.read_changes(spark, source, files_per_batch=2), state, marks).awaitTermination()
+    return layer_state.current_state(spark, state)
+
+
 @query(
     "l6_layer_diff",
     ctes("layer_changes")

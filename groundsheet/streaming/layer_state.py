@@ -38,6 +38,11 @@ def start(changes: DataFrame, state: str, checkpoint: str) -> StreamingQuery:
     )
 
 
+def begin(document: DataFrame, state: str) -> None:
+    """Lay a stored document under a stream's folds; it may be laid again, before or after batches."""
+    registry.fold_state(document).write.mode("overwrite").parquet(f"{state}/batch=-1")
+
+
 def current_state(spark: SparkSession, state: str) -> DataFrame:
     folds = spark.read.schema(registry.FOLDED).parquet(state)
     return registry.present_layers(registry.merge_folded(folds))

@@ -67,6 +67,28 @@ def test_stream_restarts_and_compacts(spark, tmp_path):
     assert as_doc(layer_state.current_state(spark, str(tmp_path / "small"))) == replay(rows)
 
 
+DOCUMENT_SCHEMA = "id string, name string, value double, style string, position int"
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_changes_to_a_stored_document(spark, tmp_path, seed):
+    """A document's layers are as if added, and styled, before all changes; in batch and in a stream."""
+    rows = changes(60, seed)
+    document = [("hot", "h", 1.0, "red", 0), ("l1", None, None, None, 1), ("l77", "kept", 7.0, "blue", 2), ("twice", "a", 1.0, None, 3), ("twice", "b", 2.0, None, 4)]
+    before = [(d[0], registry.START + 2 * d[4], "upsert", d[1], d[2]) for d in document]
+    before += [(d[0], registry.START + 2 * d[4] + 1, "style", d[3], None) for d in document if d[3]]
+    want = replay(before + rows)
+    stored = spark.createDataFrame(document, DOCUMENT_SCHEMA)
+    assert as_doc(registry.apply_layer_changes(spark.createDataFrame(rows, SCHEMA), stored)) == want
+    assert as_doc(registry.apply_layer_changes(spark.createDataFrame([], SCHEMA), stored)) == replay(before)
+    source, state, marks = (str(tmp_path / n) for n in ("in", "state", "marks"))
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(source)
+    layer_state.start(layer_state.read_changes(spark, source), state, marks).awaitTermination()
+    for _ in range(2):
+        layer_state.begin(stored, state)
+    assert as_doc(layer_state.current_state(spark, state)) == want
+
+
 def test_resolve(spark):
     layers = spark.createDataFrame(
         [("roads", "https://h/0", "t1"), ("parcels", "s3://b/p.parquet", None), ("s3://b/p.parquet", "s3://b/q.parquet", "t2"), ("bare", None, "t3")],
