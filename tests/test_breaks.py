@@ -126,3 +126,16 @@ def test_legend(spark):
 def test_distribution_of_an_empty_field(spark):
     rows = {(r.part, r["item"]): r.value for r in breaks.distribution(numbers(spark, [None]), "v").collect()}
     assert rows[("stat", "count")] == 0 and rows[("percentile", "p50")] is None
+
+
+def test_starts_found_between_neighbours():
+    """The monotone search against all starts."""
+    draw = np.random.default_rng(4)
+    for n in (1, 2, 7, 60):
+        v, w = np.sort(draw.lognormal(size=n)), draw.integers(1, 5, n).astype(float)
+        table = np.stack([v, v, v * w, v * v * w, w], axis=1)
+        cost, before = breaks._spread(table), draw.random(n + 1)
+        got, start = breaks._least_starts(before, cost, np.arange(n + 1), 0, 0)
+        for j in range(n + 1):
+            options = before[: j + 1] + cost(np.arange(j + 1), np.full(j + 1, j))
+            assert got[j] == options.min() and start[j] == options.argmin()
