@@ -63,7 +63,49 @@ def paths(value: object, prefix: str = "") -> set[str]:
 
 def fingerprint(fields: set[str]) -> str:
     """Hash of field paths, whatever their order."""
-    return hashlib.sha256("\n".join(sorted(fields)).encode()).hexdigest()[:16]
+    return hashlib.sha256("\n".join(sorted(fields)).encode("utf-8", "surrogatepass")).hexdigest()[:16]
+
+
+def required(mapping: Mapping) -> set[str]:
+    """Field paths without which a mapping cannot read a record."""
+    if mapping.fixed:
+        return {mapping.key, *(name for _, names in mapping.fixed for name in names)}
+    if mapping.turns:
+        inner = f"{mapping.turns}[]"
+        return {mapping.key, inner, f"{inner}.{mapping.role}", f"{inner}.{mapping.text}"}
+    return {mapping.key, mapping.order, mapping.role, mapping.text}
+
+
+def chosen(fields: frozenset[str], layouts: dict[str, Mapping]) -> tuple[str, Mapping | None]:
+    """A record's fingerprint and mapping: the one registered for just these paths, or else the one that requires the most of them.
+
+    Of several that require as many the one with the smallest fingerprint is taken; none that has all it requires: None.
+    """
+    mark = fingerprint(set(fields))
+    if mark in layouts:
+        return mark, layouts[mark]
+    fitting = [(-len(needs), key) for key, mapping in layouts.items() if (needs := required(mapping)) <= fields]
+    return mark, layouts[min(fitting)[1]] if fitting else None
+
+
+def conversation_id(value: object) -> int | None:
+    """Whole numbers that fit a long, and texts of one, are themselves; null stays null.
+
+    Every other id becomes a number below -2^62 by its hash, the same for the same id everywhere.
+    """
+    number = whole(value)
+    if value is None or number is not None:
+        return number
+    digest = hashlib.sha256(json.dumps(value, sort_keys=True).encode()).digest()
+    return -(1 << 62) - (int.from_bytes(digest[:8], "big") >> 2) - 1
+
+
+def whole(value: object) -> int | None:
+    """A whole number that fits a long, also as a text; else None."""
+    if isinstance(value, str) and re.fullmatch(r"-?[0-9]{1,19}", value):
+        value = int(value)
+    fits = isinstance(value, int) and not isinstance(value, bool) and -(1 << 63) <= value < 1 << 63
+    return value if fits else None
 
 
 def layout(fields: list[str], mapping: Mapping) -> dict[str, Mapping]:
@@ -93,53 +135,67 @@ LAYOUTS: dict[str, Mapping] = (
 )
 
 
-def turns_of(record: dict, mapping: Mapping) -> list[tuple[int | None, int, str, str]]:
-    """(conversation, order, role, text) of each turn of a record."""
-    text = lambda value: "" if value is None else value if isinstance(value, str) else json.dumps(value)
-    key = record.get(mapping.key)
+def _text(value: object) -> str:
+    """A text as it is, null as empty, anything else as JSON; halves of surrogate pairs become U+FFFD."""
+    said = "" if value is None else value if isinstance(value, str) else json.dumps(value)
+    return said.encode("utf-16", "surrogatepass").decode("utf-16", "replace")
+
+
+def turns_of(record: dict, mapping: Mapping) -> list[tuple[int | None, int | None, str, str]]:
+    """(conversation, order, role, text) of each turn of a record.
+
+    A list element that is no object is a turn without a role, whose text it is.  A turn's number that
+    is no whole number has no place: it is null and comes first.
+    """
+    key = conversation_id(record.get(mapping.key))
     if mapping.fixed:
-        joined = ((role, "\n\n".join(t for f in fields if (t := text(record.get(f))))) for role, fields in mapping.fixed)
+        joined = ((role, "\n\n".join(t for f in fields if (t := _text(record.get(f))))) for role, fields in mapping.fixed)
         found = list(joined)
         return [(key, k, role, said) for k, (role, said) in enumerate(found) if said or role != "system"]
     listed = record.get(mapping.turns) or [] if mapping.turns else [record]
     out = []
     for k, turn in enumerate(listed):
-        role = text(turn.get(mapping.role))
-        out.append((key, turn.get(mapping.order) if mapping.order else k, mapping.rename.get(role, role), text(turn.get(mapping.text))))
+        if not isinstance(turn, dict):
+            turn = {mapping.text: turn}
+        role = _text(turn.get(mapping.role))
+        order = whole(turn.get(mapping.order)) if mapping.order else k
+        out.append((key, order, mapping.rename.get(role, role), _text(turn.get(mapping.text))))
     return out
 
 
 def canonical_turns(records: DataFrame, layouts: dict[str, Mapping] | None = None) -> DataFrame:
     """conv_id, turn, role, text and layout of every turn of the JSON objects in column ``record``.
 
-    Null fields count as fields; null roles and texts are empty.  A record that is null, no JSON
+    Null fields count as fields; null roles and texts are empty.  A layout is known if its fingerprint is
+    registered, or if a mapping finds all paths it requires among others.  A record that is null, no JSON
     object or of an unknown layout gives one row with its fingerprint (null if it is no object)
-    and null elsewhere, so that nothing is dropped unseen.  Other columns are not read.
+    and null elsewhere, so that nothing is dropped unseen; ``unknown_layouts`` counts them.  For ids and
+    turns of other types see ``conversation_id`` and ``turns_of``.  Other columns are not read.
     """
     known = LAYOUTS if layouts is None else layouts
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[frozenset, str] = {}
+        seen: dict[frozenset, tuple[str, Mapping | None]] = {}
         for batch in batches:
             rows: list[tuple] = []
             for text in batch.column("record").to_pylist():
                 try:
                     record = json.loads(text) if text is not None else None
-                except ValueError:
+                    fields = frozenset(paths(record))
+                except (ValueError, RecursionError):
                     record = None
                 if not isinstance(record, dict):
                     rows.append((None, None, None, None, None))
                     continue
-                fields = frozenset(paths(record))
                 if fields not in seen:
                     if len(seen) > 10_000:
                         seen.clear()
-                    seen[fields] = fingerprint(fields)
-                mark = seen[fields]
-                if mark not in known:
+                    seen[fields] = chosen(fields, known)
+                mark, mapping = seen[fields]
+                if mapping is None:
                     rows.append((None, None, None, None, mark))
                 else:
-                    rows += [(*turn, mark) for turn in turns_of(record, known[mark])]
+                    rows += [(*turn, mark) for turn in turns_of(record, mapping)]
             columns = list(zip(*rows, strict=True)) or [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _TURN_TYPES, strict=True)], _TURN_NAMES)
 
@@ -148,6 +204,11 @@ def canonical_turns(records: DataFrame, layouts: dict[str, Mapping] | None = Non
     )
 
 
+def unknown_layouts(turns: DataFrame) -> DataFrame:
+    """layout and records: what ``canonical_turns`` could not read, by fingerprint (null: no JSON object)."""
+    return turns.where("role is null").groupBy("layout").agg(F.count("*").alias("records"))
+
+
 _TURN_NAMES = ["conv_id", "turn", "role", "text", "layout"]
 _TURN_TYPES = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string()]
 

@@ -51,6 +51,35 @@ def test_layouts(spark, monkeypatch, cut):
     assert got == {(r.get("id") or r.get("conv_id")): expected(t) for r, t in LAYOUTS if t}
 
 
+ODD = [
+    ({"id": "12", "prompt": "p", "response": "r"}, 12, [("user", "p"), ("assistant", "r")]),
+    ({"id": 20, "messages": ["hi", None, 3]}, 20, [("", "hi"), ("", ""), ("", "3")]),
+    ({"id": 21, "messages": [{"role": "user", "content": "q"}, "loose", {"role": 5, "content": ["a", 1]}]}, 21, [("user", "q"), ("", "loose"), ("5", '["a", 1]')]),
+    ({"id": 22, "prompt": "p", "response": "r", "source": "web", "tags": ["x"]}, 22, [("user", "p"), ("assistant", "r")]),
+    ({"id": 23, "messages": [{"role": "assistant", "content": "a", "name": "n"}], "lang": None}, 23, [("assistant", "a")]),
+    ({"id": 24, "instruction": "do", "input": "it", "output": "o", "system": "s", "more": 1}, 24, [("system", "s"), ("user", "do\n\nit"), ("assistant", "o")]),
+    ({"conv_id": 25, "turn": "2", "role": "user", "text": "second"}, 25, [("user", "second")]),
+    ({"id": 26, "prompt": "half \ud800", "response": "r"}, 26, [("user", "half \ufffd"), ("assistant", "r")]),
+]
+
+
+def test_odd_ids_turns_and_fields(spark):
+    records = [json.dumps(r) for r, _, _ in ODD]
+    records += [json.dumps({"id": i, "prompt": str(i), "response": ""}) for i in ("abc", 1.5, True, 1 << 70, float("nan"), None)]
+    records += [json.dumps({"conv_id": 30, "turn": t, "role": "user", "text": x}) for t, x in ((2, "c"), ("1", "b"), ("x", "a"), (1.5, "a"), (None, "a"))]
+    records += ["[" * 100_000, '{"id":1,"messages":"no list"}', '{"id":{"a":1},"prompt":"","response":""}']
+    turns = chat.canonical_turns(spark.createDataFrame([(r,) for r in records], "record string").repartition(3))
+    unknown = {r.layout: r.records for r in chat.unknown_layouts(turns).collect()}
+    assert unknown.pop(None) == 1 and list(unknown.values()) == [1, 1]
+    got = {r.conv_id: tuple(r)[1:] for r in chat.digests(chat.format_turns(turns)).collect()}
+    for _, key, want in ODD:
+        assert got.pop(key) == expected(want)
+    assert got.pop(30) == expected([("user", t) for t in "aaabc"])
+    assert got.pop(None) == expected([("user", "None"), ("assistant", "")])
+    assert len(got) == 5 and all(key < -(1 << 62) for key in got)
+    assert chat.conversation_id("abc") in got and chat.conversation_id("abc") != chat.conversation_id("abd")
+
+
 def test_fingerprint_ignores_order_and_counts():
     a, b = {"x": [{"p": 1}, {"q": 2}], "y": 1}, {"y": "t", "x": [{"q": 0, "p": 0}] * 5}
     assert chat.fingerprint(chat.paths(a)) == chat.fingerprint(chat.paths(b)) != chat.fingerprint(chat.paths({"y": 1}))
