@@ -33,7 +33,8 @@ def learn_dictionaries(documents: DataFrame, usable: Column) -> dict[str, bytes]
     """Raw dictionary content per language, most common first, from rows where ``usable`` with text and lang.
 
     Counts cover all rows; DOCS documents per language are then drawn by a hash of their texts, so
-    copies count once, and one piece of each is taken at a place given by the hash.
+    copies count once, and one piece of each is taken at a place given by the hash.  Every piece counts with an
+    equal share of DICTIONARY_BYTES, cut between characters.
     """
     rows = documents.where(usable & F.col("lang").isNotNull() & F.col("text").isNotNull())
     counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
@@ -49,8 +50,10 @@ def learn_dictionaries(documents: DataFrame, usable: Column) -> dict[str, bytes]
         found.setdefault(r.lang, []).append((r.h, r.piece))
     learned = {}
     for lang, listed in sorted(found.items()):
-        folded = fold(pa.array([p for _, p in sorted(listed)[:DOCS]], pa.string()))
-        learned[lang] = " ".join(folded.to_pylist()).encode()[:DICTIONARY_BYTES]
+        listed = sorted(listed)[:DOCS]
+        share = DICTIONARY_BYTES // len(listed) - 1
+        folded = fold(pa.array([p for _, p in listed], pa.string())).to_pylist()
+        learned[lang] = " ".join(p.encode()[:share].decode(errors="ignore") for p in folded).encode()
     common = sorted(learned, key=lambda lang: (-counts[lang], lang))
     return {lang: learned[lang] for lang in common if learned[lang].strip()}
 

@@ -70,3 +70,13 @@ def test_unlearned_languages_and_noise_are_rejected(spark):
     assert share([k for k, lang in truth.items() if lang == left_out]) > 0.9
     assert share([k for k in rejected if k < 0]) > 0.9
     assert share([k for k, lang in truth.items() if lang not in (None, left_out)]) < 0.02
+
+
+def test_every_piece_counts(spark, monkeypatch):
+    """Each drawn text has its share of a dictionary, whole characters only."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(language_id, "DICTIONARY_BYTES", 2000)
+    docs = spark.createDataFrame([(k, "de", f"{chr(97 + k)}" + " grüße überall" * 30) for k in range(20)], "doc_id long, lang string, text string")
+    learned = language_id.learn_dictionaries(docs, F.lit(True))["de"]
+    assert 1800 < len(learned) <= 2000 and learned.decode().count("gr") >= 20 * 5
