@@ -24,6 +24,8 @@ STATS = (
     "words", "word_length", "symbols", "upper", "duplicate_lines", "repeated_words", "line_length", "digits", "marks", "distinct",
 )
 WIDTH = WORD_BUCKETS + len(STATS)
+#: Rows of dense features that a task holds at a time.
+SLICE_ROWS = 1000
 
 
 def features(texts: pa.Array) -> np.ndarray:
@@ -104,7 +106,7 @@ def learn(documents: DataFrame, labels: DataFrame, usable: Column) -> dict[str,
     texts = documents.join(F.broadcast(drawn), "doc_id").groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, rows=SLICE_ROWS):
             x = features(filled(batch))
             at = [np.flatnonzero(row) for row in x]
             yield pa.RecordBatch.from_pydict({
@@ -138,7 +140,7 @@ def quality_scores(documents: DataFrame, labels: DataFrame) -> DataFrame:
     model = learn(docs, marks, ~held_out(F.col("doc_id")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, rows=SLICE_ROWS):
             score = 1 / (1 + np.exp(-margin(features(filled(batch)), model).astype(np.float64)))
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "score": score})
 

@@ -29,8 +29,8 @@ def give_back() -> None:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that ``column`` holds at most ``limit`` bytes in each, one row at least."""
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES, rows: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that ``column`` holds at most ``limit`` bytes in each and no more than ``rows`` rows, one row at least."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         ends = np.cumsum(sizes.astype(np.int64))
@@ -38,6 +38,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
         while start < batch.num_rows:
             before = ends[start - 1] if start else 0
             stop = max(start + 1, int(np.searchsorted(ends, before + limit, side="right")))
+            stop = min(stop, start + rows) if rows else stop
             yield batch.slice(start, stop - start)
             start = stop
     give_back()

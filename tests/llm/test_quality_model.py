@@ -52,3 +52,13 @@ def test_held_out_quality(spark):
     bad = [r.score for r in held if truth[r.doc_id] == 0]
     assert np.mean([g > b for g in good for b in bad]) > 0.97
     assert np.mean([r.predicted == truth[r.doc_id] for r in held]) > 0.93
+
+
+def test_slices_bound_rows():
+    """Many short texts are cut by rows, as each becomes a dense row."""
+    import pyarrow as pa
+    from groundsheet.llm.texts import slices
+
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(2500)), "text": ["two words"] * 2500})
+    cut = list(slices([batch], rows=quality_model.SLICE_ROWS))
+    assert [len(c) for c in cut] == [1000, 1000, 500] and pa.Table.from_batches(cut).column("doc_id").to_pylist() == list(range(2500))
