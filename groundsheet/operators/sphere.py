@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from groundsheet.operators import lineage
+from groundsheet.operators import dealing, lineage
 
 #: Mean radius of the earth in metres.
 RADIUS = 6371008.8
@@ -67,7 +67,9 @@ def distance_join_metres(
         right = right.join(crowded, cube, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("salts")
     one = left.withColumnsRenamed({n: f"a_{n}" for n in axes} | {"row": "_a"})
     two = right.withColumnsRenamed({n: f"b_{n}" for n in axes} | {"row": "_b"})
-    chord = F.sqrt(sum(((F.col(f"a_{n}") - F.col(f"b_{n}")) * (F.col(f"a_{n}") - F.col(f"b_{n}")) for n in axes), F.lit(0.0)))
-    apart = F.asin(F.least(F.lit(1.0), chord / 2)) * (2 * radius)
-    near = one.join(two, [*cube, "_salt"]).withColumn("_apart", apart).where(F.col("_apart") <= float(metres))
+    square = sum(((F.col(f"a_{n}") - F.col(f"b_{n}")) * (F.col(f"a_{n}") - F.col(f"b_{n}")) for n in axes), F.lit(0.0))
+    apart = F.asin(F.least(F.lit(1.0), F.sqrt(square) / 2)) * (2 * radius)
+    # few products tell most pairs to be too far apart
+    met = dealing.join(one, two, [*cube, "_salt"]).where(square <= reach * reach * (1 + 1e-9))
+    near = met.withColumn("_apart", apart).where(F.col("_apart") <= float(metres))
     return near.select("_a.*", *(F.col("_b")[c].alias(f"{prefix}{c}") for c in b.columns), F.col("_apart").alias(distance))
