@@ -448,11 +448,15 @@ def _apart(a_xy: tuple[str, str] | None, b_xy: tuple[str, str] | None) -> Column
 
 # --- nearest neighbours ---------------------------------------------------------------
 
+BOUNDS = ("x0", "y0", "x1", "y1")
+#: A box within which some point of the shape is sure to lie: the middle, or the whole box of a shape that may miss it.
+FAR = ("u0", "v0", "u1", "v1")
 FAN = 4  # children of a cell, split at quantiles of its longer axis
 LEAF_ROWS = 16
 BROADCAST_DEPTH = 6  # at most FAN ** 6 = 4,096 summary rows by construction
 SAMPLE = 1 << 15  # places, give or take the draw's noise, on which the upper levels are cut
 SLACK = 1 + 1e-9  # of bounds, against rounding in the exact distance of shapes
+TASK_ROWS = 2_000_000  # pairs that a task sorts, some hundred bytes each
 
 
 def nearest(
@@ -481,7 +485,7 @@ def nearest(
     else:
         left = a.select(F.col(a_key).alias("ak"), *_placed(a_xy, a_geom, "a"))
         right = b.select(F.col(b_key).alias("bk"), *_placed(b_xy, b_geom, "b"))
-        cand = _within_reach(met, ["ak"], "bk", k).select("ak", "bk")
+        cand = _within_reach(met, ["ak"], "bk", k, F.col("a_exact") & F.col("exact")).select("ak", "bk")
         both = cand.join(right, "bk").join(left, "ak").select("ak", "bk", _apart(a_xy, b_xy).alias("distance"))
     best = W.partitionBy("ak").orderBy("distance", "bk")
     return both.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select(
@@ -504,12 +508,12 @@ def _met(a: DataFrame, b: DataFrame, k: int, a_key: str, b_key: str, a_xy, b_xy,
     same = W.partitionBy(*(["x0", "y0"] if b_xy else ["shape"])).orderBy("key")
     places = places.withColumn("at", F.row_number().over(same)).where(F.col("at") <= k).drop("at", "shape")
     places = lineage.materialize(places, "places")
-    rows = _boxes(a, a_key, a_xy, a_geom, "a").drop("shape")
+    rows = _boxes(a, a_key, a_xy, a_geom, "a").drop("shape", *FAR)
     n = places.count()
     depth = max(1, math.ceil(math.log(max(1.0, n / LEAF_ROWS), FAN)))
     places, rows = _dealt(places, rows, depth)
     levels = _tree(places, depth)
-    groups = _tight(rows.groupBy("cell")).withColumnsRenamed({"cell": "group", **{c: f"a_{c}" for c in BOUNDS}}).drop("n")
+    groups = _tight(rows.groupBy("cell"), BOUNDS).withColumnsRenamed({"cell": "group", **{c: f"a_{c}" for c in BOUNDS}}).drop("n")
     cand = groups.withColumn("cell", F.lit(0).cast("long"))
     for d in range(1, depth + 1):
         cells = levels[d].withColumn("parent", F.floor(F.col("cell") / FAN)).withColumnRenamed("cell", "child")
@@ -517,25 +521,40 @@ def _met(a: DataFrame, b: DataFrame, k: int, a_key: str, b_key: str, a_xy, b_xy,
             cells = F.broadcast(cells)
         grown = cand.join(cells, F.col("cell") == F.col("parent"))
         cand = _within_reach(grown, ["group"], "child", k).select("group", *(f"a_{c}" for c in BOUNDS), F.col("child").alias("cell"))
-    leaves = cand.select("group", "cell").join(levels[depth], "cell").withColumnRenamed("cell", "leaf")
-    mine = rows.withColumnRenamed("cell", "group").withColumnsRenamed({c: f"a_{c}" for c in BOUNDS}).withColumnRenamed("key", "ak")
-    near = _within_reach(mine.join(leaves, "group"), ["ak"], "leaf", k).select("ak", *(f"a_{c}" for c in BOUNDS), F.col("leaf").alias("cell"))
-    return near.join(places.withColumn("n", F.lit(1)).withColumnRenamed("key", "bk"), "cell")
+    cand = lineage.materialize(cand.select("group", "cell"), "leaves")
+    leaves = cand.join(levels[depth], "cell").withColumnRenamed("cell", "leaf")
+    known = (*BOUNDS, "exact")
+    mine = rows.withColumnRenamed("cell", "group").withColumnsRenamed({c: f"a_{c}" for c in known}).withColumnRenamed("key", "ak")
+    meant = cand.join(rows.groupBy(F.col("cell").alias("group")).agg(F.count("*").alias("n")), "group")
+    near = _within_reach(_by_rows(mine.join(leaves, "group"), meant), ["ak"], "leaf", k)
+    near = lineage.materialize(near.select("ak", *(f"a_{c}" for c in known), F.col("leaf").alias("cell")), "near")
+    met = near.join(places.withColumn("n", F.lit(1)).withColumnRenamed("key", "bk"), "cell")
+    return _by_rows(met, near.join(levels[depth].select("cell", "n"), "cell"))
 
 
-BOUNDS = ("x0", "y0", "x1", "y1")
+def _by_rows(pairs: DataFrame, meant: DataFrame) -> DataFrame:
+    """The pairs, dealt by ``ak`` over as many tasks as their number asks for, the sum of ``n`` in ``meant``.
+
+    What follows sorts them, and the bytes of either side say nothing of their number.
+    """
+    tasks = math.ceil(meant.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] / TASK_ROWS)
+    return pairs.repartition(min(dealing.MOST_TASKS, tasks), "ak") if tasks > 1 else pairs
 
 
 def _boxes(df: DataFrame, key: str, xy: tuple[str, str] | None, geom: str, mark: str) -> DataFrame:
-    """key, box and middle (mx, my) of every row with a place; ``shape`` names equal places."""
+    """key, box and middle (mx, my) of every row with a place; ``shape`` names equal places, ``exact`` says that it fills its box."""
     if xy:
         x, y = (F.col(c).cast("double") for c in xy)
         out = df.select(F.col(key).alias("key"), x.alias("x0"), y.alias("y0"), x.alias("x1"), y.alias("y1"), F.lit(None).cast("binary").alias("shape"))
+        out = out.withColumn("exact", F.lit(True))
     else:
         named = df.select(F.col(key).alias("key"), F.col(geom).alias("shape"))
         out = G.with_bounds(named, "shape", BOUNDS)
+        spot = (F.col("x0") == F.col("x1")) & (F.col("y0") == F.col("y1"))
+        out = out.withColumn("exact", spot | G.is_box("shape", *BOUNDS))
     out = out.where(F.col("key").isNotNull() & F.col("x0").isNotNull() & F.col("y0").isNotNull())
-    return out.withColumns({"mx": F.col("x0") / 2 + F.col("x1") / 2, "my": F.col("y0") / 2 + F.col("y1") / 2})
+    out = out.withColumns({"mx": F.col("x0") / 2 + F.col("x1") / 2, "my": F.col("y0") / 2 + F.col("y1") / 2})
+    return out.withColumns({u: F.when(F.col("exact"), F.col(m)).otherwise(F.col(x)) for u, m, x in zip(FAR, ("mx", "my", "mx", "my"), BOUNDS, strict=True)})
 
 
 def _dealt(places: DataFrame, rows: DataFrame, depth: int) -> tuple[DataFrame, DataFrame]:
@@ -589,10 +608,9 @@ def _sampled_marks(spots: list[tuple[float, float]], depth: int) -> list[list[tu
     return found
 
 
-def _tight(grouped) -> DataFrame:
-    return grouped.agg(
-        F.count("*").alias("n"), F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1")
-    )
+def _tight(grouped, names: tuple = (*BOUNDS, *FAR), n: Column | None = None) -> DataFrame:
+    ends = [(F.max if c.endswith("1") else F.min)(c).alias(c) for c in names]
+    return grouped.agg((F.count("*") if n is None else n).alias("n"), *ends)
 
 
 def _tree(places: DataFrame, depth: int) -> dict[int, DataFrame]:
@@ -600,28 +618,36 @@ def _tree(places: DataFrame, depth: int) -> dict[int, DataFrame]:
     levels = {depth: lineage.materialize(_tight(places.groupBy("cell")), "cells")}
     for d in range(depth - 1, 0, -1):
         up = levels[d + 1].withColumn("cell", F.floor(F.col("cell") / FAN))
-        levels[d] = up.groupBy("cell").agg(
-            F.sum("n").alias("n"), F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1")
-        )
+        levels[d] = _tight(up.groupBy("cell"), n=F.sum("n"))
     return levels
 
 
 def _gaps() -> tuple[Column, Column]:
-    """Squared distance from box a_x0 … to the nearest and the farthest possible place in box x0 …"""
+    """Squared distance from box a_x0 … to the nearest possible place in box x0 … and the farthest in box u0 …"""
     near, far = F.lit(0.0), F.lit(0.0)
-    for lo, hi in (("x0", "x1"), ("y0", "y1")):
+    for lo, hi, first, last in (("x0", "x1", "u0", "u1"), ("y0", "y1", "v0", "v1")):
         gap = F.greatest(F.col(lo) - F.col(f"a_{hi}"), F.col(f"a_{lo}") - F.col(hi), F.lit(0.0))
-        reach = F.greatest(F.abs(F.col(f"a_{hi}") - F.col(lo)), F.abs(F.col(hi) - F.col(f"a_{lo}")))
+        reach = F.greatest(F.abs(F.col(f"a_{hi}") - F.col(first)), F.abs(F.col(last) - F.col(f"a_{lo}")))
         near, far = near + gap * gap, far + reach * reach
     return near, far
 
 
-def _within_reach(pairs: DataFrame, mine: list[str], order: str, k: int) -> DataFrame:
-    """Pairs of a box (a_x0 …) and a box of n rows (x0 …) that can still hold one of the k nearest."""
+def _within_reach(pairs: DataFrame, mine: list[str], order: str, k: int, exact: Column | None = None) -> DataFrame:
+    """Pairs of a box (a_x0 …) and a box of n rows (x0 …) that can still hold one of the k nearest.
+
+    ``exact`` marks pairs of single rows whose distance is that of their boxes; of those that meet, the
+    k first in ``order`` are all a result can need.
+    """
     near, far = _gaps()
+    spare = F.lit(False)
+    if exact is not None:
+        far = F.when(exact, near).otherwise(far)
+        spare = exact & (F.col("held") > k)
+        for axis in "xy":
+            spare = spare & (F.col(f"{axis}0") <= F.col(f"a_{axis}1")) & (F.col(f"{axis}1") >= F.col(f"a_{axis}0"))
     scored = pairs.withColumns({"near": near, "far": far})
     so_far = W.partitionBy(*mine).orderBy("far", order).rowsBetween(W.unboundedPreceding, W.currentRow)
     scored = scored.withColumn("held", F.sum("n").over(so_far))
     bound = F.min(F.when(F.col("held") >= k, F.col("far"))).over(W.partitionBy(*mine))
     kept = scored.withColumn("bound", bound).where(F.col("bound").isNull() | (F.col("near") <= F.col("bound") * SLACK))
-    return kept.drop("near", "far", "held", "bound")
+    return kept.where(~spare).drop("near", "far", "held", "bound")
