@@ -1,3 +1,5 @@
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -71,3 +73,38 @@ def test_empty_sides_and_negative_distances(spark, views):
     assert rows(sqljoins.query(spark, "select s.id from (select * from j_spots where id < 0) s join j_boxes b on ST_Within(s.geom, b.geom)")) == []
     kept = sqljoins.query(spark, "select s.id, b.id as box from j_spots s left join (select * from j_boxes where id < 0) b on ST_Within(s.geom, b.geom)")
     assert kept.count() == 800 and kept.where("box is not null").count() == 0
+
+
+BUFFERED = "(select id, ST_Buffer(geom, 5) as zone from j_centre)"
+
+
+@pytest.mark.parametrize(
+    "sql",
+    [
+        f"with n as {BUFFERED} select n.id, b.id as box from n join j_corners b on ST_Intersects(n.zone, b.geom)",
+        f"with j_corner as {BUFFERED}, n as (select * from j_corner where id < 9), j_centre as (select 1 as id) "
+        "select n.id, b.id as box from j_corners b, n where ST_Intersects(b.geom, n.zone) and n.id < 5",
+        f"select n.id, b.id as box from (select s.zone, s.id from {BUFFERED} s) n join j_corners b on ST_Intersects(n.zone, b.geom)",
+        f"select n.id, b.id as box from {BUFFERED} n left join j_corners b on ST_Intersects(n.zone, b.geom)",
+        f"select n.id, b.id as box from j_corners b left join {BUFFERED} n on ST_Intersects(b.geom, n.zone) where n.id is not null",
+        "select n.id, b.id as box from j_centre n join j_corners b on ST_Intersects(ST_Buffer(n.geom, 2), ST_Buffer(b.geom, 3))",
+        "select n.id, b.id as box from j_centre n join j_corners b on n.id < b.id or ST_Intersects(ST_Buffer(n.geom, 5), b.geom)",
+    ],
+)
+def test_a_buffer_reaches_as_far_as_its_radius(spark, sql):
+    """Boxes whose corner lies between two corners of the buffer's polygon, 4.99 and 5.01 from its middle."""
+    corner = F.lit(math.pi / 32)
+    spark.range(1).select((F.col("id") + 4).alias("id"), G.point(F.lit(0.0), F.lit(0.0)).alias("geom")).createOrReplaceTempView("j_centre")
+    far = spark.createDataFrame([(1, 4.99), (2, 5.01)], "id long, far double").select("id", (F.col("far") * F.cos(corner)).alias("x"), (F.col("far") * F.sin(corner)).alias("y"))
+    far.select("id", G.envelope("x", "y", F.lit(9.0), F.lit(9.0)).alias("geom")).createOrReplaceTempView("j_corners")
+    found = sqljoins.query(spark, sql)
+    assert found.columns == ["id", "box"]
+    assert [tuple(r) for r in found.collect()] == [(4, 1)]
+
+
+def test_the_left_side_of_a_semi_join_keeps_its_columns(spark, views):
+    sql = "select * from (select id, ST_Buffer(geom, 2) as zone from j_spots) s left semi join j_boxes b on ST_Intersects(s.zone, b.geom)"
+    assert sqljoins.query(spark, sql).columns == ["id", "zone"]
+    assert sqljoins.query(spark, "select * from (select id, ST_Buffer(geom, 2) as zone from j_spots) s join j_boxes b on ST_Intersects(s.zone, b.geom)").columns == [
+        "id", "zone", "id", "x0", "y0", "side", "geom", "name"
+    ]
