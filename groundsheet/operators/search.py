@@ -20,8 +20,6 @@ from groundsheet.operators import lineage
 QUERY_WORDS = 200_000
 #: Postings of a query's rarest words that are scored first, as a multiple of the top list's length.
 SEED = 20
-#: Files over which a word's postings are spread.
-SALTS = 8
 #: Scores are compared to nine digits; bounds give way by more than that.
 SLACK = 1e-6
 K1, B = 1.5, 0.75  # usual BM25 parameters (fixed values)
@@ -65,7 +63,8 @@ def _exploded(words: DataFrame, *keys: str) -> DataFrame:
 def bm25_index(docs: DataFrame, path: str, doc: str = "doc_id", body: str = "text", locale: str | None = None) -> Index:
     """Build the index under ``path``.
 
-    Texts are split and their words counted row by row; the postings are shuffled once.
+    Texts are split and their words counted row by row; the postings stay where their documents
+    are read, without a shuffle.
     """
     spark = docs.sparkSession
     split = text.tokenize(text.normalize(body, locale))
@@ -74,9 +73,9 @@ def bm25_index(docs: DataFrame, path: str, doc: str = "doc_id", body: str = "tex
         found, lambda e: F.struct(e["term"].alias("term"), e["tf"].alias("tf"), F.size(w).alias("dl"))
     )))
     words = docs.select(F.col(doc).alias("doc"), F.inline_outer(entries)).where(F.col("term").isNotNull())
-    # A search finds a word in SALTS files at most; a word that every document has is spread over them.
-    salt = F.pmod(F.xxhash64("doc"), F.lit(SALTS))
-    words.repartition("term", salt).sortWithinPartitions("term", "doc").write.parquet(f"{path}/postings")
+    # A file holds all words of its documents, sorted: a search skips what has none of its words, and adds
+    # up most of a document's score in the task that reads it.
+    words.sortWithinPartitions("term", "doc").write.parquet(f"{path}/postings")
     stored = spark.read.parquet(f"{path}/postings")
     n = docs.count()
     words_in_all = F.coalesce(F.sum("tf"), F.lit(0)).cast("double")

@@ -141,3 +141,12 @@ def test_word_counts_of_a_row(spark):
     rows = spark.createDataFrame([(["b", "a", "b", "b"],), ([],), (None,), (["x"],)], "w array<string>")
     found = rows.select(search._counted(F.col("w")).alias("c")).collect()
     assert [None if r.c is None else [tuple(e) for e in r.c] for r in found] == [[("a", 1), ("b", 3)], None, None, [("x", 1)]]
+
+
+def test_a_documents_postings_stay_together(spark, tmp_path):
+    """One file has all words of a document: the index needs no shuffle, and a search sums where it reads."""
+    docs = spark.range(400).repartition(4).selectExpr("id as doc_id", "concat_ws(' ', 'every', concat('w', id % 7), concat('v', id % 11)) as text")
+    index = search.bm25_index(docs, str(tmp_path / "index"))
+    files = index.postings.select("doc", F.input_file_name().alias("file")).groupBy("doc").agg(F.countDistinct("file").alias("n"), F.count("*").alias("words"))
+    assert files.agg(F.max("n"), F.min("words"), F.count("*")).first()[:] == (1, 3, 400)
+    assert index.postings.select(F.input_file_name()).distinct().count() == 4
