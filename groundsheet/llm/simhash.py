@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from groundsheet.llm.components import components
 from groundsheet.llm.texts import filled, slices
+from groundsheet.operators import dealing
 from groundsheet.operators.lineage import materialize
 
 BITS, SEED = 64, 42
@@ -32,8 +33,10 @@ COUNTERS = 512
 FIRST_LOOK = 20
 #: Members from which a component's buckets are looked at before they are searched.
 CROWD = 1000
-#: Pairs of different components per row of a bucket above which it is searched by deviations from a pivot.
-APART = 8
+#: With sets, a member is held against representatives of so many of its buckets, the largest ones.
+STARS = 4
+#: With sets, rows from which a bucket is left out if all of them are of one component.
+SETTLED = 16
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -126,49 +129,50 @@ class ShingleSets:
 
     def alike(self, pairs: DataFrame) -> DataFrame:
         """Those pairs (a, b) of nodes whose sets are alike by SIMILARITY or more."""
-        pairs = materialize(pairs, "near-pairs")
+        pairs = materialize(pairs.toDF("a", "b"), "near-pairs")
         sets = self.of(pairs.select(F.col("a").alias("node")).union(pairs.select("b")))
         both = pairs.join(sets.toDF("a", "a_set"), "a").join(sets.toDF("b", "b_set"), "b")
         both = both.select("a", "b", F.size(F.array_intersect("a_set", "b_set")).alias("shared"), (F.size("a_set") + F.size("b_set")).alias("all"))
         return both.where(F.col("shared") >= SIMILARITY * (F.col("all") - F.col("shared")) - 1e-9).select("a", "b")
 
-    def crowd_links(self, members: DataFrame) -> DataFrame:
-        """Links (a, b) among the ``node``s of each ``pivot`` that join different ``root``s; all of them, but for those by way of the pivot.
+    def links(self, members: DataFrame, known: DataFrame) -> DataFrame:
+        """Links (a, b) among the ``node``s of ``members`` beside the ``known`` ones (node, root): as many as join the same components as all.
 
-        A member is held as its deviation from the pivot: shingles that only one of them has.  Two
-        members link when their deviations differ in at most (1 - s) / (1 + s) of their summed
-        sizes.  Then they share one of the rarest elements of their deviations, or both link to
-        the pivot.  What a crowd has in common is in no deviation, so members that only have
-        that in common do not meet.  Exact: prefix and position filters leave out no link.
+        Two sets that are alike by s share one of the rarest elements of both: of the set that is no larger
+        one of its first 1 - 2 s / (1 + s), of the other one of its first 1 - s.  Every member is written once,
+        however many buckets it is in, and what a crowd has in common comes last in every set.  First a member
+        is held against the node with the fewest rarer elements for STARS of its elements, which joins dense groups
+        at a cost in proportion to their size; then pairs of different components are compared.  Exact:
+        prefix and position filters leave out no link.
         """
-        ratio = (1 - SIMILARITY) / (1 + SIMILARITY)
-        members = materialize(members.where("node <> pivot").distinct(), "crowds")
-        pivots = members.select(F.col("pivot").alias("node")).distinct()
-        sets = self.of(members.select("node").union(pivots))
-        centre = sets.join(pivots, "node", "left_semi").toDF("pivot", "centre")
-        apart = F.concat(F.array_except("set", "centre"), F.array_except("centre", "set"))
-        seen = members.join(sets, "node").join(centre, "pivot").select(
-            "pivot", "node", "root", F.size("set").alias("n"), F.size("centre").alias("m"), apart.alias("apart")
-        )
-        seen = seen.withColumn("d", F.size("apart")).withColumn("linked", F.col("d") <= ratio * (F.col("n") + F.col("m")) + 1e-9)
-        seen = materialize(seen, "deviations")
-        single = seen.select("pivot", "node", "root", "n", "d", "linked", F.explode("apart").alias("e"))
-        often = single.groupBy("pivot", "e").agg(F.count("*").alias("often")).where("often > 1")
-        order = Window.partitionBy("pivot", "node").orderBy(F.coalesce("often", F.lit(1)), "e")
-        placed = single.join(often, ["pivot", "e"], "left").withColumn("at", F.row_number().over(order) - 1)
-        # A partner has at most n / s shingles, so at most this many elements of both deviations are not shared.
-        most = ratio * F.col("n") * (1 + 1 / SIMILARITY) + 1e-9
-        first = materialize(placed.withColumn("short", F.col("at") <= most / 2).where((F.col("at") <= most) & F.col("often").isNotNull()), "rarest")
-        x = first.select("pivot", "e", *(F.col(c).alias(f"x_{c}") for c in ("node", "root", "n", "d", "linked", "at")))
-        y = first.where("short").select("pivot", "e", *(F.col(c).alias(f"y_{c}") for c in ("node", "root", "n", "d", "linked", "at")))
-        longer = (F.col("x_d") > F.col("y_d")) | ((F.col("x_d") == F.col("y_d")) & (F.col("x_node") > F.col("y_node")))
-        needed = (F.col("x_d") + F.col("y_d") - ratio * (F.col("x_n") + F.col("y_n"))) / 2 - 1e-9
-        left = F.least(F.col("x_d") - F.col("x_at"), F.col("y_d") - F.col("y_at"))
-        met = x.join(y, ["pivot", "e"]).where(
-            longer & (F.col("x_root") != F.col("y_root")) & ~(F.col("x_linked") & F.col("y_linked")) & (left >= needed)
-        )
-        found = self.alike(met.select(F.col("x_node").alias("a"), F.col("y_node").alias("b")).distinct())
-        return found.union(seen.where("linked and root <> pivot").select("node", "pivot"))
+        members = materialize(members, "members")
+        sets = self.of(members)
+        held = members.join(sets, "node")
+        single = held.select("node", F.explode("set").alias("e"))
+        often = single.groupBy("e").agg(F.count("*").alias("often")).where("often > 1")
+        rare = Window.partitionBy("node").orderBy(F.coalesce("often", F.lit(1)), "e")
+        placed = single.join(often, "e", "left").withColumn("at", F.row_number().over(rare) - 1).where(F.col("often").isNotNull())
+        sizes = held.select("node", "root", F.size("set").alias("n"))
+        placed = placed.join(sizes, "node").where(F.col("at") <= (1 - SIMILARITY) * F.col("n") + 1e-9)
+        first = materialize(placed.select("e", "node", "root", "n", "at"), "rarest")
+        least = SIMILARITY / (1 + SIMILARITY)  # of both sizes, so many elements are shared
+        left = F.least(F.col("x_n") - F.col("x_at"), F.col("y_n") - F.col("y_at"))
+        able = (F.col("x_root") != F.col("y_root")) & (left >= least * (F.col("x_n") + F.col("y_n")) - 1e-9)
+
+        def side(mark: str) -> DataFrame:
+            return first.select("e", *(F.col(c).alias(f"{mark}_{c}") for c in ("node", "root", "n", "at")))
+
+        middle = side("y").groupBy("e").agg(F.min(F.struct("y_at", "y_node", "y_root", "y_n")).alias("y")).select("e", "y.*")
+        nearest = Window.partitionBy("x_node").orderBy("y_at", "y_node")
+        met = side("x").join(middle, "e").where(able).select("x_node", "y_node", "y_at")
+        met = met.groupBy("x_node", "y_node").agg(F.min("y_at").alias("y_at")).withColumn("k", F.row_number().over(nearest)).where(F.col("k") <= STARS)
+        star = materialize(known.union(self.alike(met.select("x_node", "y_node"))).toDF("a", "b"), "star")
+        joined = materialize(components(star, "a", "b"), "second-groups")
+        first = first.withColumnRenamed("root", "before").join(joined, "node", "left").withColumn("root", F.coalesce("root", "before"))
+        smaller = (F.col("x_n") < F.col("y_n")) | ((F.col("x_n") == F.col("y_n")) & (F.col("x_node") < F.col("y_node")))
+        short = side("x").where(F.col("x_at") <= (1 - 2 * least) * F.col("x_n") + 1e-9)
+        met = short.join(side("y"), "e").where(smaller & able)
+        return star.union(self.alike(met.select(F.col("x_node").alias("a"), F.col("y_node").alias("b")).distinct()))
 
 
 def _correlations(prints: DataFrame, words: int) -> list[np.ndarray]:
@@ -274,7 +278,8 @@ def allocate(costs: list[dict[int, float]], total: int) -> tuple[float, list[int
 def _differing(words: int) -> np.ndarray:
     """Bits that differ in TRIALS pairs of fingerprints of texts alike by SIMILARITY, if bits are independent."""
     share = np.arccos(2 * SIMILARITY / (1 + SIMILARITY)) / np.pi
-    return np.random.default_rng(SEED).random((TRIALS, words * BITS)) < share
+    draw = np.random.default_rng(SEED)
+    return np.concatenate([draw.random((1000, words * BITS)) < share for _ in range(TRIALS // 1000)])  # a byte each, not a double
 
 
 def _met(differ: np.ndarray, word: int, bits: list[int], threshold: int) -> np.ndarray:
@@ -394,16 +399,11 @@ def _verified(pairs: DataFrame, prints: DataFrame, words: int, distance: int, se
     return sets.alike(near) if sets else near
 
 
-def _judged_buckets(entries: DataFrame, heads: DataFrame) -> DataFrame:
-    """part, key and pivot of buckets that need no search pair by pair: of one root (pivot null), or of over APART pairs of roots a row."""
-    large = heads.where(F.col("n") > 2 * APART).select("part", "key")
-    by_root = entries.join(large, ["part", "key"]).groupBy("part", "key", "root").agg(F.count("*").alias("rows"))
-    shared = by_root.groupBy("part", "key").agg(
-        F.sum("rows").alias("n"), F.sum(F.col("rows") * F.col("rows")).alias("inside"), F.max(F.struct("rows", "root")).alias("top")
-    )
-    pairs = (F.col("n") * F.col("n") - F.col("inside")) / 2
-    pivot = F.when(pairs > 0, F.col("top.root")).alias("pivot")
-    return materialize(shared.where((pairs == 0) | (pairs > APART * F.col("n"))).select("part", "key", pivot), "judged-buckets")
+def _settled_buckets(entries: DataFrame, heads: DataFrame) -> DataFrame:
+    """part and key of large buckets whose members are all of one root."""
+    large = heads.where(F.col("n") >= SETTLED).select("part", "key")
+    held = entries.join(large, ["part", "key"]).groupBy("part", "key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    return materialize(held.where("low = high").select("part", "key"), "settled-buckets")
 
 
 def print_groups(prints: DataFrame, words: int, sure: int, distance: int, sets: ShingleSets | None = None) -> DataFrame:
@@ -413,8 +413,8 @@ def print_groups(prints: DataFrame, words: int, sure: int, distance: int, sets:
     against one representative, which joins large groups at a cost in proportion to their size.
     Then buckets are searched for links between what are still different components, and large
     buckets of a single component are left out: no link is lost, and no group is compared pair by
-    pair.  Buckets in which many members stay apart are searched by what sets them apart from a
-    pivot, the first node of the bucket's largest component, if there are ``sets``.
+    pair.  With ``sets`` buckets only tell which nodes meet one of another component; the links
+    among all of these are searched by the rarest elements of their sets.
     """
     partitions = plan(prints.select("fp"), sure, words)
     look = distance if words == 1 else FIRST_LOOK
@@ -427,17 +427,16 @@ def print_groups(prints: DataFrame, words: int, sure: int, distance: int, sets:
         heads = materialize(heads, "heads")
     # One row a bucket on this side; a crowded bucket's members are split by adaptive execution.
     met = entries.join(heads, ["part", "key"]).where((F.col("node") != F.col("b")) & (_apart(F.col("check"), F.col("b_check")) <= look))
+    if sets:
+        largest = Window.partitionBy("node").orderBy(F.desc("n"), "b")
+        met = met.groupBy("node", "b").agg(F.max("n").alias("n")).withColumn("at", F.row_number().over(largest)).where(F.col("at") <= STARS)
     star = _verified(met.select(F.col("node").alias("a"), "b"), prints, words, distance, sets)
     first = materialize(components(star, "a", "b"), "first-groups")
     rooted = materialize(prints.join(first, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")
     open_ = _entries(rooted, partitions, words)
     bridges = first.select("node", "root")
     if sets:
-        judged = _judged_buckets(open_, heads)
-        if not judged.isEmpty():
-            crowded = judged.where("pivot is not null")
-            bridges = bridges.union(sets.crowd_links(open_.join(crowded, ["part", "key"]).select("pivot", "node", "root")))
-            open_ = open_.join(judged, ["part", "key"], "left_anti")
+        open_ = open_.join(_settled_buckets(open_, heads), ["part", "key"], "left_anti")
     else:
         crowds = materialize(first.groupBy("root").agg(F.count("*").alias("n")).where(F.col("n") >= CROWD).select("root"), "crowds")
         if not crowds.isEmpty():
@@ -447,14 +446,15 @@ def print_groups(prints: DataFrame, words: int, sure: int, distance: int, sets:
             open_ = open_.join(held.where("low = high").select("part", "key"), ["part", "key"], "left_anti")
     # Both sides are one frame under two sets of names, so Spark shuffles it once.
     sides = [open_.select("part", "key", *(F.col(c).alias(f"{side}_{c}") for c in ("node", "root", "near", "check"))) for side in "ab"]
-    across = sides[0].join(sides[1], ["part", "key"]).where(
-        (F.col("a_root") != F.col("b_root")) & ~F.col("a_near") & (F.col("b_near") | (F.col("a_node") < F.col("b_node")))
-        & (_apart(F.col("a_check"), F.col("b_check")) <= look)
-    )
-    if words == 1:
-        bridges = bridges.union(across.select("a_root", "b_root"))
-    else:
-        bridges = bridges.union(_verified(across.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")), prints, words, distance, sets))
+    differ = (F.col("a_root") != F.col("b_root")) & (_apart(F.col("a_check"), F.col("b_check")) <= look)
+    if sets:
+        partner = differ & ~(F.col("a_near") & F.col("b_near")) & dealing.same(["a_part", "a_key"], ["b_part", "b_key"])
+        one, two = (side.withColumnsRenamed({"part": f"{m}_part", "key": f"{m}_key"}) for side, m in zip(sides, "ab", strict=True))
+        meeting = one.join(two, partner, "left_semi").select(F.col("a_node").alias("node"), F.col("a_root").alias("root"))
+        return components(sets.links(meeting.distinct(), bridges), "a", "b")
+    across = sides[0].join(sides[1], ["part", "key"]).where(differ & ~F.col("a_near") & (F.col("b_near") | (F.col("a_node") < F.col("b_node"))))
+    found = across.select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
+    bridges = bridges.union(across.select("a_root", "b_root") if words == 1 else _verified(found, prints, words, distance))
     return components(bridges, "node", "root")
 
 

@@ -154,3 +154,41 @@ def test_crowd_of_unlike_members(spark, monkeypatch):
     assert sum(got[k] != want[k] for k in want) <= 0.01 * len(want)
     assert not any(want[got[k]] != want[k] for k in want)  # nothing links that should not
     assert sum(counted) < 60 * len(texts), counted
+
+
+def test_dense_crowd_in_proportion(spark, monkeypatch):
+    """A text and many light edits of it: few sets are compared for each text."""
+    import random
+
+    draw, counted = random.Random(5), []
+    base = [f"w{k}" for k in range(150)]
+    texts = [base]
+    for size in range(900):
+        text = list(base)
+        for at in draw.sample(range(150), 1 + size % 5):
+            text[at] = f"x{draw.randrange(10**6)}"
+        texts.append(text)
+    alike = simhash.ShingleSets.alike
+
+    def counting(self, pairs):
+        counted.append(pairs.count())
+        return alike(self, pairs)
+
+    monkeypatch.setattr(simhash.ShingleSets, "alike", counting)
+    frame = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.component_id for r in simhash.simhash_groups(frame).collect()}
+    sets = [{tuple(t[k : k + 5]) for k in range(len(t) - 4)} for t in texts]
+    pairs = [(a, b) for a in range(len(sets)) for b in range(a) if 9 * (shared := len(sets[a] & sets[b])) >= 4 * (len(sets[a]) + len(sets[b]))]
+    want = plain_components(pairs, range(len(sets)))
+    assert sum(got[k] != want[k] for k in want) <= 0.01 * len(want)
+    assert not any(want[got[k]] != want[k] for k in want)
+    assert sum(counted) < 10 * len(texts), counted
+
+
+def test_drawn_pairs_are_the_same():
+    """Drawn in parts, the pairs are those of one draw."""
+    import numpy as np
+
+    share = np.arccos(2 * simhash.SIMILARITY / (1 + simhash.SIMILARITY)) / np.pi
+    whole = np.random.default_rng(simhash.SEED).random((simhash.TRIALS, 2 * simhash.BITS)) < share
+    assert (simhash._differing(2) == whole).all()
