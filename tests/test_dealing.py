@@ -49,3 +49,26 @@ def test_a_box_that_is_not_the_shape_own_is_not_believed(spark):
     a = spark.createDataFrame([(1, 0.0, 0.0, 9.0, 9.0)], "id int, x0 double, y0 double, x1 double, y1 double").withColumn("geom", G.envelope(F.lit(0), F.lit(0), F.lit(1), F.lit(1)))
     b = spark.createDataFrame([(2, 5.0, 5.0, 6.0, 6.0)], "id int, x0 double, y0 double, x1 double, y1 double").withColumn("geom", G.envelope(*BOX))
     assert joins.spatial_join(a, b, a_box=BOX, b_box=BOX).count() == 0
+
+
+def test_blocks_are_as_wide_as_high(spark):
+    """Neither side of a crowded key is repeated for every block of its pairs."""
+    one = spark.range(300).select(F.lit(1).alias("k"), F.col("id").alias("a"))
+    two = spark.range(300).select(F.lit(1).alias("j"), F.col("id").alias("b"))
+    left, right, left_keys, right_keys = dealing.dealt(one, two, ["k"], ["j"], ("_l", "_r"), 1000)
+    assert left.count() + right.count() < 8000  # 27,300 with one side repeated for each of 90 blocks
+    met = left.join(right, dealing.same(left_keys, right_keys))
+    assert met.count() == met.select("a", "b").distinct().count() == 300 * 300
+    per_block = met.groupBy(*left_keys).count().agg(F.max("count")).first()[0]
+    assert per_block < 3000
+
+
+def test_shapes_of_rectangles_are_not_joined_for_a_test_by_numbers(spark):
+    """What a result does not ask for is not sent; what it asks for are the shapes as they were."""
+    shapes = shapes_of_all_kinds(spark)
+    met = joins.spatial_join(shapes, shapes, "overlaps")
+    plan = met.select("id", "b_id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Inner" in plan and "a__geom" not in plan and "_own_shape" not in plan
+    own = {r.id: bytes(r.geom) for r in shapes.collect()}
+    rows = met.collect()
+    assert rows and all(bytes(r.geom) == own[r.id] and bytes(r.b_geom) == own[r.b_id] for r in rows)
