@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from groundsheet.llm.components import components
 from groundsheet.llm.texts import filled, slices
 from groundsheet.operators import dealing
-from groundsheet.operators.lineage import materialize
+from groundsheet.operators.lineage import fits, materialize
 
 BITS, SEED = 64, 42
 #: Words of a long fingerprint, the distance its partitions are sure to find, and the distance up to which
@@ -28,9 +29,13 @@ WIDTHS = {1: (32, 22, 16), LONG_WORDS: (16, 22)}
 ROW_COST = 20
 #: Counters of one pair-count sketch; its standard error is 6 %.
 COUNTERS = 512
-#: Long fingerprints that meet are first held against each other in one other word: unlike ones
-#: differ in 32 of its 64 bits, give or take 4, those within LONG_DISTANCE in 10, give or take 3.
-FIRST_LOOK = 20
+#: Long fingerprints that meet are first held against each other in two other words: unlike ones
+#: differ in 64 of these 128 bits, give or take 6, those within LONG_DISTANCE in 20, give or take 4.
+FIRST_LOOK, LOOKED = 34, 2
+#: Keys (of 8 bytes) up to which they are sent to all tasks, so that only their rows are shuffled.
+FEW_KEYS = 500_000
+#: With sets, partitions whose buckets are shuffled at a time; their rows go from the disks before the next ones come.
+ROUND = 32
 #: Members from which a component's buckets are looked at before they are searched.
 CROWD = 1000
 #: With sets, a member is held against representatives of so many of its buckets, the largest ones.
@@ -100,6 +105,12 @@ def _keyed(documents: DataFrame) -> DataFrame:
     return documents.select("doc_id", F.xxhash64(text).alias("text_key"), text.alias("text"))
 
 
+def _only(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """At least the rows whose ``key`` is among ``keys``, before they are shuffled: others go if the keys are few."""
+    keys = keys.select(key).distinct()
+    return rows.join(F.broadcast(keys), key, "left_semi") if fits(keys, FEW_KEYS) else rows
+
+
 class ShingleSets:
     """Sets of shingles of nodes, each worked out and written once.
 
@@ -120,8 +131,10 @@ class ShingleSets:
 
         if self._written is not None:
             nodes = nodes.join(self._written.select("node"), "node", "left_anti")
-        texts = _keyed(self._documents).groupBy("text_key").agg(F.min("text").alias("text"))  # copies go before the shuffle
-        wanted = self._prints.select("node", "text_key").join(nodes.select("node").distinct(), "node", "left_semi")
+        wanted = materialize(self._prints.select("node", "text_key").join(nodes.select("node").distinct(), "node", "left_semi"), "wanted")
+        if self._written is not None and wanted.isEmpty():
+            return self._written
+        texts = _only(_keyed(self._documents), wanted, "text_key").groupBy("text_key").agg(F.min("text").alias("text"))  # copies go before the shuffle
         found = texts.join(wanted, "text_key").select("node", "text").mapInArrow(run, "node long, set array<long>")
         found = materialize(found, "shingles")
         self._written = found if self._written is None else self._written.union(found)
@@ -130,7 +143,8 @@ class ShingleSets:
     def alike(self, pairs: DataFrame) -> DataFrame:
         """Those pairs (a, b) of nodes whose sets are alike by SIMILARITY or more."""
         pairs = materialize(pairs.toDF("a", "b"), "near-pairs")
-        sets = self.of(pairs.select(F.col("a").alias("node")).union(pairs.select("b")))
+        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
+        sets = _only(self.of(nodes), nodes, "node")
         both = pairs.join(sets.toDF("a", "a_set"), "a").join(sets.toDF("b", "b_set"), "b")
         both = both.select("a", "b", F.size(F.array_intersect("a_set", "b_set")).alias("shared"), (F.size("a_set") + F.size("b_set")).alias("all"))
         return both.where(F.col("shared") >= SIMILARITY * (F.col("all") - F.col("shared")) - 1e-9).select("a", "b")
@@ -147,13 +161,15 @@ class ShingleSets:
         """
         members = materialize(members, "members")
         sets = self.of(members)
-        held = members.join(sets, "node")
-        single = held.select("node", F.explode("set").alias("e"))
-        often = single.groupBy("e").agg(F.count("*").alias("often")).where("often > 1")
-        rare = Window.partitionBy("node").orderBy(F.coalesce("often", F.lit(1)), "e")
-        placed = single.join(often, "e", "left").withColumn("at", F.row_number().over(rare) - 1).where(F.col("often").isNotNull())
-        sizes = held.select("node", "root", F.size("set").alias("n"))
-        placed = placed.join(sizes, "node").where(F.col("at") <= (1 - SIMILARITY) * F.col("n") + 1e-9)
+        # Elements are shuffled once, by value; a set holds each once, and what no other set has stays there.
+        single = sets.select("node", F.explode("set").alias("e")).where("node is not null and e is not null").repartition("e")
+        often = single.groupBy("e").agg(F.count("node").alias("often")).where("often > 1")
+        sizes = members.join(sets.select("node", F.size("set").alias("n")), "node")
+        shared = single.join(often, "e").join(sizes, "node")
+        own = Window.partitionBy("node")
+        # elements of one set alone are the rarest: they take the first places
+        at = F.col("n") - F.count("*").over(own) + F.row_number().over(own.orderBy("often", "e")) - 1
+        placed = shared.withColumn("at", at).where(F.col("at") <= (1 - SIMILARITY) * F.col("n") + 1e-9)
         first = materialize(placed.select("e", "node", "root", "n", "at"), "rarest")
         least = SIMILARITY / (1 + SIMILARITY)  # of both sizes, so many elements are shared
         left = F.least(F.col("x_n") - F.col("x_at"), F.col("y_n") - F.col("y_at"))
@@ -282,10 +298,15 @@ def _differing(words: int) -> np.ndarray:
     return np.concatenate([draw.random((1000, words * BITS)) < share for _ in range(TRIALS // 1000)])  # a byte each, not a double
 
 
+def _checked(word: int, words: int) -> list[int]:
+    """The words that are looked at first when fingerprints meet by some bits of ``word``; its own if there is no other."""
+    return [(word + 1 + k) % words for k in range(min(LOOKED, max(1, words - 1)))]
+
+
 def _met(differ: np.ndarray, word: int, bits: list[int], threshold: int) -> np.ndarray:
     """Which of the drawn pairs a partition brings together and the first look lets pass."""
     words = differ.shape[1] // BITS
-    check = differ[:, (word + 1) % words * BITS :][:, :BITS].sum(1) <= FIRST_LOOK
+    check = sum(differ[:, other * BITS :][:, :BITS].sum(1) for other in _checked(word, words)) <= FIRST_LOOK
     return check & (differ[:, [word * BITS + b for b in bits]].sum(1) <= threshold)
 
 
@@ -356,30 +377,36 @@ def _signed(x: int) -> Column:
     return F.lit(x - (1 << 64) if x >> 63 else x).cast("long")
 
 
-def _near_entries(part: int, keys: Column, check: Column) -> Column:
-    return F.transform(keys, lambda v: _entry(part, v, True, check))
+def _near_entries(part: int, keys: Column, checks: dict[str, Column]) -> Column:
+    return F.transform(keys, lambda v: _entry(part, v, True, checks))
+
 
+def _entry(part: int, key: Column, near: bool, checks: dict[str, Column]) -> Column:
+    named = (c.alias(name) for name, c in checks.items())
+    return F.struct(F.lit(part).cast("smallint").alias("part"), key.alias("key"), F.lit(near).alias("near"), *named)
 
-def _entry(part: int, key: Column, near: bool, check: Column) -> Column:
-    return F.struct(F.lit(part).cast("smallint").alias("part"), key.alias("key"), F.lit(near).alias("near"), check.alias("check"))
+
+def _check_names(words: int) -> list[str]:
+    return [f"check{k}" for k in range(len(_checked(0, words)))]
 
 
 def _entries(prints: DataFrame, partitions: list[tuple[int, list[int], int]], words: int) -> DataFrame:
-    """part, key, near and check of every print, with its own columns but the fingerprint.
+    """part, key, near and checks of every print, with its own columns but the fingerprint.
 
     A print is indexed by its bits in a partition (near false).  At threshold 1 it also stands under
     each value with one of its set bits cleared (near true): of two values one bit apart, one has
-    the bit set, so every pair meets.  ``check`` is a word of which the key is no part, if there is one.
+    the bit set, so every pair meets.  The checks are words of which the key is no part, if there are such.
     """
     found = []
     for k, (word, group, threshold) in enumerate(partitions):
         if threshold < 0:
             continue
-        key, check = F.col("fp")[word].bitwiseAND(_signed(_mask(group))), F.col("fp")[(word + 1) % words]
-        found.append(F.array(_entry(k, key, False, check)))
+        key = F.col("fp")[word].bitwiseAND(_signed(_mask(group)))
+        checks = {name: F.col("fp")[other] for name, other in zip(_check_names(words), _checked(word, words), strict=True)}
+        found.append(F.array(_entry(k, key, False, checks)))
         if threshold:
             cleared = [F.when(key.bitwiseAND(_signed(1 << b)) != 0, key.bitwiseXOR(_signed(1 << b))) for b in group]
-            found.append(_near_entries(k, F.array_compact(F.array(*cleared)), check))
+            found.append(_near_entries(k, F.array_compact(F.array(*cleared)), checks))
     return prints.select(*[c for c in prints.columns if c != "fp"], F.inline(F.flatten(F.array(*found))))
 
 
@@ -387,6 +414,10 @@ def _apart(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b))
 
 
+def _all_apart(a: list[str], b: list[str]) -> Column:
+    return sum((_apart(F.col(x), F.col(y)) for x, y in zip(a, b, strict=True)), F.lit(0))
+
+
 def _verified(pairs: DataFrame, prints: DataFrame, words: int, distance: int, sets: ShingleSets | None = None) -> DataFrame:
     """Those pairs (a, b) whose whole fingerprints are within ``distance`` and whose ``sets`` are alike; one word is already checked whole."""
     if words == 1:
@@ -399,11 +430,63 @@ def _verified(pairs: DataFrame, prints: DataFrame, words: int, distance: int, se
     return sets.alike(near) if sets else near
 
 
-def _settled_buckets(entries: DataFrame, heads: DataFrame) -> DataFrame:
-    """part and key of large buckets whose members are all of one root."""
-    large = heads.where(F.col("n") >= SETTLED).select("part", "key")
-    held = entries.join(large, ["part", "key"]).groupBy("part", "key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    return materialize(held.where("low = high").select("part", "key"), "settled-buckets")
+def _rounds(partitions: list[tuple[int, list[int], int]]) -> list[list[tuple[int, list[int], int]]]:
+    """Probed partitions, ROUND at a time."""
+    probed = [p for p in partitions if p[2] >= 0]
+    return [probed[start : start + ROUND] for start in range(0, len(probed), ROUND)]
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.union, frames)
+
+
+def _held_against_heads(prints: DataFrame, partitions: list[tuple[int, list[int], int]], words: int, look: int) -> DataFrame:
+    """Each member ``node`` of a bucket with its representative ``b``, if the first look lets them pass, and the bucket's rows ``n``."""
+    checks = _check_names(words)
+    entries = _entries(prints, partitions, words)
+    heads = entries.groupBy("part", "key").agg(
+        F.min_by(F.struct("node", *checks), F.when(~F.col("near"), F.col("node"))).alias("head"), F.count("*").alias("n")
+    )
+    held = [F.col(f"head.{c}").alias(f"b_{c}") for c in checks]
+    heads = heads.where("n > 1 and head is not null").select("part", "key", F.col("head.node").alias("b"), *held, "n")
+    # One row a bucket on this side; a crowded bucket's members are split by adaptive execution.
+    met = entries.join(heads, ["part", "key"])
+    return met.where((F.col("node") != F.col("b")) & (_all_apart(checks, [f"b_{c}" for c in checks]) <= look)).select("node", "b", "n")
+
+
+def _largest(met: DataFrame) -> DataFrame:
+    """Of a member's representatives (node, b, n) those of its STARS largest buckets."""
+    order = Window.partitionBy("node").orderBy(F.desc("n"), "b")
+    met = met.groupBy("node", "b").agg(F.max("n").alias("n")).withColumn("at", F.row_number().over(order))
+    return met.where(F.col("at") <= STARS).select("node", "b", "n")
+
+
+def _open_entries(rooted: DataFrame, large: DataFrame | None, partitions: list[tuple[int, list[int], int]], words: int) -> DataFrame:
+    """Entries without those of buckets of SETTLED rows and more that are all of one root, which only ``large`` components can fill."""
+    entries = _entries(rooted, partitions, words)
+    if large is None:
+        return entries
+    mine = _entries(rooted.join(large, "root", "left_semi"), partitions, words).groupBy("part", "key")
+    full = mine.agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n"))
+    full = materialize(full.where((F.col("low") == F.col("high")) & (F.col("n") >= SETTLED)).select("part", "key", "low"), "full-buckets")
+    mixed = entries.join(full, ["part", "key"]).where(F.col("root") != F.col("low")).select("part", "key").distinct()
+    settled = materialize(full.join(mixed, ["part", "key"], "left_anti").select("part", "key"), "settled-buckets")
+    return entries.join(settled, ["part", "key"], "left_anti")
+
+
+def _sides(entries: DataFrame, words: int, look: int) -> tuple[DataFrame, DataFrame, Column]:
+    """Entries under two sets of names, and the test of a pair: of two components, and alike at the first look."""
+    checks = _check_names(words)
+    one, two = (entries.select("part", "key", *(F.col(c).alias(f"{side}_{c}") for c in ("node", "root", "near", *checks))) for side in "ab")
+    return one, two, (F.col("a_root") != F.col("b_root")) & (_all_apart([f"a_{c}" for c in checks], [f"b_{c}" for c in checks]) <= look)
+
+
+def _meeting(entries: DataFrame, words: int) -> DataFrame:
+    """node and root of members that meet one of another component."""
+    one, two, differ = _sides(entries, words, FIRST_LOOK)
+    one, two = (side.withColumnsRenamed({"part": f"{m}_part", "key": f"{m}_key"}) for side, m in ((one, "a"), (two, "b")))
+    partner = differ & ~(F.col("a_near") & F.col("b_near")) & dealing.same(["a_part", "a_key"], ["b_part", "b_key"])
+    return one.join(two, partner, "left_semi").select(F.col("a_node").alias("node"), F.col("a_root").alias("root"))
 
 
 def print_groups(prints: DataFrame, words: int, sure: int, distance: int, sets: ShingleSets | None = None) -> DataFrame:
@@ -414,45 +497,36 @@ def print_groups(prints: DataFrame, words: int, sure: int, distance: int, sets:
     Then buckets are searched for links between what are still different components, and large
     buckets of a single component are left out: no link is lost, and no group is compared pair by
     pair.  With ``sets`` buckets only tell which nodes meet one of another component; the links
-    among all of these are searched by the rarest elements of their sets.
+    among all of these are searched by the rarest elements of their sets.  Buckets are then taken
+    ROUND partitions at a time, so the disks hold no more of them at once, however many the plan has.
     """
     partitions = plan(prints.select("fp"), sure, words)
     look = distance if words == 1 else FIRST_LOOK
-    entries = _entries(prints, partitions, words)
-    heads = entries.groupBy("part", "key").agg(
-        F.min_by(F.struct("node", "check"), F.when(~F.col("near"), F.col("node"))).alias("head"), F.count("*").alias("n")
-    )
-    heads = heads.where("n > 1 and head is not null").select("part", "key", F.col("head.node").alias("b"), F.col("head.check").alias("b_check"), "n")
-    if sets:
-        heads = materialize(heads, "heads")
-    # One row a bucket on this side; a crowded bucket's members are split by adaptive execution.
-    met = entries.join(heads, ["part", "key"]).where((F.col("node") != F.col("b")) & (_apart(F.col("check"), F.col("b_check")) <= look))
     if sets:
-        largest = Window.partitionBy("node").orderBy(F.desc("n"), "b")
-        met = met.groupBy("node", "b").agg(F.max("n").alias("n")).withColumn("at", F.row_number().over(largest)).where(F.col("at") <= STARS)
+        found = [materialize(_largest(_held_against_heads(prints, some, words, look)), "representatives") for some in _rounds(partitions)]
+        met = _largest(_union(found))
+    else:
+        met = _held_against_heads(prints, partitions, words, look)
     star = _verified(met.select(F.col("node").alias("a"), "b"), prints, words, distance, sets)
     first = materialize(components(star, "a", "b"), "first-groups")
     rooted = materialize(prints.join(first, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")
-    open_ = _entries(rooted, partitions, words)
     bridges = first.select("node", "root")
     if sets:
-        open_ = open_.join(_settled_buckets(open_, heads), ["part", "key"], "left_anti")
-    else:
-        crowds = materialize(first.groupBy("root").agg(F.count("*").alias("n")).where(F.col("n") >= CROWD).select("root"), "crowds")
-        if not crowds.isEmpty():
-            crowded = open_.join(crowds, "root").groupBy("part", "key", "root").agg(F.count("*").alias("n")).where(F.col("n") >= CROWD)
-            crowded = materialize(crowded.select("part", "key").distinct(), "crowded")
-            held = open_.join(crowded, ["part", "key"]).groupBy("part", "key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-            open_ = open_.join(held.where("low = high").select("part", "key"), ["part", "key"], "left_anti")
+        large = rooted.groupBy("root").agg(F.count("*").alias("n")).where(F.col("n") >= SETTLED)
+        large = materialize(large.select("root"), "large-groups")
+        large = None if large.isEmpty() else large
+        members = [materialize(_meeting(_open_entries(rooted, large, some, words), words).distinct(), "meeting") for some in _rounds(partitions)]
+        return components(sets.links(_union(members).distinct(), bridges), "a", "b")
+    open_ = _entries(rooted, partitions, words)
+    crowds = materialize(first.groupBy("root").agg(F.count("*").alias("n")).where(F.col("n") >= CROWD).select("root"), "crowds")
+    if not crowds.isEmpty():
+        crowded = open_.join(crowds, "root").groupBy("part", "key", "root").agg(F.count("*").alias("n")).where(F.col("n") >= CROWD)
+        crowded = materialize(crowded.select("part", "key").distinct(), "crowded")
+        held = open_.join(crowded, ["part", "key"]).groupBy("part", "key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+        open_ = open_.join(held.where("low = high").select("part", "key"), ["part", "key"], "left_anti")
+    one, two, differ = _sides(open_, words, look)
     # Both sides are one frame under two sets of names, so Spark shuffles it once.
-    sides = [open_.select("part", "key", *(F.col(c).alias(f"{side}_{c}") for c in ("node", "root", "near", "check"))) for side in "ab"]
-    differ = (F.col("a_root") != F.col("b_root")) & (_apart(F.col("a_check"), F.col("b_check")) <= look)
-    if sets:
-        partner = differ & ~(F.col("a_near") & F.col("b_near")) & dealing.same(["a_part", "a_key"], ["b_part", "b_key"])
-        one, two = (side.withColumnsRenamed({"part": f"{m}_part", "key": f"{m}_key"}) for side, m in zip(sides, "ab", strict=True))
-        meeting = one.join(two, partner, "left_semi").select(F.col("a_node").alias("node"), F.col("a_root").alias("root"))
-        return components(sets.links(meeting.distinct(), bridges), "a", "b")
-    across = sides[0].join(sides[1], ["part", "key"]).where(differ & ~F.col("a_near") & (F.col("b_near") | (F.col("a_node") < F.col("b_node"))))
+    across = one.join(two, ["part", "key"]).where(differ & ~F.col("a_near") & (F.col("b_near") | (F.col("a_node") < F.col("b_node"))))
     found = across.select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
     bridges = bridges.union(across.select("a_root", "b_root") if words == 1 else _verified(found, prints, words, distance))
     return components(bridges, "node", "root")

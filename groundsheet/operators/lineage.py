@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+#: Shuffle files of a query are removed when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _OWN_FOLDERS: dict[str, str] = {}
 
 
@@ -36,11 +38,20 @@ def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     """Write once to the shared folder and read back.
 
     Used where one result feeds several jobs: the work is done once, and a lost
-    executor costs a re-read instead of a re-run of everything before it.
+    executor costs a re-read instead of a re-run of everything before it.  What the write
+    shuffled goes from the disks as it ends, not when the driver happens to collect garbage.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path, before = scratch_path(spark, name), spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def fits(df: DataFrame, max_rows: int) -> bool:

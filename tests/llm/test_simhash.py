@@ -192,3 +192,25 @@ def test_drawn_pairs_are_the_same():
     share = np.arccos(2 * simhash.SIMILARITY / (1 + simhash.SIMILARITY)) / np.pi
     whole = np.random.default_rng(simhash.SEED).random((simhash.TRIALS, 2 * simhash.BITS)) < share
     assert (simhash._differing(2) == whole).all()
+
+
+def test_buckets_are_shuffled_in_rounds(spark, monkeypatch):
+    """However many partitions a plan has, the entries of a few are on the disks at a time."""
+    import random
+
+    monkeypatch.setattr(simhash, "ROUND", 7, raising=False)
+    draw, probed = random.Random(11), []
+    entries = simhash._entries
+
+    def counting(prints, partitions, words):
+        probed.append(sum(threshold >= 0 for _, _, threshold in partitions))
+        return entries(prints, partitions, words)
+
+    monkeypatch.setattr(simhash, "_entries", counting)
+    rows = []
+    for k in range(0, 90, 3):
+        text = [f"w{draw.randrange(10**6)}" for _ in range(120)]
+        rows += [(k, " ".join(text)), (k + 1, " ".join([*text[:-1], "x"])), (k + 2, " ".join(draw.sample(text, 120)))]
+    got = {r.doc_id: r.component_id for r in simhash.simhash_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {k: k - 1 if k % 3 == 1 else k for k in range(90)}
+    assert max(probed) <= 7, probed
